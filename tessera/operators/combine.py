@@ -31,10 +31,9 @@ def align_and_union(train: DataFrame, test: DataFrame | None, label: str = "y",
     types = {f.name: f.dataType for f in test.schema.fields}
     types.update({f.name: f.dataType for f in train.schema.fields})
     ytype = types.get(label, "int")
-    a = _project(train, cols, types).withColumn(
-        label, F.col(label) if label in train.columns else F.lit(None).cast(ytype)) \
-        .withColumn(split, F.lit("train"))
-    a = a.select(*cols, F.col(label).cast(ytype).alias(label), split) if label in train.columns else a
+    ya = F.col(label).cast(ytype) if label in train.columns else F.lit(None).cast(ytype)
+    a = train.select(*[F.col(c) if c in train.columns else F.lit(None).cast(types[c]).alias(c) for c in cols],
+                     ya.alias(label), F.lit("train").alias(split))
     b = _project(test, cols, types).withColumn(label, F.lit(None).cast(ytype)).withColumn(split, F.lit("test"))
     return a.unionByName(b)
 
