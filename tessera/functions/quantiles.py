@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +37,8 @@ def _key_cond(keys: list[str], kv: tuple) -> Column:
 
 
 def cumulative(long_df: DataFrame, keys: list[str], value: str, measures: dict[str, Column],
-               rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS):
+               rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
+               keep: list | None = None):
     """Distinct values per key with ``<m>`` totals and ``<m>_before``
     (sum of ``m`` over strictly smaller values of the same key).
 
@@ -46,6 +48,12 @@ def cumulative(long_df: DataFrame, keys: list[str], value: str, measures: dict[s
     keys = list(keys)
     names = list(measures)
     dv = long_df.groupBy(*keys, value).agg(*[e.alias(n) for n, e in measures.items()])
+    if keep is not None:
+        # the caller runs more than one job on the distinct-value table and
+        # unpersists it afterwards (blocks spill to disk; a lost executor's
+        # blocks are recomputed from lineage)
+        dv = dv.persist(StorageLevel.MEMORY_AND_DISK)
+        keep.append(dv)
     srows = dv.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"),
                                   *[F.sum(n).alias(n) for n in names]).collect()
     stats = {tuple(r[k] for k in keys): r.asDict() for r in srows}
@@ -126,7 +134,8 @@ def quantiles(df: DataFrame, probs: dict[str, list[float]], group_cols: list[str
     group_cols = list(group_cols)
     keys = group_cols + ["feature"]
     long = unpivot(df, cols, ids=group_cols)
-    cum, stats = cumulative(long, keys, "value", {"cnt": F.count(F.lit(1))}, **kw)
+    held: list = []
+    cum, stats = cumulative(long, keys, "value", {"cnt": F.count(F.lit(1))}, keep=held, **kw)
     targets: dict[tuple, set[int]] = {}
     plan = []
     for kv, s in stats.items():
@@ -138,7 +147,11 @@ def quantiles(df: DataFrame, probs: dict[str, list[float]], group_cols: list[str
             frac = pos - lo
             targets.setdefault(kv, set()).update({lo, hi})
             plan.append((kv, p, lo, hi, frac))
-    vals = kth_values(cum, keys, "value", targets)
+    try:
+        vals = kth_values(cum, keys, "value", targets)
+    finally:
+        for h in held:
+            h.unpersist()
     out = {}
     for kv, p, lo, hi, frac in plan:
         a, b = vals[(kv, lo)], vals[(kv, hi)]

@@ -109,10 +109,9 @@ def fit_ordinal(df: DataFrame, cols: list[str]) -> OrdinalCodes:
         return OrdinalCodes()
     prepared = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)).alias(c) for c in cols])
     long = unpivot(prepared, cols, cast="string")
-    sizes = {r["feature"]: r["n"] for r in
-             long.select("feature", "value").distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if sum(sizes.values()) <= INLINE_DICT_MAX:
-        rows = long.select("feature", "value").distinct().collect()
+    # one job: at most INLINE_DICT_MAX + 1 distinct pairs come back
+    rows = long.select("feature", "value").distinct().limit(INLINE_DICT_MAX + 1).collect()
+    if len(rows) <= INLINE_DICT_MAX:
         out: dict[str, list[str]] = {c: [] for c in cols}
         for r in rows:
             out[r["feature"]].append(r["value"])
@@ -141,8 +140,10 @@ def apply_ordinal(df: DataFrame, codes: OrdinalCodes, unseen: str = "first") ->
             m = F.create_map(*[a for i, v in enumerate(classes) for a in (F.lit(v), F.lit(i))])
             exprs[c] = F.coalesce(m[x], fallback(c)).cast("int")
         return _replace(df, exprs)
+    if codes.table is None:
+        return df
     out = df
-    for c in sorted(codes.table.select("feature").distinct().toPandas()["feature"]):
+    for c in sorted(r["feature"] for r in codes.table.select("feature").distinct().collect()):
         if c not in df.columns:
             continue
         d = codes.table.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("code").alias("_code"))

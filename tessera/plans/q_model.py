@@ -1 +1,160 @@
-"""Registered queries."""
+"""Registered model queries (rows-only checks: fits are not bit-reproducible
+across engines) and the flagship plan: L01-L08, M04, M06, F04, F08, E06-E08,
+E11, S12."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions.exprs import r6
+from tessera.operators import clean as C
+from tessera.operators import model as ML
+from tessera.operators import select as SEL
+from tessera.operators import split as S
+from tessera.plans.flagship import flagship
+from tessera.plans.registry import register
+from tessera.roles import Roles
+from tessera.sources.bank import bank_test, bank_train
+from tessera.sources.io import kept_columns_log
+
+ROLES = Roles()
+K = 5
+CAT = ["job", "marital", "education", "contact"]
+
+
+def model_inputs(spark, d):
+    """Cleaned (T14) train and test of the bank view and the feature list."""
+    tr, te = bank_train(spark, d), bank_test(spark, d)
+    st = C.fit_clean(tr, ROLES)
+    a, b = C.apply_clean(tr, st, ROLES), C.apply_clean(te, st, ROLES)
+    cols = st.numeric + st.categorical
+    return a, b, cols
+
+
+def _folded(spark, d):
+    a, b, cols = model_inputs(spark, d)
+    return S.stratified_kfold(a, K).checkpoint(eager=True), b, cols
+
+
+@register("q00_flagship")
+def q00_flagship(spark, d):
+    return flagship(spark, d)
+
+
+def _cv(profile):
+    def run(spark, d):
+        f, b, cols = _folded(spark, d)
+        res = ML.cross_validate(f, cols, profile, None, ROLES, K)
+        return res.metrics.select("fold", r6("roc_auc").alias("roc_auc"))
+    return run
+
+
+register("l01_cv_boosted_a")(_cv(ML.PROFILE_A))
+register("l02_cv_boosted_b")(_cv(ML.PROFILE_B))
+register("l03_cv_boosted_c")(_cv(ML.PROFILE_C))
+
+
+@register("e06_oof_predictions")
+def e06_oof_predictions(spark, d):
+    f, b, cols = _folded(spark, d)
+    return ML.cross_validate(f, cols, ML.PROFILE_A, None, ROLES, K).oof
+
+
+@register("e07_test_mean_prediction")
+def e07_test_mean_prediction(spark, d):
+    f, b, cols = _folded(spark, d)
+    return ML.cross_validate(f, cols, ML.PROFILE_A, b, ROLES, K).test
+
+
+# Baselines with small settings for the registered query (library defaults
+# follow the reference: 100 trees, 1000 iterations).
+_BASELINES = [ML.LOGISTIC, ML.Profile("Random Forest", "forest", trees=20, depth=5, weighted=False),
+              ML.Profile("SVM", "svm", iters=50, weighted=False)]
+
+
+@register("l08_baseline_comparison")
+def l08_baseline_comparison(spark, d):
+    a, _, cols = model_inputs(spark, d)
+    return ML.compare_baselines(a, cols, _BASELINES, ROLES, K)
+
+
+@register("m04_model_importance")
+def m04_model_importance(spark, d):
+    a, _, cols = model_inputs(spark, d)
+    return ML.model_importance(a, cols, ROLES)
+
+
+@register("f04_select_by_model")
+def f04_select_by_model(spark, d):
+    a, _, cols = model_inputs(spark, d)
+    keep = ML.select_by_model(ML.model_importance(a, cols, ROLES), k=3)
+    return SEL.kept_frame(spark, keep)
+
+
+@register("m06_kmeans_summary")
+def m06_kmeans_summary(spark, d):
+    tr = bank_train(spark, d)
+    return ML.kmeans_summary(tr, 3, ["age", "balance", "duration", "campaign", "previous"], starts=10)
+
+
+SWEEP_T = [0.5, 0.9, 0.99]
+
+
+@register("e11_corr_threshold_sweep")
+def e11_corr_threshold_sweep(spark, d):
+    """Per threshold: correlation pruning inside each fold's training part,
+    then logistic CV; pooled out-of-fold AUC per threshold. Each fold's
+    correlation pairs are computed once and shared by all thresholds."""
+    f, _, cols = _folded(spark, d)
+    from tessera.operators.profile import correlation_pairs
+    pairs = {}
+    for k in range(1, K + 1):
+        pairs[k] = [(r["feature_a"], r["feature_b"], r["corr"]) for r in
+                    correlation_pairs(f.where(F.col("fold") != k), cols, upper_only=True,
+                                      include_diagonal=False).collect()]
+    rows = []
+    for t in SWEEP_T:
+        oofs = []
+        for k in range(1, K + 1):
+            drop = {a for a, _, r in pairs[k] if r is not None and abs(r) >= t}
+            keep = [c for c in cols if c not in drop]
+            tr = ML.assemble(f.where(F.col("fold") != k), keep)
+            va = ML.assemble(f.where(F.col("fold") == k), keep)
+            m = ML.fit(ML.LOGISTIC, tr, "y")
+            oofs.append(m.score(va, ["id", "y"]))
+        oof = oofs[0]
+        for o in oofs[1:]:
+            oof = oof.unionByName(o)
+        from tessera.operators.score import roc_auc
+        auc = roc_auc(oof, "y", "p").first()["auc"]
+        rows.append((t, auc))
+    from tessera.operators.evaluate import best_setting
+    res = spark.createDataFrame([(i, t, a) for i, (t, a) in enumerate(rows)],
+                                "position int, corr_threshold double, oof_auc double")
+    best = best_setting(res, "oof_auc", "position").select(F.lit(True).alias("best"), "position")
+    return res.join(best, "position", "left").select("corr_threshold", r6("oof_auc").alias("oof_auc"),
+                                                    F.coalesce("best", F.lit(False)).alias("best"))
+
+
+@register("f08_in_fold_selection_log")
+def f08_in_fold_selection_log(spark, d):
+    """F08 + S12: per fold cap -> leakers -> correlation reduction ->
+    explicit feature list -> MI selection, logged as kept-column rows."""
+    from tessera.operators import features as FE
+    f, _, cols = _folded(spark, d)
+    copies = S.fold_training_copies(f, K)
+    caps = FE.fit_cap_by_group(copies, ["duration", "campaign"], 0.99, "fit_fold")
+    capped = FE.apply_cap_by_group(f, caps, "fold")
+    leak = {(r["fold"], r["feature"]) for r in SEL.leakers_by_fold(capped, ROLES, cols, K).collect()}
+    feature_list = ["age", "balance", "duration", "campaign", "previous", "job", "contact"]
+    logs = None
+    for k in range(1, K + 1):
+        part = capped.where(F.col("fold") != k)
+        c1 = [c for c in cols if (k, c) not in leak]
+        c2 = SEL.prune_correlated(part, c1, 0.99)
+        c3 = [c for c in c2 if c in feature_list] or c2
+        c4 = SEL.select_by_mi(part, ROLES, c3, 4)
+        for stage, method, param, kept in (("reduction", "corr", "0.99", c2), ("selection", "mi", "4", c4)):
+            lg = kept_columns_log(spark, k, stage, method, param, kept)
+            logs = lg if logs is None else logs.unionByName(lg)
+    return logs
