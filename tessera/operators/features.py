@@ -7,7 +7,6 @@ aggregate jobs, then apply them as literal expressions.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,7 +143,6 @@ def engineer(df: DataFrame, roles: Roles = Roles(), cap_pct: float | None = None
     """Cap -> log -> rare -> bins -> interactions on one table, each
     step fitted on the output of the previous one (whole table, as the
     reference does on the combined train+test table)."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     x = apply_cap(df, fit_cap(df, [c for c in CAP_COLS if c in df.columns], cap_pct))
     if log1p_balance:
         x = apply_log1p(x, ["balance"])

@@ -17,7 +17,7 @@ from tessera.operators import features as FE
 from tessera.operators import score as M
 from tessera.operators import split as S
 from tessera.roles import Roles
-from tessera.session import checkpoint_dir
+from tessera.session import materialize
 from tessera.sources.bank import bank_view
 from tessera.sources.io import split_scan
 
@@ -29,8 +29,7 @@ def prepared(spark: SparkSession, sf_dir: str, roles: Roles = Roles()) -> tuple[
     """Engineered and cleaned (train, test) of the bank view."""
     # the fits below make several passes: read the joined view from a
     # reliable checkpoint (spark.checkpoint.dir) instead of re-joining
-    checkpoint_dir(spark)
-    b = bank_view(spark, sf_dir).checkpoint(eager=True)
+    b = materialize(bank_view(spark, sf_dir), "bank")
     codes = C.fit_ordinal(split_scan(b, "train"), CAT)
     enc = C.apply_ordinal(b, codes)
     fe = FE.engineer(enc, roles, cap_pct=0.99, rare_threshold=0.01, quantile_bins=10,
@@ -44,7 +43,7 @@ def flagship(spark: SparkSession, sf_dir: str, k: int = K) -> DataFrame:
     roles = Roles()
     train, _ = prepared(spark, sf_dir, roles)
     # several jobs read the fold-tagged table: write it once, cut the lineage
-    folded = S.stratified_kfold(train, k).checkpoint(eager=True)
+    folded = materialize(S.stratified_kfold(train, k), "folded")
     cols = roles.numeric_cols(train.drop("fold"))
     copies = S.fold_training_copies(folded.select("fold", roles.label, *cols), k)
     auc = M.univariate_auc(copies.drop("fold"), roles, cols, by=["fit_fold"])

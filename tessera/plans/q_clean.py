@@ -8,7 +8,7 @@ from tessera.functions.exprs import r6
 from tessera.operators import clean as C
 from tessera.plans.registry import register
 from tessera.roles import Roles
-from tessera.sources.bank import bank_train, bank_test, bank_view, with_text_nulls, sql_with
+from tessera.sources.bank import bank_materialized, bank_train, bank_test, bank_view, with_text_nulls, sql_with
 
 NUM = ["age", "balance", "duration", "campaign", "previous"]
 CAT = ["job", "marital", "education", "contact"]
@@ -184,8 +184,9 @@ def _chain_sql() -> str:
 
 @register("t14_clean_chain", _chain_sql())
 def t14_clean_chain(spark, d):
-    tr = bank_train(spark, d, dirty=True)
-    te = bank_test(spark, d, dirty=True)
+    base = bank_materialized(spark, d)
+    tr = bank_train(spark, d, dirty=True, base=base)
+    te = bank_test(spark, d, dirty=True, base=base)
     st = C.fit_clean(tr, ROLES, cap_pct=CAP_Q, log1p_balance=True)
     a = C.apply_clean(tr, st, ROLES).withColumn("split", F.lit("train"))
     b = C.apply_clean(te, st, ROLES).withColumn("split", F.lit("test")).withColumn("y", F.lit(None).cast("int"))

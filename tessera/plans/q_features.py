@@ -9,7 +9,7 @@ from tessera.operators import clean as C
 from tessera.operators import features as FE
 from tessera.plans.registry import register
 from tessera.roles import Roles
-from tessera.sources.bank import bank_view, sql_with
+from tessera.sources.bank import bank_materialized, bank_view, sql_with
 
 CAT = ["job", "marital", "education", "contact"]
 ALL = ["id", "age", "job", "marital", "education", "contact", "balance", "duration", "campaign",
@@ -126,7 +126,7 @@ def _t15_sql() -> str:
 
 @register("t15_feature_chain", _t15_sql())
 def t15_feature_chain(spark, d):
-    b = bank_view(spark, d)
+    b = bank_materialized(spark, d)
     codes = C.fit_ordinal(b.where(F.col("split") == "train"), CAT)
     b = C.apply_ordinal(b, codes)
     out = FE.engineer(b, ROLES, cap_pct=CAP_Q, log1p_balance=True, rare_threshold=RARE_T,

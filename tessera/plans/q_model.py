@@ -14,7 +14,8 @@ from tessera.operators import split as S
 from tessera.plans.flagship import flagship
 from tessera.plans.registry import register
 from tessera.roles import Roles
-from tessera.sources.bank import bank_test, bank_train
+from tessera.session import materialize
+from tessera.sources.bank import bank_materialized, bank_test, bank_train
 from tessera.sources.io import kept_columns_log
 
 ROLES = Roles()
@@ -24,7 +25,8 @@ CAT = ["job", "marital", "education", "contact"]
 
 def model_inputs(spark, d):
     """Cleaned (T14) train and test of the bank view and the feature list."""
-    tr, te = bank_train(spark, d), bank_test(spark, d)
+    base = bank_materialized(spark, d)
+    tr, te = bank_train(spark, d, base=base), bank_test(spark, d, base=base)
     st = C.fit_clean(tr, ROLES)
     a, b = C.apply_clean(tr, st, ROLES), C.apply_clean(te, st, ROLES)
     cols = st.numeric + st.categorical
@@ -33,7 +35,7 @@ def model_inputs(spark, d):
 
 def _folded(spark, d):
     a, b, cols = model_inputs(spark, d)
-    return S.stratified_kfold(a, K).checkpoint(eager=True), b, cols
+    return materialize(S.stratified_kfold(a, K), "folded"), b, cols
 
 
 @register("q00_flagship")

@@ -8,7 +8,7 @@ from tessera.functions.exprs import r6
 from tessera.operators import profile as P
 from tessera.plans.registry import register
 from tessera.roles import Roles
-from tessera.sources.bank import bank_train, sql_with
+from tessera.sources.bank import bank_materialized, bank_train, sql_with
 
 NUM = ["age", "balance", "duration", "campaign", "previous"]
 ROLES = Roles()
@@ -59,3 +59,25 @@ _IQR_SQL = _IQR_SQL.format(
 @register("a05_iqr_outliers", sql_with(_IQR_SQL))
 def a05_iqr_outliers(spark, d):
     return P.iqr_outlier_counts(bank_train(spark, d), ROLES)
+
+
+_ALL = ["id", "age", "job", "marital", "education", "contact", "balance", "duration", "campaign", "previous", "y"]
+_A16_SQL = (", " + _IQR_SQL[2:].split("\nSELECT")[0].replace("FROM train", "FROM dtrain") + ",\n"
+            "oc AS (SELECT bounds.column_name, count(v) FILTER (WHERE v < lo OR v > hi) AS value "
+            "FROM bounds LEFT JOIN long ON long.column_name = bounds.column_name GROUP BY bounds.column_name),\n"
+            "mc AS (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS value FROM dtrain"
+                                           for c in _ALL) + ")\n"
+            "SELECT 'missing_values' AS \"check\", column_name, CAST(value AS DOUBLE) AS value FROM mc WHERE value > 0\n"
+            "UNION ALL SELECT 'outliers', column_name, CAST(value AS DOUBLE) FROM oc\n"
+            "UNION ALL SELECT 'total_missing', NULL, CAST(sum(value) AS DOUBLE) FROM mc\n"
+            "UNION ALL SELECT 'row_count', NULL, CAST(count(*) AS DOUBLE) FROM dtrain\n"
+            "UNION ALL SELECT 'duplicates', NULL, CAST(coalesce(sum(c - 1), 0) AS DOUBLE) FROM "
+            "(SELECT count(*) AS c FROM dtrain GROUP BY ALL_COLS)\n"
+            "UNION ALL SELECT 'target_distribution', CAST(y AS VARCHAR), CAST(count(*) AS DOUBLE) FROM dtrain GROUP BY y")
+_A16_SQL = _A16_SQL.replace("ALL_COLS", ", ".join(_ALL))
+
+
+@register("a16_validation", sql_with(_A16_SQL))
+def a16_validation(spark, d):
+    base = bank_materialized(spark, d)
+    return P.validation_table(bank_train(spark, d, dirty=True, base=base), ROLES)

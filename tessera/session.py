@@ -62,3 +62,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back: later passes (fit jobs, then the apply) scan a flat,
+    columnar table with pruning and pushdown instead of recomputing the
+    joins behind it, and a lost executor re-reads files instead of
+    replaying lineage."""
+    import uuid
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -78,18 +78,25 @@ def with_text_nulls(df: DataFrame, column: str = "education", key: str = "id") -
                          .otherwise(F.col(column)))
 
 
-def bank_train(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
+def bank_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bank view written once (Parquet, shared checkpoint folder) for
+    plans that read it in several passes."""
+    from tessera.session import materialize
+    return materialize(bank_view(spark, sf_dir), "bank")
+
+
+def bank_train(spark: SparkSession, sf_dir: str, dirty: bool = False, base: DataFrame | None = None) -> DataFrame:
     """Training rows of the bank view without the split flag."""
     from tessera.sources.io import split_scan
-    b = bank_view(spark, sf_dir)
+    b = base if base is not None else bank_view(spark, sf_dir)
     if dirty:
         b = with_text_nulls(b)
     return split_scan(b, "train")
 
 
-def bank_test(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
+def bank_test(spark: SparkSession, sf_dir: str, dirty: bool = False, base: DataFrame | None = None) -> DataFrame:
     from tessera.sources.io import split_scan
-    b = bank_view(spark, sf_dir)
+    b = base if base is not None else bank_view(spark, sf_dir)
     if dirty:
         b = with_text_nulls(b)
     return split_scan(b, "test").drop("y")
