@@ -160,3 +160,35 @@ def f08_in_fold_selection_log(spark, d):
             lg = kept_columns_log(spark, k, stage, method, param, kept)
             logs = lg if logs is None else logs.unionByName(lg)
     return logs
+
+
+@register("m05_shap_importance")
+def m05_shap_importance(spark, d):
+    from tessera.operators.explain import shap_importance
+    a, _, cols = model_inputs(spark, d)
+    return shap_importance(a, cols, ROLES)
+
+
+SHAP_KS = [2, 4, 6, 9]
+
+
+@register("e12_shap_k_sweep")
+def e12_shap_k_sweep(spark, d):
+    """One SHAP table; for each k the top-k features by mean |SHAP| are
+    cross-validated (logistic) and the pooled out-of-fold AUC recorded;
+    the best k (first on ties) is flagged (E13)."""
+    from tessera.operators.evaluate import best_setting
+    from tessera.operators.explain import shap_importance
+    from tessera.operators.score import roc_auc
+    f, _, cols = _folded(spark, d)
+    ranked = [r["feature"] for r in shap_importance(f, cols, ROLES)
+              .orderBy(F.desc("shap_mean_abs"), "feature").collect()]
+    rows = []
+    for i, k in enumerate(SHAP_KS):
+        keep = ranked[:k]
+        res = ML.cross_validate(f, keep, ML.LOGISTIC, None, ROLES, K)
+        rows.append((i, k, roc_auc(res.oof, "y", "p").first()["auc"]))
+    res = spark.createDataFrame(rows, "position int, k int, oof_auc double")
+    best = best_setting(res, "oof_auc", "position").select(F.lit(True).alias("best"), "position")
+    return res.join(best, "position", "left").select("k", r6("oof_auc").alias("oof_auc"),
+                                                    F.coalesce("best", F.lit(False)).alias("best"))
