@@ -95,14 +95,18 @@ def case_by(key: Column, mapping: dict, default=None) -> Column:
     return dflt if out is None else out.otherwise(dflt)
 
 
-def sorted_bucket(v: Column, edges: list[float]) -> Column:
-    """Number of edges strictly below v, as a balanced CASE tree
-    (log2(len(edges)) comparisons per row, code-generated)."""
+def sorted_bucket(v: Column, edges: list) -> Column:
+    """Number of edges strictly below v (edges sorted ascending; numbers or
+    strings), as a balanced CASE tree: log2(len(edges)) comparisons per row,
+    code-generated."""
+    def lit(e):
+        return F.lit(e) if isinstance(e, str) else F.lit(float(e))
+
     def tree(lo: int, hi: int) -> Column:
         if lo >= hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(v <= F.lit(float(edges[mid])), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return F.when(v <= lit(edges[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
     return tree(0, len(edges))
 
 

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import clip, clip_upper, unpivot
+from tessera.functions.exprs import clip, clip_upper, sorted_bucket, unpivot
 from tessera.functions.quantiles import column_quantiles, cumulative, medians, modes
 from tessera.operators.profile import iqr_bounds
 from tessera.roles import Roles
@@ -137,8 +137,11 @@ def apply_ordinal(df: DataFrame, codes: OrdinalCodes, unseen: str = "first") ->
             if c not in df.columns:
                 continue
             x = F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT))
-            m = F.create_map(*[a for i, v in enumerate(classes) for a in (F.lit(v), F.lit(i))])
-            exprs[c] = F.coalesce(m[x], fallback(c)).cast("int")
+            # rank among the sorted classes by a comparison tree, then one
+            # array probe tells whether the text was seen at fit time
+            pos = sorted_bucket(x, classes)
+            seen = F.element_at(F.array(*[F.lit(v) for v in classes]), F.least(pos, F.lit(len(classes) - 1)) + 1) == x
+            exprs[c] = F.when(seen, pos).otherwise(fallback(c)).cast("int") if classes else fallback(c).cast("int")
         return _replace(df, exprs)
     if codes.table is None:
         return df
