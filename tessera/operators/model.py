@@ -130,7 +130,7 @@ class CVResult:
 
 
 def cross_validate(folded: DataFrame, cols: list[str], p: Profile, test: DataFrame | None = None,
-                   roles: Roles = Roles(), k: int = 5, fold_col: str = "fold") -> CVResult:
+                   roles: Roles = Roles(), k: int = 5, fold_col: str = "fold", parallel_fits: int = 5) -> CVResult:
     """For each fold fit on the other folds, score the fold and the
     test table. The class weight is measured once on all training rows."""
     key, label = roles.key, roles.label
@@ -138,10 +138,13 @@ def cross_validate(folded: DataFrame, cols: list[str], p: Profile, test: DataFra
     tdata = assemble(test.select(key, *cols), cols).persist(StorageLevel.MEMORY_AND_DISK) if test is not None else None
     from tessera.operators.profile import class_weight_value
     w = class_weight_value(data, label)
-    oofs, tests, models = [], [], []
-    for f in range(1, k + 1):
-        m = fit(p, data.where(F.col(fold_col) != f), label, w)
-        models.append(m)
+    # The k fits are independent: submit them from a small thread pool so
+    # their jobs share the cluster instead of queueing behind each other.
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(k, parallel_fits)) as pool:
+        models = list(pool.map(lambda f: fit(p, data.where(F.col(fold_col) != f), label, w), range(1, k + 1)))
+    oofs, tests = [], []
+    for f, m in zip(range(1, k + 1), models):
         oofs.append(m.score(data.where(F.col(fold_col) == f), [key, fold_col, label]))
         if tdata is not None:
             tests.append(m.score(tdata, [key]).withColumn(fold_col, F.lit(f)))
