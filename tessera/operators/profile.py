@@ -285,7 +285,7 @@ def top_values(df: DataFrame, cols: list[str], k: int = TOP_VALUES) -> DataFrame
     w1 = Window.partitionBy("feature", (F.abs(F.xxhash64("value")) % TOPK_SPREAD)).orderBy(*order)
     local = vc.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k).drop("_r")
     w2 = Window.partitionBy("feature").orderBy(*order)
-    return (local.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
+    return (local.withColumn("rank", F.row_number().over(w2).cast("long")).where(F.col("rank") <= k)
             .select(F.col("feature").alias("column_name"), "rank", "value", F.col("n").alias("count")))
 
 
@@ -386,7 +386,7 @@ def density(df: DataFrame, cols: list[str], by: str | None = None, points: int =
     arr = F.array(*[F.struct(F.lit(j).alias("point"), F.col(f"d{j}").alias("d")) for j in range(points)])
     norm = F.lit(1.0 / math.sqrt(2 * math.pi))
     return (agg.select(*gcols, "feature", "_n", "_a", "_st", "_bw", F.explode(arr).alias("p"))
-            .select(*gcols, F.col("feature").alias("column_name"), F.col("p.point").alias("point"),
+            .select(*gcols, F.col("feature").alias("column_name"), F.col("p.point").cast("long").alias("point"),
                     (F.col("_a") + F.col("p.point") * F.col("_st")).alias("x"),
                     (F.col("p.d") * norm / (F.col("_n") * F.col("_bw"))).alias("density")))
 

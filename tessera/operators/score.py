@@ -162,7 +162,7 @@ def plot_order(columns: list[str], spark, shap: DataFrame | None = None, auc: Da
     j = allc.join(ranked, "column_name", "left")
     w = Window.orderBy(F.col(score).desc_nulls_last(), F.when(F.col(score).isNull(), F.col("tpos")), "column_name")
     # window over the column list only (schema width, not data)
-    return j.select(F.row_number().over(w).alias("position"), "column_name")
+    return j.select(F.row_number().over(w).cast("long").alias("position"), "column_name")
 
 
 _ = math

@@ -55,7 +55,7 @@ def select_by_mi(df: DataFrame, roles: Roles, cols: list[str], k: int | None) ->
 
 def kept_frame(spark, cols: list[str]) -> DataFrame:
     """A kept-columns list as (pos, column_name) (see S12)."""
-    return spark.createDataFrame([(i + 1, c) for i, c in enumerate(cols)], "pos int, column_name string")
+    return spark.createDataFrame([(i + 1, c) for i, c in enumerate(cols)], "pos long, column_name string")
 
 
 def top_of_reports(reports: dict[str, DataFrame], n: int = TOP_N, score: str = "score") -> DataFrame:
@@ -66,7 +66,7 @@ def top_of_reports(reports: dict[str, DataFrame], n: int = TOP_N, score: str = "
         part = rep.select(F.lit(name).alias("report"), "feature", F.col(score).alias("score"))
         out = part if out is None else out.unionByName(part)
     w = Window.partitionBy("report").orderBy(F.desc("score"), "feature")
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    return out.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= n)
 
 
 def leakers_by_fold(folded: DataFrame, roles: Roles, cols: list[str], k: int,

@@ -37,7 +37,7 @@ def s02_s04_parquet_round_trip(spark, d):
 
 @register("s07_external_csv_join", sql_with("""
 , e1 AS (SELECT l_orderkey AS id, round(avg(l_discount), 6) AS discount, count(*) AS campaign FROM lineitem GROUP BY l_orderkey)
-SELECT b.id, b.split, b.campaign AS campaign_x, e1.discount, e1.campaign AS campaign_y
+SELECT b.id, b.split, b.campaign AS campaign_x, e1.discount, CAST(e1.campaign AS INTEGER) AS campaign_y
 FROM bank b LEFT JOIN e1 ON e1.id = b.id"""))
 def s07_external_csv_join(spark, d):
     folder = _scratch(spark, "external")
