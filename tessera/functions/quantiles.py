@@ -38,12 +38,15 @@ def _key_cond(keys: list[str], kv: tuple) -> Column:
 
 def cumulative(long_df: DataFrame, keys: list[str], value: str, measures: dict[str, Column],
                rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-               keep: list | None = None):
+               keep: list | None = None, nd_hint: dict | None = None):
     """Distinct values per key with ``<m>`` totals and ``<m>_before``
     (sum of ``m`` over strictly smaller values of the same key).
 
     Returns ``(DataFrame, stats)`` where ``stats[key_tuple]`` holds the
-    distinct count ``_nd`` and the total of every measure.
+    distinct count ``_nd`` and the total of every measure. With
+    ``nd_hint`` (an upper bound of distinct values per key, e.g. from an
+    earlier pass over the same column) small inputs skip the stats job and
+    ``stats`` is None.
     """
     keys = list(keys)
     names = list(measures)
@@ -54,6 +57,10 @@ def cumulative(long_df: DataFrame, keys: list[str], value: str, measures: dict[s
         # blocks are recomputed from lineage)
         dv = dv.persist(StorageLevel.MEMORY_AND_DISK)
         keep.append(dv)
+    if nd_hint is not None and nd_hint and max(nd_hint.values()) <= rows_per_bucket:
+        w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        return dv.select("*", *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"{n}_before")
+                                for n in names]), None
     srows = dv.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"),
                                   *[F.sum(n).alias(n) for n in names]).collect()
     stats = {tuple(r[k] for k in keys): r.asDict() for r in srows}
@@ -120,7 +127,7 @@ def _key_types(df: DataFrame, keys: list[str]) -> list[str]:
 
 
 def quantiles(df: DataFrame, probs: dict[str, list[float]], group_cols: list[str] | tuple = (),
-              **kw) -> dict:
+              stats_out: dict | None = None, **kw) -> dict:
     """Exact linear-interpolation quantiles (pandas ``quantile``, DuckDB
     ``quantile_cont``, Spark ``percentile``) of every column in ``probs``,
     per group. NULL and NaN are skipped.
@@ -136,6 +143,8 @@ def quantiles(df: DataFrame, probs: dict[str, list[float]], group_cols: list[str
     long = unpivot(df, cols, ids=group_cols)
     held: list = []
     cum, stats = cumulative(long, keys, "value", {"cnt": F.count(F.lit(1))}, keep=held, **kw)
+    if stats_out is not None:
+        stats_out.update(stats)
     targets: dict[tuple, set[int]] = {}
     plan = []
     for kv, s in stats.items():

@@ -127,6 +127,13 @@ class CVResult:
     test: DataFrame | None  # key, p (mean over folds, E07)
     metrics: DataFrame      # fold, roc_auc; fold 0 = pooled OOF (E05)
     models: list
+    held: tuple = ()
+
+    def release(self) -> None:
+        """Drop the cached fold table (results stay valid: they recompute
+        from lineage if read again)."""
+        for h in self.held:
+            h.unpersist()
 
 
 def cross_validate(folded: DataFrame, cols: list[str], p: Profile, test: DataFrame | None = None,
@@ -157,7 +164,8 @@ def cross_validate(folded: DataFrame, cols: list[str], p: Profile, test: DataFra
         for o in tests[1:]:
             t = t.unionByName(o)
         tmean = t.groupBy(key).agg(F.avg("p").alias("p"))
-    return CVResult(oof, tmean, fold_metrics(oof, label, "p", fold_col), models)
+    held = (data,) if tdata is None else (data, tdata)
+    return CVResult(oof, tmean, fold_metrics(oof, label, "p", fold_col), models, held)
 
 
 # ---------------------------------------------------------------- L08 / E08

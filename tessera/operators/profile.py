@@ -224,36 +224,38 @@ def describe(df: DataFrame, roles: Roles = Roles(), cols=None) -> DataFrame:
 
 def correlation_pairs(df: DataFrame, cols: list[str], upper_only: bool = False,
                       include_diagonal: bool = True) -> DataFrame:
-    """Pearson r on pairwise-complete rows, as (feature_a, feature_b, corr).
-
-    All pairs in one aggregate. ``corr`` raises under ANSI on a constant
-    column, so r = covar_pop / (sd_a * sd_b) over the pair's non-null rows,
-    NULL when undefined. ``pos_a < pos_b`` is the strict upper triangle.
+    """Pearson r on pairwise-complete rows, as (feature_a, feature_b,
+    pos_a, pos_b, corr); ``pos_a < pos_b`` is the strict upper triangle.
+
+    Each row is expanded into one (pair, a, b) row per column pair and the
+    pairs are aggregated by key: a small code-generated aggregate with
+    partial aggregation (one row per pair per task before the shuffle)
+    instead of one very wide aggregate. ``corr`` raises under ANSI on a
+    constant column, so r = covar_pop / (sd_a * sd_b), NULL when undefined.
     """
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            b = cols[j]
-            xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
-            both = xa.isNotNull() & xb.isNotNull()
-            pa, pb = F.when(both, xa), F.when(both, xb)
-            k = len(pairs)
-            aggs += [F.covar_pop(pa, pb).alias(f"c{k}"), F.stddev_pop(pa).alias(f"sa{k}"),
-                     F.stddev_pop(pb).alias(f"sb{k}")]
-            pairs.append((i, j, a, b))
-    row = df.agg(*aggs)
-    structs = []
-    for k, (i, j, a, b) in enumerate(pairs):
-        r = F.try_divide(F.col(f"c{k}"), F.col(f"sa{k}") * F.col(f"sb{k}"))
-        r = F.when(r.isNotNull(), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    if not pairs:
+        return df.sparkSession.createDataFrame(
+            [], "feature_a string, feature_b string, pos_a int, pos_b int, corr double")
+    arr = F.array(*[F.struct(F.lit(k).alias("_k"), F.col(cols[i]).cast("double").alias("_a"),
+                             F.col(cols[j]).cast("double").alias("_b")) for k, (i, j) in enumerate(pairs)])
+    long = df.select(F.inline(arr)).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    st = long.groupBy("_k").agg(F.covar_pop("_a", "_b").alias("c"), F.stddev_pop("_a").alias("sa"),
+                                F.stddev_pop("_b").alias("sb"))
+    r = F.try_divide(F.col("c"), F.col("sa") * F.col("sb"))
+    r = F.when(r.isNotNull(), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
+    meta_rows = []
+    for k, (i, j) in enumerate(pairs):
         if i == j and not include_diagonal:
             continue
-        structs.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                                F.lit(i).alias("pos_a"), F.lit(j).alias("pos_b"), r.alias("corr")))
+        meta_rows.append((k, cols[i], cols[j], i, j))
         if not upper_only and i != j:
-            structs.append(F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"),
-                                    F.lit(j).alias("pos_a"), F.lit(i).alias("pos_b"), r.alias("corr")))
-    return row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+            meta_rows.append((k, cols[j], cols[i], j, i))
+    # pairs x 2 rows: bounded by the schema width
+    meta = df.sparkSession.createDataFrame(meta_rows, "_k int, feature_a string, feature_b string, pos_a int, pos_b int")
+    # pairs with no complete row still appear, with NULL r
+    return (meta.join(F.broadcast(st.select("_k", r.alias("corr"))), "_k", "left")
+            .select("feature_a", "feature_b", "pos_a", "pos_b", "corr"))
 
 
 def top_correlated_pairs(df: DataFrame, cols: list[str], k: int = TOP_PAIRS) -> DataFrame:

@@ -29,11 +29,12 @@ def _finite_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[finite(F.col(c), types[c]).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def auc_long(long: DataFrame, keys: list[str], score: str = "value", label: str = "y") -> DataFrame:
+def auc_long(long: DataFrame, keys: list[str], score: str = "value", label: str = "y",
+             nd_hint: dict | None = None) -> DataFrame:
     """Exact ROC AUC per key of a long (keys..., score, label) table; keys
     with one class only are omitted. Returns (keys..., auc)."""
     y = F.col(label).cast("int")
-    cum, _ = cumulative(long, keys, score, {"pos": F.sum(y), "neg": F.sum(F.lit(1) - y)})
+    cum, _ = cumulative(long, keys, score, {"pos": F.sum(y), "neg": F.sum(F.lit(1) - y)}, nd_hint=nd_hint)
     contrib = F.col("pos") * (F.col("neg_before") + F.lit(0.5) * F.col("neg"))
     return (cum.groupBy(*keys)
             .agg(F.sum(contrib).alias("_u"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
@@ -61,12 +62,16 @@ def univariate_auc(df: DataFrame, roles: Roles = Roles(), cols=None, by: list[st
     x = _finite_numeric(df.select(*by, *cols, roles.label), cols)
     long = unpivot(x, cols, ids=by + [roles.label], drop_nulls=False)
     from tessera.functions.quantiles import quantiles
-    med = quantiles(x, {c: [0.5] for c in cols}, group_cols=by)
+    seen: dict = {}
+    med = quantiles(x, {c: [0.5] for c in cols}, group_cols=by, stats_out=seen)
     keyexpr = F.concat_ws("\u0001", *[F.col(b).cast("string") for b in by], F.col("feature"))
     mm = {"\u0001".join([str(v) for v in g] + [c]): v for (g, c, _), v in med.items() if v is not None}
     filled = long.withColumn("value", F.coalesce(F.col("value"), case_by(keyexpr, mm, None)))
     filled = filled.where(F.col("value").isNotNull())
-    a = auc_long(filled, by + ["feature"], label=roles.label)
+    # the fill adds at most one distinct value per key; a key with no
+    # values at all is dropped by the filter above
+    hint = {kv: s["_nd"] + 1 for kv, s in seen.items()}
+    a = auc_long(filled, by + ["feature"], label=roles.label, nd_hint=hint or None)
     return a.select(*by, "feature", "auc", F.abs(F.col("auc") - F.lit(0.5)).alias("auc_dev"))
 
 
