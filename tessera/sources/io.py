@@ -80,9 +80,11 @@ def scan_external_csvs(spark: SparkSession, folder: str, **kw) -> list[tuple[str
 
 def refresh_warehouse(spark: SparkSession, train: DataFrame, test: DataFrame | None,
                       database: str = "bank", train_table: str = "train",
-                      test_table: str = "test") -> list[str]:
-    """Create the schema and replace the fact tables."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+                      test_table: str = "test", location: str | None = None) -> list[str]:
+    """Create the schema (optionally at a shared location) and replace
+    the fact tables."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
     written = []
     for name, df in ((train_table, train), (test_table, test)):
         if df is None:

@@ -58,3 +58,14 @@ def test_stream_apply_equals_batch(spark):
     got = spark.table(name).orderBy("id").toPandas()
     want = C.apply_clean(te, st).orderBy("id").toPandas()
     assert got.equals(want)
+
+
+def test_warehouse_refresh(spark):
+    loc = _tmp(spark, "warehouse")
+    db = "w" + uuid.uuid4().hex[:8]
+    tr, te = bank_train(spark, SF), bank_test(spark, SF)
+    out = IO.refresh_warehouse(spark, tr, te, database=db, location=loc)
+    assert out == [f"{db}.train", f"{db}.test"]
+    assert spark.table(f"{db}.train").count() == tr.count()
+    IO.refresh_warehouse(spark, tr.limit(3), None, database=db, location=loc)
+    assert spark.table(f"{db}.train").count() == 3
