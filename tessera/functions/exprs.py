@@ -24,6 +24,12 @@ def finite(c, dtype: T.DataType | None = None) -> Column:
     return F.when(F.isnan(c) | (F.abs(c) == F.lit(INF)), F.lit(None)).otherwise(c)
 
 
+def int_label(c) -> Column:
+    """The label as an integer. Under ANSI a text that is not a number
+    raises at run time instead of silently becoming NULL."""
+    return col_(c).cast("int")
+
+
 def clip_upper(c, hi) -> Column:
     """One-sided cap that keeps NULL (``least`` alone would return the cap)."""
     c = col_(c)

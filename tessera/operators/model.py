@@ -227,19 +227,29 @@ def select_by_model(importance: DataFrame, k: int | None = None, quantile: float
 
 # ---------------------------------------------------------------- M06
 
-def kmeans_summary(df: DataFrame, k: int, cols: list[str], starts: int = 10, seed: int = SEED) -> DataFrame:
-    """K-means on median-filled columns (best of ``starts`` seeds by
-    training cost), then the mean of each original column per cluster."""
+def kmeans_assign(df: DataFrame, k: int, cols: list[str], starts: int = 10, seed: int = SEED,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    """Fit k-means on median-filled copies of ``cols`` (best of
+    ``starts`` seeds by training cost) and attach ``cluster`` to every row.
+    ``transform`` keeps the row's columns, so no join is needed; the
+    original (unfilled) values of ``cols`` and the ``keep`` columns stay."""
     from tessera.operators.clean import fit_median
     from tessera.operators.score import _finite_numeric
-    base = _finite_numeric(df.select(*cols), cols)
+    base = _finite_numeric(df.select(*keep, *cols), cols)
     med = fit_median(base, cols)
-    filled = [F.coalesce(F.col(c).cast("double"), F.lit(med[c]).cast("double")).alias(f"_f_{c}") for c in cols]
-    vec = assemble(base.select(*cols, *filled), [f"_f_{c}" for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
+    fcols = [f"_f_{c}" for c in cols]
+    filled = [F.coalesce(F.col(c).cast("double"), F.lit(med[c]).cast("double")).alias(f) for c, f in zip(cols, fcols)]
+    vec = assemble(base.select(*keep, *cols, *filled), fcols).persist(StorageLevel.MEMORY_AND_DISK)
     best = None
     for s in range(starts):
         m = KMeans(k=k, seed=seed + s, featuresCol="features", predictionCol="cluster").fit(vec)
         cost = m.summary.trainingCost
         if best is None or cost < best[0]:
             best = (cost, m)
-    return best[1].transform(vec).groupBy("cluster").agg(*[F.avg(c).alias(f"mean_{c}") for c in cols])
+    return best[1].transform(vec).drop("features", *fcols)
+
+
+def kmeans_summary(df: DataFrame, k: int, cols: list[str], starts: int = 10, seed: int = SEED) -> DataFrame:
+    """The mean of each original column per k-means cluster."""
+    return kmeans_assign(df, k, cols, starts, seed).groupBy("cluster").agg(
+        *[F.avg(c).alias(f"mean_{c}") for c in cols])

@@ -1,4 +1,4 @@
-"""Registered source/sink queries (S01-S04, S07) with oracles: each writes
+"""Registered source/sink queries (S01-S04, S07-S09) with oracles: each writes
 through Spark's writers into the shared checkpoint folder and reads back."""
 
 from __future__ import annotations
@@ -12,7 +12,11 @@ from tessera.operators import combine as J
 from tessera.plans.registry import register
 from tessera.session import checkpoint_dir
 from tessera.sources import io as IO
-from tessera.sources.bank import bank_train, bank_view, sql_with, table
+from tessera.functions.exprs import r6
+from tessera.plans import sqlgen as G
+from tessera.sources.bank import bank_test, bank_train, bank_view, sql_with, table
+
+NUM = ["age", "balance", "duration", "campaign", "previous"]
 
 
 def _scratch(spark, name):
@@ -49,3 +53,28 @@ def s07_external_csv_join(spark, d):
     ext = [df for _, df in IO.scan_external_csvs(spark, folder)]
     comb = bank_view(spark, d).select("id", "split", "campaign")
     return J.join_external(comb, ext)
+
+
+@register("s08_warehouse_refresh", sql_with("SELECT * FROM train"))
+def s08_warehouse_refresh(spark, d):
+    """Create a schema at a shared location, replace its train/test tables,
+    read the train table back through the catalog."""
+    db = "bank_" + uuid.uuid4().hex[:12]
+    IO.refresh_warehouse(spark, bank_train(spark, d), bank_test(spark, d), database=db,
+                         location=_scratch(spark, "warehouse"))
+    return spark.table(f"{db}.train")
+
+
+@register("s09_bi_export", sql_with(
+    ", l AS (" + G.median_filled_long("train", NUM, ["y"]) + ")\n"
+    "SELECT feature, round(auc, 6) AS auc, round(abs(auc - 0.5), 6) AS auc_dev FROM " + G.auc("l", ["feature"])))
+def s09_bi_export(spark, d):
+    """Export the training rows and a score report to one folder as CSV;
+    the report is read back from the export."""
+    from tessera.operators import score as M
+    from tessera.roles import Roles
+    folder = _scratch(spark, "bi")
+    tr = bank_train(spark, d)
+    rep = M.univariate_auc(tr, Roles()).select("feature", r6("auc").alias("auc"), r6("auc_dev").alias("auc_dev"))
+    IO.export_reports({"train": tr, "univariate_auc": rep}, folder)
+    return IO.read_csv(spark, os.path.join(folder, "univariate_auc"), schema=rep.schema)

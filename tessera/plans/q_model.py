@@ -55,6 +55,15 @@ register("l01_cv_boosted_a")(_cv(ML.PROFILE_A))
 register("l02_cv_boosted_b")(_cv(ML.PROFILE_B))
 register("l03_cv_boosted_c")(_cv(ML.PROFILE_C))
 
+# L04-L06 through the same CV driver (L07), with the small baseline settings
+# below; the library profiles keep the reference's (1000 iterations, 100 trees).
+_LOGISTIC_Q = ML.LOGISTIC
+_FOREST_Q = ML.Profile("Random Forest", "forest", trees=20, depth=5, weighted=False)
+_SVM_Q = ML.Profile("SVM", "svm", iters=50, weighted=False)
+register("l04_cv_logistic")(_cv(_LOGISTIC_Q))
+register("l05_cv_forest")(_cv(_FOREST_Q))
+register("l06_cv_svm")(_cv(_SVM_Q))
+
 
 @register("e06_oof_predictions")
 def e06_oof_predictions(spark, d):
@@ -70,8 +79,7 @@ def e07_test_mean_prediction(spark, d):
 
 # Baselines with small settings for the registered query (library defaults
 # follow the reference: 100 trees, 1000 iterations).
-_BASELINES = [ML.LOGISTIC, ML.Profile("Random Forest", "forest", trees=20, depth=5, weighted=False),
-              ML.Profile("SVM", "svm", iters=50, weighted=False)]
+_BASELINES = [_LOGISTIC_Q, _FOREST_Q, _SVM_Q]
 
 
 @register("l08_baseline_comparison")
@@ -99,6 +107,29 @@ def m06_kmeans_summary(spark, d):
     return ML.kmeans_summary(tr, 3, ["age", "balance", "duration", "campaign", "previous"], starts=10)
 
 
+@register("j04_cluster_labels")
+def j04_cluster_labels(spark, d):
+    """Every training row with its k-means cluster attached."""
+    tr = bank_train(spark, d)
+    return ML.kmeans_assign(tr, 3, ["age", "balance", "duration", "campaign", "previous"], starts=10,
+                            keep=("id",)).select("id", "cluster")
+
+
+@register("s11_model_round_trip")
+def s11_model_round_trip(spark, d):
+    """Fit, save to the shared checkpoint folder, load back, score test."""
+    import os
+    import uuid
+    from pyspark.ml.classification import LogisticRegressionModel
+    from tessera.session import checkpoint_dir
+    from tessera.sources import io as IO
+    a, b, cols = model_inputs(spark, d)
+    m = ML.fit(ML.LOGISTIC, ML.assemble(a, cols), ROLES.label)
+    path = IO.save_model(m.model, os.path.join(checkpoint_dir(spark), "models", uuid.uuid4().hex, "logistic"))
+    back = IO.load_model(LogisticRegressionModel, path)
+    return ML._Fitted(back).score(ML.assemble(b, cols), [ROLES.key])
+
+
 SWEEP_T = [0.5, 0.9, 0.99]
 
 

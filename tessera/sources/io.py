@@ -120,6 +120,12 @@ def save_model(model, path: str) -> str:
     return path
 
 
+def load_model(model_class, path: str):
+    """S11 read side: ``model_class`` is the fitted model's class (e.g.
+    ``LogisticRegressionModel``)."""
+    return model_class.load(path)
+
+
 KEPT_SCHEMA = "fold INT, stage STRING, method STRING, param STRING, pos INT, column_name STRING"
 
 
