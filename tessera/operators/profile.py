@@ -328,11 +328,17 @@ def histogram(df: DataFrame, cols: list[str], bins: int = HIST_BINS) -> DataFram
         return df.sparkSession.createDataFrame(
             [], "column_name string, bin int, bin_lo double, bin_hi double, count long")
     long = unpivot(df, list(rng), cast="double")
-    lo = case_by(F.col("feature"), {c: v[0] for c, v in rng.items()})
-    hi = case_by(F.col("feature"), {c: v[1] for c, v in rng.items()})
+    # The fitted ranges join as a table of one row per column (bounded by
+    # the schema, so broadcast). A per-feature CASE used twice in the same
+    # projection over the unpivot's Expand trips Spark's subexpression
+    # codegen, which then falls back to the interpreted path.
+    rng_df = df.sparkSession.createDataFrame([(c, float(v[0]), float(v[1])) for c, v in rng.items()],
+                                             "feature string, _lo double, _hi double")
+    lo, hi = F.col("_lo"), F.col("_hi")
     w = (hi - lo) / F.lit(bins)
     b = F.least(F.floor((F.col("value") - lo) / w).cast("int"), F.lit(bins - 1))
-    return (long.groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    return (long.join(F.broadcast(rng_df), "feature")
+            .groupBy("feature", "_lo", "_hi", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
             .select(F.col("feature").alias("column_name"), "bin",
                     (lo + F.col("bin") * w).alias("bin_lo"), (lo + (F.col("bin") + 1) * w).alias("bin_hi"),
                     "count"))
