@@ -7,6 +7,7 @@ aggregate jobs, then apply them as literal expressions.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,25 +49,33 @@ def fit_rare(df: DataFrame, threshold: float | None, roles: Roles = Roles(),
     """Columns with at most ``max_unique`` distinct non-null values; a value
     is rare when count / all rows (NULLs included) <= threshold.
 
-    One ``groupBy(feature, value)`` (partial aggregation) and a per-feature
-    count; only (column, rare value) pairs -- at most max_unique per
+    One ``groupBy(feature, value)`` (partial aggregation) over the long
+    table with NULL cells kept, so each feature's counts also sum to the
+    row count: the input is scanned once. The value counts are kept
+    (memory, spilling to disk) for the per-feature stats job and the rare
+    rows job; only (column, rare value) pairs -- at most max_unique per
     column -- reach the driver.
     """
     if threshold is None or not (0.0 < threshold < 1.0):
         return {}
     cols = list(cols) if cols is not None else [c for c in df.columns if c not in roles.reserved]
-    long = unpivot(df, cols, cast="string")
-    vc = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
-    if total == 0:
+    if not cols:
         return {}
-    nd = {r["feature"]: r["nd"] for r in
-          vc.groupBy("feature").agg(F.count(F.lit(1)).alias("nd")).collect()}
-    small = [c for c, k in nd.items() if k <= max_unique]
-    if not small:
-        return {}
-    rows = (vc.where(F.col("feature").isin(*small) & (F.col("n") / F.lit(total) <= threshold))
-            .select("feature", "value").collect())
+    long = unpivot(df, cols, cast="string", drop_nulls=False)
+    vc = (long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+          .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        stats = {r["feature"]: (r["nd"], r["total"]) for r in
+                 vc.groupBy("feature").agg(F.count("value").alias("nd"), F.sum("n").alias("total")).collect()}
+        small = [c for c, (k, t) in stats.items() if k <= max_unique and t > 0]
+        if not small:
+            return {}
+        total = case_by(F.col("feature"), {c: stats[c][1] for c in small})
+        rows = (vc.where(F.col("feature").isin(*small) & F.col("value").isNotNull()
+                         & (F.col("n") / total <= F.lit(threshold)))
+                .select("feature", "value").collect())
+    finally:
+        vc.unpersist()
     out: dict[str, list[str]] = {}
     for r in rows:
         out.setdefault(r["feature"], []).append(r["value"])
