@@ -30,12 +30,19 @@ def int_label(c) -> Column:
     return col_(c).cast("int")
 
 
+def _passes_through(c: Column) -> Column:
+    """NULL and NaN are not clipped: ``least``/``greatest`` skip NULL (the
+    bound would come out) and order NaN above every number (a NaN would
+    become the upper bound); pandas' clip keeps both."""
+    return c.isNull() | F.isnan(c)
+
+
 def clip_upper(c, hi) -> Column:
-    """One-sided cap that keeps NULL (``least`` alone would return the cap)."""
+    """One-sided cap that keeps NULL and NaN."""
     c = col_(c)
     if hi is None:
         return c
-    return F.when(c.isNull(), F.lit(None)).otherwise(F.least(c, F.lit(float(hi))))
+    return F.when(_passes_through(c), c).otherwise(F.least(c, F.lit(float(hi))))
 
 
 def clip(c, lo, hi) -> Column:
@@ -45,7 +52,7 @@ def clip(c, lo, hi) -> Column:
         x = F.least(x, F.lit(float(hi)))
     if lo is not None:
         x = F.greatest(x, F.lit(float(lo)))
-    return F.when(c.isNull(), F.lit(None)).otherwise(x)
+    return F.when(_passes_through(c), c).otherwise(x)
 
 
 def div_zero_as_one(a, b) -> Column:

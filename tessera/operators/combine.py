@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.exprs import clip
+
 
 def aligned_columns(train: DataFrame, test: DataFrame, label: str = "y", split: str = "split") -> list[str]:
     """Sorted union of both tables' columns, label excluded (survey Q1)."""
@@ -105,5 +107,5 @@ def submission(sample: DataFrame, preds: DataFrame, key: str = "id", col: str =
         if bad["a"] or bad["b"]:
             raise ValueError(f"row mismatch: {bad['b']} sample keys without prediction, "
                              f"{bad['a']} predictions without sample key")
-    clipped = F.when(F.col(col).isNull(), None).otherwise(F.greatest(F.least(F.col(col), F.lit(1.0)), F.lit(0.0)))
+    clipped = clip(F.col(col).cast("double"), 0.0, 1.0)
     return sample.drop(col).join(p.select(key, clipped.alias(col)), key, "inner")

@@ -37,8 +37,8 @@ def apply_cap_by_group(df: DataFrame, caps: dict, group: str) -> DataFrame:
     exprs = {}
     for c in cols:
         cap = case_by(F.col(group), {g: v for (g, cc), v in caps.items() if cc == c}, None)
-        exprs[c] = F.when(F.col(c).isNull() | cap.isNull(), F.col(c).cast("double")) \
-            .otherwise(F.least(F.col(c).cast("double"), cap))
+        x = F.col(c).cast("double")
+        exprs[c] = F.when(x.isNull() | F.isnan(x) | cap.isNull(), x).otherwise(F.least(x, cap))
     return _replace(df, exprs)
 
 
