@@ -198,3 +198,104 @@ def modes(df: DataFrame, cols: list[str]) -> dict[str, object]:
             .select("feature", F.col("w.value").alias("value")).collect())
     got = {r["feature"]: r["value"] for r in rows}
     return {c: got.get(c) for c in cols}
+
+
+class FilledStats:
+    """Order statistics of one column before and after its NULLs are filled
+    with its own (exact) median, from a single pass (:func:`filled_order_stats`).
+
+    Filling m NULLs with the median inserts m copies of it into the sorted
+    values, so the i-th filled value is the i-th original one when that is
+    below the median, the (i - m)-th one when that is above it, else the
+    median itself.
+    """
+
+    def __init__(self, n: int, nulls: int, nd: int, vals: dict):
+        self.n, self.nulls, self.nd, self._vals = n, nulls, nd, vals
+        self.median = interpolate(self.orig, n, 0.5) if n else None
+
+    @property
+    def total(self) -> int:
+        """Values after the fill (NaN, which the fill keeps, not counted)."""
+        return self.n + self.nulls if self.n else 0
+
+    def orig(self, i: int):
+        return self._vals[i]
+
+    def filled(self, i: int):
+        m, med = self.nulls, self.median
+        if i < self.n and self.orig(i) < med:
+            return self.orig(i)
+        j = i - m
+        if 0 <= j < self.n and self.orig(j) > med:
+            return self.orig(j)
+        return med
+
+    def quantile(self, p: float, transform=None):
+        """Quantile p of the filled values, or of ``transform`` of them for a
+        monotone non-decreasing ``transform`` (e.g. a clip)."""
+        if not self.n:
+            return None
+        get = self.filled if transform is None else (lambda i: transform(self.filled(i)))
+        return interpolate(get, self.total, p)
+
+    @property
+    def nd_filled(self) -> int:
+        """Distinct values after the fill: the median adds one only when it
+        falls strictly between two neighbouring order statistics."""
+        if not self.n or not self.nulls:
+            return self.nd
+        pos = 0.5 * (self.n - 1)
+        lo = int(math.floor(pos))
+        a, b = self.orig(lo), self.orig(min(lo + 1, self.n - 1))
+        return self.nd + (1 if (pos != lo and a != b) else 0)
+
+
+def interpolate(get, n: int, p: float):
+    """Linear-interpolation quantile p of n sorted values, ``get(i)`` the
+    i-th (0-based); the arithmetic of :func:`quantiles`."""
+    pos = p * (n - 1)
+    lo = int(math.floor(pos))
+    hi = min(lo + 1, n - 1)
+    frac = pos - lo
+    a, b = get(lo), get(hi)
+    return a if frac == 0 or a == b else a + (b - a) * frac
+
+
+def _positions(n: int, p: float) -> set[int]:
+    lo = int(math.floor(p * (n - 1)))
+    return {lo, min(lo + 1, n - 1)}
+
+
+def filled_order_stats(df: DataFrame, cols: list[str], probs: dict[str, list[float]]) -> dict[str, FilledStats]:
+    """For each column: exact median of its values, and the order statistics
+    needed for quantiles ``probs[c]`` of the column after its NULLs are
+    filled with that median -- one NULL count job and one exact k-th value
+    pass (:func:`cumulative`), however many statistics are asked. NaN is
+    skipped (a fill keeps NaN)."""
+    if not cols:
+        return {}
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"_c{i}") for i, c in enumerate(cols)]).first()
+    nulls = {c: row["_n"] - row[f"_c{i}"] for i, c in enumerate(cols)}
+    held: list = []
+    try:
+        cum, stats = cumulative(unpivot(df, cols), ["feature"], "value", {"cnt": F.count(F.lit(1))}, keep=held)
+        n = {c: (stats.get((c,)) or {}).get("cnt", 0) for c in cols}
+        nd = {c: (stats.get((c,)) or {}).get("_nd", 0) for c in cols}
+        targets: dict[tuple, set[int]] = {}
+        for c in cols:
+            if not n[c]:
+                continue
+            want = set(_positions(n[c], 0.5))
+            for p in probs.get(c, ()):
+                for i in _positions(n[c] + nulls[c], p):
+                    want |= {j for j in (i, i - nulls[c]) if 0 <= j < n[c]}
+            targets[(c,)] = want
+        got = kth_values(cum, ["feature"], "value", targets)
+    finally:
+        for h in held:
+            h.unpersist()
+    vals: dict[str, dict] = {c: {} for c in cols}
+    for ((c,), i), v in got.items():
+        vals[c][i] = v
+    return {c: FilledStats(n[c], nulls[c], nd[c], vals[c]) for c in cols}

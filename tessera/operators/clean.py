@@ -9,7 +9,6 @@ whole-stage codegen). ``params_frame`` turns any params dict into the
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import clip, clip_upper, sorted_bucket, unpivot
-from tessera.functions.quantiles import column_quantiles, cumulative, kth_values, medians, modes
+from tessera.functions.quantiles import column_quantiles, cumulative, filled_order_stats, medians, modes
 from tessera.operators.profile import IQR_K, iqr_bounds
 from tessera.roles import Roles
 
@@ -244,89 +243,31 @@ def _fit_numeric_stepwise(train, num, k=IQR_K, cap_cols=(), cap_pct=None):
     return med, iqr, caps
 
 
-def _interpolate(get, n: int, p: float):
-    """Linear-interpolation quantile p of n sorted values, ``get(i)`` the
-    i-th (0-based); the same arithmetic as :func:`quantiles`."""
-    pos = p * (n - 1)
-    lo = int(math.floor(pos))
-    hi = min(lo + 1, n - 1)
-    frac = pos - lo
-    a, b = get(lo), get(hi)
-    return a if frac == 0 or a == b else a + (b - a) * frac
-
-
-def _positions(n: int, p: float) -> set[int]:
-    pos = p * (n - 1)
-    lo = int(math.floor(pos))
-    return {lo, min(lo + 1, n - 1)}
-
-
 def fit_numeric_chain(train: DataFrame, num: list[str], k: float = IQR_K, cap_cols=(),
                       cap_pct: float | None = None) -> tuple[dict, dict, dict]:
     """Median fill -> IQR fences on the filled values -> upper quantile cap
     on the clipped values, all from ONE exact order-statistics pass over
-    the original values (one k-th value job instead of three).
-
-    Filling a column's m NULLs with its median inserts m copies of the
-    median into the sorted values, so the i-th filled value is the i-th
-    original one below the median, the (i - m)-th one above it, else the
-    median. Clipping is monotone, so the i-th clipped value is the clip of
-    the i-th filled one. Every statistic is therefore a known order
-    statistic of the original values. NaN is skipped throughout, as by
-    the step-by-step fit.
-    """
-    if not num:
-        return {}, {}, {}
+    the original values (:func:`filled_order_stats`) instead of three.
+    Clipping is monotone, so the clipped column's order statistics are the
+    clips of the filled ones. NaN is skipped throughout, as by the
+    step-by-step fit."""
     cap_active = cap_pct is not None and 0.0 < cap_pct < 1.0
     cap_cols = [c for c in cap_cols if c in num] if cap_active else []
-    # NULLs per column (NaN is not NULL: it stays NaN after the fill)
-    crow = train.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"_c{i}") for i, c in enumerate(num)]).first()
-    nulls = {c: crow["_n"] - crow[f"_c{i}"] for i, c in enumerate(num)}
-    held: list = []
-    try:
-        cum, stats = cumulative(unpivot(train, num), ["feature"], "value", {"cnt": F.count(F.lit(1))}, keep=held)
-        n = {c: (stats.get((c,)) or {}).get("cnt", 0) for c in num}
-        targets: dict[tuple, set[int]] = {}
-        for c in num:
-            if n[c] == 0:
-                continue
-            want = set(_positions(n[c], 0.5))
-            total = n[c] + nulls[c]
-            filled_pos = set()
-            for p in (0.25, 0.75) + ((cap_pct,) if c in cap_cols else ()):
-                filled_pos |= _positions(total, p)
-            for i in filled_pos:
-                want |= {j for j in (i, i - nulls[c]) if 0 <= j < n[c]}
-            targets[(c,)] = want
-        vals = kth_values(cum, ["feature"], "value", targets)
-    finally:
-        for h in held:
-            h.unpersist()
+    fs = filled_order_stats(train, num, {c: [0.25, 0.75] + ([cap_pct] if c in cap_cols else []) for c in num})
     med, iqr, caps = {}, {}, {}
     for c in num:
-        if n[c] == 0:
-            med[c], iqr[c] = None, (None, None)
+        s = fs[c]
+        med[c] = s.median
+        if s.median is None:
+            iqr[c] = (None, None)
             if c in cap_cols:
                 caps[c] = None
             continue
-        orig = (lambda c_: (lambda i: vals[((c_,), i)]))(c)
-        m_c = _interpolate(orig, n[c], 0.5)
-        med[c] = m_c
-        m, nc = nulls[c], n[c]
-
-        def filled(i, orig=orig, m_c=m_c, m=m, nc=nc):
-            if i < nc and orig(i) < m_c:
-                return orig(i)
-            j = i - m
-            if 0 <= j < nc and orig(j) > m_c:
-                return orig(j)
-            return m_c
-        total = nc + m
-        q1, q3 = _interpolate(filled, total, 0.25), _interpolate(filled, total, 0.75)
+        q1, q3 = s.quantile(0.25), s.quantile(0.75)
         lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
         iqr[c] = (lo, hi)
         if c in cap_cols:
-            caps[c] = _interpolate(lambda i: max(min(filled(i), hi), lo), total, cap_pct)
+            caps[c] = s.quantile(cap_pct, lambda v, lo=lo, hi=hi: max(min(v, hi), lo))
     return med, iqr, caps
 
 

@@ -119,30 +119,28 @@ def target_correlation(df: DataFrame, roles: Roles = Roles(), cols=None) -> Data
 
 # ---------------------------------------------------------------- M02
 
-def _discretized(df: DataFrame, cols: list[str], label: str, max_discrete: int, bins: int) -> DataFrame:
-    """(feature, bin, y) with few-valued columns kept as values and the
-    rest cut into exact quantile bins (T10)."""
-    from tessera.operators.features import apply_qbins, fit_qbins
-    nd = {r["feature"]: r["nd"] for r in
-          unpivot(df, cols).select("feature", "value").distinct().groupBy("feature")
-          .agg(F.count(F.lit(1)).alias("nd")).collect()}
-    cont = [c for c in cols if nd.get(c, 0) > max_discrete]
-    x = apply_qbins(df, fit_qbins(df, cont, bins)) if cont else df
-    sel = [F.col(f"{c}_qbin").cast("double").alias(c) if c in cont else F.col(c).cast("double").alias(c)
-           for c in cols]
-    return unpivot(x.select(*sel, label), cols, ids=[label])
-
-
 def mutual_information(df: DataFrame, roles: Roles = Roles(), cols=None, max_discrete: int = MI_MAX_DISCRETE,
                        bins: int = MI_BINS) -> DataFrame:
     """M02 (binned): plug-in mutual information in nats between each
-    discretised feature and the label, after median fill. (feature, mi)."""
+    discretised feature and the label, after median fill: columns with at
+    most ``max_discrete`` distinct filled values keep their values, the
+    rest are cut into exact quantile bins (T10) of the filled values.
+    Medians, distinct counts and bin edges all come from one exact
+    order-statistics pass (:func:`filled_order_stats`). (feature, mi)."""
+    from tessera.functions.quantiles import filled_order_stats
+    from tessera.operators.features import apply_qbins
     cols = list(cols) if cols is not None else roles.numeric_cols(df)
     x = _finite_numeric(df.select(*cols, roles.label), cols)
-    med = medians(x, cols)
-    x = x.select(*[F.coalesce(F.col(c).cast("double"), F.lit(med[c]).cast("double")).alias(c) for c in cols],
+    ps = [i / bins for i in range(bins + 1)]
+    fs = filled_order_stats(x, cols, {c: ps for c in cols})
+    x = x.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fs[c].median).cast("double")).alias(c) for c in cols],
                  roles.label)
-    long = _discretized(x, cols, roles.label, max_discrete, bins)
+    cont = [c for c in cols if fs[c].nd_filled > max_discrete]
+    if cont:
+        x = apply_qbins(x, {c: sorted({v for v in (fs[c].quantile(p) for p in ps) if v is not None}) for c in cont})
+    sel = [F.col(f"{c}_qbin").cast("double").alias(c) if c in cont else F.col(c).cast("double").alias(c)
+           for c in cols]
+    long = unpivot(x.select(*sel, roles.label), cols, ids=[roles.label])
     joint = long.groupBy("feature", "value", roles.label).agg(F.count(F.lit(1)).alias("nxy"))
     from pyspark.sql import Window
     # windows below run over (feature x bins x classes) rows: a fixed bound
