@@ -112,7 +112,7 @@ def fit_qbins(df: DataFrame, cols: list[str], q: int) -> dict[str, list[float]]:
 def apply_qbins(df: DataFrame, edges: dict, suffix: str = "_qbin") -> DataFrame:
     """Bins right-closed, lowest edge included: code = max(#edges < x - 1, 0);
     NULL outside [first, last] edge and when fewer than two edges."""
-    out = df
+    new = {}
     for c, e in edges.items():
         x = F.col(c).cast("double")
         if len(e) < 2:
@@ -121,8 +121,9 @@ def apply_qbins(df: DataFrame, edges: dict, suffix: str = "_qbin") -> DataFrame:
             n_below = sorted_bucket(x, e)
             b = F.when(x.isNull() | (x < F.lit(e[0])) | (x > F.lit(e[-1])), F.lit(None)) \
                 .otherwise(F.greatest(n_below - 1, F.lit(0))).cast("int")
-        out = out.withColumn(f"{c}{suffix}", b)
-    return out
+        new[f"{c}{suffix}"] = b
+    # one projection for all columns (one analysis of the plan, not one per column)
+    return df.withColumns(new) if new else df
 
 
 # ---------------------------------------------------------------- T11-T13
@@ -131,16 +132,15 @@ def add_interactions(df: DataFrame, add_all: bool = False) -> DataFrame:
     """T11 always (when its inputs exist); T12, T13 only with ``add_all``
     (survey Q13)."""
     cols = set(df.columns)
-    out = df
+    new = {}
     if {"duration", "campaign"} <= cols:
-        out = out.withColumn("duration_per_campaign",
-                             div_zero_as_one(F.col("duration").cast("double"), F.col("campaign").cast("double")))
+        new["duration_per_campaign"] = div_zero_as_one(F.col("duration").cast("double"),
+                                                       F.col("campaign").cast("double"))
     if add_all and {"duration", "contact"} <= cols:
-        out = out.withColumn("duration_x_contact", F.col("duration").cast("double") * F.col("contact").cast("double"))
+        new["duration_x_contact"] = F.col("duration").cast("double") * F.col("contact").cast("double")
     if add_all and {"balance", "age"} <= cols:
-        out = out.withColumn("balance_over_age",
-                             div_zero_as_null(F.col("balance").cast("double"), F.col("age").cast("double")))
-    return out
+        new["balance_over_age"] = div_zero_as_null(F.col("balance").cast("double"), F.col("age").cast("double"))
+    return df.withColumns(new) if new else df
 
 
 # ---------------------------------------------------------------- T15
