@@ -64,6 +64,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
+_WRITTEN: list[str] = []   # tables this process wrote with materialize()
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the tables :func:`materialize` wrote in this process (through
+    the Hadoop FileSystem of the path, so HDFS and object stores work as
+    the local disk does). Call it when a pipeline's results are written:
+    DataFrames read from those tables are invalid afterwards. Returns the
+    number of tables removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        if p.getFileSystem(conf).delete(p, True):
+            done += 1
+    return done
+
+
 def materialize(df, name: str = "table"):
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     read it back: later passes (fit jobs, then the apply) scan a flat,
@@ -74,4 +93,5 @@ def materialize(df, name: str = "table"):
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)

@@ -69,3 +69,14 @@ def test_warehouse_refresh(spark):
     assert spark.table(f"{db}.train").count() == tr.count()
     IO.refresh_warehouse(spark, tr.limit(3), None, database=db, location=loc)
     assert spark.table(f"{db}.train").count() == 3
+
+
+def test_drop_materialized_removes_written_tables(spark):
+    import os
+    from tessera.session import drop_materialized, materialize
+    t = materialize(spark.range(10).toDF("id"), "probe")
+    path = t.inputFiles()[0].replace("file:", "")
+    assert os.path.exists(path)
+    assert t.count() == 10
+    assert drop_materialized(spark) >= 1
+    assert not os.path.exists(path)
