@@ -232,7 +232,7 @@ def select_by_model(importance: DataFrame, k: int | None = None, quantile: float
 # ---------------------------------------------------------------- M06
 
 def kmeans_assign(df: DataFrame, k: int, cols: list[str], starts: int = 10, seed: int = SEED,
-                  keep: tuple[str, ...] = ()) -> DataFrame:
+                  keep: tuple[str, ...] = (), parallel_starts: int = 5) -> DataFrame:
     """Fit k-means on median-filled copies of ``cols`` (best of
     ``starts`` seeds by training cost) and attach ``cluster`` to every row.
     ``transform`` keeps the row's columns, so no join is needed; the
@@ -244,13 +244,18 @@ def kmeans_assign(df: DataFrame, k: int, cols: list[str], starts: int = 10, seed
     fcols = [f"_f_{c}" for c in cols]
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(med[c]).cast("double")).alias(f) for c, f in zip(cols, fcols)]
     vec = assemble(base.select(*keep, *cols, *filled), fcols).persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
-    for s in range(starts):
+
+    def fit_start(s):
         m = KMeans(k=k, seed=seed + s, featuresCol="features", predictionCol="cluster").fit(vec)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m)
-    return best[1].transform(vec).drop("features", *fcols)
+        return m.summary.trainingCost, s, m
+
+    # the starts are independent: submit them together so their jobs share
+    # the cluster; least cost wins, the earliest seed on ties
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(starts, parallel_starts)) as pool:
+        fits = list(pool.map(fit_start, range(starts)))
+    best = min(fits, key=lambda t: (t[0], t[1]))[2]
+    return best.transform(vec).drop("features", *fcols)
 
 
 def kmeans_summary(df: DataFrame, k: int, cols: list[str], starts: int = 10, seed: int = SEED) -> DataFrame:
