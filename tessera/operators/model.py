@@ -184,8 +184,7 @@ def compare_baselines(train: DataFrame, cols: list[str], profiles: list[Profile]
     parts = stratified_holdout(train.select(roles.key, roles.label, *cols), holdout)
     parts = parts.persist(StorageLevel.MEMORY_AND_DISK)
     tr, va = parts.where(F.col("part") == "train").drop("part"), parts.where(F.col("part") == "valid").drop("part")
-    rows = []
-    for p in profiles:
+    def run(p):
         try:
             m = fit(p, assemble(tr, cols), roles.label)
             s = m.score(assemble(va, cols), [roles.label])
@@ -193,9 +192,16 @@ def compare_baselines(train: DataFrame, cols: list[str], profiles: list[Profile]
             acc = accuracy(s.withColumn("pred", (F.col("p") >= 0.5).cast("int")), roles.label).first()
             cv = cross_validate(stratified_kfold(tr, k, shuffle=False), cols, p, None, roles, k)
             ms = mean_std(cv.metrics.where(F.col("fold") > 0), "roc_auc").first()
-            rows.append((p.name, auc["auc"] if auc else None, acc["accuracy"], ms["mean"], ms["std"]))
+            cv.release()
+            return (p.name, auc["auc"] if auc else None, acc["accuracy"], ms["mean"], ms["std"])
         except Exception:  # noqa: BLE001 -- the reference logs and continues
-            rows.append((p.name, None, None, None, None))
+            return (p.name, None, None, None, None)
+
+    # the models are independent: their jobs share the cluster
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, len(profiles))) as pool:
+        rows = list(pool.map(run, profiles))
+    parts.unpersist()
     df = spark.createDataFrame(rows, "Model string, `ROC AUC` double, Accuracy double, "
                                      "`CV ROC AUC Mean` double, `CV ROC AUC Std` double")
     return df.orderBy(F.col("ROC AUC").desc_nulls_last(), "Model")

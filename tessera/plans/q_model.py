@@ -138,29 +138,37 @@ def e11_corr_threshold_sweep(spark, d):
     """Per threshold: correlation pruning inside each fold's training part,
     then logistic CV; pooled out-of-fold AUC per threshold. Each fold's
     correlation pairs are computed once and shared by all thresholds."""
-    f, _, cols = _folded(spark, d)
+    from concurrent.futures import ThreadPoolExecutor
+    from functools import reduce
     from tessera.operators.profile import correlation_pairs
-    pairs = {}
-    for k in range(1, K + 1):
-        pairs[k] = [(r["feature_a"], r["feature_b"], r["corr"]) for r in
-                    correlation_pairs(f.where(F.col("fold") != k), cols, upper_only=True,
-                                      include_diagonal=False).collect()]
+    from tessera.operators.score import roc_auc
+    f, _, cols = _folded(spark, d)
+    folds = list(range(1, K + 1))
+
+    def fold_pairs(k):
+        return [(r["feature_a"], r["feature_b"], r["corr"]) for r in
+                correlation_pairs(f.where(F.col("fold") != k), cols, upper_only=True,
+                                  include_diagonal=False).collect()]
+
+    # independent jobs go to the cluster together (one per fold, then one
+    # fit per distinct (fold, kept columns): thresholds that keep the same
+    # columns share a fit)
+    with ThreadPoolExecutor(max_workers=K) as pool:
+        pairs = dict(zip(folds, pool.map(fold_pairs, folds)))
+    keeps = {(t, k): tuple(c for c in cols if c not in {a for a, _, r in pairs[k] if r is not None and abs(r) >= t})
+             for t in SWEEP_T for k in folds}
+
+    def fit_fold(job):
+        k, keep = job
+        m = ML.fit(ML.LOGISTIC, ML.assemble(f.where(F.col("fold") != k), list(keep)), "y")
+        return job, m.score(ML.assemble(f.where(F.col("fold") == k), list(keep)), ["id", "y"])
+
+    with ThreadPoolExecutor(max_workers=K) as pool:
+        scored = dict(pool.map(fit_fold, sorted({(k, v) for (_, k), v in keeps.items()})))
     rows = []
     for t in SWEEP_T:
-        oofs = []
-        for k in range(1, K + 1):
-            drop = {a for a, _, r in pairs[k] if r is not None and abs(r) >= t}
-            keep = [c for c in cols if c not in drop]
-            tr = ML.assemble(f.where(F.col("fold") != k), keep)
-            va = ML.assemble(f.where(F.col("fold") == k), keep)
-            m = ML.fit(ML.LOGISTIC, tr, "y")
-            oofs.append(m.score(va, ["id", "y"]))
-        oof = oofs[0]
-        for o in oofs[1:]:
-            oof = oof.unionByName(o)
-        from tessera.operators.score import roc_auc
-        auc = roc_auc(oof, "y", "p").first()["auc"]
-        rows.append((t, auc))
+        oof = reduce(lambda a, b: a.unionByName(b), [scored[(k, keeps[(t, k)])] for k in folds])
+        rows.append((t, roc_auc(oof, "y", "p").first()["auc"]))
     from tessera.operators.evaluate import best_setting
     res = spark.createDataFrame([(i, t, a) for i, (t, a) in enumerate(rows)],
                                 "position int, corr_threshold double, oof_auc double")
