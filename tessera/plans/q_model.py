@@ -188,13 +188,19 @@ def f08_in_fold_selection_log(spark, d):
     capped = FE.apply_cap_by_group(f, caps, "fold")
     leak = {(r["fold"], r["feature"]) for r in SEL.leakers_by_fold(capped, ROLES, cols, K).collect()}
     feature_list = ["age", "balance", "duration", "campaign", "previous", "job", "contact"]
-    logs = None
-    for k in range(1, K + 1):
+    def select_in_fold(k):
         part = capped.where(F.col("fold") != k)
         c1 = [c for c in cols if (k, c) not in leak]
         c2 = SEL.prune_correlated(part, c1, 0.99)
         c3 = [c for c in c2 if c in feature_list] or c2
-        c4 = SEL.select_by_mi(part, ROLES, c3, 4)
+        return k, c2, SEL.select_by_mi(part, ROLES, c3, 4)
+
+    # the folds' selections are independent: their jobs share the cluster
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=K) as pool:
+        kept_by_fold = list(pool.map(select_in_fold, range(1, K + 1)))
+    logs = None
+    for k, c2, c4 in kept_by_fold:
         for stage, method, param, kept in (("reduction", "corr", "0.99", c2), ("selection", "mi", "4", c4)):
             lg = kept_columns_log(spark, k, stage, method, param, kept)
             logs = lg if logs is None else logs.unionByName(lg)
@@ -222,11 +228,17 @@ def e12_shap_k_sweep(spark, d):
     f, _, cols = _folded(spark, d)
     ranked = [r["feature"] for r in shap_importance(f, cols, ROLES)
               .orderBy(F.desc("shap_mean_abs"), "feature").collect()]
-    rows = []
-    for i, k in enumerate(SHAP_KS):
-        keep = ranked[:k]
-        res = ML.cross_validate(f, keep, ML.LOGISTIC, None, ROLES, K)
-        rows.append((i, k, roc_auc(res.oof, "y", "p").first()["auc"]))
+    def run(ik):
+        i, k = ik
+        cv = ML.cross_validate(f, ranked[:k], ML.LOGISTIC, None, ROLES, K)
+        auc = roc_auc(cv.oof, "y", "p").first()["auc"]
+        cv.release()
+        return i, k, auc
+
+    # one cross-validation per k, submitted together
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(SHAP_KS)) as pool:
+        rows = list(pool.map(run, enumerate(SHAP_KS)))
     res = spark.createDataFrame(rows, "position int, k int, oof_auc double")
     best = best_setting(res, "oof_auc", "position").select(F.lit(True).alias("best"), "position")
     return res.join(best, "position", "left").select("k", r6("oof_auc").alias("oof_auc"),
