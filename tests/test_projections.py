@@ -41,3 +41,18 @@ def test_rare_counts_nulls_in_the_total(spark):
 def test_rare_skips_columns_with_many_values(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(0).alias("y"))
     assert fit_rare(df, 0.5, Roles(), max_unique=50, cols=["k"]) == {}
+
+
+def test_clips_keep_null_and_nan(spark):
+    from tessera.functions.exprs import clip, clip_upper
+    vals = [None, float("nan"), -5.0, 0.5, 7.0, float("inf")]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
+    got = df.select("i", clip("x", 0.0, 1.0).alias("c"), clip_upper("x", 1.0).alias("u")).orderBy("i").collect()
+
+    def same(a, b):
+        return (a is None and b is None) or (a is not None and b is not None and
+                                            (a == b or (math.isnan(a) and math.isnan(b))))
+    want_c = [None, float("nan"), 0.0, 0.5, 1.0, 1.0]
+    want_u = [None, float("nan"), -5.0, 0.5, 1.0, 1.0]
+    assert all(same(r["c"], w) for r, w in zip(got, want_c))
+    assert all(same(r["u"], w) for r, w in zip(got, want_u))
