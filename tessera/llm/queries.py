@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import minhash, suffixes
+from tessera.llm import lines, minhash, suffixes
 from tessera.llm.common import table
 
 
@@ -12,6 +12,12 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"),
+                                          F.sha2("__kept", 256).alias("kept_sha256"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = suffixes.with_hits(docs, table(spark, sf_dir, "benchmark"), with_matches=False)
@@ -39,6 +45,18 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = compon
 FROM w JOIN comp USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+OP3_SQL = rf"""
+WITH l AS (
+  SELECT doc_id, i, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS p
+  FROM (SELECT doc_id, row_number() OVER () AS i, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (SELECT *, {_LOWER.format("regexp_replace(line, '^[ \t-\r]+|[ \t-\r]+$', '', 'g')")} AS key FROM l),
+r AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING min(doc_id) < max(doc_id)),
+f AS (SELECT k.*, coalesce(k.doc_id > r.first, false) AS gone FROM k LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM f GROUP BY doc_id, i
+"""
+
 OP7_SQL = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
@@ -57,5 +75,5 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op7_decontamination)}
-ORACLES = {"op1_minhash_dedup": OP1_SQL, "op7_decontamination": OP7_SQL}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_line_dedup, op7_decontamination)}
+ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL}
