@@ -10,11 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tessera.session import checkpoint_dir
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` in the shared folder and read it back: lineage ends here
     and a lost executor reads files again."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import lines, minhash, suffixes
-from tessera.llm.common import table
+from tessera.llm import lines, minhash, suffixes, warc
+from tessera.llm.common import scratch, table
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,15 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("__hit.intervals") > 0).alias("contaminated"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select(
+        "page_id", F.coalesce("length", F.octet_length("payload").cast("long")).alias("payload_bytes"),
+        F.coalesce(F.when(F.col("payload").isNotNull(), warc.base32_sha1("payload")), "digest").alias("payload_digest"),
+        "record_type", "refers_to")
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -75,5 +84,15 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_line_dedup, op7_decontamination)}
-ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL}
+OP9_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+h AS (SELECT page_id, octet_length(encode(t)) AS n, sha1(t) AS d FROM p),
+bits AS (SELECT *, list_reduce(list_transform(range(1, 41), lambda i: right(bin(strpos('0123456789abcdef', d[i]) + 15), 4)), lambda x, y: x || y) AS b FROM h),
+code AS (SELECT *, list_reduce(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + 16 * CAST(b[5*i+1] AS INT) + 8 * CAST(b[5*i+2] AS INT) + 4 * CAST(b[5*i+3] AS INT) + 2 * CAST(b[5*i+4] AS INT) + CAST(b[5*i+5] AS INT)]), lambda x, y: x || y) AS digest FROM bits),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM code)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to FROM f
+"""
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_line_dedup, op7_decontamination, op9_warc)}
+ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL}
