@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import lines, minhash, suffixes, warc
+from tessera.llm import licenses, lines, minhash, suffixes, warc
 from tessera.llm.common import scratch, table
 
 
@@ -28,6 +28,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("__hit.intervals") > 0).alias("contaminated"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
@@ -94,5 +98,5 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id
        CASE WHEN page_id <> first THEN first END AS refers_to FROM f
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_line_dedup, op7_decontamination, op9_warc)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_line_dedup, op7_decontamination, op8_license_scan, op9_warc)}
 ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL}
