@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import licenses, lines, minhash, piecewise, suffixes, warc
+from tessera.llm import licenses, lines, minhash, piecewise, suffixes, warc, wavelet
 from tessera.llm.common import scratch, table
 
 
@@ -18,6 +18,17 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           F.sha2("__kept", 256).alias("kept_sha256"))
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    wavelet.write(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
+    return wavelet.read_index(spark, path)
+
+
 def op5_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piecewise.neighbour_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -102,5 +113,5 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id
        CASE WHEN page_id <> first THEN first END AS refers_to FROM f
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_line_dedup, op5_piecewise_hash, op7_decontamination, op8_license_scan, op9_warc)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op7_decontamination, op8_license_scan, op9_warc)}
 ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL}
