@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import licenses, lines, minhash, piecewise, suffixes, warc, wavelet
+from tessera.llm import licenses, lines, minhash, piecewise, segmentation, suffixes, warc, wavelet
 from tessera.llm.common import scratch, table
 
 
@@ -33,6 +33,11 @@ def op5_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piecewise.neighbour_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = segmentation.sampled(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = suffixes.with_hits(docs, table(spark, sf_dir, "benchmark"), with_matches=False)
@@ -113,5 +118,5 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id
        CASE WHEN page_id <> first THEN first END AS refers_to FROM f
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op7_decontamination, op8_license_scan, op9_warc)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op6_gumbel_segmentation, op7_decontamination, op8_license_scan, op9_warc)}
 ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL}
