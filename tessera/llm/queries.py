@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import licenses, lines, minhash, piecewise, segmentation, suffixes, warc, wavelet
+from tessera.llm import licenses, lines, minhash, piecewise, segmentation, suffixes, toxicity, warc, wavelet
 from tessera.llm.common import scratch, table
 
 
@@ -61,6 +61,13 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", "refers_to")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.with_score(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", toxicity.held_out().alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -118,5 +125,5 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id
        CASE WHEN page_id <> first THEN first END AS refers_to FROM f
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op6_gumbel_segmentation, op7_decontamination, op8_license_scan, op9_warc)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op6_gumbel_segmentation, op7_decontamination, op8_license_scan, op9_warc, op10_toxicity)}
 ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL}
