@@ -12,19 +12,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import minhash, suffixes
+from tessera.llm import lines, minhash, segmentation, suffixes, toxicity
 from tessera.llm.common import table, written
 
 
 def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic go."""
-    from tessera.llm import toxicity
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go from all documents but the first; n_chars follows."""
-    from tessera.llm import lines
     return lines.dedup_documents(docs)
 
 
@@ -40,7 +38,6 @@ def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def stage_segmentation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of every document that is left."""
-    from tessera.llm import segmentation
     return segmentation.sampled(docs)
 
 

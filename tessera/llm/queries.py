@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import licenses, lines, minhash, piecewise, segmentation, suffixes, toxicity, warc, wavelet
+from tessera.llm import html, licenses, lines, minhash, piecewise, segmentation, suffixes, toxicity, warc, wavelet
 from tessera.llm.common import scratch, table
 
 
@@ -12,6 +12,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", F.col("__main").alias("text"), F.length("__main").cast("long").alias("n_chars"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select("doc_id", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"),
@@ -125,5 +130,5 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id
        CASE WHEN page_id <> first THEN first END AS refers_to FROM f
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op6_gumbel_segmentation, op7_decontamination, op8_license_scan, op9_warc, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_html_text, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op6_gumbel_segmentation, op7_decontamination, op8_license_scan, op9_warc, op10_toxicity)}
 ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL}
