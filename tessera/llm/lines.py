@@ -165,8 +165,9 @@ def repeats(docs: DataFrame, least: int = MIN_CHARS, max_bits: int = MAX_BITS) -
     seen = repeat_filter(docs, n, least, max_bits)
     shared = None if seen is None else spark.sparkContext.broadcast(seen)
     suspects = written(docs.mapInArrow(_suspected(shared, least), "doc_id long, lo long, hi long"), "suspects")
-    confirmed = (suspects.groupBy("lo", "hi").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-                 .filter("first < last").drop("last"))
+    # written, so that both sides of the join are exchanges and a very common line's rows can be split
+    confirmed = written(suspects.groupBy("lo", "hi").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+                        .filter("first < last").drop("last"), "repeats")
     return (suspects.join(confirmed, ["lo", "hi"]).filter("doc_id > first")
             .groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("drop")))
 

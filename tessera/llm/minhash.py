@@ -126,21 +126,21 @@ def _packed(batches):
 
 def _confirmed(batches):
     for batch in batches:
-        a, b, x, y = (batch.column(c).to_pylist() for c in ("a", "b", "x", "y"))
         keep = []
-        for p, q in zip(x, y):
+        for p, q in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
             p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
             both = len(p) + len(q) - len(np.unique(np.concatenate([p, q])))
             keep.append(100 * both >= PERCENT * (len(p) + len(q) - both))
-        yield pa.record_batch([pa.array([v for v, k in zip(a, keep) if k], pa.int64()),
-                               pa.array([v for v, k in zip(b, keep) if k], pa.int64())], ["a", "b"])
+        out = batch.filter(pa.array(keep, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([out.column("part"), out.column("other")], ["a", "b"])
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that reach the similarity on whole sets."""
+    """Links (a, b) between the components ``part`` and ``other`` of those
+    pairs that reach the similarity on whole sets."""
     return (pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
-            .select("a", "b", "x", "y").mapInArrow(_confirmed, "a long, b long"))
+            .select("part", "other", "x", "y").mapInArrow(_confirmed, "a long, b long"))
 
 
 def _alike(n: str, m: str):
@@ -156,39 +156,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketches = written(docs.mapInArrow(_sketched, "doc_id long, n long, s1 long, s2 long, bands array<long>"), "sketches")
 
     filled = sketches.filter("n > 0 AND doc_id IS NOT NULL")
-    reps = filled.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    same = written(filled.select("doc_id", "n", "s1", "s2").join(reps, ["n", "s1", "s2"]).filter("doc_id <> rep")
-                   .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "same")
-    own = filled.join(same.select(F.col("a").alias("doc_id")), "doc_id", "left_anti")
-    member = own.select(F.col("doc_id").alias("rep"), "n", F.explode("bands").alias("bucket"))
-    hubs = (member.groupBy("bucket").agg(F.min_by(F.struct("rep", "n"), "rep").alias("hub"), F.count("*").alias("c"))
-            .filter("c > 1").drop("c"))
+    reps = written(filled.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "sets")
+    placed = filled.select("doc_id", "n", "s1", "s2").join(reps.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"])
+    owner = written(placed.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.collect_set("rep").alias("reps")), "owners")
+    repeated = owner.filter("size(reps) > 1").select(F.explode("reps").alias("a"), F.col("rep").alias("b")).filter("a <> b")
+
+    member = reps.select("rep", "n", F.explode("bands").alias("bucket"))
+    hubs = written(member.groupBy("bucket").agg(F.min_by(F.struct("rep", "n"), "rep").alias("hub"), F.count("*").alias("c"))
+                   .filter("c > 1").drop("c"), "hubs")
     shared = written(member.join(hubs, "bucket").select("bucket", "rep", "n", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")),
                      "buckets")
     sets = written(docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-                   .mapInArrow(_packed, "id long, members binary"), "sets")
+                   .mapInArrow(_packed, "id long, members binary"), "members")
 
     # each member against its smallest hub, then all hubs, then across components
     tested = written(shared.filter("rep <> hub").filter(_alike("n", "hub_n")).groupBy(F.col("rep").alias("a"))
                      .agg(F.min("hub").alias("b")), "pairs")
-    links = written(_confirm(tested, sets), "links")
+    links = repeated.unionByName(written(_confirm(tested.withColumns({"part": F.col("a"), "other": F.col("b")}), sets), "links"))
     for step in ("hubs", "rest"):
-        parts = components(links)
-        placed = shared.join(parts.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep"))
-        mixed = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("bucket")
-        left = written(placed.join(mixed, "bucket").select("bucket", "rep", "n", "part", "hub"), "mixed")
-        one = left.select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("part").alias("q"))
+        parts = components(links).withColumnRenamed("node", "rep")
+        at = shared.join(parts, "rep", "left").select("bucket", "rep", "n", "hub", F.coalesce("component", "rep").alias("part"))
+        mixed = written(at.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("bucket"), "mixed")
+        if mixed.isEmpty():
+            break
+        left = written(at.join(mixed, "bucket"), "left")
+        one = left.select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("part").alias("other"), F.col("hub").alias("h"))
         if step == "hubs":
-            one = left.filter("rep = hub").select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("part").alias("q"))
-        pairs = (left.select("bucket", F.col("rep").alias("a"), "n", "part").join(one, "bucket")
-                 .filter("b < a AND part <> q").filter(_alike("n", "m")).select("a", "b").distinct()
+            one = one.filter("b = h")
+        pairs = (left.drop("hub").withColumnRenamed("rep", "a").join(one.drop("h"), "bucket")
+                 .filter("b < a AND part <> other").filter(_alike("n", "m")).groupBy("a", "b").agg(F.min("part").alias("part"), F.min("other").alias("other"))
                  .join(tested, ["a", "b"], "left_anti"))
         pairs = written(pairs, "pairs")
         links = links.unionByName(written(_confirm(pairs, sets), "links"))
-        tested = tested.unionByName(pairs)
-    parts = components(links.unionByName(same))
-    return (sketches.select("doc_id", F.col("n").alias("n_shingles"))
-            .join(parts.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+        tested = tested.unionByName(pairs.select("a", "b"))
+    parts = components(links)
+    found = (owner.join(parts, F.col("rep") == F.col("node"), "left")
+             .select(F.col("doc_id").alias("id"), F.coalesce("component", "rep").alias("component")))
+    return (sketches.select("doc_id", F.col("n").alias("n_shingles")).join(found, F.col("doc_id") == F.col("id"), "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id") == F.col("component_id")))
 
