@@ -14,8 +14,9 @@ words; the whole sequence if there are fewer words; empty without words).
   copies are never paired.
 * Exact verification: 100 * |A and B| >= 75 * |A or B| on whole sets. A
   bucket is not expanded to pairs: its members are first verified against its
-  smallest member only; then, where a bucket still holds several components,
-  against each of its hubs; then what remains across components.
+  smallest member only. Where a bucket then still holds several components, all
+  pairs across them are counted inside tasks (a product of membership matrices
+  over blocks of bounded size) and only links that join components leave a task.
 
 Defined cases: null or wordless text has an empty set and no links; a null
 doc_id links with nothing and gets a null component; rows that repeat a doc_id
@@ -37,6 +38,9 @@ PERCENT = 75
 T = 128
 ROWS = 4
 BANDS = T // ROWS
+HASH_BYTES = 6           # of a shingle's hash in stored sets: 5e-10 odds of a collision in 400 shingles
+CELL = 300_000           # shingles of one side of a block of a bucket
+COLUMNS = 4096           # shingles counted at once
 
 _rng = np.random.default_rng(7331)
 _SEEDS = _rng.integers(1, 2**63, 2 * T, dtype=np.uint64)
@@ -114,12 +118,23 @@ def _sketched(batches):
                 ["doc_id", "n", "s1", "s2", "bands"])
 
 
+def pack(u: np.ndarray) -> bytes:
+    """The low bytes of a set's hashes."""
+    return u.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // HASH_BYTES, 8), np.uint8)
+    out[:, :HASH_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, HASH_BYTES)
+    return out.view(np.uint64).reshape(-1)
+
+
 def _packed(batches):
     for batch in batches:
         text = words.text_array(batch.column("text"))
         out = []
         for i, j, u, first in shingle_sets(text):
-            out += [u[first[r]:first[r + 1]].tobytes() for r in range(j - i)]
+            out += [pack(u[first[r]:first[r + 1]]) for r in range(j - i)]
         if out:
             yield pa.record_batch([batch.column("doc_id"), pa.array(out, pa.binary())], ["id", "members"])
 
@@ -128,13 +143,75 @@ def _confirmed(batches):
     for batch in batches:
         keep = []
         for p, q in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-            p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+            p, q = unpack(p), unpack(q)
             both = len(p) + len(q) - len(np.unique(np.concatenate([p, q])))
             keep.append(100 * both >= PERCENT * (len(p) + len(q) - both))
         out = batch.filter(pa.array(keep, pa.bool_()))
         yield pa.RecordBatch.from_arrays([out.column("part"), out.column("other")], ["a", "b"])
 
 
+def cross_links(parts: list[int], sets: list[np.ndarray], side: list[int]) -> list[tuple[int, int]]:
+    """Links between components that join them, from all pairs of sets of
+    different components (across the two sides, if there are two)."""
+    part, sizes, side = np.array(parts), np.array([len(x) for x in sets]), np.array(side)
+    two = side.min() != side.max()
+    if not two:
+        # members of the commonest component need not meet each other
+        value, count = np.unique(part, return_counts=True)
+        left, right = np.flatnonzero(part != value[count.argmax()]), np.arange(len(part))
+    else:
+        left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+    flat = np.concatenate(sets)
+    _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    shared = count > 1
+    column, owner = (np.cumsum(shared) - 1)[column[shared[column]]], owner[shared[column]]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for a in range(0, int(shared.sum()), COLUMNS):
+        lo, hi = np.searchsorted(column, [a, a + COLUMNS])
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[owner[lo:hi], column[lo:hi] - a] = 1
+        both += has[left] @ has[right].T
+    union = sizes[left][:, None] + sizes[right][None, :] - both
+    i, j = np.nonzero((100 * both >= PERCENT * union) & (part[left][:, None] != part[right][None, :]))
+    pairs = np.unique(np.stack([part[left[i]], part[right[j]]], axis=1), axis=0) if len(i) else np.zeros((0, 2), np.int64)
+    root: dict[int, int] = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+    out = []
+    for a, b in pairs.tolist():
+        x, y = find(a), find(b)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((a, b))
+    return out
+
+
+def _joined(batches):
+    """Rows come sorted by block; one block's sets are held at a time."""
+    now, parts, sets, side = None, [], [], []
+
+    def result():
+        links = cross_links(parts, sets, side) if len(set(parts)) > 1 else []
+        return pa.record_batch([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
+    for batch in batches:
+        for bucket, lo, hi, own, part, members in zip(*(batch.column(c).to_pylist() for c in ("bucket", "lo", "hi", "own", "part", "members"))):
+            if (bucket, lo, hi) != now:
+                if sets:
+                    yield result()
+                now, parts, sets, side = (bucket, lo, hi), [], [], []
+            parts.append(part)
+            sets.append(unpack(members))
+            side.append(own)
+    if sets:
+        yield result()
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between the components ``part`` and ``other`` of those
     pairs that reach the similarity on whole sets."""
@@ -169,27 +246,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = written(docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
                    .mapInArrow(_packed, "id long, members binary"), "members")
 
-    # each member against its smallest hub, then all hubs, then across components
+    # each member against its smallest hub, then across components
     tested = written(shared.filter("rep <> hub").filter(_alike("n", "hub_n")).groupBy(F.col("rep").alias("a"))
                      .agg(F.min("hub").alias("b")), "pairs")
     links = repeated.unionByName(written(_confirm(tested.withColumns({"part": F.col("a"), "other": F.col("b")}), sets), "links"))
-    for step in ("hubs", "rest"):
-        parts = components(links).withColumnRenamed("node", "rep")
-        at = shared.join(parts, "rep", "left").select("bucket", "rep", "n", "hub", F.coalesce("component", "rep").alias("part"))
-        mixed = written(at.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("bucket"), "mixed")
-        if mixed.isEmpty():
-            break
-        left = written(at.join(mixed, "bucket"), "left")
-        one = left.select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("part").alias("other"), F.col("hub").alias("h"))
-        if step == "hubs":
-            one = one.filter("b = h")
-        pairs = (left.drop("hub").withColumnRenamed("rep", "a").join(one.drop("h"), "bucket")
-                 .filter("b < a AND part <> other").filter(_alike("n", "m")).groupBy("a", "b").agg(F.min("part").alias("part"), F.min("other").alias("other"))
-                 .join(tested, ["a", "b"], "left_anti"))
-        pairs = written(pairs, "pairs")
-        links = links.unionByName(written(_confirm(pairs, sets), "links"))
-        tested = tested.unionByName(pairs.select("a", "b"))
-    parts = components(links)
+    parts = components(links).withColumnRenamed("node", "rep")
+    at = shared.join(parts, "rep", "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("part"))
+    mixed = written(at.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.sum("n").alias("total")).filter("p <> q")
+                    .select("bucket", F.ceil(F.col("total") / CELL).cast("int").alias("cells")), "mixed")
+    own = F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int")
+    blocks = (at.join(mixed, "bucket").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+              .select("bucket", "rep", "part", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+              .join(sets.select(F.col("id").alias("rep"), "members"), "rep"))
+    across = (blocks.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+              .select("bucket", "lo", "hi", "own", "part", "members").mapInArrow(_joined, "a long, b long"))
+    parts = components(links.unionByName(written(across, "across")))
     found = (owner.join(parts, F.col("rep") == F.col("node"), "left")
              .select(F.col("doc_id").alias("id"), F.coalesce("component", "rep").alias("component")))
     return (sketches.select("doc_id", F.col("n").alias("n_shingles")).join(found, F.col("doc_id") == F.col("id"), "left")

@@ -139,3 +139,36 @@ def test_line_stage_columns(edge_docs, no_docs):
     rows = {(r["doc_id"], r["text"], r["n_chars"]) for r in out.filter("doc_id IN (4, 13)").collect()}
     assert rows == {(4, None, None), (13, "other words follow", 18)}
     assert lines.dedup_documents(no_docs).count() == 0
+
+
+def test_blocks_of_a_bucket(spark, monkeypatch):
+    """A large family around one text, some members too far from the others, dealt over several blocks."""
+    rng = random.Random(21)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(90):
+        text = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4])):
+            text[rng.randrange(80)] = f"n{rng.randrange(10**6)}"
+        rows.append((500 - i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(minhash, "CELL", 700)
+    assert result(minhash.near_duplicates(df)) == brute_components(rows)
+
+
+def test_cross_links():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, 50)).astype(np.uint64) for _ in range(40)]
+    parts = [int(x) for x in rng.integers(0, 12, 40)]
+
+    def classes(links):
+        root = {p: p for p in parts}
+        for _ in parts:
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+    expected = [(parts[i], parts[j]) for i in range(40) for j in range(i)
+                if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))]
+    assert classes(minhash.cross_links(parts, sets, [0] * 40)) == classes(expected)
+    for s in sets:
+        assert (minhash.unpack(minhash.pack(s)) == s).all()
