@@ -33,6 +33,13 @@ def lowered(column):
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def range_cuts(df: DataFrame, column: str, parts: int) -> list[int]:
+    """At most parts - 1 values that cut a long column into about equal ranges."""
+    shares = [i / parts for i in range(1, parts)]
+    found = df.agg(F.percentile_approx(column, shares, 20 * parts)).first()[0] if shares else None
+    return sorted(set(found or ()))
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of (a, b) links by alternating large-star and
     small-star steps: (node, component) with the smallest node as component.

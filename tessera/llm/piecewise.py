@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm import words
+from tessera.llm.common import range_cuts
 
 LEAST = 3
 LENGTH = 64
@@ -194,8 +195,7 @@ def neighbour_fingerprints(docs: DataFrame, parts: int | None = None) -> DataFra
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select("doc_id")
-    cuts = sorted(set(ids.filter("doc_id IS NOT NULL").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts)))
-    cuts = [int(c) for c in cuts]
+    cuts = range_cuts(ids, "doc_id", parts)
     # part 0 has the largest ids; a null id sorts after all others
     part = F.lit(len(cuts)) - F.when(F.col("doc_id").isNull(), 0).otherwise(_rank(cuts, "doc_id"))
     heads = {r["part"]: r["head"] for r in ids.groupBy(part.alias("part")).agg(F.max("doc_id").alias("head")).collect()}

@@ -62,7 +62,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write(table(spark, sf_dir, "pages"), path)
     return warc.read(spark, path).select(
         "page_id", F.coalesce("length", F.octet_length("payload").cast("long")).alias("payload_bytes"),
-        F.coalesce(F.when(F.col("payload").isNotNull(), warc.base32_sha1("payload")), "digest").alias("payload_digest"),
+        F.col("digest").alias("payload_digest"),
         "record_type", "refers_to")
 
 

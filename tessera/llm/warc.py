@@ -6,13 +6,14 @@ page_id) has becomes a revisit record. Blocks over ``segment_bytes`` are
 segmented: the first record is a response with WARC-Segment-Number 1, the rest
 are continuation records with WARC-Segment-Origin-ID, the last one with
 WARC-Segment-Total-Length. Records end in two CRLF, which is the line
-separator of Spark's text writer: the part files are uncompressed WARC files
+separator of Spark's text writer: the part files are gzip-compressed WARC files
 on any store that Spark writes.
 
 Reading: each file is parsed by Content-Length. Records of one segment are
 decoded at once; continuation records are grouped by their origin identifier,
 ordered by segment number, checked against the total length, joined, and
-then decoded from the chunked framing.
+then decoded from the chunked framing. Payloads are checked against their
+records' digests.
 
 Defined cases: null html is the empty payload (written, and equal to any other
 empty one); a null page_id is never a first copy unless all copies have null
@@ -23,6 +24,7 @@ record with missing parts or a wrong length raises an error."""
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 
@@ -140,6 +142,13 @@ def decoded(block: bytes) -> bytes:
     return unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
 
 
+def checked(payload: bytes, digest: str) -> bytes:
+    """The payload, if it has the digest its record states."""
+    if payload_digest(payload) != digest.removeprefix("sha1:"):
+        raise ValueError(f"a payload does not have its digest {digest}")
+    return payload
+
+
 def _written(date, segment_bytes):
     def run(batches):
         for batch in batches:
@@ -174,18 +183,7 @@ def write(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", least
     joined = keyed.join(later, keyed["page_id"].eqNullSafe(later["id"]) & (keyed["sha1"] == later["key"]), "left")
     joined = joined.select("page_id", "url", "html", "first", F.col("key").isNotNull().alias("shared"))
     (joined.mapInArrow(_written(date, segment_bytes), "value string").write.option("lineSep", "\r\n\r\n")
-     .option("maxRecordsPerFile", file_records).option("compression", "none").text(path))
-
-
-_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"   # fixed: RFC 4648 base32
-
-
-def base32_sha1(column: str):
-    """The digest of a payload column as :func:`payload_digest` gives it (native)."""
-    bits = F.lpad(F.conv(F.substring(F.sha1(column), 1, 10), 16, 2), 40, "0")
-    for i in (11, 21, 31):
-        bits = F.concat(bits, F.lpad(F.conv(F.substring(F.sha1(column), i, 10), 16, 2), 40, "0"))
-    return F.concat(*[F.substring(F.lit(_ALPHABET), F.conv(F.substring(bits, 5 * i + 1, 5), 2, 10).cast("int") + 1, F.lit(1)) for i in range(32)])
+     .option("maxRecordsPerFile", file_records).option("compression", "gzip").text(path))
 
 
 def _parsed(batches):
@@ -200,7 +198,8 @@ def _parsed(batches):
     for batch in batches:
         for data in batch.column("content"):
             rows = []
-            for f, block in parse(data.as_buffer().to_pybytes()):
+            data = data.as_buffer().to_pybytes()
+            for f, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
                 kind = f[b"warc-type"].decode()
                 segment = number(f.get(b"warc-segment-number"))
                 length = None
@@ -209,7 +208,7 @@ def _parsed(batches):
                     at = head.index(b"content-length:") + 15
                     length, block = int(head[at:head.index(CRLF, at)]), None
                 elif segment is None:
-                    block = decoded(block)
+                    block = checked(decoded(block), f[b"warc-payload-digest"].decode())
                 origin = f.get(b"warc-segment-origin-id", f[b"warc-record-id"]).strip(b"<>").decode()
                 text = {k: f[k].decode() if k in f else None for k in (b"warc-target-uri", b"warc-payload-digest")}
                 rows.append((origin, segment, number(f.get(b"warc-segment-total-length")), kind, number(f.get(b"x-page-id")),
@@ -225,11 +224,11 @@ def _parsed(batches):
 def _joined(batches):
     for batch in batches:
         out = []
-        for parts, total in zip(batch.column("parts").to_pylist(), batch.column("total").to_pylist()):
+        for parts, total, digest in zip(*(batch.column(c).to_pylist() for c in ("parts", "total", "digest"))):
             block = b"".join(p["payload"] for p in parts)
             if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)) or total != len(block):
                 raise ValueError(f"segments {[p['segment'] for p in parts]} have {len(block)} bytes of {total}")
-            out.append(decoded(block))
+            out.append(checked(decoded(block), digest))
         yield pa.RecordBatch.from_arrays([*batch.drop_columns(["parts", "total"]).columns, pa.array(out, pa.binary())],
                                          [*batch.drop_columns(["parts", "total"]).schema.names, "payload"])
 

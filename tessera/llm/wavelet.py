@@ -31,6 +31,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tessera.llm import words
+from tessera.llm.common import range_cuts
 
 MAGIC = b"TWM1"
 SHARD_TOKENS = 1 << 20
@@ -266,8 +267,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID, sha
     words.small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select("doc_id").filter("doc_id IS NOT NULL")
-    cuts = sorted({int(c) for c in ids.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts)})
+    cuts = range_cuts(docs, "doc_id", parts)
     part = F.size(F.filter(F.lit(cuts).cast("array<long>"), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
     part = F.when(F.col("doc_id").isNull(), 0).otherwise(part).cast("int")
     kind = encoder(vocabulary).kind
