@@ -21,7 +21,17 @@ def finite(c, dtype: T.DataType | None = None) -> Column:
     c = col_(c)
     if dtype is not None and not isinstance(dtype, (T.DoubleType, T.FloatType)):
         return c
-    return F.when(F.isnan(c) | (F.abs(c) == F.lit(INF)), F.lit(None)).otherwise(c)
+    return F.when(F.abs(c) < F.lit(INF), c)     # NaN orders above infinity
+
+
+def finite_table(df: DataFrame, cols=None) -> DataFrame:
+    """The missing-value rule on entry: NaN and +/-inf of the floating columns
+    (of ``cols``, if given) become NULL. Other columns cost nothing."""
+    kinds = (T.DoubleType, T.FloatType)
+    if not any(isinstance(f.dataType, kinds) and (cols is None or f.name in cols) for f in df.schema.fields):
+        return df
+    return df.select(*[finite(F.col(f.name)).alias(f.name) if isinstance(f.dataType, kinds) and (cols is None or f.name in cols)
+                       else F.col(f.name) for f in df.schema.fields])
 
 
 def int_label(c) -> Column:
@@ -31,9 +41,8 @@ def int_label(c) -> Column:
 
 
 def _passes_through(c: Column) -> Column:
-    """NULL and NaN are not clipped: ``least``/``greatest`` skip NULL (the
-    bound would come out) and order NaN above every number (a NaN would
-    become the upper bound); pandas' clip keeps both."""
+    """NULL is not clipped (``least``/``greatest`` skip it, so the bound would
+    come out), nor is NaN, should one get here past :func:`finite_table`."""
     return c.isNull() | F.isnan(c)
 
 
@@ -85,7 +94,7 @@ def unpivot(df: DataFrame, cols: list[str], ids: list[str] | tuple = (), cast: s
     if drop_nulls:
         cond = F.col(value).isNotNull()
         if cast == "double":
-            cond = cond & ~F.isnan(F.col(value))
+            cond = cond & (F.abs(F.col(value)) < F.lit(INF))
         long = long.where(cond)
     return long
 
@@ -121,15 +130,3 @@ def sorted_bucket(v: Column, edges: list) -> Column:
         mid = (lo + hi) // 2
         return F.when(v <= lit(edges[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
     return tree(0, len(edges))
-
-
-def digamma(x: Column) -> Column:
-    """psi(x) for x >= 1: shift to x + 8 by the recurrence, then the
-    asymptotic series (error < 1e-12)."""
-    shift = reduce(lambda a, b: a + b, [F.lit(1.0) / (x + F.lit(float(i))) for i in range(8)])
-    y = x + F.lit(8.0)
-    y2 = F.lit(1.0) / (y * y)
-    series = (F.log(y) - F.lit(0.5) / y
-              - y2 * (F.lit(1 / 12) - y2 * (F.lit(1 / 120) - y2 * (F.lit(1 / 252)
-                                                                  - y2 * (F.lit(1 / 240) - y2 * F.lit(1 / 132))))))
-    return series - shift

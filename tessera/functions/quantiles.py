@@ -7,10 +7,9 @@ distinct values. Here the work is:
 1. ``groupBy(keys, value)`` with partial aggregation: one row per distinct
    value (a hot value that holds a third of the table is one row).
 2. A small stats job: distinct values per key.
-3. Keys with few distinct values get one window per key. Keys with many get
-   value-range buckets from ``percentile_approx`` edges (bounded sketch);
-   per-(key, bucket) totals (keys x buckets rows, broadcast) give each
-   bucket's offset, and the window runs per (key, bucket) only.
+3. If no key has many distinct values, one window per key. Else the distinct
+   values are written in value ranges of bounded size; per-(key, range)
+   totals give each range's offset, and the window runs per (key, range) only.
 
 The result is an exclusive running sum of any additive measure by value,
 from which exact quantiles (k-th values) and exact rank statistics
@@ -25,19 +24,13 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import sorted_bucket, unpivot, all_of
+from tessera.functions.exprs import finite_table, unpivot
 
 ROWS_PER_BUCKET = 2_000_000   # distinct values one window partition may hold
-MAX_BUCKETS = 256
-APPROX_ACCURACY = 20_000
-
-
-def _key_cond(keys: list[str], kv: tuple) -> Column:
-    return all_of([F.col(k) == F.lit(v) for k, v in zip(keys, kv)])
 
 
 def cumulative(long_df: DataFrame, keys: list[str], value: str, measures: dict[str, Column],
-               rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
+               rows_per_bucket: int = ROWS_PER_BUCKET,
                keep: list | None = None, nd_hint: dict | None = None):
     """Distinct values per key with ``<m>`` totals and ``<m>_before``
     (sum of ``m`` over strictly smaller values of the same key).
@@ -64,42 +57,24 @@ def cumulative(long_df: DataFrame, keys: list[str], value: str, measures: dict[s
     srows = dv.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"),
                                   *[F.sum(n).alias(n) for n in names]).collect()
     stats = {tuple(r[k] for k in keys): r.asDict() for r in srows}
-    big = {k: s["_nd"] for k, s in stats.items() if s["_nd"] > rows_per_bucket}
-
-    if not big:
+    if not stats or max(s["_nd"] for s in stats.values()) <= rows_per_bucket:
         w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
         out = dv.select("*", *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"{n}_before")
                                for n in names])
         return out, stats
 
-    grid = [i / max_buckets for i in range(1, max_buckets)]
-    big_cond = None
-    for kv in big:
-        c = _key_cond(keys, kv)
-        big_cond = c if big_cond is None else (big_cond | c)
-    erows = (dv.where(big_cond).groupBy(*keys)
-             .agg(F.percentile_approx(value, grid, APPROX_ACCURACY).alias("_e")).collect())
-    bucket = None
-    nbk = 1
-    for r in erows:
-        kv = tuple(r[k] for k in keys)
-        nb = min(max_buckets, math.ceil(big[kv] / rows_per_bucket))
-        step = max_buckets / nb
-        picked = sorted({float(r["_e"][int(round(j * step)) - 1]) for j in range(1, nb)})
-        nbk = max(nbk, len(picked) + 1)
-        expr = sorted_bucket(F.col(value), picked)
-        c = _key_cond(keys, kv)
-        bucket = F.when(c, expr) if bucket is None else bucket.when(c, expr)
-    bucket = bucket.otherwise(F.lit(0))
-
-    dvb = dv.withColumn("_b", bucket)
-    # keys x buckets rows at most: bounded by schema width, not data.
+    # Value ranges of about rows_per_bucket rows, as many as that takes, for
+    # any orderable type. They are written with their numbers, so a lost
+    # executor cannot deal a value to another range.
+    from tessera.session import materialize
+    ranges = math.ceil(sum(s["_nd"] for s in stats.values()) / rows_per_bucket)
+    dvb = materialize(dv.repartitionByRange(ranges, *keys, value).withColumn("_b", F.spark_partition_id()), "ranges")
     wo = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off = (dvb.groupBy(*keys, "_b").agg(*[F.sum(n).alias(n) for n in names])
            .select(*keys, "_b", *[F.coalesce(F.sum(n).over(wo), F.lit(0)).alias(f"_off_{n}")
                                   for n in names]))
     w = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    out = (dvb.join(F.broadcast(off), keys + ["_b"])
+    out = (dvb.join(off, keys + ["_b"])
            .select(*keys, value, *names,
                    *[(F.coalesce(F.sum(n).over(w), F.lit(0)) + F.col(f"_off_{n}")).alias(f"{n}_before")
                      for n in names]))
@@ -216,7 +191,7 @@ class FilledStats:
 
     @property
     def total(self) -> int:
-        """Values after the fill (NaN, which the fill keeps, not counted)."""
+        """Values after the fill."""
         return self.n + self.nulls if self.n else 0
 
     def orig(self, i: int):
@@ -271,10 +246,11 @@ def filled_order_stats(df: DataFrame, cols: list[str], probs: dict[str, list[flo
     """For each column: exact median of its values, and the order statistics
     needed for quantiles ``probs[c]`` of the column after its NULLs are
     filled with that median -- one NULL count job and one exact k-th value
-    pass (:func:`cumulative`), however many statistics are asked. NaN is
-    skipped (a fill keeps NaN)."""
+    pass (:func:`cumulative`), however many statistics are asked. NaN and
+    infinities are missing, so the fill counts them as NULL."""
     if not cols:
         return {}
+    df = finite_table(df, cols)
     row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"_c{i}") for i, c in enumerate(cols)]).first()
     nulls = {c: row["_n"] - row[f"_c{i}"] for i, c in enumerate(cols)}
     held: list = []

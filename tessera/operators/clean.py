@@ -12,10 +12,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import clip, clip_upper, sorted_bucket, unpivot
+from tessera.functions.exprs import clip, clip_upper, finite_table, unpivot
 from tessera.functions.quantiles import column_quantiles, cumulative, filled_order_stats, medians, modes
 from tessera.operators.profile import IQR_K, iqr_bounds
 from tessera.roles import Roles
@@ -23,11 +23,12 @@ from tessera.roles import Roles
 # What pandas' ``astype(str)`` makes of a missing value, which
 # the reference's label encoder then treats as an ordinary category.
 NULL_TEXT = "nan"
-INLINE_DICT_MAX = 10_000   # larger dictionaries are joined, not inlined
 
 
 def _replace(df: DataFrame, exprs: dict) -> DataFrame:
-    """Replace the listed columns in place, keeping column order."""
+    """Replace the listed columns in place, keeping column order; what is
+    missing by the entry rule is NULL in them."""
+    df = finite_table(df, list(exprs))
     return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
 
 
@@ -95,35 +96,28 @@ def apply_log1p(df: DataFrame, cols: list[str]) -> DataFrame:
 
 @dataclass
 class OrdinalCodes:
-    """Per column: code = rank of the distinct text in ascending order."""
-    inline: dict[str, list[str]] = field(default_factory=dict)   # column -> sorted classes
-    table: DataFrame | None = None                                # feature, value, code (large)
+    """Per column: code = rank of the distinct text in ascending order, as a
+    written table (feature, value, code) of any size."""
+    columns: list[str] = field(default_factory=list)
+    table: DataFrame | None = None
 
 
 def fit_ordinal(df: DataFrame, cols: list[str]) -> OrdinalCodes:
     """Dictionary per column. Missing text is the class 'nan' (as the
-    reference's ``astype(str)``). Small dictionaries come to the driver;
-    large ones stay a DataFrame whose codes come from the bucketed running
-    count (no window holds a whole column)."""
+    reference's ``astype(str)``). The codes come from the bucketed running
+    count (no window holds a large column) and are written once."""
     if not cols:
         return OrdinalCodes()
+    from tessera.session import materialize
     prepared = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)).alias(c) for c in cols])
-    long = unpivot(prepared, cols, cast="string")
-    # one job: at most INLINE_DICT_MAX + 1 distinct pairs come back
-    rows = long.select("feature", "value").distinct().limit(INLINE_DICT_MAX + 1).collect()
-    if len(rows) <= INLINE_DICT_MAX:
-        out: dict[str, list[str]] = {c: [] for c in cols}
-        for r in rows:
-            out[r["feature"]].append(r["value"])
-        return OrdinalCodes(inline={c: sorted(v) for c, v in out.items()})
-    cum, _ = cumulative(long, ["feature"], "value", {"one": F.lit(1)})
-    table = cum.select("feature", "value", F.col("one_before").cast("int").alias("code"))
-    return OrdinalCodes(table=table)
+    cum, _ = cumulative(unpivot(prepared, cols, cast="string").distinct(), ["feature"], "value", {"one": F.count(F.lit(1))})
+    return OrdinalCodes(list(cols), materialize(cum.select("feature", "value", F.col("one_before").cast("int").alias("code")), "codes"))
 
 
 def apply_ordinal(df: DataFrame, codes: OrdinalCodes, unseen: str = "first") -> DataFrame:
     """Unseen text -> code 0 (the first class, survey Q14); ``unseen='null'``
-    gives NULL instead; ``'error'`` raises at run time."""
+    gives NULL instead; ``'error'`` raises at run time. One join with the
+    dictionary per column; the planner broadcasts a small one."""
     def fallback(c):
         if unseen == "first":
             return F.lit(0)
@@ -131,22 +125,8 @@ def apply_ordinal(df: DataFrame, codes: OrdinalCodes, unseen: str = "first") ->
             return F.lit(None).cast("int")
         return F.raise_error(F.concat(F.lit(f"unseen category in {c}: "), F.col(c)))
 
-    if codes.inline:
-        exprs = {}
-        for c, classes in codes.inline.items():
-            if c not in df.columns:
-                continue
-            x = F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT))
-            # rank among the sorted classes by a comparison tree, then one
-            # array probe tells whether the text was seen at fit time
-            pos = sorted_bucket(x, classes)
-            seen = F.element_at(F.array(*[F.lit(v) for v in classes]), F.least(pos, F.lit(len(classes) - 1)) + 1) == x
-            exprs[c] = F.when(seen, pos).otherwise(fallback(c)).cast("int") if classes else fallback(c).cast("int")
-        return _replace(df, exprs)
-    if codes.table is None:
-        return df
     out = df
-    for c in sorted(r["feature"] for r in codes.table.select("feature").distinct().collect()):
+    for c in codes.columns:
         if c not in df.columns:
             continue
         d = codes.table.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("code").alias("_code"))
@@ -162,6 +142,7 @@ def fit_standard(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
     """Mean and population sd (sklearn StandardScaler); sd 0 -> 1."""
     if not cols:
         return {}
+    df = finite_table(df, cols)
     row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
                  *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
     out = {}
@@ -199,7 +180,7 @@ def fit_clean(train: DataFrame, roles: Roles = Roles(), cap_pct: float | None =
     num, cat = roles.numeric_cols(train), roles.categorical_cols(train)
     # Several fit passes read the same rows: keep them (memory, spilling to
     # disk) for the duration of the fit; a lost executor recomputes its part.
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = finite_table(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _fit_clean(train, num, cat, cap_pct, log1p_balance, cap_cols, scale_codes)
     finally:
@@ -249,8 +230,7 @@ def fit_numeric_chain(train: DataFrame, num: list[str], k: float = IQR_K, cap_co
     on the clipped values, all from ONE exact order-statistics pass over
     the original values (:func:`filled_order_stats`) instead of three.
     Clipping is monotone, so the clipped column's order statistics are the
-    clips of the filled ones. NaN is skipped throughout, as by the
-    step-by-step fit."""
+    clips of the filled ones."""
     cap_active = cap_pct is not None and 0.0 < cap_pct < 1.0
     cap_cols = [c for c in cap_cols if c in num] if cap_active else []
     fs = filled_order_stats(train, num, {c: [0.25, 0.75] + ([cap_pct] if c in cap_cols else []) for c in num})
@@ -297,11 +277,41 @@ def params_frame(spark, st: CleanState) -> DataFrame:
         rows.append(("cap_quantile", c, "cap", str(v)))
     for c in st.log1p:
         rows.append(("log1p", c, "apply", "true"))
-    for c, classes in st.codes.inline.items():
-        rows += [("encode_ordinal", c, f"code:{i}", v) for i, v in enumerate(classes)]
     for c, (m, s) in st.scale.items():
         rows += [("standardize", c, "mean", str(m)), ("standardize", c, "scale", str(s))]
-    return spark.createDataFrame(rows, "operator string, column_name string, stat string, value string")
-
-
-_ = Window
+    for kind, cols in (("numeric", st.numeric), ("categorical", st.categorical)):
+        rows += [("roles", c, f"{kind}:{i}", None) for i, c in enumerate(cols)]
+    out = spark.createDataFrame(rows, PARAMS_SCHEMA)
+    if st.codes.table is None:
+        return out
+    # a dictionary of any size is a part of the table, not of the driver
+    return out.unionByName(st.codes.table.select(
+        F.lit("encode_ordinal").alias("operator"), F.col("feature").alias("column_name"),
+        F.concat(F.lit("code:"), F.col("code").cast("string")).alias("stat"), "value"))
+
+
+PARAMS_SCHEMA = "operator string, column_name string, stat string, value string"
+
+
+def clean_state(params: DataFrame) -> CleanState:
+    """S10 read side: the state that :func:`params_frame` wrote. Only the
+    dictionaries stay a DataFrame."""
+    def number(v):
+        return None if v in (None, "None") else float(v)
+
+    codes = params.where("operator = 'encode_ordinal'").select(
+        F.col("column_name").alias("feature"), "value", F.expr("substring(stat, 6)").cast("int").alias("code"))
+    got: dict[str, dict[str, dict]] = {}
+    for r in params.where("operator <> 'encode_ordinal'").collect():      # columns x statistics
+        got.setdefault(r["operator"], {}).setdefault(r["column_name"], {})[r["stat"]] = r["value"]
+    roles = {(k.split(":")[0], int(k.split(":")[1])): c for c, v in got.get("roles", {}).items() for k in v}
+    numeric, categorical = ([c for (k, _), c in sorted(roles.items()) if k == kind] for kind in ("numeric", "categorical"))
+    return CleanState(
+        numeric, categorical,
+        {c: number(v["median"]) for c, v in got.get("impute_median", {}).items()},
+        {c: v["mode"] for c, v in got.get("impute_mode", {}).items()},
+        {c: (number(v["lower"]), number(v["upper"])) for c, v in got.get("cap_iqr", {}).items()},
+        {c: number(v["cap"]) for c, v in got.get("cap_quantile", {}).items()},
+        list(got.get("log1p", {})),
+        OrdinalCodes(categorical, codes) if categorical else OrdinalCodes(),
+        {c: (number(v["mean"]), number(v["scale"])) for c, v in got.get("standardize", {}).items()})

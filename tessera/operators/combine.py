@@ -90,8 +90,9 @@ def submission(sample: DataFrame, preds: DataFrame, key: str = "id", col: str =
                check: bool = True) -> DataFrame:
     """J03 + E10: the sample's keys with the prediction clipped to [0, 1].
 
-    ``check`` runs one aggregate over a full outer join and raises when a
-    key is on one side only (the reference compares row counts).
+    ``check`` runs one aggregate over the keys of both sides and raises when a
+    key is on one side only or has several predictions (the reference
+    compares row counts).
     """
     if col not in preds.columns:
         others = [c for c in preds.columns if c != key]
@@ -101,11 +102,13 @@ def submission(sample: DataFrame, preds: DataFrame, key: str = "id", col: str =
     s = sample.select(key).withColumn("_s", F.lit(1))
     p = preds.select(key, col).withColumn("_p", F.lit(1))
     if check:
-        bad = (s.join(p, key, "full_outer")
-               .agg(F.count_if(F.col("_s").isNull()).alias("a"), F.count_if(F.col("_p").isNull()).alias("b"))
+        one = F.lit(1).cast("long")
+        keys = s.select(key, one.alias("s"), (one - 1).alias("p")).unionByName(p.select(key, (one - 1).alias("s"), one.alias("p")))
+        bad = (keys.groupBy(key).agg(F.sum("s").alias("s"), F.sum("p").alias("p"))
+               .agg(F.count_if(F.col("s") == 0).alias("a"), F.count_if(F.col("p") == 0).alias("b"), F.count_if(F.col("p") > 1).alias("c"))
                .first())
-        if bad["a"] or bad["b"]:
+        if bad["a"] or bad["b"] or bad["c"]:
             raise ValueError(f"row mismatch: {bad['b']} sample keys without prediction, "
-                             f"{bad['a']} predictions without sample key")
+                             f"{bad['a']} predictions without sample key, {bad['c']} keys with several predictions")
     clipped = clip(F.col(col).cast("double"), 0.0, 1.0)
     return sample.drop(col).join(p.select(key, clipped.alias(col)), key, "inner")

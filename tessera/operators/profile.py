@@ -7,12 +7,13 @@ Many columns and one statistic is one ``agg``; per-value work is an
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import unpivot, case_by
-from tessera.functions.quantiles import column_quantiles, quantiles
+from tessera.functions.exprs import case_by, finite_table, unpivot
+from tessera.functions.quantiles import column_quantiles
 from tessera.roles import Roles
 
 IQR_K = 1.5
@@ -20,6 +21,7 @@ HIST_BINS = 50
 TOP_VALUES = 10
 TOP_PAIRS = 15
 TOPK_SPREAD = 256   # hash buckets for the two-level top-k
+PAIR_BLOCK = 60     # column pairs one correlation aggregate holds
 
 
 def _numeric(df: DataFrame, roles: Roles, cols=None) -> list[str]:
@@ -40,7 +42,7 @@ def _stack(row_df: DataFrame, items: list[tuple[str, str, str]], names=("check",
 def missing_counts(df: DataFrame, cols=None, only_positive: bool = True) -> DataFrame:
     """(column_name, missing_count) for columns with missing values."""
     cols = list(cols or df.columns)
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_m{i}") for i, c in enumerate(cols)])
+    row = finite_table(df).agg(*[F.count_if(F.col(c).isNull()).alias(f"_m{i}") for i, c in enumerate(cols)])
     out = _stack(row, [("missing", c, f"_m{i}") for i, c in enumerate(cols)]) \
         .select("column_name", F.col("value").cast("long").alias("missing_count"))
     return out.where(F.col("missing_count") > 0) if only_positive else out
@@ -49,7 +51,7 @@ def missing_counts(df: DataFrame, cols=None, only_positive: bool = True) -> Data
 def missingness(df: DataFrame, cols=None) -> DataFrame:
     """Count and share missing for every column, largest first."""
     cols = list(cols or df.columns)
-    row = df.agg(F.count(F.lit(1)).alias("_n"),
+    row = finite_table(df).agg(F.count(F.lit(1)).alias("_n"),
                  *[F.count_if(F.col(c).isNull()).alias(f"_m{i}") for i, c in enumerate(cols)])
     arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_m{i}").alias("missing_count"))
                     for i, c in enumerate(cols)])
@@ -104,7 +106,8 @@ def class_weight_value(df: DataFrame, label: str = "y") -> float:
 # ---------------------------------------------------------------- A05 / P10
 
 def iqr_bounds(df: DataFrame, cols: list[str], k: float = IQR_K) -> dict[str, tuple]:
-    """Fit: (lower, upper) = (Q1 - k IQR, Q3 + k IQR) per column (exact)."""
+    """Fit: (lower, upper) = (Q1 - k IQR, Q3 + k IQR) per column (exact; the
+    quantiles skip what is missing, NaN and infinities included)."""
     q = column_quantiles(df, cols, [0.25, 0.75])
     out = {}
     for c, (q1, q3) in q.items():
@@ -125,6 +128,7 @@ def outlier_flag(c: str, lo, hi):
 
 def iqr_outlier_counts(df: DataFrame, roles: Roles = Roles(), cols=None, k: float = IQR_K) -> DataFrame:
     """(column_name, outlier_count) per numeric non-label column."""
+    df = finite_table(df)
     cols = _numeric(df, roles, cols)
     b = iqr_bounds(df, cols, k)
     row = df.agg(*[F.count_if(outlier_flag(c, *b[c])).alias(f"_o{i}") for i, c in enumerate(cols)])
@@ -140,6 +144,7 @@ def validation_table(df: DataFrame, roles: Roles = Roles(), k: float = IQR_K) ->
     One scan for missing counts, total and outliers; one shuffle for
     duplicates; one tiny aggregate for the class distribution.
     """
+    df = finite_table(df)
     cols = df.columns
     num = roles.numeric_cols(df)
     b = iqr_bounds(df, num, k)
@@ -172,6 +177,7 @@ def describe(df: DataFrame, roles: Roles = Roles(), cols=None) -> DataFrame:
     Numeric columns get the numeric statistics, text columns the counting
     ones (as pandas ``describe(include='all')``). Exact quartiles.
     """
+    df = finite_table(df)
     cols = list(cols or df.columns)
     num = [c for c in cols if c in set(roles.numeric_cols(df)) or c == roles.label or c == roles.key]
     num = [c for c in cols if c in num]
@@ -227,23 +233,31 @@ def correlation_pairs(df: DataFrame, cols: list[str], upper_only: bool = False,
     """Pearson r on pairwise-complete rows, as (feature_a, feature_b,
     pos_a, pos_b, corr); ``pos_a < pos_b`` is the strict upper triangle.
 
-    Each row is expanded into one (pair, a, b) row per column pair and the
-    pairs are aggregated by key: a small code-generated aggregate with
-    partial aggregation (one row per pair per task before the shuffle)
-    instead of one very wide aggregate. ``corr`` raises under ANSI on a
-    constant column, so r = covar_pop / (sd_a * sd_b), NULL when undefined.
+    The moments of ``PAIR_BLOCK`` pairs at a time are plain partial aggregates
+    over one scan, so rows are not expanded and no aggregate grows wide.
+    ``corr`` raises under ANSI on a constant column, so
+    r = covar_pop / (sd_a * sd_b), NULL when undefined.
     """
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     if not pairs:
         return df.sparkSession.createDataFrame(
             [], "feature_a string, feature_b string, pos_a int, pos_b int, corr double")
-    arr = F.array(*[F.struct(F.lit(k).alias("_k"), F.col(cols[i]).cast("double").alias("_a"),
-                             F.col(cols[j]).cast("double").alias("_b")) for k, (i, j) in enumerate(pairs)])
-    long = df.select(F.inline(arr)).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
-    st = long.groupBy("_k").agg(F.covar_pop("_a", "_b").alias("c"), F.stddev_pop("_a").alias("sa"),
-                                F.stddev_pop("_b").alias("sb"))
+    x = finite_table(df.select(*cols))
+    blocks = []
+    for start in range(0, len(pairs), PAIR_BLOCK):
+        aggs = []
+        for k, (i, j) in enumerate(pairs[start:start + PAIR_BLOCK], start):
+            a, b = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
+            both = a.isNotNull() & b.isNotNull()
+            aggs += [F.covar_pop(F.when(both, a), F.when(both, b)).alias(f"c{k}"),
+                     F.stddev_pop(F.when(both, a)).alias(f"a{k}"), F.stddev_pop(F.when(both, b)).alias(f"b{k}")]
+        row = x.agg(*aggs)
+        blocks.append(row.select(F.explode(F.array(*[
+            F.struct(F.lit(k).alias("_k"), F.col(f"c{k}").alias("c"), F.col(f"a{k}").alias("sa"), F.col(f"b{k}").alias("sb"))
+            for k in range(start, min(start + PAIR_BLOCK, len(pairs)))])).alias("s")).select("s.*"))
+    st = reduce(DataFrame.unionByName, blocks)
     r = F.try_divide(F.col("c"), F.col("sa") * F.col("sb"))
-    r = F.when(r.isNotNull(), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
+    r = F.when(F.abs(r) < F.lit(float("inf")), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
     meta_rows = []
     for k, (i, j) in enumerate(pairs):
         if i == j and not include_diagonal:
@@ -295,6 +309,7 @@ def top_values(df: DataFrame, cols: list[str], k: int = TOP_VALUES) -> DataFrame
 
 def skewness(df: DataFrame, cols: list[str]) -> DataFrame:
     """A10: bias-adjusted sample skewness (pandas / DuckDB), largest first."""
+    df = finite_table(df, cols)
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
@@ -314,6 +329,7 @@ def skewness(df: DataFrame, cols: list[str]) -> DataFrame:
 def histogram(df: DataFrame, cols: list[str], bins: int = HIST_BINS) -> DataFrame:
     """Equal-width bins over [min, max], last bin closed, non-empty
     bins as (column_name, bin, bin_lo, bin_hi, count)."""
+    df = finite_table(df, cols)
     row = df.agg(*[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
                  *[F.max(F.col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
     rng = {}
@@ -357,6 +373,7 @@ def density(df: DataFrame, cols: list[str], by: str | None = None, points: int =
     Scott bandwidth n^(-1/5) * sample sd; grid from min - 3 bw to max + 3 bw.
     Exact: one pass with one sum per grid point (no row blow-up).
     """
+    df = finite_table(df, cols)
     gcols = [by] if by else []
     aggs = []
     for i, c in enumerate(cols):
@@ -401,10 +418,14 @@ def density(df: DataFrame, cols: list[str], by: str | None = None, points: int =
 
 # ---------------------------------------------------------------- A14
 
+PREVIEW_ROWS = 5
+
+
 def shape(df: DataFrame) -> DataFrame:
     """Row and column counts."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
 
 
-def grouped_quantiles(df: DataFrame, cols: list[str], ps: list[float], by: str) -> dict:
-    return quantiles(df, {c: ps for c in cols}, group_cols=[by])
+def preview(df: DataFrame, key: str = "id", n: int = PREVIEW_ROWS) -> DataFrame:
+    """The first n rows by key (rows have no position here)."""
+    return df.orderBy(key).limit(n)

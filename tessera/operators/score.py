@@ -10,8 +10,6 @@ billions of distinct values lands in one task.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +18,6 @@ from tessera.functions.quantiles import cumulative, medians
 from tessera.roles import Roles
 
 LEAK_HI, LEAK_LO = 0.999, 0.001
-MI_MAX_DISCRETE = 20
 MI_BINS = 10
 
 
@@ -119,13 +116,11 @@ def target_correlation(df: DataFrame, roles: Roles = Roles(), cols=None) -> Data
 
 # ---------------------------------------------------------------- M02
 
-def mutual_information(df: DataFrame, roles: Roles = Roles(), cols=None, max_discrete: int = MI_MAX_DISCRETE,
-                       bins: int = MI_BINS) -> DataFrame:
+def mutual_information(df: DataFrame, roles: Roles = Roles(), cols=None, bins: int = MI_BINS) -> DataFrame:
     """M02 (binned): plug-in mutual information in nats between each
-    discretised feature and the label, after median fill: columns with at
-    most ``max_discrete`` distinct filled values keep their values, the
-    rest are cut into exact quantile bins (T10) of the filled values.
-    Medians, distinct counts and bin edges all come from one exact
+    discretised feature and the label, after median fill: the columns that
+    ``roles.discrete`` names keep their values, the rest are cut into exact
+    quantile bins (T10) of the filled values. Medians and bin edges come from one exact
     order-statistics pass (:func:`filled_order_stats`). (feature, mi)."""
     from tessera.functions.quantiles import filled_order_stats
     from tessera.operators.features import apply_qbins
@@ -135,7 +130,7 @@ def mutual_information(df: DataFrame, roles: Roles = Roles(), cols=None, max_dis
     fs = filled_order_stats(x, cols, {c: ps for c in cols})
     x = x.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fs[c].median).cast("double")).alias(c) for c in cols],
                  roles.label)
-    cont = [c for c in cols if fs[c].nd_filled > max_discrete]
+    cont = [c for c in cols if c not in roles.discrete]
     if cont:
         x = apply_qbins(x, {c: sorted({v for v in (fs[c].quantile(p) for p in ps) if v is not None}) for c in cont})
     sel = [F.col(f"{c}_qbin").cast("double").alias(c) if c in cont else F.col(c).cast("double").alias(c)
@@ -167,5 +162,3 @@ def plot_order(columns: list[str], spark, shap: DataFrame | None = None, auc: Da
     # window over the column list only (schema width, not data)
     return j.select(F.row_number().over(w).cast("long").alias("position"), "column_name")
 
-
-_ = math

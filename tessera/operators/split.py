@@ -3,18 +3,20 @@
 Row order comes from md5(seed | key), so the split is reproducible in any
 engine and needs no ``rand()``. Ranking a whole class is done in two passes
 so no window ever holds a class: count rows per (class, hash prefix), turn
-those counts (classes x 4096 rows) into offsets, then number rows inside
-each (class, prefix) and add the offset.
+those counts into offsets, then number rows inside each (class, prefix) and
+add the offset. The prefix is as long as the largest class needs.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.quantiles import cumulative
 
-PREFIX_HEX = 3   # 4096 hash buckets per class
+ROWS_PER_PREFIX = 50_000   # rows of a class that one window numbers, about
 SEED = 42
 
 
@@ -25,13 +27,14 @@ def order_hash(key: str, seed: int = SEED) -> Column:
 def rank_by_hash(df: DataFrame, key: str, by: str, seed: int = SEED) -> DataFrame:
     """Adds ``_rank`` (1-based) of each row inside its ``by`` class, ordered
     by (md5(seed|key), key)."""
-    h = df.withColumn("_h", order_hash(key, seed)).withColumn("_p", F.substring("_h", 1, PREFIX_HEX))
+    largest = df.groupBy(by).count().agg(F.max("count")).first()[0] or 0
+    prefix = max(1, math.ceil(math.log(max(largest / ROWS_PER_PREFIX, 1), 16)))
+    h = df.withColumn("_h", order_hash(key, seed)).withColumn("_p", F.substring("_h", 1, prefix))
     counts = h.groupBy(by, "_p").agg(F.count(F.lit(1)).alias("_c"))
     wo = Window.partitionBy(by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(by, "_p", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
     w = Window.partitionBy(by, "_p").orderBy("_h", key)
-    # offsets table: classes x 16^PREFIX_HEX rows, a fixed bound.
-    return (h.join(F.broadcast(offs), [by, "_p"], "left")
+    return (h.join(offs, h[by].eqNullSafe(offs[by]) & (h["_p"] == offs["_p"])).drop(offs[by]).drop(offs["_p"])
             .withColumn("_rank", F.row_number().over(w) + F.col("_off"))
             .drop("_h", "_p", "_off"))
 
@@ -56,7 +59,7 @@ def stratified_holdout(df: DataFrame, frac: float = 0.2, seed: int = SEED, key:
     """The first ceil(frac * class size) rows of each class by hash
     order are 'valid', the rest 'train'."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    r = rank_by_hash(df, key, label, seed).join(F.broadcast(sizes), label)
+    r = rank_by_hash(df, key, label, seed).join(sizes, label)
     return (r.withColumn(part_col, F.when(F.col("_rank") <= F.ceil(F.col("_n") * F.lit(frac)), "valid")
                          .otherwise("train")).drop("_rank", "_n"))
 

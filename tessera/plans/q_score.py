@@ -18,7 +18,8 @@ from tessera.sources.bank import bank_train, sql_with
 
 NUM = ["age", "balance", "duration", "campaign", "previous"]
 CAT = ["job", "marital", "education", "contact"]
-ROLES = Roles()
+DISCRETE = ("campaign",)     # the numeric column whose values are classes for M02
+ROLES = Roles(discrete=DISCRETE)
 K = 5
 
 
@@ -201,7 +202,7 @@ def _mi_sql(src_cols=NUM):
     return (", l AS (" + G.median_filled_long("train", src_cols, ["y"]) + "),\n"
             f"st AS (SELECT feature, count(DISTINCT value) AS nd, "
             f"list_sort(list_distinct(quantile_cont(value, [{ps}]))) AS e FROM l GROUP BY feature),\n"
-            "b AS (SELECT l.feature, l.y, CASE WHEN st.nd <= " + str(M.MI_MAX_DISCRETE) + " THEN l.value "
+            "b AS (SELECT l.feature, l.y, CASE WHEN l.feature IN (" + ", ".join(f"'{c}'" for c in DISCRETE) + ") THEN l.value "
             "WHEN len(st.e) < 2 THEN NULL ELSE greatest(len(list_filter(st.e, lambda x: x < l.value)) - 1, 0) END AS v "
             "FROM l JOIN st ON st.feature = l.feature),\n"
             "j AS (SELECT feature, v, y, count(*) AS nxy FROM b WHERE v IS NOT NULL GROUP BY feature, v, y),\n"

@@ -29,6 +29,7 @@ class Roles:
     numeric: tuple[str, ...] | None = None
     categorical: tuple[str, ...] | None = None
     extra_exclude: tuple[str, ...] = field(default_factory=tuple)
+    discrete: tuple[str, ...] = field(default_factory=tuple)     # numeric columns whose values are classes (M02)
 
     @property
     def reserved(self) -> set[str]:

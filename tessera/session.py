@@ -54,16 +54,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not (sc.master or "").split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(d)
     return d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)
-
-
 _WRITTEN: list[str] = []   # tables this process wrote with materialize()
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.exprs import finite_table
+
 # Text that pandas' CSV reader treats as missing by default.
 CSV_NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
                    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
@@ -20,24 +22,35 @@ CSV_NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              null_tokens: tuple[str, ...] = CSV_NULL_TOKENS) -> DataFrame:
-    """Header row, typed columns.
+    """Header row, typed columns, missing values as NULL.
 
-    Pass ``schema`` in production (inference costs an extra full pass). Spark
-    takes one ``nullValue``; the other tokens become NULL by expression on
-    text columns only.
+    Spark's reader knows one ``nullValue``, so all columns are read as text,
+    the missing tokens become NULL in every column, and the columns are then
+    cast to ``schema``; text that is no such value fails the query. Without
+    a schema one scan infers it: int or long if all values are whole numbers,
+    double if all are numbers, else text. NaN and infinities are NULL.
     """
-    r = spark.read.option("header", True).option("mode", "FAILFAST")
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    df = r.csv(path)
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
     toks = [t for t in null_tokens if t != ""]
-    exprs = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.StringType) and toks:
-            exprs.append(F.when(F.col(f.name).isin(*toks), F.lit(None))
-                         .otherwise(F.col(f.name)).alias(f.name))
-        else:
-            exprs.append(F.col(f.name))
-    return df.select(*exprs)
+    raw = raw.select(*[F.when(~F.col(c).isin(*toks), F.col(c)).alias(c) for c in raw.columns])
+    if schema is None:
+        kinds = raw.agg(*[F.struct(
+            F.coalesce(F.bool_and(F.expr(f"try_cast(`{c}` AS INT) IS NOT NULL OR `{c}` IS NULL")), F.lit(False)).alias("small"),
+            F.coalesce(F.bool_and(F.expr(f"try_cast(`{c}` AS BIGINT) IS NOT NULL OR `{c}` IS NULL")), F.lit(False)).alias("whole"),
+            F.coalesce(F.bool_and(F.expr(f"try_cast(`{c}` AS DOUBLE) IS NOT NULL OR `{c}` IS NULL")), F.lit(False)).alias("number"),
+            F.count(c).alias("n")).alias(f"c{i}") for i, c in enumerate(raw.columns)]).first()
+        types = {}
+        for i, c in enumerate(raw.columns):
+            k = kinds[f"c{i}"]
+            types[c] = "string" if not k["n"] else "int" if k["small"] else "bigint" if k["whole"] else "double" if k["number"] else "string"
+    else:
+        fields = (T._parse_datatype_string(schema) if isinstance(schema, str) else schema).fields
+        types = {f.name: f.dataType for f in fields}
+        missing = set(types) - set(raw.columns)
+        if missing:
+            raise ValueError(f"{path} has no column(s) {sorted(missing)}")
+        raw = raw.select(*types)
+    return finite_table(raw.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()]))
 
 
 def read_table(spark: SparkSession, path: str, **kw) -> DataFrame:
@@ -45,7 +58,7 @@ def read_table(spark: SparkSession, path: str, **kw) -> DataFrame:
     p = path.rstrip("/").lower()
     if p.endswith(".csv"):
         return read_csv(spark, path, **kw)
-    return spark.read.parquet(path)
+    return finite_table(spark.read.parquet(path))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -72,10 +85,13 @@ def split_scan(df: DataFrame, which: str, split_col: str = "split") -> DataFrame
 
 def scan_external_csvs(spark: SparkSession, folder: str, **kw) -> list[tuple[str, DataFrame]]:
     """One reader per CSV in the folder (their schemas differ)."""
-    if not os.path.isdir(folder):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path) or not fs.getFileStatus(path).isDirectory():
         return []
-    names = sorted(n for n in os.listdir(folder) if n.lower().endswith(".csv"))
-    return [(n, read_csv(spark, os.path.join(folder, n), **kw)) for n in names]
+    found = {f.getPath().getName(): f.getPath().toString() for f in fs.listStatus(path)}
+    return [(n, read_csv(spark, found[n], **kw)) for n in sorted(found) if n.lower().endswith(".csv")]
 
 
 def refresh_warehouse(spark: SparkSession, train: DataFrame, test: DataFrame | None,

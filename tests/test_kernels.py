@@ -109,7 +109,7 @@ def test_filled_order_stats_vs_brute_force(spark):
             continue
         med = float(np.quantile(v, 0.5))
         assert fs[c].median == pytest.approx(med, abs=1e-12)
-        nulls = sum(1 for x in data[c] if x is None)
+        nulls = sum(1 for x in data[c] if x is None or math.isnan(x))
         filled = np.concatenate([v, np.full(nulls, med)])
         for p in ps:
             assert fs[c].quantile(p) == pytest.approx(float(np.quantile(filled, p)), abs=1e-12), (c, p)
