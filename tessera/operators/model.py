@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
@@ -136,6 +137,7 @@ class CVResult:
     metrics: DataFrame      # fold, roc_auc; fold 0 = pooled OOF (E05)
     models: list
     held: tuple = ()
+    steps: object = None    # what the in-fold steps found (FoldSteps)
 
     def release(self) -> None:
         """Drop the cached fold table (results stay valid: they recompute
@@ -145,35 +147,41 @@ class CVResult:
 
 
 def cross_validate(folded: DataFrame, cols: list[str], p: Profile, test: DataFrame | None = None,
-                   roles: Roles = Roles(), k: int = 5, fold_col: str = "fold", parallel_fits: int = 5) -> CVResult:
+                   roles: Roles = Roles(), k: int = 5, fold_col: str = "fold", parallel_fits: int = 5,
+                   steps=None, model_dir: str | None = None) -> CVResult:
     """For each fold fit on the other folds, score the fold and the
-    test table. The class weight is measured once on all training rows."""
-    key, label = roles.key, roles.label
-    data = assemble(folded.select(key, fold_col, label, *cols), cols).persist(StorageLevel.MEMORY_AND_DISK)
-    tdata = assemble(test.select(key, *cols), cols).persist(StorageLevel.MEMORY_AND_DISK) if test is not None else None
+    test table. The class weight is measured once on all training rows.
+    ``steps`` (an :class:`~tessera.operators.infold.InFold`) are fitted in each
+    fold first; ``model_dir`` gets each fold's model (S11)."""
+    from tessera.operators.clean import apply_cap
+    from tessera.operators.infold import FoldSteps, fit_in_folds
     from tessera.operators.profile import class_weight_value
+    key, label = roles.key, roles.label
+    data = folded.select(key, fold_col, label, *cols).persist(StorageLevel.MEMORY_AND_DISK)
+    tdata = test.select(key, *cols).persist(StorageLevel.MEMORY_AND_DISK) if test is not None else None
+    fitted = fit_in_folds(data, cols, steps, roles, k, fold_col) if steps is not None else FoldSteps()
     w = class_weight_value(data, label)
+
+    def rows(df, f):
+        """Fold f's view of a table: its cap, its columns."""
+        return assemble(apply_cap(df, fitted.caps.get(f, {})), fitted.columns.get(f, cols))
+
     # The k fits are independent: submit them from a small thread pool so
     # their jobs share the cluster instead of queueing behind each other.
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=min(k, parallel_fits)) as pool:
-        models = list(pool.map(lambda f: fit(p, data.where(F.col(fold_col) != f), label, w), range(1, k + 1)))
+        models = list(pool.map(lambda f: fit(p, rows(data.where(F.col(fold_col) != f), f), label, w), range(1, k + 1)))
     oofs, tests = [], []
     for f, m in zip(range(1, k + 1), models):
-        oofs.append(m.score(data.where(F.col(fold_col) == f), [key, fold_col, label]))
+        if model_dir is not None:
+            m.model.write().overwrite().save(f"{model_dir}/fold_{f}")
+        oofs.append(m.score(rows(data.where(F.col(fold_col) == f), f), [key, fold_col, label]))
         if tdata is not None:
-            tests.append(m.score(tdata, [key]).withColumn(fold_col, F.lit(f)))
-    oof = oofs[0]
-    for o in oofs[1:]:
-        oof = oof.unionByName(o)
-    tmean = None
-    if tests:
-        t = tests[0]
-        for o in tests[1:]:
-            t = t.unionByName(o)
-        tmean = t.groupBy(key).agg(F.avg("p").alias("p"))
+            tests.append(m.score(rows(tdata, f), [key]).withColumn(fold_col, F.lit(f)))
+    oof = reduce(DataFrame.unionByName, oofs)
+    tmean = reduce(DataFrame.unionByName, tests).groupBy(key).agg(F.avg("p").alias("p")) if tests else None
     held = (data,) if tdata is None else (data, tdata)
-    return CVResult(oof, tmean, fold_metrics(oof, label, "p", fold_col), models, held)
+    return CVResult(oof, tmean, fold_metrics(oof, label, "p", fold_col), models, held, fitted)
 
 
 # ---------------------------------------------------------------- L08 / E08

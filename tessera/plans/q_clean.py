@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import r6
 from tessera.operators import clean as C
 from tessera.plans.registry import register
 from tessera.roles import Roles
+from tessera.session import checkpoint_dir
+from tessera.sources.io import load_params, save_params
 from tessera.sources.bank import bank_materialized, bank_train, bank_test, bank_view, with_text_nulls, sql_with
 
 NUM = ["age", "balance", "duration", "campaign", "previous"]
@@ -198,9 +202,19 @@ def t14_clean_chain(spark, d):
 
 @register("s10_clean_params")
 def s10_clean_params(spark, d):
-    """Fitted state of the chain as a table (rows-only check)."""
+    """Fitted state of the chain as a table, saved and read back (rows-only check)."""
     st = C.fit_clean(bank_train(spark, d, dirty=True), ROLES, cap_pct=CAP_Q, log1p_balance=True)
-    return C.params_frame(spark, st)
+    path = f"{checkpoint_dir(spark)}/params/{uuid.uuid4().hex}"
+    save_params(C.params_frame(spark, st), path)
+    return load_params(spark, path)
+
+
+@register("s10_reloaded_state", "SELECT * FROM (" + _chain_sql() + ") WHERE split = 'test'")
+def s10_reloaded_state(spark, d):
+    """The chain's state saved, read back, rebuilt and applied to the test rows."""
+    st = C.clean_state(s10_clean_params(spark, d))
+    b = C.apply_clean(bank_test(spark, d, dirty=True), st, ROLES).withColumn("split", F.lit("test")).withColumn("y", F.lit(None).cast("int"))
+    return _round(b.select("id", "y", "split", *NUM, *CAT), NUM + CAT)
 
 
 _ = (with_text_nulls,)

@@ -69,12 +69,21 @@ def s08_warehouse_refresh(spark, d):
     ", l AS (" + G.median_filled_long("train", NUM, ["y"]) + ")\n"
     "SELECT feature, round(auc, 6) AS auc, round(abs(auc - 0.5), 6) AS auc_dev FROM " + G.auc("l", ["feature"])))
 def s09_bi_export(spark, d):
-    """Export the training rows and a score report to one folder as CSV;
-    the report is read back from the export."""
+    """Export train, test and the five score reports to one folder as CSV; a
+    report is read back from the export."""
     from tessera.operators import score as M
     from tessera.roles import Roles
     folder = _scratch(spark, "bi")
     tr = bank_train(spark, d)
     rep = M.univariate_auc(tr, Roles()).select("feature", r6("auc").alias("auc"), r6("auc_dev").alias("auc_dev"))
-    IO.export_reports({"train": tr, "univariate_auc": rep}, folder)
+    from tessera.operators import model as ML
+    from tessera.operators import profile as P
+    num = tr.select("id", "y", *NUM)
+    filled = num.na.fill(0.0, NUM)
+    IO.export_reports({
+        "train": tr, "test": bank_test(spark, d), "univariate_auc": rep,
+        "mutual_information": M.mutual_information(tr, Roles(discrete=("campaign",))),
+        "target_correlation": M.target_correlation(tr, Roles()),
+        "model_importance": ML.model_importance(filled, NUM, rounds=2),
+        "missingness": P.missingness(tr)}, folder)
     return IO.read_csv(spark, os.path.join(folder, "univariate_auc"), schema=rep.schema)

@@ -184,36 +184,6 @@ def e11_corr_threshold_sweep(spark, d):
                                                     F.coalesce("best", F.lit(False)).alias("best"))
 
 
-@register("f08_in_fold_selection_log")
-def f08_in_fold_selection_log(spark, d):
-    """F08 + S12: per fold cap -> leakers -> correlation reduction ->
-    explicit feature list -> MI selection, logged as kept-column rows."""
-    from tessera.operators import features as FE
-    f, _, cols = _folded(spark, d)
-    copies = S.fold_training_copies(f, K)
-    caps = FE.fit_cap_by_group(copies, ["duration", "campaign"], 0.99, "fit_fold")
-    capped = FE.apply_cap_by_group(f, caps, "fold")
-    leak = {(r["fold"], r["feature"]) for r in SEL.leakers_by_fold(capped, ROLES, cols, K).collect()}
-    feature_list = ["age", "balance", "duration", "campaign", "previous", "job", "contact"]
-    def select_in_fold(k):
-        part = capped.where(F.col("fold") != k)
-        c1 = [c for c in cols if (k, c) not in leak]
-        c2 = SEL.prune_correlated(part, c1, 0.99)
-        c3 = [c for c in c2 if c in feature_list] or c2
-        return k, c2, SEL.select_by_mi(part, ROLES, c3, 4)
-
-    # the folds' selections are independent: their jobs share the cluster
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=K) as pool:
-        kept_by_fold = list(pool.map(select_in_fold, range(1, K + 1)))
-    logs = None
-    for k, c2, c4 in kept_by_fold:
-        for stage, method, param, kept in (("reduction", "corr", "0.99", c2), ("selection", "mi", "4", c4)):
-            lg = kept_columns_log(spark, k, stage, method, param, kept)
-            logs = lg if logs is None else logs.unionByName(lg)
-    return logs
-
-
 @register("m05_shap_importance")
 def m05_shap_importance(spark, d):
     from tessera.operators.explain import shap_importance

@@ -28,4 +28,4 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     # importing the modules fills the registries
     from tessera.plans import (q_profile, q_clean, q_features, q_combine, q_split, q_score, q_model, q_io,  # noqa: F401
-                               q_project)
+                               q_project, q_entry)
