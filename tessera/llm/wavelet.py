@@ -22,8 +22,8 @@ their ids; an empty table writes no shard."""
 from __future__ import annotations
 
 import struct
-import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ MAGIC = b"TWM1"
 SHARD_TOKENS = 1 << 20
 WORD = 512
 END_ID = 2
-CACHE_ENTRIES = 300_000     # per Python worker; emptied when full, so only speed depends on it
+CACHE_ENTRIES = 500_000     # per Python worker; emptied when full, so only speed depends on it
 
 
 class WaveletMatrix:
@@ -168,37 +168,53 @@ _tokenizers: dict = {}
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that byte-level vocabularies write for each byte: itself if
+    it is printable in Latin-1, else one of those from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 0x100 + n for n, b in enumerate(rest)}
+
+
 class Encoder:
     """Ids of whole texts with ``add_special_tokens=False``. White space ends a
-    piece in this vocabulary, so words are encoded once each and kept; a
-    word of ASCII and Latin letters is first cut into the vocabulary's pieces,
-    as those repeat more often. Only the library makes ids."""
+    piece in this vocabulary, so words are encoded once each and kept. A word of
+    ASCII and Latin letters is first cut into the vocabulary's pieces, as those
+    repeat more often, and the library's model merges each piece; other words
+    go through the whole library encoder."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
+        self.letters = _byte_letters()
         self.wide = self.library.get_vocab_size() > 1 << 16
         self.kind = np.uint32 if self.wide else np.uint16
+        self.code = "I" if self.wide else "H"
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            spelled = piece.encode().decode("latin-1").translate(self.letters)
+            found = self.pieces[piece] = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return found
+
     def _learn(self, missing: set[bytes]) -> None:
-        plain, odd, new = [], [], set()
+        odd = []
         for w in missing:
             text = w.decode()
-            if w.isascii() or max(text) < "ƀ":
-                cut = _PIECES.findall(unicodedata.normalize("NFC", text).lower())
-                plain.append((w, cut))
-                new.update(p for p in cut if p not in self.pieces)
+            if w.isascii() or max(text) < "ƀ":           # no composing marks below U+0180
+                low = text.lower()
+                if low.isalpha():
+                    self.words[w] = self._piece(low)
+                else:
+                    self.words[w] = b"".join([self._piece(p) for p in _PIECES.findall(low)])
             else:
                 odd.append((w, text))
-        new = list(new)
-        for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.pieces[p] = np.array(e.ids, self.kind).tobytes()
-        for w, cut in plain:
-            self.words[w] = b"".join([self.pieces[p] for p in cut])
         for (w, _), e in zip(odd, self.library.encode_batch_fast([t for _, t in odd], add_special_tokens=False)):
-            self.words[w] = np.array(e.ids, self.kind).tobytes()
+            self.words[w] = array(self.code, e.ids).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.words) > CACHE_ENTRIES:
