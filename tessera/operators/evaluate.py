@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.score import roc_auc
+from tessera.operators.score import auc_of_counts
 
 
 def accuracy(df: DataFrame, label: str = "y", pred: str = "pred") -> DataFrame:
@@ -32,10 +32,12 @@ def mean_std(df: DataFrame, col: str = "roc_auc") -> DataFrame:
 
 def fold_metrics(oof: DataFrame, label: str = "y", score: str = "p", fold: str = "fold") -> DataFrame:
     """AUC per fold plus fold 0 = AUC of all out-of-fold scores pooled."""
-    per = roc_auc(oof, label, score, by=[fold]).select(F.col(fold).cast("int").alias("fold"),
-                                                       F.col("auc").alias("roc_auc"))
-    pooled = roc_auc(oof, label, score).select(F.lit(0).alias("fold"), F.col("auc").alias("roc_auc"))
-    return per.unionByName(pooled)
+    # rows per (fold, score) first; the pooled part re-aggregates them as fold 0
+    y = F.col(label).cast("int")
+    counts = (oof.select(F.col(fold).cast("int").alias("fold"), F.col(score).cast("double").alias("value"), y.alias("y"))
+              .where(F.col("value").isNotNull()).groupBy("fold", "value").agg(F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg")))
+    both = counts.select(F.explode(F.array(F.col("fold"), F.lit(0))).alias("fold"), "value", "pos", "neg")
+    return auc_of_counts(both, ["fold"]).select("fold", F.col("auc").alias("roc_auc"))
 
 
 def best_setting(results: DataFrame, score: str, position: str) -> DataFrame:

@@ -10,6 +10,8 @@ billions of distinct values lands in one task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,15 @@ def auc_long(long: DataFrame, keys: list[str], score: str = "value", label: str
             .select(*keys, (F.col("_u") / (F.col("_p").cast("double") * F.col("_n"))).alias("auc")))
 
 
+def auc_of_counts(counts: DataFrame, keys: list[str], score: str = "value") -> DataFrame:
+    """Exact AUC per key of a (keys..., score, pos, neg) table."""
+    cum, _ = cumulative(counts, keys, score, {"pos": F.sum("pos"), "neg": F.sum("neg")})
+    contrib = F.col("pos") * (F.col("neg_before") + F.lit(0.5) * F.col("neg"))
+    return (cum.groupBy(*keys).agg(F.sum(contrib).alias("_u"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+            .where((F.col("_p") > 0) & (F.col("_n") > 0))
+            .select(*keys, (F.col("_u") / (F.col("_p").cast("double") * F.col("_n"))).alias("auc")))
+
+
 def roc_auc(df: DataFrame, label: str = "y", score: str = "p", by: list[str] | tuple = ()) -> DataFrame:
     """Exact AUC of one score column (optionally per group)."""
     long = df.select(*by, F.col(score).cast("double").alias("value"), F.col(label).alias("y")) \
@@ -72,6 +83,68 @@ def univariate_auc(df: DataFrame, roles: Roles = Roles(), cols=None, by: list[st
     return a.select(*by, "feature", "auc", F.abs(F.col("auc") - F.lit(0.5)).alias("auc_dev"))
 
 
+def fold_auc(folded: DataFrame, roles: Roles, cols: list[str], k: int, fold_col: str = "fold") -> DataFrame:
+    """M01 on each fold's training part: (fit_fold, feature, auc, auc_dev).
+
+    One shuffle of distinct values counts positives and negatives of every
+    training part (rows are not copied). Medians and rank sums both follow from
+    the running counts; the NULL cells' counts join the training part's median.
+    Only features x folds numbers reach the driver."""
+    x = _finite_numeric(folded.select(fold_col, roles.label, *cols), cols)
+    long = unpivot(x, cols, ids=[fold_col, roles.label], drop_nulls=False)
+    y, folds = F.col(roles.label).cast("int"), range(1, k + 1)
+    measures = {}
+    for f in folds:
+        measures[f"p{f}"] = F.sum(F.when(F.col(fold_col) != f, y).otherwise(0))
+        measures[f"n{f}"] = F.sum(F.when(F.col(fold_col) != f, 1 - y).otherwise(0))
+    held: list = []
+    spark = folded.sparkSession
+    try:
+        cum, stats = cumulative(long.where(F.col("value").isNotNull()), ["feature"], "value", measures, keep=held)
+        missing = {r["feature"]: r for r in long.where(F.col("value").isNull()).groupBy("feature").agg(
+            *[e.alias(n) for n, e in measures.items()]).collect()}
+        found = [c for c in cols if (c,) in stats]
+        # the order statistics around each training part's median
+        ranks = {(c, f): 0.5 * (stats[(c,)][f"p{f}"] + stats[(c,)][f"n{f}"] - 1) for c in found for f in folds}
+        at = spark.createDataFrame([(c, [math.floor(ranks[c, f]) for f in folds], [math.ceil(ranks[c, f]) for f in folds]) for c in found],
+                                   "feature string, lo array<long>, hi array<long>")
+        near = []
+        for f in folds:
+            before, here = F.col(f"p{f}_before") + F.col(f"n{f}_before"), F.col(f"p{f}") + F.col(f"n{f}")
+            for side in ("lo", "hi"):
+                rank = F.col(side)[f - 1]
+                near.append(F.max(F.when((before <= rank) & (before + here > rank), F.col("value"))).alias(f"{side}{f}"))
+        middle = {r["feature"]: r for r in cum.join(F.broadcast(at), "feature").groupBy("feature").agg(*near).collect()}
+        median = {}
+        for c in found:
+            for f in folds:
+                lo, hi = middle[c][f"lo{f}"], middle[c][f"hi{f}"]
+                if lo is not None:
+                    frac = ranks[c, f] - math.floor(ranks[c, f])
+                    median[c, f] = lo if frac == 0 or lo == hi else lo + (hi - lo) * frac
+        medians_ = spark.createDataFrame([(c, [median.get((c, f)) for f in folds]) for c in found], "feature string, m array<double>")
+        sums = []
+        for f in folds:
+            p, n, m = F.col(f"p{f}"), F.col(f"n{f}"), F.col("m")[f - 1]
+            sums += [F.sum(p * (F.col(f"n{f}_before") + F.lit(0.5) * n)).alias(f"u{f}"),
+                     F.sum(F.when(F.col("value") < m, n).when(F.col("value") == m, 0.5 * n).otherwise(0)).alias(f"b{f}"),
+                     F.sum(F.when(F.col("value") > m, p).when(F.col("value") == m, 0.5 * p).otherwise(0)).alias(f"a{f}")]
+        total = {r["feature"]: r for r in cum.join(F.broadcast(medians_), "feature").groupBy("feature").agg(*sums).collect()}
+    finally:
+        for h in held:
+            h.unpersist()
+    rows = []
+    for c, f in median:
+        extra = missing.get(c)
+        pos, neg = (extra[f"p{f}"], extra[f"n{f}"]) if extra else (0, 0)
+        t, s = total[c], stats[(c,)]
+        u = t[f"u{f}"] + pos * t[f"b{f}"] + neg * t[f"a{f}"] + 0.5 * pos * neg
+        p, n = s[f"p{f}"] + pos, s[f"n{f}"] + neg
+        if p and n:
+            rows.append((f, c, u / p / n, abs(u / p / n - 0.5)))
+    return spark.createDataFrame(rows, "fit_fold int, feature string, auc double, auc_dev double")
+
+
 def near_perfect(auc: DataFrame, hi: float = LEAK_HI, lo: float = LEAK_LO) -> DataFrame:
     """Single features whose AUC is >= hi or <= lo."""
     return auc.where((F.col("auc") >= hi) | (F.col("auc") <= lo))

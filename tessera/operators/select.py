@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.profile import correlation_pairs
-from tessera.operators.score import mutual_information, near_perfect, univariate_auc
-from tessera.operators.split import fold_training_copies
+from tessera.operators.score import fold_auc, mutual_information, near_perfect
 from tessera.roles import Roles
 
 CORR_T = 0.99
@@ -72,8 +71,5 @@ def top_of_reports(reports: dict[str, DataFrame], n: int = TOP_N, score: str = "
 def leakers_by_fold(folded: DataFrame, roles: Roles, cols: list[str], k: int,
                     fold_col: str = "fold") -> DataFrame:
     """per fold, near-perfect single-feature AUC measured on that fold's
-    training part only. All folds in one grouped job: every row is copied
-    to the k - 1 folds it trains."""
-    copies = fold_training_copies(folded.select(fold_col, roles.label, *cols), k, fold_col)
-    auc = univariate_auc(copies.drop(fold_col), roles, cols, by=["fit_fold"])
-    return near_perfect(auc).select(F.col("fit_fold").alias("fold"), "feature", "auc")
+    training part only; all folds from one counting pass."""
+    return near_perfect(fold_auc(folded, roles, cols, k, fold_col)).select(F.col("fit_fold").alias("fold"), "feature", "auc")

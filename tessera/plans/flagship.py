@@ -2,9 +2,8 @@
 stratified 5 folds -> univariate AUC of every feature on each fold's
 training part -> ranked per fold.
 
-All per-fold statistics are one grouped job: every training row is copied
-to the k - 1 folds it trains (``fold_training_copies``), so AUC and the
-median fill are grouped by (fit_fold, feature) instead of k separate jobs.
+All per-fold statistics come from one counting pass (``fold_auc``): per
+distinct value the positives and negatives of every training part.
 """
 
 from __future__ import annotations
@@ -45,8 +44,7 @@ def flagship(spark: SparkSession, sf_dir: str, k: int = K) -> DataFrame:
     # several jobs read the fold-tagged table: write it once, cut the lineage
     folded = materialize(S.stratified_kfold(train, k), "folded")
     cols = roles.numeric_cols(train.drop("fold"))
-    copies = S.fold_training_copies(folded.select("fold", roles.label, *cols), k)
-    auc = M.univariate_auc(copies.drop("fold"), roles, cols, by=["fit_fold"])
+    auc = M.fold_auc(folded, roles, cols, k)
     # the ranking window runs over (fold x feature) rows only
     w = Window.partitionBy("fit_fold").orderBy(F.desc("auc"), "feature")
     return auc.select(F.col("fit_fold").alias("fold"), "feature", F.round("auc", 6).alias("auc"),
