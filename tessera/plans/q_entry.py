@@ -91,6 +91,15 @@ def a03_column_types(spark, d):
     return P.column_types(df, ROLES).join(_values(df), "column_name").select("position", "column_name", "role", "n_values")
 
 
+@register("a02_duplicate_whole_rows", sql_with(
+    "SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS c FROM "
+    "(SELECT * FROM dtrain UNION ALL SELECT * FROM dtrain WHERE id % 7 = 0) GROUP BY " + ", ".join(COLUMNS) + ")"))
+def a02_duplicate_whole_rows(spark, d):
+    """Whole rows, with every seventh key's row once more."""
+    tr = bank_train(spark, d, dirty=True)
+    return P.duplicate_rows(tr.unionByName(tr.where(F.col("id") % 7 == 0)))
+
+
 @register("s05_required_columns", sql_with("SELECT id, y FROM train"))
 def s05_required_columns(spark, d):
     df = bank_train(spark, d)

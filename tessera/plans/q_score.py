@@ -149,7 +149,7 @@ def a12_histogram(spark, d):
     return _round_all(P.histogram(bank_train(spark, d), NUM))
 
 
-KDE_COLS = ["balance", "duration", "previous"]
+KDE_COLS = NUM
 
 
 def _kde_sql():
