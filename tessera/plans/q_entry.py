@@ -281,3 +281,21 @@ def l07_cv_with_in_fold_steps(spark, d):
     f = C.apply_median(f, C.fit_median(f, XCOLS))
     cv = ML.cross_validate(f, XCOLS, ML.LOGISTIC, None, ROLES, K, steps=STEPS)
     return cv.metrics.select("fold", r6("roc_auc").alias("roc_auc"))
+
+
+# ------------------------------------------------------------------ M05, linear model
+
+LINEAR = {c: float(i + 1) / 10 ** i for i, c in enumerate(NUM)}
+
+
+@register("m05_linear_shap", sql_with(
+    ", l AS (" + G.median_filled_long("train", NUM, ["y"]) + "),\n"
+    "m AS (SELECT feature, avg(value) AS m FROM l GROUP BY feature),\n"
+    "b AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', {v!r})" for c, v in LINEAR.items()) + ") v(feature, b))\n"
+    "SELECT l.feature, round(avg(abs(b * (value - m))), 6) AS shap_mean_abs "
+    "FROM l JOIN m ON m.feature = l.feature JOIN b ON b.feature = l.feature GROUP BY l.feature"))
+def m05_linear_shap(spark, d):
+    """The closed form over all training rows, for given coefficients."""
+    from tessera.operators.explain import linear_shap
+    tr = bank_train(spark, d).select(*NUM)
+    return _round_all(linear_shap(C.apply_median(tr, C.fit_median(tr, NUM)), LINEAR))

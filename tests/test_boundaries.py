@@ -211,3 +211,16 @@ def test_fold_auc_equals_the_copies(spark):
     copies = S.fold_training_copies(df, 5).drop("fold")
     two = {(r["fit_fold"], r["feature"]): r["auc"] for r in M.univariate_auc(copies, Roles(), cols, by=["fit_fold"]).collect()}
     assert set(one) == set(two) and len(one) == 15 and all(abs(one[k] - two[k]) < 1e-12 for k in one)
+
+
+def test_linear_shap_of_a_logistic_model(spark, folded):
+    from tessera.operators import explain as X
+    cols = ["a", "duration", "campaign"]
+    m = ML.fit(ML.LOGISTIC, ML.assemble(folded.select("y", *cols), cols)).model
+    got = {r["feature"]: r["shap_mean_abs"] for r in X.linear_shap(folded, dict(zip(cols, m.coefficients))).collect()}
+    x = folded.select(*cols).toPandas().to_numpy()
+    phi = (x - x.mean(axis=0)) * np.array(m.coefficients)
+    assert np.allclose([got[c] for c in cols], np.abs(phi).mean(axis=0))
+    # additivity: base value + sum of the values is the margin
+    margin = x @ np.array(m.coefficients) + m.intercept
+    assert np.allclose(phi.sum(axis=1) + margin.mean(), margin)
