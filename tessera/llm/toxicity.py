@@ -9,13 +9,15 @@ picks the reading; a word boundary is a symbol of the model, so spread-out
 letters may come out as several words. Other tokens are read as they stand.
 
 The classifier is fitted on restored words. For each hashed feature (the word
-with repeats collapsed, its first four and five letters) it counts toxic and
+with repeats collapsed, its first four, five and six letters) it counts toxic and
 clean training documents, near copies once (one document per smallest 5-word
 shingle hash), at most ``MAX_TRAIN`` labelled rows (those with the smallest hash
-of doc_id, if there are more). A feature's evidence is the lower confidence
-bound of its toxic share; a document's inputs are its strongest evidence and
-how many of its words are strong. A logistic regression turns them into a score
-in (0, 1); its training rows use leave-one-out counts. doc_id, lang and source
+of doc_id, if there are more). A word's evidence is its toxic share, each
+feature's counts smoothed by the share of the next shorter one, so that a
+known word overrules the prefix it shares with others. A document's inputs are
+its strongest evidence and the sum of its likely words' evidence. A logistic
+regression turns them into a score in (0, 1); its training rows use
+leave-one-out counts. doc_id, lang and source
 are never inputs; labels of held-out rows (crc32(doc_id) mod 5 = 0) are not read.
 
 What is broadcast has a fixed bound: the 64**3 model, at most 2**22 feature
@@ -42,8 +44,8 @@ from tessera.llm.common import written
 MAX_TRAIN = 200_000
 BUCKETS = 1 << 22
 FOLDS = 5
-Z2 = 4.0                 # squared z of the confidence bound
-STRONG = 0.8
+SMOOTH = 4.0             # weight of the next shorter feature's share, in documents
+LIKELY = 0.5
 CACHE_TOKENS = 300_000   # per Python worker; emptied when full, so only speed depends on it
 THRESHOLD = 0.5
 
@@ -61,7 +63,9 @@ LONG_RUN = math.log(0.1)
 _EDGE = ".,;:!?\"'()[]{}<>%*&#~`-–—…«»¡¿"
 _PLAIN = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1*", re.S)
+_TWICE = re.compile(r"(.)\1")
 _LONG = re.compile(r"(.)\1\1")
+_TRAIL = re.compile(r"[.,;:!?]+(?!\S)")
 _SPREAD = re.compile(r"(?<![^\s])(?:[^\W_][ .\-_*]){3,}[^\W_](?![^\s.,;:!?])")
 
 # symbols of the character model: 0 boundary, 1-26 a-z, 27.. other Latin letters, 62 digits, 63 any other letter
@@ -165,33 +169,38 @@ def restore(token: str, model: np.ndarray) -> str:
 
 def suspicious(token: str) -> bool:
     """Whether a lower-case token needs the channel."""
-    return not _PLAIN.fullmatch(token) or _LONG.search(token) is not None
+    return not token.isalpha() or _LONG.search(token) is not None
 
 
-def features(token: str, model: np.ndarray) -> tuple[int, ...]:
-    """Hashed features of the words a token restores to."""
+def sources(token: str, model: np.ndarray) -> list[str]:
+    """The words a token restores to, with repeated letters as one."""
     core = token.strip(_EDGE)
-    if core and not suspicious(core):
-        sources = [core]
+    if not suspicious(core):
+        found = [core]
     elif any(c.isalpha() for c in core):
-        sources = _PLAIN.findall(restore(core, model)) + _PLAIN.findall(core.strip("$@"))
+        found = _PLAIN.findall(restore(core, model)) + _PLAIN.findall(core.strip("$@"))
     else:
-        return ()
-    out = set()
-    for w in sources:
-        w = _RUN.sub(r"\1", w)
-        if len(w) > 2:
-            out.add(zlib.crc32(b"w" + w.encode()) % BUCKETS)
-            if len(w) >= 4:
-                out.add(zlib.crc32(b"p" + w[:4].encode()) % BUCKETS)
-            if len(w) >= 5:
-                out.add(zlib.crc32(b"p" + w[:5].encode()) % BUCKETS)
-    return tuple(out)
+        return []
+    return [w for w in (_RUN.sub(r"\1", w) if _TWICE.search(w) else w for w in found) if len(w) > 2]
+
+
+def head(word: str) -> str:
+    """The longest prefix of a word that is a feature (empty, if it is too short)."""
+    return word[:min(6, len(word) - 1)] if len(word) > 4 else ""
+
+
+def prefix_features(prefix: str) -> tuple[int, ...]:
+    """Hashed features of a head, from four letters on."""
+    return tuple(zlib.crc32(b"p" + prefix[:n].encode()) % BUCKETS for n in range(4, len(prefix) + 1))
+
+
+def word_feature(word: str) -> int:
+    return zlib.crc32(b"w" + word.encode()) % BUCKETS
 
 
 def tokens(text: str) -> set[str]:
     """Distinct lower-case tokens of a text; spread-out letters are one token."""
-    low = text.lower()
+    low = _TRAIL.sub("", text.lower())
     found = set(low.split())
     for m in _SPREAD.finditer(low):
         found.add(m.group(0))
@@ -226,7 +235,8 @@ def _shingled(batches):
 def _evidence(shared):
     def run(batches):
         model = shared.value
-        known = _Cache(lambda t: features(t, model))
+        heads = _Cache(prefix_features)
+        known = _Cache(lambda t: [f for w in sources(t, model) for f in (*heads[head(w)], word_feature(w))])
         n = {}
         for batch in batches:
             for text, y in zip(words.text_array(batch.column("text")).to_pylist(), batch.column("toxic").to_pylist()):
@@ -248,51 +258,62 @@ def _counts(n):
                             pa.array([v[0] for v in n.values()], pa.int64())], ["feature", "toxic", "clean"])
 
 
-def bound(toxic: float, clean: float) -> float:
-    """Lower confidence bound of a toxic share."""
-    n = toxic + clean
-    if n <= 0 or toxic <= 0:
-        return 0.0
-    p = toxic / n
-    return max(0.0, (p + Z2 / (2 * n) - math.sqrt(Z2 * (p * (1 - p) / n + Z2 / (4 * n * n)))) / (1 + Z2 / n))
+def share(chain, base: float, less: int | None = None) -> float:
+    """The toxic share of a word from the (toxic, clean) counts of its
+    features, short to long."""
+    p = base
+    for t, c in chain:
+        t, c = max(t - (less == 1), 0), max(c - (less == 0), 0)
+        p = (t + SMOOTH * p) / (t + c + SMOOTH)
+    return p
 
 
-def _inputs(text: str, known: _Cache, less: int | None = None) -> tuple[float, float]:
-    """(strongest evidence, log of 1 + strong tokens) of a text; ``less`` is a
-    training row's own label, whose counts are taken out."""
-    best, strong = 0.0, 0
+def _inputs(text: str, known: _Cache, base: float, less: int | None = None) -> tuple[float, float]:
+    """(strongest evidence, log of 1 + the evidence of likely words) of a text;
+    ``less`` is a training row's own label, whose counts are taken out."""
+    best, total = base, 0.0
     for t in tokens(text):
-        pairs = known[t]
-        if pairs:
-            top = max(bound(max(a - (less == 1), 0), max(b - (less == 0), 0)) for a, b in pairs)
-            best = max(best, top)
-            strong += top >= STRONG
-    return best, math.log1p(strong)
+        chains = known[t]
+        if chains:
+            p = chains if less is None else max(share(c, base, less) for c in chains)
+            best = max(best, p)
+            total += p if p >= LIKELY else 0.0
+    return best, math.log1p(total)
+
+
+def _lookup(model, counts, base: float | None = None):
+    """Of a token: the counts of its words' features, or its words' largest
+    share if ``base`` is given. What a head gives is kept for all its words."""
+    toxic, clean = counts
 
+    def pair(f):
+        return int(toxic[f]), int(clean[f])
 
-def _lookup(model, counts):
-    def make(token):
-        return tuple(counts[f] for f in features(token, model) if f in counts)
-    return _Cache(make)
+    if base is None:
+        heads = _Cache(lambda h: [pair(f) for f in prefix_features(h)])
+        return _Cache(lambda token: [[*heads[head(w)], pair(word_feature(w))] for w in sources(token, model)])
+    heads = _Cache(lambda h: share([pair(f) for f in prefix_features(h)], base))
+    return _Cache(lambda token: max((share([pair(word_feature(w))], heads[head(w)]) for w in sources(token, model)), default=0.0))
 
 
 def _training_inputs(shared):
     def run(batches):
-        known = _lookup(*shared.value)
+        model, counts, base = shared.value
+        known = _lookup(model, counts)
         for batch in batches:
             y = batch.column("toxic").to_pylist()
-            x = [_inputs(t, known, v) for t, v in zip(words.text_array(batch.column("text")).to_pylist(), y)]
+            x = [_inputs(t, known, base, v) for t, v in zip(words.text_array(batch.column("text")).to_pylist(), y)]
             yield pa.record_batch([pa.array([a for a, _ in x], pa.float64()), pa.array([b for _, b in x], pa.float64()), pa.array(y, pa.int32())],
-                                  ["best", "strong", "toxic"])
+                                  ["best", "total", "toxic"])
     return run
 
 
 def _scored(shared):
     def run(batches):
-        model, counts, weights = shared.value
-        known = _lookup(model, counts)
+        model, counts, base, weights = shared.value
+        known = _lookup(model, counts, base)
         for batch in batches:
-            score = [logistic(weights, _inputs(t, known)) for t in words.text_array(batch.column("__text")).to_pylist()]
+            score = [logistic(weights, _inputs(t, known, base)) for t in words.text_array(batch.column("__text")).to_pylist()]
             out = batch.drop_columns(["__text"])
             yield pa.RecordBatch.from_arrays([*out.columns, pa.array(score, pa.float64())], [*out.schema.names, "__score"])
     return run
@@ -321,7 +342,7 @@ def held_out(id_col="doc_id"):
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN):
-    """(character model, feature counts, weights)."""
+    """(character model, feature counts, share of toxic labels, weights)."""
     spark = docs.sparkSession
     words.small_batches(spark)
     shared = spark.sparkContext.broadcast
@@ -336,15 +357,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN):
     counts = (train.join(F.broadcast(one.distinct()), "__key").select("text", "toxic")
               .mapInArrow(_evidence(shared(model)), "feature int, toxic long, clean long")
               .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-              .filter("toxic >= 2 AND 4 * toxic >= clean"))
-    counts = {r["feature"]: (r["toxic"], r["clean"]) for r in counts.toLocalIterator()}
-    data = np.array([tuple(r) for r in train.select("text", "toxic").mapInArrow(
-        _training_inputs(shared((model, counts))), "best double, strong double, toxic int").collect()], float).reshape(-1, 3)
-    y = data[:, 2]
+              .filter("toxic + clean >= 2").toPandas())
+    pair = np.zeros((2, BUCKETS), np.int32)
+    pair[0, counts["feature"]], pair[1, counts["feature"]] = counts["toxic"], counts["clean"]
+    known = train.agg(F.avg("toxic")).first()[0]
+    base = min(max(known if known is not None else 0.0, 1e-9), 1 - 1e-9)
+    rows = train.select("text", "toxic").mapInArrow(_training_inputs(shared((model, pair, base))), "best double, total double, toxic int").toPandas()
+    x, y = rows[["best", "total"]].to_numpy(float), rows["toxic"].to_numpy(float)
     if len(y) == 0 or y.min() == y.max():
-        share = min(max(float(y.mean()) if len(y) else 0.0, 1e-9), 1 - 1e-9)
-        return model, counts, [math.log(share / (1 - share)), 0.0, 0.0]
-    return model, counts, fit_logistic(data[:, :2], y)
+        return model, pair, base, [math.log(base / (1 - base)), 0.0, 0.0]
+    return model, pair, base, fit_logistic(x, y)
 
 
 def with_score(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:

@@ -164,6 +164,9 @@ def test_labels_missing_or_one_sided(labelled, no_docs, spark):
     assert toxicity.with_score(no_docs, labels).count() == 0
 
 
-def test_confidence_bound():
-    assert toxicity.bound(0, 0) == toxicity.bound(0, 5) == 0
-    assert toxicity.bound(4, 0) == pytest.approx(0.5) and toxicity.bound(400, 0) > 0.98 and toxicity.bound(5, 50) < 0.1
+def test_share_of_a_word():
+    assert toxicity.share([], 0.1) == 0.1
+    assert toxicity.share([(40, 8)], 0.1) > 0.75
+    # a longer feature that is known to be clean overrules the prefix
+    assert toxicity.share([(40, 8), (0, 7)], 0.1) < 0.3
+    assert toxicity.share([(5, 0)], 0.1, less=1) < toxicity.share([(5, 0)], 0.1)
