@@ -46,7 +46,8 @@ BUCKETS = 1 << 22
 FOLDS = 5
 SMOOTH = 4.0             # weight of the next shorter feature's share, in documents
 LIKELY = 0.5
-CACHE_TOKENS = 300_000   # per Python worker; emptied when full, so only speed depends on it
+CACHE_TOKENS = 150_000   # per Python worker; emptied when full, so only speed depends on it
+FLUSH_FEATURES = 250_000  # counts a task holds before it sends them on
 THRESHOLD = 0.5
 
 #: Signs that stand for letters.
@@ -245,7 +246,7 @@ def _evidence(shared):
                     if c is None:
                         n[f] = c = [0, 0]
                     c[y] += 1
-            if len(n) > 1_000_000:
+            if len(n) > FLUSH_FEATURES:
                 yield _counts(n)
                 n = {}
         if n:
