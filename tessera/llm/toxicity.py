@@ -17,7 +17,7 @@ feature's counts smoothed by the share of the next shorter one, so that a
 known word overrules the prefix it shares with others. A document's inputs are
 its strongest evidence and the sum of its likely words' evidence. A logistic
 regression turns them into a score in (0, 1); its training rows use
-leave-one-out counts. doc_id, lang and source
+leave-one-out counts (of at most ``MAX_FIT`` of them). doc_id, lang and source
 are never inputs; labels of held-out rows (crc32(doc_id) mod 5 = 0) are not read.
 
 What is broadcast has a fixed bound: the 64**3 model, at most 2**22 feature
@@ -42,6 +42,7 @@ from tessera.llm import words
 from tessera.llm.common import written
 
 MAX_TRAIN = 200_000
+MAX_FIT = 20_000         # training rows (those with the smallest hash of their text) that weigh the two inputs
 BUCKETS = 1 << 22
 FOLDS = 5
 SMOOTH = 4.0             # weight of the next shorter feature's share, in documents
@@ -285,16 +286,30 @@ def _inputs(text: str, known: _Cache, base: float, less: int | None = None) -> t
 def _lookup(model, counts, base: float | None = None):
     """Of a token: the counts of its words' features, or its words' largest
     share if ``base`` is given. What a head gives is kept for all its words."""
-    toxic, clean = counts
+    toxic, clean = (memoryview(np.ascontiguousarray(c)) for c in counts)
 
     def pair(f):
-        return int(toxic[f]), int(clean[f])
+        return toxic[f], clean[f]
 
     if base is None:
         heads = _Cache(lambda h: [pair(f) for f in prefix_features(h)])
         return _Cache(lambda token: [[*heads[head(w)], pair(word_feature(w))] for w in sources(token, model)])
     heads = _Cache(lambda h: share([pair(f) for f in prefix_features(h)], base))
-    return _Cache(lambda token: max((share([pair(word_feature(w))], heads[head(w)]) for w in sources(token, model)), default=0.0))
+    crc = zlib.crc32
+
+    def best(token):
+        # most tokens are one plain word
+        w = token if token.isalpha() else token.strip(_EDGE)
+        if w.isalpha() and (not _TWICE.search(w) or not _LONG.search(w)):
+            if _TWICE.search(w):
+                w = _RUN.sub(r"\1", w)
+            if len(w) < 3:
+                return 0.0
+            f = crc(b"w" + w.encode()) % BUCKETS
+            t = toxic[f]
+            return (t + SMOOTH * heads[w[:min(6, len(w) - 1)] if len(w) > 4 else ""]) / (t + clean[f] + SMOOTH)
+        return max((share([pair(word_feature(w))], heads[head(w)]) for w in sources(token, model)), default=0.0)
+    return _Cache(best)
 
 
 def _training_inputs(shared):
@@ -363,7 +378,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN):
     pair[0, counts["feature"]], pair[1, counts["feature"]] = counts["toxic"], counts["clean"]
     known = train.agg(F.avg("toxic")).first()[0]
     base = min(max(known if known is not None else 0.0, 1e-9), 1 - 1e-9)
-    rows = train.select("text", "toxic").mapInArrow(_training_inputs(shared((model, pair, base))), "best double, total double, toxic int").toPandas()
+    few = train.orderBy(F.xxhash64("text"), "__key").limit(MAX_FIT)
+    rows = few.select("text", "toxic").mapInArrow(_training_inputs(shared((model, pair, base))), "best double, total double, toxic int").toPandas()
     x, y = rows[["best", "total"]].to_numpy(float), rows["toxic"].to_numpy(float)
     if len(y) == 0 or y.min() == y.max():
         return model, pair, base, [math.log(base / (1 - base)), 0.0, 0.0]
