@@ -165,6 +165,7 @@ def from_bytes(data: bytes) -> tuple[list, np.ndarray, WaveletMatrix]:
 
 _tokenizers: dict = {}
 # Fixed: the pattern that splits text in the vocabulary file.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
@@ -194,25 +195,27 @@ class Encoder:
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            spelled = piece.encode().decode("latin-1").translate(self.letters)
-            found = self.pieces[piece] = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
-        return found
-
     def _learn(self, missing: set[bytes]) -> None:
-        odd = []
+        odd, pieces, tokenize = [], self.pieces, self.model.tokenize
         for w in missing:
             text = w.decode()
-            if w.isascii() or max(text) < "ƀ":           # no composing marks below U+0180
-                low = text.lower()
-                if low.isalpha():
-                    self.words[w] = self._piece(low)
-                else:
-                    self.words[w] = b"".join([self._piece(p) for p in _PIECES.findall(low)])
-            else:
+            if not w.isascii() and max(text) >= "ƀ":         # there are no composing marks below U+0180
                 odd.append((w, text))
+                continue
+            low = text.lower()
+            if low.isalpha():
+                cut = (low,)
+            else:
+                stem = low.rstrip(_MARKS)                     # marks at the end are one piece
+                cut = (stem, low[len(stem):]) if stem.isalpha() else _PIECES.findall(low)
+            out = []
+            for p in cut:
+                found = pieces.get(p)
+                if found is None:
+                    spelled = p if p.isascii() and p.isalpha() else p.encode().decode("latin-1").translate(self.letters)
+                    found = pieces[p] = array(self.code, [t.id for t in tokenize(spelled)]).tobytes()
+                out.append(found)
+            self.words[w] = out[0] if len(out) == 1 else b"".join(out)
         for (w, _), e in zip(odd, self.library.encode_batch_fast([t for _, t in odd], add_special_tokens=False)):
             self.words[w] = array(self.code, e.ids).tobytes()
 
