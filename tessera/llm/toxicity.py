@@ -378,8 +378,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN):
     pair[0, counts["feature"]], pair[1, counts["feature"]] = counts["toxic"], counts["clean"]
     known = train.agg(F.avg("toxic")).first()[0]
     base = min(max(known if known is not None else 0.0, 1e-9), 1 - 1e-9)
-    few = train.orderBy(F.xxhash64("text"), "__key").limit(MAX_FIT)
+    few = train.orderBy(F.xxhash64("text"), "__key").limit(MAX_FIT).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = few.select("text", "toxic").mapInArrow(_training_inputs(shared((model, pair, base))), "best double, total double, toxic int").toPandas()
+    rows = rows.sort_values(["best", "total", "toxic"])       # sums in one order, whatever order the tasks end in
     x, y = rows[["best", "total"]].to_numpy(float), rows["toxic"].to_numpy(float)
     if len(y) == 0 or y.min() == y.max():
         return model, pair, base, [math.log(base / (1 - base)), 0.0, 0.0]
