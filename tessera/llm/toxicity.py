@@ -42,7 +42,7 @@ from tessera.llm import words
 from tessera.llm.common import written
 
 MAX_TRAIN = 200_000
-MAX_FIT = 20_000         # training rows (those with the smallest hash of their text) that weigh the two inputs
+MAX_FIT = 20_000         # training rows (those with the smallest hash of doc_id) that weigh the two inputs
 BUCKETS = 1 << 22
 FOLDS = 5
 SMOOTH = 4.0             # weight of the next shorter feature's share, in documents
@@ -373,13 +373,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN):
     counts = (train.join(F.broadcast(one.distinct()), "__key").select("text", "toxic")
               .mapInArrow(_evidence(shared(model)), "feature int, toxic long, clean long")
               .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-              .filter("toxic + clean >= 2").toPandas())
+              .filter("toxic + clean >= 2").selectExpr("feature", "CAST(toxic AS INT) AS toxic", "CAST(clean AS INT) AS clean").toPandas())
     pair = np.zeros((2, BUCKETS), np.int32)
     pair[0, counts["feature"]], pair[1, counts["feature"]] = counts["toxic"], counts["clean"]
     known = train.agg(F.avg("toxic")).first()[0]
     base = min(max(known if known is not None else 0.0, 1e-9), 1 - 1e-9)
-    few = train.orderBy(F.xxhash64("text"), "__key").limit(MAX_FIT).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = few.select("text", "toxic").mapInArrow(_training_inputs(shared((model, pair, base))), "best double, total double, toxic int").toPandas()
+    few = rows.orderBy(F.xxhash64("__key"), "__key").limit(MAX_FIT).select("__key")
+    few = train.join(F.broadcast(few), "__key")                # at most MAX_FIT keys; the texts do not move
+    del counts
+    sent = shared((model, pair, base))
+    rows = few.select("text", "toxic").mapInArrow(_training_inputs(sent), "best double, total double, toxic int").toPandas()
+    sent.unpersist()
     rows = rows.sort_values(["best", "total", "toxic"])       # sums in one order, whatever order the tasks end in
     x, y = rows[["best", "total"]].to_numpy(float), rows["toxic"].to_numpy(float)
     if len(y) == 0 or y.min() == y.max():
