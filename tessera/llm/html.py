@@ -4,8 +4,10 @@ Markup is stripped to lines: one line a block of the page, with character
 references decoded and white space as one space. A line weighs its characters;
 it weighs nothing where it is structure and not article: scripts, styles,
 menus, page headers and footers, sidebars, forms, adverts, notices and reader
-comments, by element or by a word of its class or id, and, if the page has an
-article or main element, all that is outside of it. The block value of line
+comments, by element or by a whole token of its class or id, and, if the page has
+an article or main element that is not itself such structure and holds text, all
+that is outside of it. Classes of html, body, main and article are not looked
+at (an article that is a comment or a reply is structure). The block value of line
 i is the sum of the weights of lines i .. i + WINDOW - 1. Reading down, text
 surges where a weighing line starts a block of at least ``SURGE`` characters
 (a page with an article element: of any) and dives where a whole block weighs
@@ -47,11 +49,12 @@ CLASSES = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "banner
            "newsletter", "subscribe", "login", "signup", "share", "sharing", "social", "comment", "comments", "reply", "replies",
            "disqus", "discussion", "copyright", "legal"}
 HEADER = {"header", "head"}
+UNTESTED = {"html", "body", "main", "article"}
+READERS = {"comment", "reply"}
 
 _TAG = re.compile(r"""<!--.*?(?:-->|$)|<([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|</([a-zA-Z][^\s>]*)[^>]*>|<[!?][^>]*>""", re.S)
 _BROKEN = re.compile(r"<[a-zA-Z/!][^>]*$")
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_WORDS = re.compile(r"[a-zA-Z]+")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 
 
@@ -60,16 +63,21 @@ def _is_out(name: str, attributes: str, inside_article: bool) -> bool:
         return True
     if not attributes:
         return False
+    if name == "html" or name == "body":
+        return False
     for m in _NAMED.finditer(attributes):
-        found = {w.lower() for w in _WORDS.findall(m.group(1) or m.group(2) or m.group(3) or "")}
-        if found & CLASSES or not inside_article and found & HEADER:
+        found = set((m.group(1) or m.group(2) or m.group(3) or "").lower().split())
+        if name in UNTESTED:
+            if name == "article" and found & READERS:
+                return True
+        elif found & CLASSES or not inside_article and found & HEADER:
             return True
     return bool(_HIDDEN.search(attributes))
 
 
 def lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
     """(text, out, in an article, link characters) of each block, and whether
-    the page has an article element."""
+    the page has an article element that is not out."""
     found, parts = [], []
     stack: list[tuple[str, bool]] = []          # open elements: name, leaves the article
     out, article, link, linked, has_article = 0, 0, 0, 0, False
@@ -142,7 +150,7 @@ def lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
             out += is_out
             if name in ARTICLE:
                 article += 1
-                has_article = True
+                has_article = has_article or out == 0
         elif m.group(3):
             name = m.group(3).lower()
             if name not in INLINE:
@@ -163,6 +171,8 @@ def kept(found: list[tuple[str, bool, bool, int]], has_article: bool, window: in
     """The lines between surges and dives."""
     if has_article:
         weight = [len(t) if inside and not out else 0 for t, out, inside, _ in found]
+        has_article = any(weight)                  # an empty one says nothing about the page
+    if has_article:
         surge, share = 1, 0.0
     else:
         weight = [0 if out or linked > LINKS * len(t) else len(t) for t, out, _, linked in found]
