@@ -8,12 +8,13 @@ comments, by element or by a whole token of its class or id, and, if the page ha
 an article or main element that is not itself such structure and holds text, all
 that is outside of it. Classes of html, body, main and article are not looked
 at (an article that is a comment or a reply is structure). The block value of line
-i is the sum of the weights of lines i .. i + WINDOW - 1. Reading down, text
-surges where a weighing line starts a block of at least ``SURGE`` characters
-(a page with an article element: of any) and dives where a whole block weighs
-nothing. Weighing lines between a surge and its dive are kept; on pages without
-an article element, a stretch also has to reach ``SHARE`` of the largest one,
-and lines that are mostly link text weigh nothing.
+i is the sum of the weights of lines i .. i + WINDOW - 1. Text dives where a
+whole block weighs nothing; between two dives it is kept, if some block there
+surges to at least ``SURGE`` characters. Lines that are mostly link text weigh
+nothing, but for headings of an article. What is out inside of an article is no
+line of it, so an advert does not cut its text. If no block of the page
+surges, all weighing lines are kept; if blocks surge, but none of the article,
+the article says nothing about the page.
 
 Defined cases: null or empty html gives the empty text; a page that breaks off
 inside a tag ends before that tag; unclosed elements end with the page or with
@@ -31,7 +32,6 @@ from tessera.llm import words
 
 WINDOW = 3
 SURGE = 40
-SHARE = 0.2
 LINKS = 0.6
 
 #: Names of elements and the words of classes and ids.
@@ -51,6 +51,7 @@ CLASSES = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "banner
 HEADER = {"header", "head"}
 UNTESTED = {"html", "body", "main", "article"}
 READERS = {"comment", "reply"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 _TAG = re.compile(r"""<!--.*?(?:-->|$)|<([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|</([a-zA-Z][^\s>]*)[^>]*>|<[!?][^>]*>""", re.S)
 _BROKEN = re.compile(r"<[a-zA-Z/!][^>]*$")
@@ -80,7 +81,7 @@ def lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
     the page has an article element that is not out."""
     found, parts = [], []
     stack: list[tuple[str, bool]] = []          # open elements: name, leaves the article
-    out, article, link, linked, has_article = 0, 0, 0, 0, False
+    out, article, link, linked, heading, has_article = 0, 0, 0, 0, 0, False
     at, low = 0, None
 
     def end_line():
@@ -93,18 +94,19 @@ def lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
         linked = 0
 
     def close(index):
-        nonlocal out, article, link
+        nonlocal out, article, link, heading
         for name, is_out in stack[index:]:
             out -= is_out
             article -= name in ARTICLE
             link -= name == "a"
+            heading -= name in HEADINGS
         del stack[index:]
 
     def text(piece):
         nonlocal linked
         if piece:
             parts.append(piece)
-            if link:
+            if link and not (heading and article):
                 linked += len(piece)
 
     while True:
@@ -148,6 +150,7 @@ def lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
             is_out = _is_out(name, attributes, article > 0)
             stack.append((name, is_out))
             out += is_out
+            heading += name in HEADINGS
             if name in ARTICLE:
                 article += 1
                 has_article = has_article or out == 0
@@ -167,34 +170,37 @@ def lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
     return found, has_article
 
 
-def kept(found: list[tuple[str, bool, bool, int]], has_article: bool, window: int = WINDOW, surge: int = SURGE, share: float = SHARE) -> list[str]:
-    """The lines between surges and dives."""
-    if has_article:
-        weight = [len(t) if inside and not out else 0 for t, out, inside, _ in found]
-        has_article = any(weight)                  # an empty one says nothing about the page
-    if has_article:
-        surge, share = 1, 0.0
-    else:
-        weight = [0 if out or linked > LINKS * len(t) else len(t) for t, out, _, linked in found]
+def _block_sums(weight: list[int], window: int) -> list[int]:
     sums, total = [], 0
     for i in range(len(weight) - 1, -1, -1):
         total += weight[i] - (weight[i + window] if i + window < len(weight) else 0)
         sums.append(total)
     sums.reverse()
-    stretches, start = [], None
-    for i, value in enumerate(sums):
-        if start is None and weight[i] and value >= surge:
-            start = i
-        elif start is not None and value == 0:
-            stretches.append((start, i))
-            start = None
-    if start is not None:
-        stretches.append((start, len(weight)))
-    if not stretches and any(weight) and not has_article:
-        stretches = [(0, len(weight))]             # a page too short to surge
-    sizes = [sum(weight[a:b]) for a, b in stretches]
-    least = share * max(sizes, default=0)
-    return [found[i][0] for (a, b), n in zip(stretches, sizes) if n >= least for i in range(a, b) if weight[i]]
+    return sums
+
+
+def kept(found: list[tuple[str, bool, bool, int]], has_article: bool, window: int = WINDOW, surge: int = SURGE) -> list[str]:
+    """The weighing lines between dives that have a surge between them."""
+    texts = [t for t, _, _, _ in found]
+    weight = [0 if out or linked > LINKS * len(t) else len(t) for t, out, _, linked in found]
+    sums = _block_sums(weight, window)
+    if has_article:
+        own = [i for i, (_, out, inside, _) in enumerate(found) if not (out and inside)]
+        inner = [weight[i] if found[i][2] else 0 for i in own]
+        inner_sums = _block_sums(inner, window)
+        if any(inner) and (max(inner_sums) >= surge or max(sums) < surge):
+            texts, weight, sums = [texts[i] for i in own], inner, inner_sums
+    if max(sums, default=0) < surge:
+        return [t for t, w in zip(texts, weight) if w]      # a page too short to surge
+    out, start, surges = [], 0, False
+    for i, value in enumerate([*sums, 0]):
+        if value:
+            surges = surges or value >= surge
+        else:
+            if surges:
+                out += [t for t, w in zip(texts[start:i], weight[start:i]) if w]
+            start, surges = i, False
+    return out
 
 
 def main_text(page: str | None) -> str:
