@@ -177,12 +177,18 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in plain} | {b: 0x100 + n for n, b in enumerate(rest)}
 
 
+def _any_of(contents: list[str]):
+    """Pattern of any of the strings in lower-case text, None without strings."""
+    return regex.compile("|".join(r"\s+".join(map(regex.escape, t.lower().split())) for t in contents)) if contents else None
+
+
 class Encoder:
     """Ids of whole texts with ``add_special_tokens=False``. White space ends a
     piece in this vocabulary, so words are encoded once each and kept. A word of
     ASCII and Latin letters is first cut into the vocabulary's pieces, as those
-    repeat more often, and the library's model merges each piece; other words
-    go through the whole library encoder."""
+    repeat more often, and the library's model merges each piece; other words,
+    and words that hold an added token of the vocabulary, go through the whole
+    library encoder (whole texts, if an added token holds white space)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -192,6 +198,10 @@ class Encoder:
         self.wide = self.library.get_vocab_size() > 1 << 16
         self.kind = np.uint32 if self.wide else np.uint16
         self.code = "I" if self.wide else "H"
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.added = _any_of([t for t in added if not t.lower().isalpha()])
+        self.added_words = _any_of([t for t in added if t.lower().isalpha()])
+        self.added_spaced = _any_of([t for t in added if t.split() != [t]])
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -203,8 +213,14 @@ class Encoder:
                 odd.append((w, text))
                 continue
             low = text.lower()
+            if self.added_words and self.added_words.search(low):
+                odd.append((w, text))
+                continue
             if low.isalpha():
                 cut = (low,)
+            elif self.added and self.added.search(low):
+                odd.append((w, text))
+                continue
             else:
                 stem = low.rstrip(_MARKS)                     # marks at the end are one piece
                 cut = (stem, low[len(stem):]) if stem.isalpha() else _PIECES.findall(low)
@@ -228,7 +244,12 @@ class Encoder:
         missing = set().union(*split).difference(self.words)
         if missing:
             self._learn(missing)
-        return [b"".join(map(self.words.__getitem__, ws)) for ws in split]
+        out = [b"".join(map(self.words.__getitem__, ws)) for ws in split]
+        if self.added_spaced:
+            for i, t in enumerate(texts):
+                if self.added_spaced.search(t.decode().lower()):
+                    out[i] = array(self.code, self.library.encode(t.decode(), add_special_tokens=False).ids).tobytes()
+        return out
 
 
 def encoder(path: str) -> Encoder:
