@@ -6,7 +6,12 @@ The possible sources of a suspicious token are a lattice: each run of a
 character has its possible readings with their channel probabilities. Viterbi
 decoding under a character trigram model, whose counts come from all documents,
 picks the reading; a word boundary is a symbol of the model, so spread-out
-letters may come out as several words. Other tokens are read as they stand.
+letters may come out as several words. Neighbouring short tokens (up to ``SHORT``
+letters, digits or look-alike signs, or single ones with marks between them; with
+any marks and white space around) are one lattice, where each boundary may
+drop. A boundary between two parts whose last and first two letters are fixed is
+decided by those four alone, so a run is cut there if the boundary stays: the
+rest decodes as it would in the whole run. Other tokens are read as they stand.
 
 The classifier is fitted on restored words. For each hashed feature (the word
 with repeats collapsed, its first four, five and six letters) it counts toxic and
@@ -50,6 +55,7 @@ LIKELY = 0.5
 CACHE_TOKENS = 150_000   # per Python worker; emptied when full, so only speed depends on it
 FLUSH_FEATURES = 250_000  # counts a task holds before it sends them on
 THRESHOLD = 0.5
+SHORT = 3                # letters or signs of a token that may be a part of a broken word
 
 #: Signs that stand for letters.
 LOOKALIKES = {
@@ -67,8 +73,11 @@ _PLAIN = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1*", re.S)
 _TWICE = re.compile(r"(.)\1")
 _LONG = re.compile(r"(.)\1\1")
-_TRAIL = re.compile(r"[.,;:!?]+(?!\S)")
-_SPREAD = re.compile(r"(?<![^\s])(?:[^\W_][ .\-_*]){3,}[^\W_](?![^\s.,;:!?])")
+_TRAIL = ".,;:!?"
+_SIGNS = "".join(map(re.escape, LOOKALIKES))
+_LONE = {c for c in LOOKALIKES if not c.isdigit()}
+_SPACED = re.compile(rf"(?:[^\W_]|[{_SIGNS}])(?:(?:[^\w\s]|_)+(?:[^\W_]|[{_SIGNS}]))+")
+_AROUND = re.compile(rf"^(?:(?![{_SIGNS}])[\W_])+|(?:(?![{_SIGNS}])[\W_])+$")
 
 # symbols of the character model: 0 boundary, 1-26 a-z, 27.. other Latin letters, 62 digits, 63 any other letter
 _LATIN = "ßàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœ"
@@ -137,7 +146,7 @@ def readings(token: str) -> list[list[tuple[str, float]]]:
             here = [(c * min(n, 3) if c.isdigit() else " ", KEEP)] + [(x, p) for x in letters]
             out.append(here + [(x * 2, p + COLLAPSE_TWO) for x in letters] if n > 1 else here)
         else:
-            out.append([("", DROP_MARK), (" ", DROP_MARK)] if n == 1 else [(" ", 0.0)])
+            out.append([("", DROP_MARK), (" ", DROP_MARK)])
     return out
 
 
@@ -200,15 +209,6 @@ def word_feature(word: str) -> int:
     return zlib.crc32(b"w" + word.encode()) % BUCKETS
 
 
-def tokens(text: str) -> set[str]:
-    """Distinct lower-case tokens of a text; spread-out letters are one token."""
-    low = _TRAIL.sub("", text.lower())
-    found = set(low.split())
-    for m in _SPREAD.finditer(low):
-        found.add(m.group(0))
-    return found
-
-
 class _Cache(dict):
     def __init__(self, make):
         super().__init__()
@@ -221,6 +221,62 @@ class _Cache(dict):
         return value
 
 
+def _part(token: str):
+    """(core, last two letters, first two letters) of a lower-case token that may
+    be a part of a broken word; the letters are None where their reading is open.
+    An empty core is a separator; None is a token that ends a run."""
+    core = token if token.isalpha() else _AROUND.sub("", token[1:-1] if token[0] == "(" and token[-1] == ")" else token)
+    if len(core) > SHORT and not (not core.isalpha() and _SPACED.fullmatch(core)):
+        return None
+    fixed = 1 < len(core) <= SHORT and core.isalpha() and not _TWICE.search(core)
+    return core, core[-2:] if fixed else None, core[:2] if fixed else None
+
+
+def joins(letters: str, model: np.ndarray) -> bool:
+    """Whether the boundary between two parts drops, by the two letters before
+    it and the two after it."""
+    a, b, c, d = map(symbol, letters)
+    return float(model[a, b, c]) + float(model[b, c, d]) >= float(model[a, b, 0]) + float(model[b, 0, c]) + float(model[0, c, d])
+
+
+def tokens(text: str, parts=None, dropped=None) -> set[str]:
+    """Distinct lower-case tokens of a text, and its runs of short tokens, with a
+    space at each boundary. ``parts`` and ``dropped`` keep what ``_part`` and
+    ``joins`` say; without them no run is cut."""
+    ws = text.lower().split()
+    found = {w.rstrip(_TRAIL) for w in set(ws)}
+    run, tail = [], None
+
+    def end_run():
+        if len(run) > 1:
+            found.add(" ".join(run))
+            letters = [c for c in run if c not in _LONE]
+            if 1 < len(letters) < len(run):               # the signs may be separators
+                found.add(" ".join(letters))
+        run.clear()
+
+    for p in map(_part, ws) if parts is None else map(parts.__getitem__, ws):
+        if p is None:
+            end_run()
+            continue
+        core, end, start = p
+        if not core:
+            continue
+        if run and dropped is not None and tail is not None and start is not None and not dropped[tail + start]:
+            end_run()
+        run.append(core)
+        tail = end
+    end_run()
+    return found
+
+
+def _reader(model: np.ndarray):
+    """``tokens`` with the cuts that the model decides."""
+    parts, dropped = _Cache(_part), _Cache(lambda letters: joins(letters, model))
+    return lambda text: tokens(text, parts, dropped)
+
+
+
 def _shingled(batches):
     for batch in batches:
         low = []
@@ -239,10 +295,11 @@ def _evidence(shared):
         model = shared.value
         heads = _Cache(prefix_features)
         known = _Cache(lambda t: [f for w in sources(t, model) for f in (*heads[head(w)], word_feature(w))])
+        read = _reader(model)
         n = {}
         for batch in batches:
             for text, y in zip(words.text_array(batch.column("text")).to_pylist(), batch.column("toxic").to_pylist()):
-                for f in {f for t in tokens(text) for f in known[t]}:
+                for f in {f for t in read(text) for f in known[t]}:
                     c = n.get(f)
                     if c is None:
                         n[f] = c = [0, 0]
@@ -270,11 +327,11 @@ def share(chain, base: float, less: int | None = None) -> float:
     return p
 
 
-def _inputs(text: str, known: _Cache, base: float, less: int | None = None) -> tuple[float, float]:
+def _inputs(text: str, read, known: _Cache, base: float, less: int | None = None) -> tuple[float, float]:
     """(strongest evidence, log of 1 + the evidence of likely words) of a text;
     ``less`` is a training row's own label, whose counts are taken out."""
     best, total = base, 0.0
-    for t in tokens(text):
+    for t in read(text):
         chains = known[t]
         if chains:
             p = chains if less is None else max(share(c, base, less) for c in chains)
@@ -315,10 +372,10 @@ def _lookup(model, counts, base: float | None = None):
 def _training_inputs(shared):
     def run(batches):
         model, counts, base = shared.value
-        known = _lookup(model, counts)
+        known, read = _lookup(model, counts), _reader(model)
         for batch in batches:
             y = batch.column("toxic").to_pylist()
-            x = [_inputs(t, known, base, v) for t, v in zip(words.text_array(batch.column("text")).to_pylist(), y)]
+            x = [_inputs(t, read, known, base, v) for t, v in zip(words.text_array(batch.column("text")).to_pylist(), y)]
             yield pa.record_batch([pa.array([a for a, _ in x], pa.float64()), pa.array([b for _, b in x], pa.float64()), pa.array(y, pa.int32())],
                                   ["best", "total", "toxic"])
     return run
@@ -327,9 +384,9 @@ def _training_inputs(shared):
 def _scored(shared):
     def run(batches):
         model, counts, base, weights = shared.value
-        known = _lookup(model, counts, base)
+        known, read = _lookup(model, counts, base), _reader(model)
         for batch in batches:
-            score = [logistic(weights, _inputs(t, known, base)) for t in words.text_array(batch.column("__text")).to_pylist()]
+            score = [logistic(weights, _inputs(t, read, known, base)) for t in words.text_array(batch.column("__text")).to_pylist()]
             out = batch.drop_columns(["__text"])
             yield pa.RecordBatch.from_arrays([*out.columns, pa.array(score, pa.float64())], [*out.schema.names, "__score"])
     return run
