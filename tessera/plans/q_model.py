@@ -56,11 +56,11 @@ def _cv(profile):
 # Rounds of the boosted models in the registered queries; the profiles' own
 # 600, 1,200 and 1,000 take hours on one machine (README).
 QUERY_ROUNDS = 10
-A, B, C = (replace(p, rounds=QUERY_ROUNDS) for p in (ML.PROFILE_A, ML.PROFILE_B, ML.PROFILE_C))
+_BOOSTED_A, _BOOSTED_B, _BOOSTED_C = (replace(p, rounds=QUERY_ROUNDS) for p in (ML.PROFILE_A, ML.PROFILE_B, ML.PROFILE_C))
 
-register("l01_cv_boosted_a")(_cv(A))
-register("l02_cv_boosted_b")(_cv(B))
-register("l03_cv_boosted_c")(_cv(C))
+register("l01_cv_boosted_a")(_cv(_BOOSTED_A))
+register("l02_cv_boosted_b")(_cv(_BOOSTED_B))
+register("l03_cv_boosted_c")(_cv(_BOOSTED_C))
 
 # L04-L06 through the same CV driver (L07), with the small baseline settings
 # below; the library profiles keep the reference's (1000 iterations, 100 trees).
@@ -75,13 +75,13 @@ register("l06_cv_svm")(_cv(_SVM_Q))
 @register("e06_oof_predictions")
 def e06_oof_predictions(spark, d):
     f, b, cols = _folded(spark, d)
-    return ML.cross_validate(f, cols, A, None, ROLES, K).oof
+    return ML.cross_validate(f, cols, _BOOSTED_A, None, ROLES, K).oof
 
 
 @register("e07_test_mean_prediction")
 def e07_test_mean_prediction(spark, d):
     f, b, cols = _folded(spark, d)
-    return ML.cross_validate(f, cols, A, b, ROLES, K).test
+    return ML.cross_validate(f, cols, _BOOSTED_A, b, ROLES, K).test
 
 
 # Baselines with small settings for the registered query (library defaults
