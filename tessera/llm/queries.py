@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import html, licenses, lines, minhash, piecewise, segmentation, suffixes, toxicity, warc, wavelet
+from tessera.llm import html, licenses, lines, minhash, piecewise, runs, segmentation, suffixes, toxicity, warc, wavelet
 from tessera.llm.common import scratch, table
 
 
@@ -73,6 +73,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("__score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of them with a periodic tail."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = runs.collapse(docs, arrange=runs.periodic_tail).withColumn("__best", runs.best_run())
+    lines = F.transform("__runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return out.select(
+        "doc_id", F.size("__runs").cast("long").alias("n_runs"), F.col("__best.start").alias("start"),
+        F.col("__best.length").alias("length"), F.col("__best.period").alias("period"),
+        F.expr("1000 * __best.length div __best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("__collapsed", 256).alias("collapsed_sha256"))
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -130,5 +142,5 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id
        CASE WHEN page_id <> first THEN first END AS refers_to FROM f
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_html_text, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op6_gumbel_segmentation, op7_decontamination, op8_license_scan, op9_warc, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_html_text, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op6_gumbel_segmentation, op7_decontamination, op8_license_scan, op9_warc, op10_toxicity, op13_periodic_runs)}
 ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL}
