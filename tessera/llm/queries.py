@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import html, licenses, lines, minhash, piecewise, runs, segmentation, suffixes, toxicity, warc, wavelet
+from tessera.llm import bond, html, licenses, lines, minhash, piecewise, runs, segmentation, suffixes, toxicity, warc, wavelet
 from tessera.llm.common import scratch, table
 
 
@@ -73,6 +73,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("__score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector, against all vectors."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = bond.usable(table(spark, sf_dir, "embeddings"), "vec_id", label, "embedding", 256)
+    return bond.hard_negatives(rows, F.col("id") % 50 == 0).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document, a tenth of them with a periodic tail."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -142,5 +150,23 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id
        CASE WHEN page_id <> first THEN first END AS refers_to FROM f
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_html_text, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op6_gumbel_segmentation, op7_decontamination, op8_license_scan, op9_warc, op10_toxicity, op13_periodic_runs)}
-ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL}
+OP11_SQL = """
+WITH e AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q, row_number() OVER () AS r
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor_id, a.r AS ar, b.id, b.r, a.label = b.label AS same,
+         CAST(coalesce(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])), 0) AS BIGINT) AS score
+  FROM (SELECT * FROM e WHERE id % 50 = 0) a JOIN e b ON len(a.q) = len(b.q) AND a.r <> b.r),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, id, r) <= 5),
+n AS (
+  SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.ar, p.r ORDER BY s.score DESC, s.id, s.r) AS rank
+  FROM p JOIN s ON s.ar = p.ar AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_html_text, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op6_gumbel_segmentation, op7_decontamination, op8_license_scan, op9_warc, op10_toxicity, op11_hard_negatives, op13_periodic_runs)}
+ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL, "op11_hard_negatives": OP11_SQL}
