@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import bond, html, licenses, lines, minhash, piecewise, runs, segmentation, suffixes, toxicity, warc, wavelet
+from tessera.llm import bond, hnsw, html, licenses, lines, minhash, piecewise, runs, segmentation, suffixes, toxicity, warc, wavelet
 from tessera.llm.common import scratch, table
 
 
@@ -81,6 +81,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
+def op12_vector_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all vectors of equal labels."""
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document, a tenth of them with a periodic tail."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -168,5 +173,21 @@ n AS (
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
 """
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_html_text, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op6_gumbel_segmentation, op7_decontamination, op8_license_scan, op9_warc, op10_toxicity, op11_hard_negatives, op13_periodic_runs)}
-ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL, "op11_hard_negatives": OP11_SQL}
+OP12_SQL = """
+WITH RECURSIVE r AS (SELECT *, row_number() OVER () AS i FROM embeddings),
+v AS (SELECT i, vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM r
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT i, vec_id, label, x, sqrt(list_sum(list_transform(x, lambda a: a * a))) AS norm FROM v),
+p AS (SELECT a.i AS a, b.i AS b FROM u a JOIN u b ON a.label = b.label AND len(a.x) = len(b.x) AND a.i < b.i
+      WHERE list_sum(list_transform(range(1, len(a.x) + 1), lambda k: a.x[k] * b.x[k])) / (a.norm * b.norm) >= 0.93),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+reach(i, other) AS (SELECT i, i FROM r UNION SELECT reach.i, l.b FROM reach JOIN l ON l.a = reach.other),
+c AS (SELECT reach.i, min(r.vec_id) AS component_id FROM reach JOIN r ON r.i = reach.other GROUP BY reach.i),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM r JOIN c USING (i) LEFT JOIN n ON n.a = r.i
+"""
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_html_text, op3_line_dedup, op4_wavelet_tokens, op5_piecewise_hash, op6_gumbel_segmentation, op7_decontamination, op8_license_scan, op9_warc, op10_toxicity, op11_hard_negatives, op12_vector_groups, op13_periodic_runs)}
+ORACLES = {"op1_minhash_dedup": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_decontamination": OP7_SQL, "op9_warc": OP9_SQL, "op11_hard_negatives": OP11_SQL, "op12_vector_groups": OP12_SQL}

@@ -6,7 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tessera.llm import bond, queries
+from tessera.llm import bond, hnsw, queries
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -90,3 +90,58 @@ def test_scores_that_cannot_fit_are_an_error(spark):
     df = spark.createDataFrame([(0, 1, [2 ** 31])], "id long, label long, vector array<long>")
     with pytest.raises(ValueError):
         bond.hard_negatives(df, df.id == 0)
+
+
+def test_vector_groups_match_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    got = queries.op12_vector_groups(spark, SF)
+    assert rows_of(got) == sql_rows(con, queries.OP12_SQL, got.columns)
+
+
+def test_vector_groups_on_edge_rows(spark, edge_vectors, tmp_path, monkeypatch):
+    """Several shards a class, near copies around the threshold, all odd rows."""
+    con = saved(edge_vectors.withColumn("id", edge_vectors.label).withColumn("component", edge_vectors.vec_id), tmp_path)
+    monkeypatch.setattr(hnsw, "SHARDS", 8)
+    got = hnsw.near_duplicates(spark.read.parquet(f"{tmp_path}/embeddings.parquet"), least_rows=40)
+    want = sql_rows(con, queries.OP12_SQL, got.columns)
+    assert rows_of(got) == want
+    assert max(r[1] for r in want) > 20 and not all(r[3] for r in want)
+
+
+def test_vector_groups_of_no_rows(spark, tmp_path):
+    saved(spark.createDataFrame([], SCHEMA), tmp_path)
+    assert queries.op12_vector_groups(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("spread", [0.05, 0.2, 0.3, 0.38])
+def test_graph_recall_and_counts_against_brute_force(spread):
+    """Chains of vectors whose cosines lie on both sides of the threshold, searched in two shards."""
+    rng = np.random.default_rng(int(spread * 100))
+    centres = rng.normal(size=(60, 32)) / np.sqrt(32)
+    raw = (centres[rng.integers(60, size=3000)] + rng.normal(size=(3000, 32)) * spread / np.sqrt(32)).astype(np.float32)
+    x, rid, weight = hnsw.unit(raw), np.arange(3000), rng.integers(1, 4, 3000)
+    wanted = (((x @ x.T) >= 0.93) * weight).sum(axis=1)
+    counted = np.zeros(3000, np.int64)
+    for rows in (rid[:1500], rid[1500:]):
+        graph, node_row, node, angle = hnsw.build(rows, x[rows], np.arccos(0.93) / 2 - 1e-6)
+        assert angle.max() <= np.arccos(0.93) / 2 and (node >= 0).all()
+        layers = {f"layer{k}": v[:graph.count] for k, v in enumerate(graph.layers)}
+        shard = hnsw.Shard(hnsw.packed(raw=raw[rows], weight=weight[rows], rid=rows, node_row=node_row, node=node, angle=angle,
+                                       entry=np.int64(graph.entry), layers=np.int64(len(layers)), **layers), 0.93)
+        counted += shard.links(x, None)[0]
+    assert (counted <= wanted).all()                    # none below the threshold
+    assert counted.sum() >= 0.995 * wanted.sum()
+
+
+def test_audit_widens_a_beam_that_misses(monkeypatch):
+    """A graph whose lists are cut: audits end in a comparison with all nodes, nothing is lost."""
+    rng = np.random.default_rng(4)
+    raw = rng.normal(size=(800, 8)).astype(np.float32)
+    x = hnsw.unit(raw)
+    graph, node_row, node, angle = hnsw.build(np.arange(800), x, np.arccos(0.93) / 2 - 1e-6)
+    layers = {f"layer{k}": np.full_like(v[:graph.count], -1) for k, v in enumerate(graph.layers)}
+    shard = hnsw.Shard(hnsw.packed(raw=raw, weight=np.ones(800, np.int64), rid=np.arange(800), node_row=node_row, node=node, angle=angle,
+                                   entry=np.int64(graph.entry), layers=np.int64(len(layers)), **layers), 0.93)
+    assert (shard.links(x, node)[0] == ((x @ x.T) >= 0.93).sum(axis=1)).all()
+    assert shard.width >= graph.count
