@@ -1,26 +1,28 @@
 """Models, cross-validation and model-based scores: L01-L08, M04, M06, F04,
 F08, E06-E08, E11.
 
-Every fit is a Spark ML estimator on a DataFrame (distributed tree
-building / gradient steps). The fold loop submits one fit per fold on the
-same cached, fold-tagged table; predictions stay DataFrames keyed by id.
+Boosted trees are the histogram booster of :mod:`tessera.operators.boost`, all folds in one
+fit; the other fits are Spark ML estimators, one per fold on the same cached,
+fold-tagged table. Predictions stay DataFrames keyed by id.
 """
 
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import (LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel,
+                                       RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.boost import Boost, Boosted, fit_boosted
 from tessera.operators.evaluate import accuracy, fold_metrics, mean_std
 from tessera.operators.score import roc_auc
 from tessera.roles import Roles
@@ -41,34 +43,34 @@ class Profile:
     rate: float = 0.03
     row_frac: float = 0.8
     col_frac: float = 0.8
-    bins: int = 256
+    bins: int = 254
     leaf_rows: int = 1
+    leaf_hessian: float = 1.0
+    leaves: int | None = None
+    l2: float = 1.0
     trees: int = 100
     iters: int = 1000
     weighted: bool = True
 
 
-# Three boosted-tree configurations and the baselines. B grows
-# leaf by leaf to 63 leaves of at least 20 rows; level by level that is depth 7
-# with the same least leaf.
+# Three boosted-tree configurations and the baselines. A and C grow
+# by level; B grows best first to 63 leaves of at least 20 rows; C has an L2 leaf
+# term of 3 and samples neither rows nor columns.
 PROFILE_A = Profile("boosted_a", "gbt", rounds=600, depth=6, rate=0.03)
-PROFILE_B = Profile("boosted_b", "gbt", rounds=1200, depth=7, rate=0.03, bins=255, leaf_rows=20)
-PROFILE_C = Profile("boosted_c", "gbt", rounds=1000, depth=6, rate=0.03, row_frac=1.0, col_frac=1.0, bins=254)
+PROFILE_B = Profile("boosted_b", "gbt", rounds=1200, leaves=63, rate=0.03, l2=0.0, leaf_rows=20, leaf_hessian=1e-3)
+PROFILE_C = Profile("boosted_c", "gbt", rounds=1000, depth=6, rate=0.03, row_frac=1.0, col_frac=1.0, l2=3.0)
 LOGISTIC = Profile("Logistic Regression", "logistic", weighted=False)
 FOREST = Profile("Random Forest", "forest", trees=100, depth=30, weighted=False)     # the library's deepest
 SVM = Profile("SVM", "svm", iters=100, weighted=False)
 
 
+def boost_settings(p: Profile) -> Boost:
+    return Boost(rounds=p.rounds, depth=p.depth, leaves=p.leaves, rate=p.rate, row_frac=p.row_frac, col_frac=p.col_frac, bins=p.bins,
+                 l2=p.l2, leaf_rows=p.leaf_rows, leaf_hessian=p.leaf_hessian, seed=SEED)
+
+
 def estimator(p: Profile, n_rows: int | None = None, weight_col: str | None = None):
-    if p.kind == "gbt":
-        # Depth-6 trees (<= 127 nodes) are cheap to ship to executors each
-        # round; a node-id cache would persist and checkpoint one id per row
-        # per round instead (measured slower here). Residuals are still
-        # checkpointed every 10 rounds, so long boosting keeps a short lineage.
-        e = GBTClassifier(maxIter=p.rounds, maxDepth=p.depth, stepSize=p.rate, subsamplingRate=p.row_frac,
-                          featureSubsetStrategy=str(p.col_frac) if p.col_frac < 1 else "all", seed=SEED,
-                          maxBins=p.bins, minInstancesPerNode=p.leaf_rows, cacheNodeIds=False, checkpointInterval=10)
-    elif p.kind == "logistic":
+    if p.kind == "logistic":
         # unit inverse regularisation strength on a summed loss = 1/n on a mean loss
         e = LogisticRegression(maxIter=p.iters, regParam=1.0 / max(n_rows or 1, 1), elasticNetParam=0.0,
                                standardization=False)
@@ -78,7 +80,7 @@ def estimator(p: Profile, n_rows: int | None = None, weight_col: str | None = No
         e = LinearSVC(maxIter=p.iters, regParam=1.0 / max(n_rows or 1, 1))
     else:
         raise ValueError(p.kind)
-    if weight_col and p.weighted and p.kind in ("gbt", "logistic", "forest", "svm"):
+    if weight_col and p.weighted:
         e = e.setWeightCol(weight_col)
     return e
 
@@ -99,7 +101,29 @@ class _Fitted:
     def __init__(self, model, calib=None):
         self.model, self.calib = model, calib
 
+    def save(self, spark, path: str) -> str:
+        """The model, and beside it what ``load`` needs to score as before."""
+        kind = "boosted" if isinstance(self.model, Boosted) else type(self.model).__name__
+        if kind == "boosted":
+            self.model.save(spark, path)
+        else:
+            self.model.write().overwrite().save(path)
+        a, b = self.calib or (None, None)
+        spark.createDataFrame([(kind, a, b)], "kind string, slope double, intercept double").write.mode("overwrite").parquet(f"{path}/fitted")
+        return path
+
+    @classmethod
+    def load(cls, spark, path: str) -> _Fitted:
+        r = spark.read.parquet(f"{path}/fitted").first()
+        if r["kind"] == "boosted":
+            return cls(Boosted.load(spark, path))
+        kinds = {c.__name__: c for c in (LogisticRegressionModel, RandomForestClassificationModel, LinearSVCModel)}
+        return cls(kinds[r["kind"]].load(path), (r["slope"], r["intercept"]) if r["slope"] is not None else None)
+
     def score(self, df: DataFrame, keep: list[str], out: str = "p") -> DataFrame:
+        """``df`` has the ``features`` vector, for boosted trees the columns themselves."""
+        if isinstance(self.model, Boosted):
+            return self.model.score(df, keep, out)
         s = self.model.transform(df)
         if self.calib is None:
             return s.select(*keep, vector_to_array("probability")[1].alias(out))
@@ -109,7 +133,7 @@ class _Fitted:
 
 
 def fit(p: Profile, train: DataFrame, label: str = "y", weight: float | None = None) -> _Fitted:
-    """Fit one profile on an assembled table (``features`` column)."""
+    """Fit one profile of Spark ML on an assembled table (``features`` column)."""
     n = None
     if p.kind in ("logistic", "svm"):
         n = train.count()
@@ -128,6 +152,20 @@ def fit(p: Profile, train: DataFrame, label: str = "y", weight: float | None = N
     return _Fitted(model, (float(lr.coefficients[0]), float(lr.intercept)))
 
 
+def fit_table(p: Profile, df: DataFrame, cols: list[str], roles: Roles = Roles(), weight: float | None = None) -> _Fitted:
+    """Fit any profile on all rows of a table of plain columns."""
+    if p.kind == "gbt":
+        w = weight if weight is not None and p.weighted else 1.0
+        return _Fitted(fit_boosted(df, cols, boost_settings(p), roles.label, roles.key, weight=w)[0])
+    return fit(p, assemble(df, cols), roles.label, weight)
+
+
+def inputs(m: _Fitted | Profile, df: DataFrame, cols: list[str]) -> DataFrame:
+    """What ``score`` of this kind of model reads."""
+    boosted = m.kind == "gbt" if isinstance(m, Profile) else isinstance(m.model, Boosted)
+    return df if boosted else assemble(df, cols)
+
+
 # ---------------------------------------------------------------- L07 / E05-E07
 
 @dataclass
@@ -164,17 +202,21 @@ def cross_validate(folded: DataFrame, cols: list[str], p: Profile, test: DataFra
 
     def rows(df, f):
         """Fold f's view of a table: its cap, its columns."""
-        return assemble(apply_cap(df, fitted.caps.get(f, {})), fitted.columns.get(f, cols))
+        return inputs(p, apply_cap(df, fitted.caps.get(f, {})), fitted.columns.get(f, cols))
 
-    # The k fits are independent: submit them from a small thread pool so
-    # their jobs share the cluster instead of queueing behind each other.
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=min(k, parallel_fits)) as pool:
-        models = list(pool.map(lambda f: fit(p, rows(data.where(F.col(fold_col) != f), f), label, w), range(1, k + 1)))
+    if p.kind == "gbt":
+        boosted = fit_boosted(data, cols, boost_settings(p), label, key, fold_col, {f: f for f in range(1, k + 1)},
+                              w if p.weighted else 1.0, fitted.columns, fitted.caps)
+        models = [_Fitted(boosted[f]) for f in range(1, k + 1)]
+    else:
+        # The k fits are independent: submit them from a small thread pool so
+        # their jobs share the cluster instead of queueing behind each other.
+        with ThreadPoolExecutor(max_workers=min(k, parallel_fits)) as pool:
+            models = list(pool.map(lambda f: fit(p, rows(data.where(F.col(fold_col) != f), f), label, w), range(1, k + 1)))
     oofs, tests = [], []
     for f, m in zip(range(1, k + 1), models):
         if model_dir is not None:
-            m.model.write().overwrite().save(f"{model_dir}/fold_{f}")
+            m.save(data.sparkSession, f"{model_dir}/fold_{f}")
         oofs.append(m.score(rows(data.where(F.col(fold_col) == f), f), [key, fold_col, label]))
         if tdata is not None:
             tests.append(m.score(rows(tdata, f), [key]).withColumn(fold_col, F.lit(f)))
@@ -184,13 +226,36 @@ def cross_validate(folded: DataFrame, cols: list[str], p: Profile, test: DataFra
     return CVResult(oof, tmean, fold_metrics(oof, label, "p", fold_col), models, held, fitted)
 
 
+def cross_validate_columns(folded: DataFrame, settings: dict, p: Profile, roles: Roles = Roles(), k: int = 5,
+                           fold_col: str = "fold", parallel_fits: int = 5) -> dict:
+    """The out-of-fold predictions (key, fold, y, p) of each setting, a setting being the columns of each
+    fold: ``{setting: {fold: columns}}``. Settings that keep the same columns in a fold share its fit; boosted
+    trees of all settings grow in one fit."""
+    from tessera.operators.profile import class_weight_value
+    key, label = roles.key, roles.label
+    jobs = sorted({(f, tuple(cols)) for folds in settings.values() for f, cols in folds.items()})
+    every = list(dict.fromkeys(c for _, cols in jobs for c in cols))
+    data = folded.select(key, fold_col, label, *every)
+    w = class_weight_value(data, label)
+    if p.kind == "gbt":
+        models = fit_boosted(data, every, boost_settings(p), label, key, fold_col, {i: f for i, (f, _) in enumerate(jobs)},
+                             w if p.weighted else 1.0, {i: list(cols) for i, (_, cols) in enumerate(jobs)})
+        fitted = {job: _Fitted(models[i]) for i, job in enumerate(jobs)}
+    else:
+        with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
+            fitted = dict(zip(jobs, pool.map(lambda j: fit(p, assemble(data.where(F.col(fold_col) != j[0]), list(j[1])), label, w), jobs)))
+    scored = {j: m.score(inputs(m, data.where(F.col(fold_col) == j[0]), list(j[1])), [key, fold_col, label]) for j, m in fitted.items()}
+    return {s: reduce(DataFrame.unionByName, [scored[f, tuple(cols)] for f, cols in sorted(folds.items())]) for s, folds in settings.items()}
+
+
 # ---------------------------------------------------------------- L08 / E08
 
 def compare_baselines(train: DataFrame, cols: list[str], profiles: list[Profile], roles: Roles = Roles(),
-                      k: int = 5, holdout: float = 0.2) -> DataFrame:
+                      k: int = 5, holdout: float = 0.2, model_dir: str | None = None) -> DataFrame:
     """L08 + E08: each profile's holdout AUC and accuracy and its k-fold AUC
     mean/sd (unshuffled stratified folds of the training part); a profile
-    that fails is reported with NULLs and its ``error``, and the rest continue. Best first."""
+    that fails is reported with NULLs and its ``error``, and the rest continue. Best first.
+    ``model_dir`` gets each fitted baseline (S11)."""
     from tessera.operators.split import stratified_holdout, stratified_kfold
     spark = train.sparkSession
     parts = stratified_holdout(train.select(roles.key, roles.label, *cols), holdout)
@@ -198,8 +263,10 @@ def compare_baselines(train: DataFrame, cols: list[str], profiles: list[Profile]
     tr, va = parts.where(F.col("part") == "train").drop("part"), parts.where(F.col("part") == "valid").drop("part")
     def run(p):
         try:
-            m = fit(p, assemble(tr, cols), roles.label)
-            s = m.score(assemble(va, cols), [roles.label])
+            m = fit_table(p, tr, cols, roles)
+            if model_dir is not None:
+                m.save(spark, f"{model_dir}/{p.name.lower().replace(' ', '_')}")
+            s = m.score(inputs(m, va, cols), [roles.label])
             auc = roc_auc(s, roles.label, "p").first()
             acc = accuracy(s.withColumn("pred", (F.col("p") >= 0.5).cast("int")), roles.label).first()
             cv = cross_validate(stratified_kfold(tr, k, shuffle=False), cols, p, None, roles, k)
@@ -211,7 +278,6 @@ def compare_baselines(train: DataFrame, cols: list[str], profiles: list[Profile]
             return (p.name, None, None, None, None, f"{type(e).__name__}: {e}"[:2000])
 
     # the models are independent: their jobs share the cluster
-    from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=max(1, len(profiles))) as pool:
         rows = list(pool.map(run, profiles))
     parts.unpersist()
@@ -227,8 +293,7 @@ def model_importance(train: DataFrame, cols: list[str], roles: Roles = Roles(),
     """Normalised split-gain importance of a quick boosted model,
     as (feature, importance)."""
     p = Profile("importance", "gbt", rounds=rounds, depth=depth, rate=rate, weighted=False)
-    m = fit(p, assemble(train.select(roles.label, *cols), cols), roles.label).model
-    imp = m.featureImportances.toArray().tolist()
+    imp = fit_table(p, train, cols, roles).model.importance()
     return train.sparkSession.createDataFrame([(c, float(v)) for c, v in zip(cols, imp)],
                                               "feature string, importance double")
 
@@ -270,7 +335,6 @@ def kmeans_assign(df: DataFrame, k: int, cols: list[str], starts: int = 10, seed
 
     # the starts are independent: submit them together so their jobs share
     # the cluster; least cost wins, the earliest seed on ties
-    from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=min(starts, parallel_starts)) as pool:
         fits = list(pool.map(fit_start, range(starts)))
     best = min(fits, key=lambda t: (t[0], t[1]))[2]

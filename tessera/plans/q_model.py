@@ -4,8 +4,6 @@ E11, S12."""
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import r6
@@ -53,14 +51,10 @@ def _cv(profile):
     return run
 
 
-# Rounds of the boosted models in the registered queries; the profiles' own
-# 600, 1,200 and 1,000 take hours on one machine (README).
-QUERY_ROUNDS = 10
-_BOOSTED_A, _BOOSTED_B, _BOOSTED_C = (replace(p, rounds=QUERY_ROUNDS) for p in (ML.PROFILE_A, ML.PROFILE_B, ML.PROFILE_C))
-
-register("l01_cv_boosted_a")(_cv(_BOOSTED_A))
-register("l02_cv_boosted_b")(_cv(_BOOSTED_B))
-register("l03_cv_boosted_c")(_cv(_BOOSTED_C))
+# the profiles' own rounds: 600, 1,200 and 1,000
+register("l01_cv_boosted_a")(_cv(ML.PROFILE_A))
+register("l02_cv_boosted_b")(_cv(ML.PROFILE_B))
+register("l03_cv_boosted_c")(_cv(ML.PROFILE_C))
 
 # L04-L06 through the same CV driver (L07), with the small baseline settings
 # below; the library profiles keep the reference's (1000 iterations, 100 trees).
@@ -75,13 +69,13 @@ register("l06_cv_svm")(_cv(_SVM_Q))
 @register("e06_oof_predictions")
 def e06_oof_predictions(spark, d):
     f, b, cols = _folded(spark, d)
-    return ML.cross_validate(f, cols, _BOOSTED_A, None, ROLES, K).oof
+    return ML.cross_validate(f, cols, ML.PROFILE_A, None, ROLES, K).oof
 
 
 @register("e07_test_mean_prediction")
 def e07_test_mean_prediction(spark, d):
     f, b, cols = _folded(spark, d)
-    return ML.cross_validate(f, cols, _BOOSTED_A, b, ROLES, K).test
+    return ML.cross_validate(f, cols, ML.PROFILE_A, b, ROLES, K).test
 
 
 # Baselines with small settings for the registered query (library defaults
@@ -98,13 +92,13 @@ def l08_baseline_comparison(spark, d):
 @register("m04_model_importance")
 def m04_model_importance(spark, d):
     a, _, cols = model_inputs(spark, d)
-    return ML.model_importance(a, cols, ROLES, rounds=QUERY_ROUNDS)
+    return ML.model_importance(a, cols, ROLES)
 
 
 @register("f04_select_by_model")
 def f04_select_by_model(spark, d):
     a, _, cols = model_inputs(spark, d)
-    keep = ML.select_by_model(ML.model_importance(a, cols, ROLES, rounds=QUERY_ROUNDS, depth=5), k=3)
+    keep = ML.select_by_model(ML.model_importance(a, cols, ROLES, rounds=200, depth=5), k=3)
     return SEL.kept_frame(spark, keep)
 
 
@@ -124,71 +118,60 @@ def j04_cluster_labels(spark, d):
 
 @register("s11_model_round_trip")
 def s11_model_round_trip(spark, d):
-    """Fit, save to the shared checkpoint folder, load back, score test."""
+    """Fit the SVM with its calibration, save to the shared checkpoint folder, load back, score test."""
     import os
     import uuid
-    from pyspark.ml.classification import LogisticRegressionModel
     from tessera.session import checkpoint_dir
-    from tessera.sources import io as IO
     a, b, cols = model_inputs(spark, d)
-    m = ML.fit(ML.LOGISTIC, ML.assemble(a, cols), ROLES.label)
-    path = IO.save_model(m.model, os.path.join(checkpoint_dir(spark), "models", uuid.uuid4().hex, "logistic"))
-    back = IO.load_model(LogisticRegressionModel, path)
-    return ML._Fitted(back).score(ML.assemble(b, cols), [ROLES.key])
+    m = ML.fit_table(_SVM_Q, a, cols, ROLES)
+    back = ML._Fitted.load(spark, m.save(spark, os.path.join(checkpoint_dir(spark), "models", uuid.uuid4().hex, "svm")))
+    return back.score(ML.inputs(back, b, cols), [ROLES.key])
 
 
 SWEEP_T = [0.5, 0.9, 0.99]
 
 
+def _sweep(spark, oofs: dict, name: str, kind: str):
+    """(setting, pooled out-of-fold AUC, best) of each setting, the first best one flagged."""
+    from tessera.operators.evaluate import best_setting
+    from tessera.operators.score import roc_auc
+    rows = [(i, v, roc_auc(oof, "y", "p").first()["auc"]) for i, (v, oof) in enumerate(oofs.items())]
+    res = spark.createDataFrame(rows, f"position int, {name} {kind}, oof_auc double")
+    best = best_setting(res, "oof_auc", "position").select(F.lit(True).alias("best"), "position")
+    return res.join(best, "position", "left").select(name, r6("oof_auc").alias("oof_auc"), F.coalesce("best", F.lit(False)).alias("best"))
+
+
 @register("e11_corr_threshold_sweep")
 def e11_corr_threshold_sweep(spark, d):
-    """Per threshold: correlation pruning inside each fold's training part,
-    then logistic CV; pooled out-of-fold AUC per threshold. Each fold's
-    correlation pairs are computed once and shared by all thresholds."""
+    """Per threshold: leakers dropped and correlation pruned inside each fold's training part, then the
+    boosted profile A; pooled out-of-fold AUC. Each fold's leakers and correlation pairs are
+    found once for all thresholds, and thresholds that keep the same columns share a fit."""
     from concurrent.futures import ThreadPoolExecutor
-    from functools import reduce
     from tessera.operators.profile import correlation_pairs
-    from tessera.operators.score import roc_auc
+    from tessera.operators.score import fold_auc, near_perfect
     f, _, cols = _folded(spark, d)
     folds = list(range(1, K + 1))
+    leak = {(r["fit_fold"], r["feature"]) for r in near_perfect(fold_auc(f, ROLES, cols, K)).collect()}
 
     def fold_pairs(k):
         return [(r["feature_a"], r["feature_b"], r["corr"]) for r in
-                correlation_pairs(f.where(F.col("fold") != k), cols, upper_only=True,
+                correlation_pairs(f.where(F.col("fold") != k), [c for c in cols if (k, c) not in leak], upper_only=True,
                                   include_diagonal=False).collect()]
 
-    # independent jobs go to the cluster together (one per fold, then one
-    # fit per distinct (fold, kept columns): thresholds that keep the same
-    # columns share a fit)
     with ThreadPoolExecutor(max_workers=K) as pool:
         pairs = dict(zip(folds, pool.map(fold_pairs, folds)))
-    keeps = {(t, k): tuple(c for c in cols if c not in {a for a, _, r in pairs[k] if r is not None and abs(r) >= t})
-             for t in SWEEP_T for k in folds}
-
-    def fit_fold(job):
-        k, keep = job
-        m = ML.fit(ML.LOGISTIC, ML.assemble(f.where(F.col("fold") != k), list(keep)), "y")
-        return job, m.score(ML.assemble(f.where(F.col("fold") == k), list(keep)), ["id", "y"])
-
-    with ThreadPoolExecutor(max_workers=K) as pool:
-        scored = dict(pool.map(fit_fold, sorted({(k, v) for (_, k), v in keeps.items()})))
-    rows = []
+    settings = {}
     for t in SWEEP_T:
-        oof = reduce(lambda a, b: a.unionByName(b), [scored[(k, keeps[(t, k)])] for k in folds])
-        rows.append((t, roc_auc(oof, "y", "p").first()["auc"]))
-    from tessera.operators.evaluate import best_setting
-    res = spark.createDataFrame([(i, t, a) for i, (t, a) in enumerate(rows)],
-                                "position int, corr_threshold double, oof_auc double")
-    best = best_setting(res, "oof_auc", "position").select(F.lit(True).alias("best"), "position")
-    return res.join(best, "position", "left").select("corr_threshold", r6("oof_auc").alias("oof_auc"),
-                                                    F.coalesce("best", F.lit(False)).alias("best"))
+        gone = {k: {a for a, _, r in pairs[k] if r is not None and abs(r) >= t} for k in folds}
+        settings[t] = {k: [c for c in cols if (k, c) not in leak and c not in gone[k]] for k in folds}
+    return _sweep(spark, ML.cross_validate_columns(f, settings, ML.PROFILE_A, ROLES, K), "corr_threshold", "double")
 
 
 @register("m05_shap_importance")
 def m05_shap_importance(spark, d):
     from tessera.operators.explain import shap_importance
     a, _, cols = model_inputs(spark, d)
-    return shap_importance(a, cols, ROLES, rounds=QUERY_ROUNDS)
+    return shap_importance(a, cols, ROLES).select("feature", r6("shap_mean_abs").alias("shap_mean_abs"))
 
 
 SHAP_KS = [2, 4, 6, 9]
@@ -196,27 +179,12 @@ SHAP_KS = [2, 4, 6, 9]
 
 @register("e12_shap_k_sweep")
 def e12_shap_k_sweep(spark, d):
-    """One SHAP table; for each k the top-k features by mean |SHAP| are
-    cross-validated (logistic) and the pooled out-of-fold AUC recorded;
-    the best k (first on ties) is flagged (E13)."""
-    from tessera.operators.evaluate import best_setting
+    """One SHAP table; for each k the boosted profile A is cross-validated on the top-k features by mean |SHAP|, without
+    each fold's leakers, and the pooled out-of-fold AUC recorded; the best k (first on ties) is flagged (E13)."""
     from tessera.operators.explain import shap_importance
-    from tessera.operators.score import roc_auc
+    from tessera.operators.score import fold_auc, near_perfect
     f, _, cols = _folded(spark, d)
-    ranked = [r["feature"] for r in shap_importance(f, cols, ROLES, rounds=QUERY_ROUNDS)
-              .orderBy(F.desc("shap_mean_abs"), "feature").collect()]
-    def run(ik):
-        i, k = ik
-        cv = ML.cross_validate(f, ranked[:k], ML.LOGISTIC, None, ROLES, K)
-        auc = roc_auc(cv.oof, "y", "p").first()["auc"]
-        cv.release()
-        return i, k, auc
-
-    # one cross-validation per k, submitted together
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=len(SHAP_KS)) as pool:
-        rows = list(pool.map(run, enumerate(SHAP_KS)))
-    res = spark.createDataFrame(rows, "position int, k int, oof_auc double")
-    best = best_setting(res, "oof_auc", "position").select(F.lit(True).alias("best"), "position")
-    return res.join(best, "position", "left").select("k", r6("oof_auc").alias("oof_auc"),
-                                                    F.coalesce("best", F.lit(False)).alias("best"))
+    ranked = [r["feature"] for r in shap_importance(f, cols, ROLES).orderBy(F.desc("shap_mean_abs"), "feature").collect()]
+    leak = {(r["fit_fold"], r["feature"]) for r in near_perfect(fold_auc(f, ROLES, cols, K)).collect()}
+    settings = {k: {fold: [c for c in ranked[:k] if (fold, c) not in leak] or ranked[:1] for fold in range(1, K + 1)} for k in SHAP_KS}
+    return _sweep(spark, ML.cross_validate_columns(f, settings, ML.PROFILE_A, ROLES, K), "k", "int")

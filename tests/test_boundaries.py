@@ -186,17 +186,20 @@ def test_importance_and_selection(folded):
     top = imp.orderBy(F.desc("importance")).first()
     assert top["feature"] == "leak" and abs(sum(r["importance"] for r in imp.collect()) - 1) < 1e-9
     assert ML.select_by_model(imp, k=1) == ["leak"] and "leak" in ML.select_by_model(imp, quantile=0.5)
-    assert len({(p.rounds, p.depth, p.bins, p.leaf_rows, p.row_frac) for p in (ML.PROFILE_A, ML.PROFILE_B, ML.PROFILE_C)}) == 3
+    assert len({(p.rounds, p.leaves, p.l2, p.leaf_rows, p.row_frac) for p in (ML.PROFILE_A, ML.PROFILE_B, ML.PROFILE_C)}) == 3
 
 
-def test_shap_covers_all_rows(spark, folded):
+def test_shap_covers_all_rows_and_repeats(spark, folded):
     from tessera.operators import explain as X
     cols = ["a", "duration"]
-    got = {r["feature"]: r["shap_mean_abs"] for r in X.shap_importance(folded, cols, Roles(), rounds=2, depth=2).collect()}
-    p = ML.Profile("shap", "gbt", rounds=2, depth=2, rate=0.05, weighted=False)
-    trees, weights = X.tree_tables(ML.fit(p, ML.assemble(folded.select("y", *cols), cols)).model, spark)
-    phi = X.ensemble_shap(folded.select(*cols).toPandas().to_numpy(), trees, weights)
-    assert np.allclose([got[c] for c in cols], np.abs(phi).mean(axis=0))
+    p = ML.Profile("shap", "gbt", rounds=3, depth=2, rate=0.05, weighted=False)
+    model = ML.fit_table(p, folded, cols).model
+    phi = np.concatenate([np.array([list(r)]) for r in X.shap_values(folded, model).collect()])
+    assert phi.shape == (folded.count(), 2)
+    want = dict(zip(cols, np.abs(phi).mean(axis=0)))
+    for df in (folded, folded.repartition(3), folded.orderBy(F.desc("id"))):
+        got = {r["feature"]: r["shap_mean_abs"] for r in X.shap_importance(df, cols, Roles(), rounds=3, depth=2).collect()}
+        assert all(abs(got[c] - want[c]) < 1e-12 for c in cols)
 
 
 def test_fold_auc_equals_the_copies(spark):

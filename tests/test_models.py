@@ -46,3 +46,29 @@ def test_model_round_trip_scores_equal(spark):
     j = a.join(b, "id")
     assert j.count() == tr.count()
     assert j.where(F.abs(F.col("p1") - F.col("p2")) > 1e-12).count() == 0
+
+
+def test_saved_svm_keeps_its_probabilities(spark, tmp_path):
+    tr = bank_train(spark, SF).fillna(0)
+    m = ML.fit_table(ML.Profile("SVM", "svm", iters=20, weighted=False), tr, NUM)
+    back = ML._Fitted.load(spark, m.save(spark, f"{tmp_path}/svm"))
+    a = {r["id"]: r["p"] for r in m.score(ML.inputs(m, tr, NUM), ["id"]).collect()}
+    b = {r["id"]: r["p"] for r in back.score(ML.inputs(back, tr, NUM), ["id"]).collect()}
+    assert back.calib == m.calib and a == b and 0 < min(a.values()) <= max(a.values()) < 1
+
+
+def test_sweep_settings_equal_their_own_cross_validation(spark):
+    """Columns of each fold fitted together against one cross-validation for each setting."""
+    from tessera.operators import split as S
+    folded = S.stratified_kfold(bank_train(spark, SF), 3)
+    p = ML.Profile("b", "gbt", rounds=3, depth=3, rate=0.3)
+    settings = {"one": {f: ["duration", "age"] for f in (1, 2, 3)}, "two": {1: ["duration"], 2: ["duration", "age"], 3: ["age"]}}
+    got = ML.cross_validate_columns(folded, settings, p, k=3)
+    assert all(df.count() == folded.count() for df in got.values())
+    same = got["one"].where("fold = 2").withColumnRenamed("p", "q").join(got["two"].where("fold = 2"), "id")
+    assert same.where("q <> p").count() == 0
+    full = ML.cross_validate(folded, ["duration", "age"], ML.Profile("b", "gbt", rounds=3, depth=3, rate=0.3, col_frac=1.0, row_frac=1.0), k=3)
+    alone = ML.cross_validate_columns(folded, {"one": settings["one"]}, ML.Profile("b", "gbt", rounds=3, depth=3, rate=0.3, col_frac=1.0, row_frac=1.0), k=3)
+    both = full.oof.withColumnRenamed("p", "q").join(alone["one"], "id")
+    assert both.count() == folded.count() and both.where("abs(q - p) > 1e-12").count() == 0
+    full.release()
