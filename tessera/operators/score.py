@@ -12,15 +12,17 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import case_by, finite, unpivot
 from tessera.functions.quantiles import cumulative, medians
 from tessera.roles import Roles
+from tessera.session import materialize
 
 LEAK_HI, LEAK_LO = 0.999, 0.001
 MI_BINS = 10
+EULER = 0.5772156649015329
 
 
 def _finite_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -210,7 +212,6 @@ def mutual_information(df: DataFrame, roles: Roles = Roles(), cols=None, bins: i
            for c in cols]
     long = unpivot(x.select(*sel, roles.label), cols, ids=[roles.label])
     joint = long.groupBy("feature", "value", roles.label).agg(F.count(F.lit(1)).alias("nxy"))
-    from pyspark.sql import Window
     # windows below run over (feature x bins x classes) rows: a fixed bound
     wf = Window.partitionBy("feature")
     wx = Window.partitionBy("feature", "value")
@@ -221,6 +222,82 @@ def mutual_information(df: DataFrame, roles: Roles = Roles(), cols=None, bins: i
     return t.groupBy("feature").agg(F.greatest(F.sum(term), F.lit(0.0)).alias("mi"))
 
 
+def digamma(m) -> Column:
+    """The digamma function at an integer m >= 1, as an expression: the harmonic sum below 8, the
+    asymptotic series (error under 1e-11) from there."""
+    m = F.col(m) if isinstance(m, str) else m
+    x, small, total = m.cast("double"), None, -EULER
+    for i in range(1, 8):
+        small = F.when(m == i, F.lit(total)) if small is None else small.when(m == i, F.lit(total))
+        total += 1.0 / i
+    inv = F.lit(1.0) / (x * x)
+    series = F.log(x) - F.lit(0.5) / x - inv * (F.lit(1 / 12) - inv * (F.lit(1 / 120) - inv * (F.lit(1 / 252) - inv * F.lit(1 / 240))))
+    return small.otherwise(series)
+
+
+def neighbour_radius(points: DataFrame, keys: list[str], k: int, need: str = "need", rows_per_range: int = 1_000_000) -> DataFrame:
+    """For distinct (keys, value) rows with a count ``n`` and their place ``at`` (0, 1, ... by value within the
+    keys): the distance ``r`` from a point to its ``need``-th nearest other point (need <= k).
+
+    Rows are cut into ranges of ``rows_per_range`` places. A range gets the k rows before and after it
+    as a halo, so no window holds a whole key. Each row weighs its value's
+    count, thus k rows on either side are enough."""
+    step = max(rows_per_range, k + 1)
+    into = F.array(F.floor(F.col("at") / step), F.floor((F.col("at") - k) / step), F.floor((F.col("at") + k) / step))
+    spread = (points.withColumn("_own", F.floor(F.col("at") / step))
+              .withColumn("_range", F.explode(F.array_distinct(F.filter(into, lambda x: x >= 0)))))
+    w = Window.partitionBy(*keys, "_range").orderBy("value")
+    near = F.array(*[F.struct((F.col("value") - F.lag("value", i).over(w)).alias("d"), F.lag("n", i).over(w).alias("c")) for i in range(1, k + 1)],
+                   *[F.struct((F.lead("value", i).over(w) - F.col("value")).alias("d"), F.lead("n", i).over(w).alias("c")) for i in range(1, k + 1)])
+    seen = spread.withColumn("_near", near).where(F.col("_range") == F.col("_own"))
+    found = F.aggregate(
+        F.array_sort(F.filter("_near", lambda x: x["d"].isNotNull())),
+        F.struct((F.col("n") - 1).cast("long").alias("c"), F.lit(0.0).alias("r")),
+        lambda acc, x: F.when(acc["c"] >= F.col(need), acc).otherwise(F.struct((acc["c"] + x["c"]).cast("long").alias("c"), x["d"].alias("r"))))
+    return seen.withColumn("r", found["r"]).drop("_near", "_range", "_own")
+
+
+def mutual_information_knn(df: DataFrame, roles: Roles = Roles(), cols=None, k: int = 3, rows_per_range: int = 1_000_000) -> DataFrame:
+    """M02 (nearest neighbours, Ross 2014): mutual information in nats between each numeric feature, after median
+    fill, and the label: psi(N) + <psi(k)> - <psi(n_class)> - <psi(m)>, at least 0. For a point, r is the distance to
+    its k-th nearest other point of its class and m the number of all points nearer than r, itself included. (feature, mi)
+
+    Tie rule, in place of random jitter: where r is 0, m counts the points of the same value. A class of c <= k points uses
+    c - 1 neighbours; a class of one point takes no part. Distances within 1e-9 of r count as r.
+
+    The work is on distinct values with counts. Distances come from ranges with a halo (:func:`neighbour_radius`), the
+    counts within a radius from running totals of points at the radius' two ends (:func:`cumulative`)."""
+    cols, label = list(cols) if cols is not None else roles.numeric_cols(df), roles.label
+    x = _finite_numeric(df.select(*cols, label), cols).where(F.col(label).isNotNull())
+    med = medians(x, cols)
+    x = x.select(*[F.coalesce(F.col(c).cast("double"), F.lit(med[c]).cast("double")).alias(c) for c in cols], F.col(label).cast("string").alias("_y"))
+    long = unpivot(x, cols, ids=["_y"])
+    ranked, stats = cumulative(long, ["feature", "_y"], "value", {"n": F.count(F.lit(1)), "one": F.max(F.lit(1).cast("long"))},
+                               rows_per_bucket=rows_per_range)
+    sizes = {kv: s["n"] for kv, s in (stats or {}).items() if s["n"] > 1}         # features x classes numbers
+    spark = df.sparkSession
+    if not sizes:
+        return spark.createDataFrame([], "feature string, mi double")
+    classes = spark.createDataFrame([(f, y, n, min(k, n - 1)) for (f, y), n in sizes.items()], "feature string, _y string, size long, need long")
+    points = ranked.join(F.broadcast(classes), ["feature", "_y"]).select("feature", "_y", "value", "n", "size", "need", F.col("one_before").alias("at"))
+    # several jobs read the distances: written once
+    near = materialize(neighbour_radius(points, ["feature", "_y"], k, rows_per_range=rows_per_range), "neighbours")
+    reach = F.col("r") * F.lit(1 - 1e-9)
+    near = near.withColumn("low", F.col("value") - reach).withColumn("high", F.col("value") + reach)
+    zero = F.lit(0).cast("long").alias("w")
+    ends = (near.select("feature", "value", F.col("n").alias("w"))
+            .unionByName(near.select("feature", F.col("low").alias("value"), zero)).unionByName(near.select("feature", F.col("high").alias("value"), zero)))
+    totals, _ = cumulative(ends, ["feature"], "value", {"w": F.sum("w")}, rows_per_bucket=rows_per_range)
+    totals = materialize(totals, "totals")
+    below = totals.select("feature", F.col("value").alias("low"), F.col("w_before").alias("below"))
+    upto = totals.select("feature", F.col("value").alias("high"), (F.col("w_before") + F.col("w")).alias("upto"))
+    m = near.join(below, ["feature", "low"]).join(upto, ["feature", "high"]).withColumn("m", F.col("upto") - F.col("below"))
+    n, size = F.col("n").cast("double"), F.sum("n")
+    mean = lambda e: F.sum(n * e) / size
+    mi = digamma(size) + mean(digamma("need")) - mean(digamma("size")) - mean(digamma("m"))
+    return m.groupBy("feature").agg(F.greatest(mi, F.lit(0.0)).alias("mi"))
+
+
 def plot_order(columns: list[str], spark, shap: DataFrame | None = None, auc: DataFrame | None = None) -> DataFrame:
     """Features ranked by the SHAP report if given, else the AUC report;
     remaining columns after, in table order. (position, column_name)."""
@@ -228,7 +305,6 @@ def plot_order(columns: list[str], spark, shap: DataFrame | None = None, auc: Da
     allc = spark.createDataFrame([(i, c) for i, c in enumerate(columns)], "tpos int, column_name string")
     if rep is None:
         return allc.select((F.col("tpos") + 1).alias("position"), "column_name")
-    from pyspark.sql import Window
     ranked = rep.select(F.col("feature").alias("column_name"), score)
     j = allc.join(ranked, "column_name", "left")
     w = Window.orderBy(F.col(score).desc_nulls_last(), F.when(F.col(score).isNull(), F.col("tpos")), "column_name")

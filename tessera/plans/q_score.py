@@ -216,6 +216,25 @@ def m02_mutual_information(spark, d):
     return _round_all(M.mutual_information(bank_train(spark, d), ROLES))
 
 
+def _mi_knn_sql(k=3):
+    """Row by row: the k-th neighbour within the class from lags and leads, counts by a range frame over all rows."""
+    left = {0: "0.0", **{i: f"coalesce(value - lag(value, {i}) OVER c, 'inf'::DOUBLE)" for i in range(1, k + 1)}}
+    right = {0: "0.0", **{i: f"coalesce(lead(value, {i}) OVER c - value, 'inf'::DOUBLE)" for i in range(1, k + 1)}}
+    ways = ", ".join(f"greatest({left[k - a]}, {right[a]})" for a in range(k + 1))
+    psi = lambda e: (f"(CASE WHEN {e} < 8 THEN -{M.EULER} + coalesce(list_sum(list_transform(range(1, {e}::BIGINT), lambda i: 1.0 / i)), 0) "
+                     f"ELSE ln({e}) - 1 / (2.0 * {e}) - 1 / (12.0 * {e} ** 2) + 1 / (120.0 * {e} ** 4) - 1 / (252.0 * {e} ** 6) END)")
+    return (", l AS (" + G.median_filled_long("train", NUM, ["y"]) + "),\n"
+            f"r AS (SELECT feature, y, value, least({ways}) * (1 - 1e-9) AS r, count(*) OVER (PARTITION BY feature, y) AS nc "
+            "FROM l WINDOW c AS (PARTITION BY feature, y ORDER BY value)),\n"
+            "m AS (SELECT feature, nc, count(*) OVER (PARTITION BY feature ORDER BY value RANGE BETWEEN r PRECEDING AND r FOLLOWING) AS m FROM r)\n"
+            f"SELECT feature, round(greatest({psi('count(*)')} + {psi(k)} - avg({psi('nc')}) - avg({psi('m')}), 0.0), 6) AS mi FROM m GROUP BY feature")
+
+
+@register("m02_mi_knn", sql_with(_mi_knn_sql()))
+def m02_mi_knn(spark, d):
+    return _round_all(M.mutual_information_knn(bank_train(spark, d), ROLES))
+
+
 @register("m03_target_correlation", sql_with(
     ", l AS (" + G.median_filled_long("train", NUM, ["y"]) + "),\n"
     "r AS (SELECT feature, CASE WHEN coalesce(stddev_pop(value), 0) <= 1e-8 OR coalesce(stddev_pop(y), 0) <= 1e-8 THEN 0.0 "
