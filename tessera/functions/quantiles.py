@@ -14,6 +14,9 @@ distinct values. Here the work is:
 The result is an exclusive running sum of any additive measure by value,
 from which exact quantiles (k-th values) and exact rank statistics
 (AUC, M01) follow.
+
+Quantiles of whole columns need less: :func:`bracketed` shuffles only the
+values between two approximate quantiles around each one.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 from tessera.functions.exprs import finite_table, unpivot
 
 ROWS_PER_BUCKET = 2_000_000   # distinct values one window partition may hold
+GRID, ACCURACY = 1000, 20_000   # a column's approximate quantiles, 1/GRID apart, each off by at most 1/ACCURACY
+MOST_RANKS = 64                 # asked of a column; for more, brackets would hold much of it
 
 
 def cumulative(long_df: DataFrame, keys: list[str], value: str, measures: dict[str, Column],
@@ -96,6 +101,90 @@ def kth_values(cum: DataFrame, keys: list[str], value: str, targets: dict[tuple,
     return {(tuple(r[k] for k in keys), r["_k"]): r[value] for r in hit}
 
 
+def bracketed(df: DataFrame, cols: list[str], ranks_of, rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[dict, dict]:
+    """Exact order statistics of many columns in two scans: ``({col: count}, {(col, rank): value})``
+    for the 0-based ranks ``ranks_of(col, count)``. NULLs are skipped, values read as double.
+
+    The first scan counts and takes approximate quantiles, which bracket each rank. The second counts exactly
+    what lies below each bracket; only values inside of one are shuffled, some 0.3 % of a column
+    a bracket. A rank that its bracket should miss (the sketch's error is a bound, the exact counts
+    tell) is left to the full shuffle."""
+    if not cols:
+        return {}, {}
+    grid = F.array(*[F.lit(i / GRID) for i in range(1, GRID)])
+    x = {c: F.col(c).cast("double") for c in cols}
+    row = df.agg(*[e for i, c in enumerate(cols) for e in (
+        F.count(x[c]).alias(f"n{i}"), F.min(x[c]).alias(f"lo{i}"), F.max(x[c]).alias(f"hi{i}"),
+        F.percentile_approx(x[c], grid, ACCURACY).alias(f"q{i}"))]).first()
+    counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
+    got, spans, asked = {}, {}, {}
+    for i, c in enumerate(cols):
+        n = counts[c]
+        if not n:
+            continue
+        cuts = [row[f"lo{i}"], *row[f"q{i}"], row[f"hi{i}"]]
+        for k in sorted(set(ranks_of(c, n))):
+            if k in (0, n - 1):
+                got[c, k] = row[f"lo{i}"] if k == 0 else row[f"hi{i}"]
+                continue
+            j = int(k / (n - 1) * GRID)
+            lo, hi = cuts[max(j - 1, 0)], cuts[min(j + 2, GRID)]
+            asked.setdefault(c, []).append(k)
+            if c in spans and lo <= spans[c][-1][1]:
+                spans[c][-1] = (spans[c][-1][0], max(hi, spans[c][-1][1]))
+            else:
+                spans.setdefault(c, []).append((lo, hi))
+    if not asked:
+        return counts, got
+
+    def place(c, a, b):
+        """Brackets a..b-1 of a column: (bracket, value) inside of one, (next bracket, NULL) between them."""
+        if a == b:
+            return F.struct(F.lit(a).alias("bracket"), F.lit(None).cast("double").alias("value"))
+        m = (a + b) // 2
+        lo, hi = spans[c][m]
+        return (F.when(x[c] < F.lit(lo), place(c, a, m)).when(x[c] <= F.lit(hi), F.struct(F.lit(m).alias("bracket"), x[c].alias("value")))
+                .otherwise(place(c, m + 1, b)))
+
+    cells = F.array(*[F.when(x[c].isNotNull(), F.struct(F.lit(c).alias("feature"), place(c, 0, len(spans[c])).alias("at"))) for c in asked])
+    inside = (df.select(F.explode(cells).alias("_x")).where(F.col("_x").isNotNull())
+              .groupBy(F.col("_x.feature").alias("feature"), F.col("_x.at.bracket").alias("bracket"), F.col("_x.at.value").alias("value"))
+              .agg(F.count(F.lit(1)).alias("cnt")).persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        sizes = {(r["feature"], r["bracket"]): r for r in inside.groupBy("feature", "bracket").agg(
+            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("cnt"))), F.lit(0)).alias("below"),
+            F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("cnt"))), F.lit(0)).alias("inside"),
+            F.count("value").alias("nd")).collect()}
+        targets, missed = {}, {}
+        for c, ranks in asked.items():
+            before, starts = 0, []
+            for m in range(len(spans[c])):
+                r = sizes.get((c, m))
+                before += r["below"] if r else 0
+                starts.append((before, r["inside"] if r else 0))
+                before += starts[-1][1]
+            for k in ranks:
+                at = [m for m, (first, held) in enumerate(starts) if first <= k < first + held]
+                if at:
+                    targets.setdefault((c, at[0]), {})[k - starts[at[0]][0]] = k
+                else:
+                    missed.setdefault((c,), set()).add(k)
+        hint = {kv: sizes[kv]["nd"] for kv in targets} or {(None, None): 0}
+        cum, _ = cumulative(inside.where(F.col("value").isNotNull()), ["feature", "bracket"], "value", {"cnt": F.sum("cnt")},
+                            rows_per_bucket=rows_per_bucket, nd_hint=hint)
+        for ((c, m), k), v in kth_values(cum, ["feature", "bracket"], "value", {kv: set(ks) for kv, ks in targets.items()}).items():
+            got[c, targets[c, m][k]] = v
+    finally:
+        inside.unpersist()
+    if missed:
+        held: list = []
+        cum, _ = cumulative(unpivot(df, [c for (c,) in missed]), ["feature"], "value", {"cnt": F.count(F.lit(1))}, keep=held)
+        got |= {(c, k): v for ((c,), k), v in kth_values(cum, ["feature"], "value", missed).items()}
+        for h in held:
+            h.unpersist()
+    return counts, got
+
+
 def _key_types(df: DataFrame, keys: list[str]) -> list[str]:
     types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
     return [types[k] for k in keys]
@@ -114,6 +203,9 @@ def quantiles(df: DataFrame, probs: dict[str, list[float]], group_cols: list[str
     if not cols:
         return {}
     group_cols = list(group_cols)
+    if not group_cols and stats_out is None and max(map(len, probs.values())) <= MOST_RANKS:
+        counts, got = bracketed(df, cols, lambda c, n: {i for p in probs[c] for i in _positions(n, p)}, **kw)
+        return {((), c, p): interpolate(lambda i: got[c, i], counts[c], p) if counts[c] else None for c in cols for p in probs[c]}
     keys = group_cols + ["feature"]
     long = unpivot(df, cols, ids=group_cols)
     held: list = []
@@ -185,8 +277,8 @@ class FilledStats:
     median itself.
     """
 
-    def __init__(self, n: int, nulls: int, nd: int, vals: dict):
-        self.n, self.nulls, self.nd, self._vals = n, nulls, nd, vals
+    def __init__(self, n: int, nulls: int, vals: dict, distinct):
+        self.n, self.nulls, self._vals, self._distinct = n, nulls, vals, distinct
         self.median = interpolate(self.orig, n, 0.5) if n else None
 
     @property
@@ -214,16 +306,18 @@ class FilledStats:
         get = self.filled if transform is None else (lambda i: transform(self.filled(i)))
         return interpolate(get, self.total, p)
 
+
     @property
     def nd_filled(self) -> int:
-        """Distinct values after the fill: the median adds one only when it
+        """Distinct values after the fill (a job of its own): the median adds one only when it
         falls strictly between two neighbouring order statistics."""
+        nd = self._distinct()
         if not self.n or not self.nulls:
-            return self.nd
+            return nd
         pos = 0.5 * (self.n - 1)
         lo = int(math.floor(pos))
         a, b = self.orig(lo), self.orig(min(lo + 1, self.n - 1))
-        return self.nd + (1 if (pos != lo and a != b) else 0)
+        return nd + (1 if (pos != lo and a != b) else 0)
 
 
 def interpolate(get, n: int, p: float):
@@ -245,33 +339,21 @@ def _positions(n: int, p: float) -> set[int]:
 def filled_order_stats(df: DataFrame, cols: list[str], probs: dict[str, list[float]]) -> dict[str, FilledStats]:
     """For each column: exact median of its values, and the order statistics
     needed for quantiles ``probs[c]`` of the column after its NULLs are
-    filled with that median -- one NULL count job and one exact k-th value
-    pass (:func:`cumulative`), however many statistics are asked. NaN and
+    filled with that median -- one count and one :func:`bracketed` pass,
+    however many statistics are asked. NaN and
     infinities are missing, so the fill counts them as NULL."""
     if not cols:
         return {}
     df = finite_table(df, cols)
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"_c{i}") for i, c in enumerate(cols)]).first()
-    nulls = {c: row["_n"] - row[f"_c{i}"] for i, c in enumerate(cols)}
-    held: list = []
-    try:
-        cum, stats = cumulative(unpivot(df, cols), ["feature"], "value", {"cnt": F.count(F.lit(1))}, keep=held)
-        n = {c: (stats.get((c,)) or {}).get("cnt", 0) for c in cols}
-        nd = {c: (stats.get((c,)) or {}).get("_nd", 0) for c in cols}
-        targets: dict[tuple, set[int]] = {}
-        for c in cols:
-            if not n[c]:
-                continue
-            want = set(_positions(n[c], 0.5))
-            for p in probs.get(c, ()):
-                for i in _positions(n[c] + nulls[c], p):
-                    want |= {j for j in (i, i - nulls[c]) if 0 <= j < n[c]}
-            targets[(c,)] = want
-        got = kth_values(cum, ["feature"], "value", targets)
-    finally:
-        for h in held:
-            h.unpersist()
-    vals: dict[str, dict] = {c: {} for c in cols}
-    for ((c,), i), v in got.items():
-        vals[c][i] = v
-    return {c: FilledStats(n[c], nulls[c], nd[c], vals[c]) for c in cols}
+    total = df.count()
+
+    def ranks(c, n):
+        want = set(_positions(n, 0.5))
+        for p in probs.get(c, ()):
+            for i in _positions(total, p):
+                want |= {j for j in (i, i - (total - n)) if 0 <= j < n}
+        return want
+
+    counts, got = bracketed(df, cols, ranks)
+    return {c: FilledStats(counts[c], total - counts[c], {i: v for (d, i), v in got.items() if d == c},
+                           lambda c=c: df.where(F.col(c).isNotNull()).select(c).distinct().count()) for c in cols}

@@ -117,3 +117,41 @@ def test_filled_order_stats_vs_brute_force(spark):
             want = float(np.quantile(np.clip(filled, lo, hi), p))
             assert fs[c].quantile(p, lambda x: max(min(x, hi), lo)) == pytest.approx(want, abs=1e-12), (c, p)
         assert fs[c].nd_filled == len(set(filled.tolist())), c
+
+
+def test_bracketed_ranks_are_exact_and_shuffle_little(spark):
+    """Order statistics of normal, tied, constant, short and empty columns; rows behind the exchange."""
+    from tessera.functions import quantiles as Q
+    rng = np.random.default_rng(11)
+    n = 120_000
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.integers(0, 7, n).astype(float), "c": np.ones(n), "d": np.full(n, np.nan),
+                        "e": np.where(np.arange(n) < 3, rng.normal(size=n), np.nan), "f": np.exp(rng.normal(size=n) * 6)})
+    from tessera.functions.exprs import finite_table
+    df = finite_table(spark.createDataFrame(pdf).repartition(4))
+    ps = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = Q.column_quantiles(df, list(pdf), ps)
+    for c in pdf:
+        want = [None] * len(ps) if pdf[c].isna().all() else pdf[c].quantile(ps).tolist()
+        assert all(g == w or abs(g - w) <= 1e-12 * abs(w) for g, w in zip(got[c], want)), c
+    counts, ranks = Q.bracketed(df, ["a", "f"], lambda c, m: {0, 17, m // 3, m - 2, m - 1})
+    for c in ("a", "f"):
+        v = np.sort(pdf[c].to_numpy())
+        assert counts[c] == n and all(ranks[c, k] == v[k] for k in (0, 17, n // 3, n - 2, n - 1))
+    # the median's bracket: what the exchange would carry
+    held = []
+    keep = type(df).persist
+    try:
+        type(df).persist = lambda self, *a: held.append(self) or keep(self, *a)
+        Q.column_quantiles(df, ["a", "f"], [0.5])
+    finally:
+        type(df).persist = keep
+    assert held[-1].count() < 0.01 * 2 * n
+
+
+def test_a_missed_bracket_is_found_by_the_full_shuffle(spark, monkeypatch):
+    from tessera.functions import quantiles as Q
+    df = spark.createDataFrame([(float(i * i % 1009),) for i in range(1009)], "x double")
+    right = Q.column_quantiles(df, ["x"], [0.1, 0.5])
+    real = Q.F.percentile_approx
+    monkeypatch.setattr(Q.F, "percentile_approx", lambda c, p, a: real(c, Q.F.array(*[Q.F.lit(i / Q.GRID / 5) for i in range(1, Q.GRID)]), a))
+    assert Q.column_quantiles(df, ["x"], [0.1, 0.5]) == right
