@@ -9,16 +9,18 @@ fold-tagged table. Predictions stay DataFrames keyed by id.
 from __future__ import annotations
 
 import logging
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.classification import (LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel,
                                        RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,7 @@ class Profile:
     trees: int = 100
     iters: int = 1000
     weighted: bool = True
+    kernel_features: int = 0     # svm: random Fourier features of the RBF kernel; 0 is the linear kernel
 
 
 # Three boosted-tree configurations and the baselines. A and C grow
@@ -61,7 +64,7 @@ PROFILE_B = Profile("boosted_b", "gbt", rounds=1200, leaves=63, rate=0.03, l2=0.
 PROFILE_C = Profile("boosted_c", "gbt", rounds=1000, depth=6, rate=0.03, row_frac=1.0, col_frac=1.0, l2=3.0)
 LOGISTIC = Profile("Logistic Regression", "logistic", weighted=False)
 FOREST = Profile("Random Forest", "forest", trees=100, depth=30, weighted=False)     # the library's deepest
-SVM = Profile("SVM", "svm", iters=100, weighted=False)
+SVM = Profile("SVM", "svm", iters=100, weighted=False, kernel_features=256)
 
 
 def boost_settings(p: Profile) -> Boost:
@@ -95,11 +98,41 @@ def with_class_weight(df: DataFrame, label: str, w: float, col: str = "w") -> Da
     return df.withColumn(col, F.when(F.col(label) == 1, F.lit(float(w))).otherwise(F.lit(1.0)))
 
 
+@dataclass(frozen=True)
+class Fourier:
+    """Random Fourier features of the RBF kernel exp(-gamma |x - y|^2) (Rahimi and Recht): sqrt(2/n) cos(w x + b) with w from
+    N(0, 2 gamma) and b uniform, drawn from ``seed``. Dot products of two rows' features approach the kernel as n grows."""
+    gamma: float
+    n: int
+    d: int
+    seed: int = SEED
+
+    def weights(self) -> np.ndarray:
+        """(n, d + 1): w, and b last."""
+        rng = np.random.default_rng(self.seed)
+        return np.concatenate([rng.normal(scale=math.sqrt(2 * self.gamma), size=(self.n, self.d)), rng.uniform(0, 2 * math.pi, (self.n, 1))], axis=1)
+
+    def apply(self, df: DataFrame, col: str = "features") -> DataFrame:
+        """``col`` replaced by its features, as a column expression."""
+        x = F.concat(vector_to_array(col), F.array(F.lit(1.0)))
+        rows = F.array(*[F.array(*[F.lit(float(v)) for v in w]) for w in self.weights()])
+        wave = F.transform(rows, lambda w: F.lit(math.sqrt(2 / self.n)) * F.cos(F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)))
+        return df.withColumn(col, array_to_vector(wave))
+
+
+def kernel_width(df: DataFrame, col: str = "features") -> tuple[float, int]:
+    """(1 / (d * variance of all cells), d) of a vector column, the usual scale of an RBF kernel."""
+    d = len(df.select(col).first()[0])
+    cell = F.explode(vector_to_array(col))
+    v = df.select(cell.alias("v")).agg(F.var_pop("v")).first()[0]
+    return (1.0 / (d * v) if v else 1.0), d
+
+
 class _Fitted:
-    """A fitted model plus, for SVM, the logistic calibration of its margin."""
+    """A fitted model plus, for SVM, the logistic calibration of its margin and its kernel's features."""
 
-    def __init__(self, model, calib=None):
-        self.model, self.calib = model, calib
+    def __init__(self, model, calib=None, fourier: Fourier | None = None):
+        self.model, self.calib, self.fourier = model, calib, fourier
 
     def save(self, spark, path: str) -> str:
         """The model, and beside it what ``load`` needs to score as before."""
@@ -109,7 +142,9 @@ class _Fitted:
         else:
             self.model.write().overwrite().save(path)
         a, b = self.calib or (None, None)
-        spark.createDataFrame([(kind, a, b)], "kind string, slope double, intercept double").write.mode("overwrite").parquet(f"{path}/fitted")
+        k = self.fourier
+        spark.createDataFrame([(kind, a, b, *((k.gamma, k.n, k.d, k.seed) if k else (None,) * 4))],
+                              "kind string, slope double, intercept double, gamma double, n int, d int, seed int").write.mode("overwrite").parquet(f"{path}/fitted")
         return path
 
     @classmethod
@@ -118,13 +153,14 @@ class _Fitted:
         if r["kind"] == "boosted":
             return cls(Boosted.load(spark, path))
         kinds = {c.__name__: c for c in (LogisticRegressionModel, RandomForestClassificationModel, LinearSVCModel)}
-        return cls(kinds[r["kind"]].load(path), (r["slope"], r["intercept"]) if r["slope"] is not None else None)
+        return cls(kinds[r["kind"]].load(path), (r["slope"], r["intercept"]) if r["slope"] is not None else None,
+                   Fourier(r["gamma"], r["n"], r["d"], r["seed"]) if r["gamma"] is not None else None)
 
     def score(self, df: DataFrame, keep: list[str], out: str = "p") -> DataFrame:
         """``df`` has the ``features`` vector, for boosted trees the columns themselves."""
         if isinstance(self.model, Boosted):
             return self.model.score(df, keep, out)
-        s = self.model.transform(df)
+        s = self.model.transform(self.fourier.apply(df) if self.fourier else df)
         if self.calib is None:
             return s.select(*keep, vector_to_array("probability")[1].alias(out))
         m = s.select(*keep, vector_to_array("rawPrediction")[1].alias("_m"))
@@ -141,6 +177,11 @@ def fit(p: Profile, train: DataFrame, label: str = "y", weight: float | None = N
     if weight is not None and p.weighted:
         train = with_class_weight(train, label, weight)
         wcol = "w"
+    fourier = None
+    if p.kind == "svm" and p.kernel_features:
+        gamma, d = kernel_width(train)
+        fourier = Fourier(gamma, p.kernel_features, d)
+        train = fourier.apply(train)
     est = estimator(p, n, wcol).setLabelCol(label).setFeaturesCol("features")
     model = est.fit(train)
     if p.kind != "svm":
@@ -149,7 +190,7 @@ def fit(p: Profile, train: DataFrame, label: str = "y", weight: float | None = N
     marg = model.transform(train).select(F.col(label), vector_to_array("rawPrediction")[1].alias("m"))
     lr = LogisticRegression(maxIter=100, regParam=0.0, featuresCol="mv", labelCol=label).fit(
         VectorAssembler(inputCols=["m"], outputCol="mv").transform(marg))
-    return _Fitted(model, (float(lr.coefficients[0]), float(lr.intercept)))
+    return _Fitted(model, (float(lr.coefficients[0]), float(lr.intercept)), fourier)
 
 
 def fit_table(p: Profile, df: DataFrame, cols: list[str], roles: Roles = Roles(), weight: float | None = None) -> _Fitted:

@@ -60,7 +60,7 @@ register("l03_cv_boosted_c")(_cv(ML.PROFILE_C))
 # below; the library profiles keep the reference's (1000 iterations, 100 trees).
 _LOGISTIC_Q = ML.LOGISTIC
 _FOREST_Q = ML.Profile("Random Forest", "forest", trees=20, depth=5, weighted=False)
-_SVM_Q = ML.Profile("SVM", "svm", iters=50, weighted=False)
+_SVM_Q = ML.Profile("SVM", "svm", iters=50, weighted=False, kernel_features=64)
 register("l04_cv_logistic")(_cv(_LOGISTIC_Q))
 register("l05_cv_forest")(_cv(_FOREST_Q))
 register("l06_cv_svm")(_cv(_SVM_Q))

@@ -50,11 +50,11 @@ def test_model_round_trip_scores_equal(spark):
 
 def test_saved_svm_keeps_its_probabilities(spark, tmp_path):
     tr = bank_train(spark, SF).fillna(0)
-    m = ML.fit_table(ML.Profile("SVM", "svm", iters=20, weighted=False), tr, NUM)
+    m = ML.fit_table(ML.Profile("SVM", "svm", iters=20, weighted=False, kernel_features=16), tr, NUM)
     back = ML._Fitted.load(spark, m.save(spark, f"{tmp_path}/svm"))
     a = {r["id"]: r["p"] for r in m.score(ML.inputs(m, tr, NUM), ["id"]).collect()}
     b = {r["id"]: r["p"] for r in back.score(ML.inputs(back, tr, NUM), ["id"]).collect()}
-    assert back.calib == m.calib and a == b and 0 < min(a.values()) <= max(a.values()) < 1
+    assert back.calib == m.calib and back.fourier == m.fourier is not None and a == b and 0 < min(a.values()) <= max(a.values()) < 1
 
 
 def test_sweep_settings_equal_their_own_cross_validation(spark):
@@ -72,3 +72,25 @@ def test_sweep_settings_equal_their_own_cross_validation(spark):
     both = full.oof.withColumnRenamed("p", "q").join(alone["one"], "id")
     assert both.count() == folded.count() and both.where("abs(q - p) > 1e-12").count() == 0
     full.release()
+
+
+def test_fourier_features_approach_the_kernel_and_split_two_rings(spark):
+    import numpy as np
+    rng = np.random.default_rng(6)
+    n = 600
+    y = np.arange(n) % 2
+    angle, radius = rng.uniform(0, 2 * np.pi, n), np.where(y == 1, 2.0, 0.7) + rng.normal(0, 0.15, n)
+    rows = [(int(i), float(r * np.cos(a)), float(r * np.sin(a)), int(v)) for i, (a, r, v) in enumerate(zip(angle, radius, y))]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y int")
+    x = ML.assemble(df, ["a", "b"])
+    gamma, d = ML.kernel_width(x)
+    cells = np.array([r[1:3] for r in rows])
+    assert d == 2 and abs(gamma - 1 / (2 * cells.var())) < 1e-9
+    z = np.array([r["features"].toArray() for r in ML.Fourier(gamma, 2000, 2).apply(x).orderBy("id").limit(60).collect()])
+    kernel = np.exp(-gamma * ((cells[:60, None] - cells[None, :60]) ** 2).sum(axis=2))
+    assert np.abs(z @ z.T - kernel).max() < 0.12
+    auc = {}
+    for kernel_features in (0, 64):
+        m = ML.fit_table(ML.Profile("SVM", "svm", iters=30, weighted=False, kernel_features=kernel_features), df, ["a", "b"])
+        auc[kernel_features] = ML.roc_auc(m.score(x, ["y"]), "y", "p").first()["auc"]
+    assert auc[64] > 0.98 and auc[0] < 0.7
