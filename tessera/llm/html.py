@@ -14,11 +14,14 @@ surges to at least ``SURGE`` characters. Lines that are mostly link text weigh
 nothing, but for headings of an article. What is out inside of an article is no
 line of it, so an advert does not cut its text. If no block of the page
 surges, all weighing lines are kept; if blocks surge, but none of the article,
-the article says nothing about the page.
+the article says nothing about the page. A lone link line of an article, between
+two lines of it that are text, is a paragraph and weighs. Outside of an article a
+hyphenated class counts by its last part (main-nav, not no-sidebar).
 
 Defined cases: null or empty html gives the empty text; a page that breaks off
-inside a tag ends before that tag; unclosed elements end with the page or with
-an element around them."""
+inside a tag ends before that tag; from a tag on whose quotes do not end before the page does,
+tags end at the next >; unclosed elements end with the page or with an element around them. The
+time grows with the page's length, open quotes and unclosed elements included."""
 
 from __future__ import annotations
 
@@ -53,7 +56,15 @@ UNTESTED = {"html", "body", "main", "article"}
 READERS = {"comment", "reply"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
-_TAG = re.compile(r"""<!--.*?(?:-->|$)|<([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|</([a-zA-Z][^\s>]*)[^>]*>|<[!?][^>]*>""", re.S)
+#: First parts of a class such as no-sidebar that say what a page has, not what an element is.
+STATES = {"no", "not", "has", "have", "with", "without", "is", "show", "hide", "enable", "disable"}
+#: Names that are text in an article, and page furniture elsewhere.
+SECTIONS = {"discussion", "legal"}
+
+_OPEN = re.compile(r"<(?=[a-zA-Z/!?])")
+_TAG = re.compile(r"""<!--.*?(?:-->|$)|<([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|</([a-zA-Z][^\s>]*)[^>]*>|<[!?/][^>]*>""", re.S)
+_PLAIN = re.compile(r"<([a-zA-Z][^\s/>]*)([^>]*)()>", re.S)      # where quotes do not end before the page does
+_RAW_END = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
 _BROKEN = re.compile(r"<[a-zA-Z/!][^>]*$")
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
@@ -71,18 +82,28 @@ def _is_out(name: str, attributes: str, inside_article: bool) -> bool:
         if name in UNTESTED:
             if name == "article" and found & READERS:
                 return True
-        elif found & CLASSES or not inside_article and found & HEADER:
+        elif inside_article:
+            if found & CLASSES - SECTIONS:
+                return True
+        elif found & (CLASSES | HEADER) or any(_names_structure(x) for x in found):
             return True
     return bool(_HIDDEN.search(attributes))
 
 
+def _names_structure(token: str) -> bool:
+    """Whether a hyphenated class ends in a name of structure: main-nav, cookie_banner, but not no-sidebar."""
+    parts = re.split("[-_]+", token)
+    return len(parts) > 1 and parts[-1] in CLASSES and parts[0] not in STATES
+
+
 def lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
     """(text, out, in an article, link characters) of each block, and whether
     the page has an article element that is not out."""
     found, parts = [], []
     stack: list[tuple[str, bool]] = []          # open elements: name, leaves the article
     out, article, link, linked, heading, has_article = 0, 0, 0, 0, 0, False
-    at, low = 0, None
+    count: dict[str, int] = {}                  # open elements by name
+    at, quotes = 0, True
 
     def end_line():
         nonlocal parts, linked
@@ -96,6 +117,7 @@ def lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
     def close(index):
         nonlocal out, article, link, heading
         for name, is_out in stack[index:]:
+            count[name] -= 1
             out -= is_out
             article -= name in ARTICLE
             link -= name == "a"
@@ -110,22 +132,25 @@ def lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
                 linked += len(piece)
 
     while True:
-        m = _TAG.search(page, at)
+        start = _OPEN.search(page, at)
+        if start is None:
+            text(page[at:])
+            break
+        m = _TAG.match(page, start.start()) if quotes else None
+        if m is None:
+            m = _PLAIN.match(page, start.start()) or _TAG.match(page, start.start())
+            if m is not None and m.group(1):
+                quotes = False      # a quote stays open to the end of the page: from here on, > ends a tag
         if m is None:
-            rest = page[at:]
-            text(_BROKEN.sub("", rest))
+            text(_BROKEN.sub("", page[at:]))
             break
         text(page[at:m.start()])
         at = m.end()
         if m.group(1):
             name, attributes = m.group(1).lower(), m.group(2)
             if name in RAW:
-                low = page.lower() if low is None else low
-                end = low.find("</" + name, at)
-                if end < 0:
-                    at = len(page)
-                else:
-                    at = page.find(">", end) + 1 or len(page)
+                end = _RAW_END[name].search(page, at)
+                at = page.find(">", end.end()) + 1 or len(page) if end else len(page)
                 continue
             if name in INLINE:
                 is_out = _is_out(name, attributes, article > 0) if attributes else False
@@ -133,13 +158,14 @@ def lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
                     if is_out:
                         end_line()
                     stack.append((name, is_out))
+                    count[name] = count.get(name, 0) + 1
                     out += is_out
                     link += name == "a"
                 continue
             end_line()
             if name in VOID or attributes.rstrip().endswith("/"):
                 continue
-            if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
+            if count.get(name) and name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
                 # these end an open one of their kind that no other block is around
                 for index in range(len(stack) - 1, -1, -1):
                     if stack[index][0] == name:
@@ -149,6 +175,7 @@ def lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
                         break
             is_out = _is_out(name, attributes, article > 0)
             stack.append((name, is_out))
+            count[name] = count.get(name, 0) + 1
             out += is_out
             heading += name in HEADINGS
             if name in ARTICLE:
@@ -158,7 +185,7 @@ def lines(page: str) -> tuple[list[tuple[str, bool, bool, int]], bool]:
             name = m.group(3).lower()
             if name not in INLINE:
                 end_line()
-            for index in range(len(stack) - 1, -1, -1):
+            for index in range(len(stack) - 1, -1, -1) if count.get(name) else ():
                 if stack[index][0] == name:
                     if name in INLINE and stack[index][1]:
                         end_line()
@@ -179,10 +206,21 @@ def _block_sums(weight: list[int], window: int) -> list[int]:
     return sums
 
 
+def linked_line(line: tuple[str, bool, bool, int]) -> bool:
+    """Whether a line is mostly link text."""
+    return line[3] > LINKS * len(line[0])
+
+
 def kept(found: list[tuple[str, bool, bool, int]], has_article: bool, window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The weighing lines between dives that have a surge between them."""
     texts = [t for t, _, _, _ in found]
-    weight = [0 if out or linked > LINKS * len(t) else len(t) for t, out, _, linked in found]
+    link = [linked_line(x) for x in found]
+    here = [i for i, (_, out, _, _) in enumerate(found) if not out]
+    for before, i, after in zip([None, *here], here, [*here[1:], None]):
+        # between two lines of an article that are text, a lone link is one of its paragraphs
+        if link[i] and found[i][2] and all(j is not None and found[j][2] and not linked_line(found[j]) for j in (before, after)):
+            link[i] = False
+    weight = [0 if out or link[i] else len(t) for i, (t, out, _, _) in enumerate(found)]
     sums = _block_sums(weight, window)
     if has_article:
         own = [i for i, (_, out, inside, _) in enumerate(found) if not (out and inside)]
