@@ -45,12 +45,13 @@ def op6_gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = suffixes.with_hits(docs, table(spark, sf_dir, "benchmark"), with_matches=False)
+    out = suffixes.with_hits(docs, table(spark, sf_dir, "benchmark")).withColumn("__longest", suffixes.longest_match())
     ids = F.array_sort(F.transform("__hit.items", lambda x: x.cast("string")))
     return out.select(
         "doc_id", F.col("__hit.n_words").alias("n_words"), suffixes.hit_words().alias("n_hit"),
         F.size("__hit.items").cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
-        (F.size("__hit.intervals") > 0).alias("contaminated"))
+        (F.size("__hit.intervals") > 0).alias("contaminated"), F.coalesce(-F.col("__longest.less"), F.lit(0)).cast("long").alias("longest_words"),
+        F.col("__longest.start").alias("longest_start"), F.col("__longest.item_id").cast("long").alias("longest_item"))
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,21 +129,25 @@ FROM f GROUP BY doc_id, i
 """
 
 OP7_SQL = rf"""
-WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+WITH d AS (SELECT doc_id, row_number() OVER () AS d, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
-win AS (SELECT DISTINCT item_id, least(len(ws), 10) AS m,
-          unnest(list_transform(range(1, len(ws) - least(len(ws), 10) + 2), lambda i: array_to_string(ws[i:i + least(len(ws), 10) - 1], ' '))) AS g
-        FROM b WHERE len(ws) > 0),
+places AS (SELECT item_id, row_number() OVER () AS r, least(len(ws), 10) AS m, ws FROM b WHERE len(ws) > 0),
+cuts AS (SELECT item_id, r, m, unnest(range(1, len(ws) - m + 2)) AS j, ws FROM places),
+win AS (SELECT item_id, r, m, j, array_to_string(ws[j:j + m - 1], ' ') AS g FROM cuts),
 m AS (SELECT DISTINCT m FROM win),
-g AS (SELECT doc_id, m, unnest(range(1, len(ws) - m + 2)) AS i, ws FROM d, m WHERE len(ws) >= m),
-hit AS (SELECT g.doc_id, g.i, g.m, win.item_id FROM (SELECT doc_id, i, m, array_to_string(ws[i:i + m - 1], ' ') AS t FROM g) g
+g AS (SELECT doc_id, d, m, unnest(range(1, len(ws) - m + 2)) AS i, ws FROM d, m WHERE len(ws) >= m),
+hit AS (SELECT g.doc_id, g.d, g.i, g.m, win.item_id, win.r, win.j FROM (SELECT doc_id, d, i, m, array_to_string(ws[i:i + m - 1], ' ') AS t FROM g) g
         JOIN win ON win.m = g.m AND win.g = g.t),
-pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM hit) GROUP BY doc_id),
-it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
-       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+pos AS (SELECT d, count(DISTINCT p) AS n_hit FROM (SELECT d, unnest(range(i, i + m)) AS p FROM hit) GROUP BY d),
+it AS (SELECT d, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+       FROM (SELECT DISTINCT d, CAST(item_id AS VARCHAR) AS s FROM hit WHERE item_id IS NOT NULL) GROUP BY d),
+runs AS (SELECT *, i - row_number() OVER (PARTITION BY d, r, i - j ORDER BY i) AS run FROM hit),
+spans AS (SELECT d, item_id, min(i) - 1 AS start, max(m) + count(*) - 1 AS n FROM runs GROUP BY d, r, item_id, i - j, run),
+best AS (SELECT * FROM spans QUALIFY row_number() OVER (PARTITION BY d ORDER BY n DESC, start, item_id NULLS FIRST) = 1)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       CAST(coalesce(best.n, 0) AS BIGINT) AS longest_words, best.start AS longest_start, CAST(best.item_id AS BIGINT) AS longest_item
+FROM d LEFT JOIN pos USING (d) LEFT JOIN it USING (d) LEFT JOIN best USING (d)
 """
 
 OP9_SQL = """

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tessera.llm import words
 
 WINDOW = 10
-DEPTH = 18
 ITEM_BYTES = 16 << 20    # of benchmark text shipped to the tasks at once
 _LIMIT = 1 << 21         # packed ranks are 21 bits wide
 
@@ -49,9 +48,9 @@ def item_words(items: list[tuple[int | None, str | None]], window: int = WINDOW)
 
 
 class Shard:
-    """The suffix array of a block of documents; a sentinel ends each."""
+    """The suffix array of a block of documents, in order by at least their first ``depth`` words; a sentinel ends each document."""
 
-    def __init__(self, h: np.ndarray, first: np.ndarray):
+    def __init__(self, h: np.ndarray, first: np.ndarray, depth: int = WINDOW):
         n = np.diff(first)
         ends = np.cumsum(n + 1) - 1
         size = len(h) + len(n)
@@ -65,7 +64,11 @@ class Shard:
         for step in (1, 3):
             _, order = np.unique(self._pack(order, step), return_inverse=True)
             order = order + 1
-        key = (order.astype(np.uint64) << np.uint64(32)) | self._at(order, 9).astype(np.uint64)
+        ordered = 9
+        while 2 * ordered < depth:
+            _, order = np.unique((order << 32) | self._at(order, ordered), return_inverse=True)
+            order, ordered = order + 1, 2 * ordered
+        key = (order.astype(np.uint64) << np.uint64(32)) | self._at(order, ordered).astype(np.uint64)
         self.array = np.argsort(key, kind="stable")
 
     @staticmethod
@@ -111,7 +114,7 @@ def search(h: np.ndarray, first: np.ndarray, items) -> tuple[np.ndarray, np.ndar
     """All places of the items' windows in a block of documents: (row, word
     in the row, item, word in the item, window length), unsorted."""
     _, ih, ifirst, starts, lengths, owner = items
-    shard = Shard(h, first)
+    shard = Shard(h, first, int(lengths.max(initial=1)))
     none = np.zeros(0, np.int64)
     if not len(shard.vocabulary) or not len(starts):
         return none, none, none, none, none
@@ -243,6 +246,11 @@ def hit_words(hit: str = "__hit"):
     return F.aggregate(F.array_sort(f"{hit}.intervals"), start, add, lambda acc: acc["total"])
 
 
+def longest_match(hit: str = "__hit"):
+    """The longest verbatim match as (less: - words, start, item_id), ties by place, then item; null without one."""
+    return F.array_min(F.transform(f"{hit}.matches", lambda m: F.struct((-m["n_words"]).alias("less"), m["start"].alias("start"), m["item_id"].alias("item_id"))))
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window of ``items`` occurs."""
     return with_hits(docs, items, window=window, with_matches=False).filter(F.size("__hit.intervals") == 0).drop("__hit")
