@@ -8,7 +8,9 @@ task; neighbouring diagonals (an inserted or missing word shifts by one) whose
 votes follow one another merge into one span; a span with at least ``MIN_SHARE`` of the template's 3-grams is
 a candidate. Candidates join the documents again and are verified on the words
 themselves: a base phrase must stand there word for word, a longer template
-must share ``MIN_WORDS`` of its words in order (longest common subsequence).
+must share ``MIN_WORDS`` of its words in order (longest common subsequence), and have the template's
+names and versions ("lesser", "affero", "2") and no other name. Parts of a notice that others' words cut apart
+count together.
 
 Words: A-Z lowered, runs of [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]. The templates
 are a parameter whose size is checked before it is broadcast.
@@ -29,6 +31,7 @@ from tessera.llm import words
 
 K = 3
 MERGE = 2              # diagonals at most so far apart are neighbours
+FAR = 8                # spans that follow one another, at most so many words and diagonals apart, may be one notice
 MIN_SHARE = 0.5        # of a template's 3-grams
 MIN_WORDS = 0.7        # of a template's words, in order
 MAX_TEMPLATE_WORDS = 1_000_000
@@ -46,6 +49,10 @@ TEMPLATES = [
     ("apache-2", "Licensed under the Apache License, Version 2.0."),
     ("apache-2", "you may not use this file except in compliance with the License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
+    ("gpl", "under the terms of the GNU General Public License as published by the Free Software Foundation"),
+    ("gpl", "You should have received a copy of the GNU General Public License along with this program"),
+    ("lgpl", "You should have received a copy of the GNU Lesser General Public License along with this library"),
+    ("agpl-3", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, version 3"),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl-3", "either version 3 of the License, or (at your option) any later version"),
     ("gpl-2", "This program is licensed under the GNU General Public License, version 2."),
@@ -56,8 +63,20 @@ TEMPLATES = [
     ("cc-by-sa", "Licensed under a Creative Commons Attribution-ShareAlike license"),
     ("cc-by", "Licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc0", "dedicated to the public domain under CC0 1.0 Universal"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("epl-2", "made available under the terms of the Eclipse Public License 2.0"),
+    ("mit", "SPDX-License-Identifier: MIT"),
+    ("apache-2", "SPDX-License-Identifier: Apache-2.0"),
+    ("bsd", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("gpl-2", "SPDX-License-Identifier: GPL-2.0"),
+    ("gpl-3", "SPDX-License-Identifier: GPL-3.0"),
+    ("mpl-2", "SPDX-License-Identifier: MPL-2.0"),
     ("reserved", "All rights reserved."),
 ]
+#: Words that tell notices of one wording apart. A span has the ones of its template, and of the names no others.
+NAMES = {"lesser", "library", "affero", "mit", "apache", "bsd", "gpl", "mpl", "eclipse", "mozilla"}
+VERSIONS = {"2", "3", "4", "1"}
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -102,29 +121,46 @@ def lcs(a: list, b: list) -> int:
     return row[-1]
 
 
+def _chained(spans: list[list], diagonals: int, gap: int) -> list[list]:
+    """Spans [low, high, first diagonal, last diagonal, votes, parts] joined to the latest one that ends at most ``gap``
+    words before and whose last diagonal is within ``diagonals``. A span out of reach stays out of reach, so
+    only those that are still in reach are looked at, however many that are."""
+    out, near = [], []
+    for s in sorted(spans, key=lambda s: (s[0], s[2])):
+        near = [r for r in near if s[0] - r[1] <= gap]
+        before = next((r for r in reversed(near) if abs(r[3] - s[2]) <= diagonals and s[0] > r[1]), None)
+        if before is None:
+            out.append(list(s))
+            near.append(out[-1])
+        else:
+            before[1], before[3], before[4], before[5] = max(before[1], s[1]), s[3], before[4] + s[4], before[5] + s[5]
+    return out
+
+
 def merged(votes: list[dict], sizes: list[int]) -> list[tuple[int, int, int]]:
     """Spans (template, first word, past-last word) from one document's votes
     {template, diagonal, low, high, n}: low and high are the document positions
-    of the first and last vote."""
-    out = []
+    of the first and last vote. Votes of neighbouring diagonals make a span; where one is too small by itself,
+    it counts together with those that follow it, and the words decide."""
+    out = set()
     by: dict[int, list] = {}
     for v in votes:
-        by.setdefault(v["template"], []).append(v)
+        by.setdefault(v["template"], []).append([v["low"], v["high"], v["diagonal"], v["diagonal"], v["n"], 1])
     for t, group in by.items():
-        group.sort(key=lambda v: (v["low"], v["diagonal"]))
-        runs: list[list] = []          # low, high, last diagonal, votes
-        for v in group:
-            near = next((r for r in reversed(runs[-8:]) if abs(r[2] - v["diagonal"]) <= MERGE and v["low"] - r[1] <= K + MERGE
-                         and v["low"] > r[1]), None)
-            if near is None:
-                runs.append([v["low"], v["high"], v["diagonal"], v["n"]])
-            else:
-                near[1], near[2], near[3] = max(near[1], v["high"]), v["diagonal"], near[3] + v["n"]
-        grams = max(sizes[t] - K + 1, 1)
-        out += [(t, low, high + K) for low, high, _, n in runs if n >= MIN_SHARE * grams]
+        spans = _chained(group, MERGE, K + MERGE)
+        least = MIN_SHARE * max(sizes[t] - K + 1, 1)
+        out |= {(t, s[0], s[1] + K) for s in spans if s[4] >= least}
+        small = [[*s[:5], 1] for s in spans if s[4] < least]
+        out |= {(t, s[0], s[1] + K) for s in _chained(small, FAR, K + FAR) if s[4] >= least and s[5] > 1}
     return sorted(out)
 
 
+def told_apart(template: list[str], span: list[str]) -> bool:
+    """Whether a span has the names and versions of the template, and no other name."""
+    want, have = set(template), set(span)
+    return want & (NAMES | VERSIONS) <= have and have & NAMES <= want
+
+
 def _verifier(templates, n_base):
     split_templates = [split(t) for _, t in templates]
     sizes = [len(t) for t in split_templates]
@@ -138,7 +174,7 @@ def _verifier(templates, n_base):
                 likely = []
                 for t, low, high in merged([v for v in votes if v["template"] >= n_base], sizes):
                     n = lcs(split_templates[t], ws[max(0, low - MERGE):high + MERGE]) / sizes[t]
-                    if n >= MIN_WORDS:
+                    if n >= MIN_WORDS and told_apart(split_templates[t], ws[max(0, low - 1):high + MERGE]):
                         likely.append((n, t, low, high))
                 taken = []
                 for n, t, low, high in sorted(likely, key=lambda x: (-x[0], x[2], x[1])):

@@ -134,3 +134,65 @@ def test_digest_of_items(spark):
     df = queries.op7_decontamination(spark, "/root/testdata/sf0.001")
     r = df.filter("n_items > 1").first() or df.first()
     assert len(r["items_sha256"]) == len(hashlib.sha256(b"").hexdigest())
+
+
+@pytest.mark.parametrize("window", [3, 18, 19, 25, 40])
+def test_windows_of_any_length(spark, window):
+    """Texts of few words, so that suffixes agree on many more words than a window."""
+    rng = random.Random(window)
+    texts = [" ".join(rng.choice("ab") * rng.choice([1, 1, 3]) for _ in range(120)) for _ in range(6)]
+    items = [(i, " ".join(split(rng.choice(texts))[s:s + window + 6])) for i, s in enumerate(range(0, 60, 7))]
+    got = suffixes.with_hits(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window=window)
+    assert got_hits(got) == brute_hits(list(enumerate(texts)), items, window)
+
+
+def test_longest_match_of_the_query(spark, tmp_path, passages, items):
+    passages.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    import duckdb
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    df = queries.op7_decontamination(spark, str(tmp_path))
+    got = sorted([tuple(r) for r in df.select("doc_id", "n_words", "longest_words", "longest_start").collect()], key=str)
+    assert got == sorted(con.sql(f"SELECT doc_id, n_words, longest_words, longest_start FROM ({queries.OP7_SQL})").fetchall(), key=str)
+    assert max(r[2] for r in got) > 12
+
+
+def brute_spans(ws, templates):
+    """Labels whose template stands word for word."""
+    return {label for label, text in templates if any(ws[p:p + len(split(text))] == split(text) for p in range(len(ws)))}
+
+
+def test_notices_are_told_apart(spark):
+    cases = [("free software under the terms of the GNU General Public License as published by the Free Software Foundation; either", {"gpl"}),
+             ("it under the terms of the GNU Lesser General Public License as published", {"lgpl"}),
+             ("This program is licensed under the GNU General Public License, version 2.", {"gpl-2"}),
+             ("This work is licensed under the GNU General Public License, version 3.", {"gpl-3"}),
+             ("licensed under the terms of the GNU Affero General Public License, version 3", {"agpl-3"}),
+             ("Permission is hereby granted, free of charge, to any person (and to any robot) obtaining a copy of this software and associated documentation files", {"mit"}),
+             ("// SPDX-License-Identifier: Apache-2.0", {"apache-2"}), ("SPDX-License-Identifier: GPL-2.0", {"gpl-2"}),
+             ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", {"isc"}),
+             ("the general public may licence this work", set())]
+    rows = [(i, t) for i, (t, _) in enumerate(cases)]
+    got = {r["doc_id"]: set(filter(None, r["labels"].split(","))) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
+def test_every_template_word_for_word(spark):
+    rng = random.Random(7)
+    rows = []
+    for i, (_, text) in enumerate(licenses.TEMPLATES):
+        noise = [f"n{rng.randrange(30)}" for _ in range(60)]
+        rows.append((i, " ".join(noise[:30] + text.split() + noise[30:])))
+    out = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (label, text) in enumerate(licenses.TEMPLATES):
+        assert label in out[i]["labels"].split(",") and out[i]["score"] == 1.0, text
+        assert set(out[i]["labels"].split(",")) >= {label} and any(s["start"] == 30 for s in out[i]["spans"]), text
+
+
+def test_noise_votes_do_not_hide_a_span():
+    votes = [{"template": 0, "diagonal": 100, "low": 100, "high": 109, "n": 10}]
+    votes += [{"template": 0, "diagonal": 300 + 9 * k, "low": 110 + k % 3, "high": 110 + k % 3, "n": 1} for k in range(30)]
+    votes += [{"template": 0, "diagonal": 101, "low": 113, "high": 122, "n": 10}]
+    assert (0, 100, 125) in licenses.merged(votes, [40])
