@@ -1,9 +1,12 @@
 """the steps that are fitted inside each fold, in order: cap (T05c) ->
-leakers (F07) -> correlation reduction (F01) -> feature list (P05) ->
-selection by mutual information (F03).
+leakers (F07) -> reduction by correlation (F01) or variance (F02) -> feature list (P05) ->
+selection by mutual information (F03) or by a boosted model (F04).
 
-Every statistic of fold k comes from its training rows only. One cap per fold
-goes on its training, validation and test rows alike."""
+Every statistic of fold k comes from its training rows only, and no row is copied: caps and
+leakers of all folds come from one shuffle of distinct values with counts for each training part,
+the model selection grows all folds' trees in one fit, the others read the rows outside of the
+fold. One cap per fold goes on its training, validation and test rows alike. Columns that are
+not numeric take no part in reduction and selection and stand behind the kept ones."""
 
 from __future__ import annotations
 
@@ -11,10 +14,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators import select as SEL
+from tessera.operators.clean import apply_cap
 from tessera.operators.features import CAP_COLS, apply_cap_by_group, fit_cap_by_group
-from tessera.operators.score import near_perfect, univariate_auc
+from tessera.operators.score import fold_auc, fold_caps, near_perfect
 from tessera.operators.split import fold_training_copies
 from tessera.roles import Roles
 from tessera.session import materialize
@@ -30,6 +36,11 @@ class InFold:
     corr_threshold: float | None = None
     feature_list: tuple[str, ...] | None = None
     mi_k: int | None = None
+    var_threshold: float | None = None
+    model_k: int | None = None
+    importance_quantile: float | None = None
+    model_rounds: int = 200
+    model_depth: int = 5
 
 
 @dataclass
@@ -62,31 +73,56 @@ def fit_in_folds(folded: DataFrame, cols: list[str], steps: InFold, roles: Roles
                  fold_col: str = "fold") -> FoldSteps:
     """Fit the steps of all k folds."""
     out = FoldSteps()
-    copies, caps = training_copies(folded.select(fold_col, roles.label, *cols), steps, k, fold_col)
-    copies = materialize(copies.drop(fold_col), "copies")      # several passes read them
+    spark = folded.sparkSession
+    kinds = {f.name: f.dataType for f in folded.schema.fields}
+    numeric = [c for c in cols if isinstance(kinds[c], T.NumericType)]
+    others = [c for c in cols if c not in numeric]
+    # several passes read them
+    data = materialize(folded.select(fold_col, roles.label, *([roles.key] if roles.key in folded.columns else []), *cols), "in-fold")
+    capped = [c for c in steps.cap_cols if c in numeric]
+    caps = fold_caps(data, capped, steps.cap_q, k, fold_col) if steps.cap_q is not None and 0 < steps.cap_q < 1 and capped else {}
     for (f, c), v in caps.items():
         out.caps.setdefault(f, {})[c] = v
     leak = set()
     if steps.drop_leakers:
-        found = near_perfect(univariate_auc(copies, roles, cols, by=["fit_fold"]))
+        found = near_perfect(fold_auc(data, roles, numeric, k, fold_col, caps))
         leak = {(r["fit_fold"], r["feature"]) for r in found.collect()}       # folds x columns
 
-    def one(f):
-        part = copies.where(copies["fit_fold"] == f).drop("fit_fold")
-        kept, stages = [c for c in cols if (f, c) not in leak], []
+    def part(f):
+        return apply_cap(data.where(F.col(fold_col) != f), out.caps.get(f, {})).drop(fold_col)
+
+    def reduced(f):
+        kept, stages = [c for c in numeric if (f, c) not in leak], []
         if steps.corr_threshold is not None:
-            kept = SEL.prune_correlated(part, kept, steps.corr_threshold)
-            stages.append((f, "reduction", "corr", str(steps.corr_threshold), kept))
+            kept = SEL.prune_correlated(part(f), kept, steps.corr_threshold)
+            stages.append((f, "reduction", "corr", str(steps.corr_threshold), kept + others))
+        elif steps.var_threshold is not None:
+            kept = SEL.prune_low_variance(part(f), kept, steps.var_threshold) or kept
+            stages.append((f, "reduction", "var", str(steps.var_threshold), kept + others))
         if steps.feature_list is not None:
             kept = [c for c in kept if c in steps.feature_list] or kept
         if steps.mi_k is not None:
-            kept = SEL.select_by_mi(part, roles, kept, steps.mi_k)
-            stages.append((f, "selection", "mi", str(steps.mi_k), kept))
+            kept = SEL.select_by_mi(part(f), roles, kept, steps.mi_k)
+            stages.append((f, "selection", "mi", str(steps.mi_k), kept + others))
         return f, kept, stages
 
+    folds = range(1, k + 1)
     # the folds are independent: their jobs share the cluster
     with ThreadPoolExecutor(max_workers=k) as pool:
-        for f, kept, stages in pool.map(one, range(1, k + 1)):
+        for f, kept, stages in pool.map(reduced, folds):
             out.columns[f] = kept
             out.stages += stages
+    if steps.mi_k is None and (steps.model_k is not None or steps.importance_quantile is not None):
+        from tessera.operators.boost import Boost, fit_boosted
+        from tessera.operators.model import select_by_model
+        models = fit_boosted(data, numeric, Boost(rounds=steps.model_rounds, depth=steps.model_depth, rate=0.05), roles.label, roles.key, fold_col,
+                             {f: f for f in folds}, 1.0, dict(out.columns), out.caps)
+        for f in folds:
+            share = [(c, v) for c, v in zip(models[f].cols, models[f].importance()) if c in out.columns[f]]
+            rows = spark.createDataFrame(share, "feature string, importance double")
+            out.columns[f] = select_by_model(rows, steps.model_k, steps.importance_quantile)
+            param = steps.model_k if steps.model_k is not None else steps.importance_quantile
+            out.stages.append((f, "selection", "model", str(param), out.columns[f] + others))
+    for f in folds:
+        out.columns[f] = out.columns[f] + others
     return out

@@ -85,8 +85,36 @@ def univariate_auc(df: DataFrame, roles: Roles = Roles(), cols=None, by: list[st
     return a.select(*by, "feature", "auc", F.abs(F.col("auc") - F.lit(0.5)).alias("auc_dev"))
 
 
-def fold_auc(folded: DataFrame, roles: Roles, cols: list[str], k: int, fold_col: str = "fold") -> DataFrame:
-    """M01 on each fold's training part: (fit_fold, feature, auc, auc_dev).
+def fold_caps(folded: DataFrame, cols: list[str], q: float, k: int, fold_col: str = "fold") -> dict:
+    """Quantile q of each fold's training part, {(fold, column): cap}. One shuffle of distinct values counts them
+    for every training part; rows are not copied."""
+    folds = range(1, k + 1)
+    x = _finite_numeric(folded.select(fold_col, *cols), cols)
+    long = unpivot(x, cols, ids=[fold_col])
+    held: list = []
+    try:
+        cum, stats = cumulative(long, ["feature"], "value", {f"c{f}": F.count(F.when(F.col(fold_col) != f, 1)) for f in folds}, keep=held)
+        found = [c for c in cols if (c,) in stats]
+        ranks = {(c, f): q * (stats[(c,)][f"c{f}"] - 1) for c in found for f in folds if stats[(c,)][f"c{f}"]}
+        at = folded.sparkSession.createDataFrame(
+            [(c, [math.floor(ranks.get((c, f), -1)) for f in folds], [math.ceil(ranks.get((c, f), -1)) for f in folds]) for c in found],
+            "feature string, lo array<long>, hi array<long>")
+        sides = [F.max(F.when((F.col(f"c{f}_before") <= F.col(side)[f - 1]) & (F.col(f"c{f}_before") + F.col(f"c{f}") > F.col(side)[f - 1]), F.col("value")))
+                 .alias(f"{side}{f}") for f in folds for side in ("lo", "hi")]
+        rows = {r["feature"]: r for r in cum.join(F.broadcast(at), "feature").groupBy("feature").agg(*sides).collect()}
+    finally:
+        for h in held:
+            h.unpersist()
+    out = {}
+    for (c, f), rank in ranks.items():
+        lo, hi, frac = rows[c][f"lo{f}"], rows[c][f"hi{f}"], rank - math.floor(rank)
+        out[f, c] = lo if frac == 0 or lo == hi else lo + (hi - lo) * frac
+    return out
+
+
+def fold_auc(folded: DataFrame, roles: Roles, cols: list[str], k: int, fold_col: str = "fold", caps: dict | None = None) -> DataFrame:
+    """M01 on each fold's training part: (fit_fold, feature, auc, auc_dev). With ``caps`` {(fold, column): cap}, of the
+    capped values: those from the cap on are one tie.
 
     One shuffle of distinct values counts positives and negatives of every
     training part (rows are not copied). Medians and rank sums both follow from
@@ -124,13 +152,20 @@ def fold_auc(folded: DataFrame, roles: Roles, cols: list[str], k: int, fold_col:
                 if lo is not None:
                     frac = ranks[c, f] - math.floor(ranks[c, f])
                     median[c, f] = lo if frac == 0 or lo == hi else lo + (hi - lo) * frac
-        medians_ = spark.createDataFrame([(c, [median.get((c, f)) for f in folds]) for c in found], "feature string, m array<double>")
+        caps = caps or {}
+        for c, f in median:
+            if caps.get((f, c)) is not None:
+                median[c, f] = min(median[c, f], caps[f, c])
+        medians_ = spark.createDataFrame([(c, [median.get((c, f)) for f in folds], [caps.get((f, c)) for f in folds]) for c in found],
+                                         "feature string, m array<double>, cap array<double>")
         sums = []
         for f in folds:
-            p, n, m = F.col(f"p{f}"), F.col(f"n{f}"), F.col("m")[f - 1]
-            sums += [F.sum(p * (F.col(f"n{f}_before") + F.lit(0.5) * n)).alias(f"u{f}"),
-                     F.sum(F.when(F.col("value") < m, n).when(F.col("value") == m, 0.5 * n).otherwise(0)).alias(f"b{f}"),
-                     F.sum(F.when(F.col("value") > m, p).when(F.col("value") == m, 0.5 * p).otherwise(0)).alias(f"a{f}")]
+            p, n, m, cap = F.col(f"p{f}"), F.col(f"n{f}"), F.col("m")[f - 1], F.col("cap")[f - 1]
+            top, v = F.coalesce(F.col("value") >= cap, F.lit(False)), F.least(F.col("value"), cap)
+            sums += [F.sum(F.when(~top, p * (F.col(f"n{f}_before") + F.lit(0.5) * n)).otherwise(0)).alias(f"u{f}"),
+                     F.sum(F.when(top, p).otherwise(0)).alias(f"tp{f}"), F.sum(F.when(top, n).otherwise(0)).alias(f"tn{f}"),
+                     F.sum(F.when(v < m, n).when(v == m, 0.5 * n).otherwise(0)).alias(f"b{f}"),
+                     F.sum(F.when(v > m, p).when(v == m, 0.5 * p).otherwise(0)).alias(f"a{f}")]
         total = {r["feature"]: r for r in cum.join(F.broadcast(medians_), "feature").groupBy("feature").agg(*sums).collect()}
     finally:
         for h in held:
@@ -140,7 +175,8 @@ def fold_auc(folded: DataFrame, roles: Roles, cols: list[str], k: int, fold_col:
         extra = missing.get(c)
         pos, neg = (extra[f"p{f}"], extra[f"n{f}"]) if extra else (0, 0)
         t, s = total[c], stats[(c,)]
-        u = t[f"u{f}"] + pos * t[f"b{f}"] + neg * t[f"a{f}"] + 0.5 * pos * neg
+        capped = t[f"tp{f}"] * (s[f"n{f}"] - 0.5 * t[f"tn{f}"])
+        u = t[f"u{f}"] + capped + pos * t[f"b{f}"] + neg * t[f"a{f}"] + 0.5 * pos * neg
         p, n = s[f"p{f}"] + pos, s[f"n{f}"] + neg
         if p and n:
             rows.append((f, c, u / p / n, abs(u / p / n - 0.5)))

@@ -272,6 +272,26 @@ def f08_in_fold_selection_log(spark, d):
     return IN.fit_in_folds(_folded_extra(spark, d), XCOLS, STEPS, ROLES, K).log(spark)
 
 
+VAR_STEPS = IN.InFold(cap_q=0.99, drop_leakers=True, var_threshold=10.0)
+
+
+def _in_fold_variance_sql() -> str:
+    spread = " UNION ALL ".join(f"SELECT fit_fold, {i} AS i, '{c}' AS c, var_samp({G.dbl(c)}) AS v FROM cp GROUP BY fit_fold" for i, c in enumerate(XCOLS))
+    return (
+        _COPIES_SQL + ", lo AS (" + G.median_filled_long("cp", XCOLS, ["y", "fit_fold"], group="fit_fold") + "),\n"
+        "au AS (SELECT * FROM " + G.auc("lo", ["fit_fold", "feature"]) + "),\n"
+        f"va AS ({spread})\n"
+        f"SELECT fit_fold AS fold, 'reduction' AS stage, 'var' AS method, '{VAR_STEPS.var_threshold}' AS param, "
+        "CAST(row_number() OVER (PARTITION BY fit_fold ORDER BY i) AS INTEGER) AS pos, c AS column_name FROM va "
+        f"WHERE v > {VAR_STEPS.var_threshold} AND NOT EXISTS (SELECT 1 FROM au WHERE au.fit_fold = va.fit_fold AND au.feature = c AND (auc >= 0.999 OR auc <= 0.001))")
+
+
+@register("f08_in_fold_variance_log", sql_with(_in_fold_variance_sql()))
+def f08_in_fold_variance_log(spark, d):
+    """F08 with the variance reduction: per fold cap -> leakers -> columns of low variance go, logged."""
+    return IN.fit_in_folds(_folded_extra(spark, d), XCOLS, VAR_STEPS, ROLES, K).log(spark)
+
+
 @register("l07_cv_with_in_fold_steps")
 def l07_cv_with_in_fold_steps(spark, d):
     """L07 with all in-fold steps: the logistic model on the kept columns of

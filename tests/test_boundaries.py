@@ -141,6 +141,42 @@ def test_one_cap_per_fold(folded):
     assert len({round(r["m"], 9) for r in got}) == 5 and copies.where("fold = fit_fold").count() == 0
 
 
+def test_caps_and_capped_auc_without_copies(spark):
+    """One shuffle against quantiles and AUC on copied, capped training rows, with ties and missing cells."""
+    from tessera.operators import features as FE
+    from tessera.operators import score as M
+    rng = np.random.default_rng(12)
+    rows = [(i % 5 + 1, int(rng.random() < 0.4), None if i % 7 == 0 else float(rng.integers(0, 30)),
+             None if rng.random() < 0.2 else float(rng.exponential()), float(i % 3)) for i in range(600)]
+    df = spark.createDataFrame(rows, "fold int, y int, a double, b double, c double")
+    for q in (0.35, 0.9):
+        caps = M.fold_caps(df, ["a", "b"], q, 5)
+        copies = S.fold_training_copies(df, 5)
+        want = FE.fit_cap_by_group(copies, ["a", "b"], q, "fit_fold")
+        assert caps.keys() == want.keys() and all(abs(caps[k] - want[k]) < 1e-12 for k in caps)
+        two = {(r["fit_fold"], r["feature"]): r["auc"] for r in M.univariate_auc(
+            FE.apply_cap_by_group(copies, want, "fit_fold").drop("fold"), Roles(), ["a", "b", "c"], by=["fit_fold"]).collect()}
+        one = {(r["fit_fold"], r["feature"]): r["auc"] for r in M.fold_auc(df, Roles(), ["a", "b", "c"], 5, caps=caps).collect()}
+        assert set(one) == set(two) and all(abs(one[k] - two[k]) < 1e-12 for k in one)
+
+
+def test_variance_and_model_steps_in_folds(spark, folded):
+    df = folded.withColumn("flat", F.col("a") * 0.01).withColumn("text", F.lit("x"))
+    cols = ["a", "duration", "campaign", "leak", "flat", "text"]
+    steps = IN.InFold(cap_q=0.9, drop_leakers=True, var_threshold=0.01, model_k=2, model_rounds=5, model_depth=3)
+    out = IN.fit_in_folds(df, cols, steps, Roles(), 5)
+    pdf = df.toPandas()
+    for f in range(1, 6):
+        part = pdf[pdf.fold != f]
+        want = [c for c in ("a", "duration", "campaign", "flat") if part[c].clip(upper=part[c].quantile(0.9) if c in ("duration", "campaign") else None).var() > 0.01]
+        stages = [s for s in out.stages if s[0] == f]
+        assert [s[1:3] for s in stages] == [("reduction", "var"), ("selection", "model")]
+        assert stages[0][4] == want + ["text"] and "flat" not in want
+        assert len(out.columns[f]) == 3 and out.columns[f][0] == "a" and out.columns[f][-1] == "text"
+    by_quantile = IN.fit_in_folds(df, cols[:3], IN.InFold(importance_quantile=0.5, model_rounds=3, model_depth=2), Roles(), 5)
+    assert all("a" in by_quantile.columns[f] and len(by_quantile.columns[f]) == 2 for f in range(1, 6))
+
+
 def test_cross_validation_with_steps(spark, folded):
     steps = IN.InFold(cap_q=0.9, drop_leakers=True, corr_threshold=0.99, feature_list=("a", "duration", "campaign", "twin"), mi_k=2)
     path = _tmp(spark, "models")
