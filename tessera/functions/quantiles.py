@@ -103,7 +103,7 @@ def kth_values(cum: DataFrame, keys: list[str], value: str, targets: dict[tuple,
 
 def bracketed(df: DataFrame, cols: list[str], ranks_of, rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[dict, dict]:
     """Exact order statistics of many columns in two scans: ``({col: count}, {(col, rank): value})``
-    for the 0-based ranks ``ranks_of(col, count)``. NULLs are skipped, values read as double.
+    for the 0-based ranks ``ranks_of(col, count)``. NULL and NaN are skipped, values read as double.
 
     The first scan counts and takes approximate quantiles, which bracket each rank. The second counts exactly
     what lies below each bracket; only values inside of one are shuffled, some 0.3 % of a column
@@ -112,7 +112,7 @@ def bracketed(df: DataFrame, cols: list[str], ranks_of, rows_per_bucket: int = R
     if not cols:
         return {}, {}
     grid = F.array(*[F.lit(i / GRID) for i in range(1, GRID)])
-    x = {c: F.col(c).cast("double") for c in cols}
+    x = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
     row = df.agg(*[e for i, c in enumerate(cols) for e in (
         F.count(x[c]).alias(f"n{i}"), F.min(x[c]).alias(f"lo{i}"), F.max(x[c]).alias(f"hi{i}"),
         F.percentile_approx(x[c], grid, ACCURACY).alias(f"q{i}"))]).first()

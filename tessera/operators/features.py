@@ -51,7 +51,7 @@ def fit_rare(df: DataFrame, threshold: float | None, roles: Roles = Roles(),
 
     One ``groupBy(feature, value)`` (partial aggregation) over the long
     table with NULL cells kept, so each feature's counts also sum to the
-    row count: the input is scanned once. The value counts are kept
+    row count. A scan before it excludes columns by distinct-count sketches. The value counts are kept
     (memory, spilling to disk) for the per-feature stats job and the rare
     rows job; only (column, rare value) pairs -- at most max_unique per
     column -- reach the driver.
@@ -59,6 +59,11 @@ def fit_rare(df: DataFrame, threshold: float | None, roles: Roles = Roles(),
     if threshold is None or not (0.0 < threshold < 1.0):
         return {}
     cols = list(cols) if cols is not None else [c for c in df.columns if c not in roles.reserved]
+    if not cols:
+        return {}
+    # columns that surely have too many values stay out of the shuffle: a sketch of 4,096 registers is off by a few percent
+    row = df.agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"))).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    cols = [c for i, c in enumerate(cols) if (row[f"d{i}"] or 0) <= 2 * max_unique]
     if not cols:
         return {}
     long = unpivot(df, cols, cast="string", drop_nulls=False)

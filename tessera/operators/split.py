@@ -1,22 +1,19 @@
 """Sampling and splitting: X01-X04.
 
 Row order comes from md5(seed | key), so the split is reproducible in any
-engine and needs no ``rand()``. Ranking a whole class is done in two passes
-so no window ever holds a class: count rows per (class, hash prefix), turn
-those counts into offsets, then number rows inside each (class, prefix) and
-add the offset. The prefix is as long as the largest class needs.
+engine and needs no ``rand()``. Ranks within a class come from one range-partitioned write: rows
+sorted by (class, order) land in files, the rows of each class in each file are counted, the counts become
+offsets, and a row's rank is its position in the file plus its class's offset. No window
+holds a class, the input is not read again and nothing is joined on the key.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.quantiles import cumulative
+from tessera.session import materialize
 
-ROWS_PER_PREFIX = 50_000   # rows of a class that one window numbers, about
 SEED = 42
 
 
@@ -24,42 +21,47 @@ def order_hash(key: str, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
 
 
-def rank_by_hash(df: DataFrame, key: str, by: str, seed: int = SEED) -> DataFrame:
+def _ranked(df: DataFrame, by: str, order: list[str], parts: int | None = None) -> DataFrame:
+    """Adds ``_rank`` (1-based, by ``order``) within the ``by`` class and ``_n``, the class's rows. ``parts``
+    ranges are written; unset, as many as the session's shuffles have."""
+    cols = df.columns
+    ranges = df.repartitionByRange(parts, by, *order) if parts else df.repartitionByRange(by, *order)
+    placed = (materialize(ranges.sortWithinPartitions(by, *order), "ranks")
+              .select(*cols, F.col("_metadata.file_name").alias("_f"), F.col("_metadata.row_index").alias("_i")))
+    parts = placed.groupBy(F.col(by).alias("_by"), F.col("_f").alias("_file")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_first"), F.min(F.struct(*order)).alias("_start"))
+    # files x classes rows from here on
+    whole = Window.partitionBy("_by")
+    before = whole.orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("_by", "_file", (F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first") + 1).alias("_off"),
+                           F.sum("_c").over(whole).alias("_n"))
+    return (placed.join(F.broadcast(offsets), F.col(by).eqNullSafe(F.col("_by")) & (F.col("_f") == F.col("_file")))
+            .withColumn("_rank", F.col("_i") + F.col("_off")).drop("_f", "_i", "_by", "_file", "_off"))
+
+
+def rank_by_hash(df: DataFrame, key: str, by: str, seed: int = SEED, parts: int | None = None) -> DataFrame:
     """Adds ``_rank`` (1-based) of each row inside its ``by`` class, ordered
-    by (md5(seed|key), key)."""
-    largest = df.groupBy(by).count().agg(F.max("count")).first()[0] or 0
-    prefix = max(1, math.ceil(math.log(max(largest / ROWS_PER_PREFIX, 1), 16)))
-    h = df.withColumn("_h", order_hash(key, seed)).withColumn("_p", F.substring("_h", 1, prefix))
-    counts = h.groupBy(by, "_p").agg(F.count(F.lit(1)).alias("_c"))
-    wo = Window.partitionBy(by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(by, "_p", F.coalesce(F.sum("_c").over(wo), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(by, "_p").orderBy("_h", key)
-    return (h.join(offs, h[by].eqNullSafe(offs[by]) & (h["_p"] == offs["_p"])).drop(offs[by]).drop(offs["_p"])
-            .withColumn("_rank", F.row_number().over(w) + F.col("_off"))
-            .drop("_h", "_p", "_off"))
-
-
-def rank_by_key(df: DataFrame, key: str, by: str) -> DataFrame:
-    """``_rank`` inside the class ordered by key (unique), through the
-    bucketed running count."""
-    cum, _ = cumulative(df.select(by, key), [by], key, {"cnt": F.count(F.lit(1))})
-    r = cum.select(by, key, (F.col("cnt_before") + 1).alias("_rank"))
-    return df.join(r, [by, key])
+    by (md5(seed|key), key), and ``_n``, the rows of the class."""
+    return _ranked(df.withColumn("_h", order_hash(key, seed)), by, ["_h", key], parts).drop("_h")
+
+
+def rank_by_key(df: DataFrame, key: str, by: str, parts: int | None = None) -> DataFrame:
+    """``_rank`` inside the class ordered by key, and ``_n``."""
+    return _ranked(df, by, [key], parts)
 
 
 def stratified_kfold(df: DataFrame, k: int = 5, seed: int = SEED, key: str = "id", label: str = "y",
                      shuffle: bool = True, fold_col: str = "fold") -> DataFrame:
     """fold = (rank - 1) mod k + 1 inside each class."""
     r = rank_by_hash(df, key, label, seed) if shuffle else rank_by_key(df, key, label)
-    return r.withColumn(fold_col, ((F.col("_rank") - 1) % k + 1).cast("int")).drop("_rank")
+    return r.withColumn(fold_col, ((F.col("_rank") - 1) % k + 1).cast("int")).drop("_rank", "_n")
 
 
 def stratified_holdout(df: DataFrame, frac: float = 0.2, seed: int = SEED, key: str = "id",
                        label: str = "y", part_col: str = "part") -> DataFrame:
     """The first ceil(frac * class size) rows of each class by hash
     order are 'valid', the rest 'train'."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    r = rank_by_hash(df, key, label, seed).join(sizes, label)
+    r = rank_by_hash(df, key, label, seed)
     return (r.withColumn(part_col, F.when(F.col("_rank") <= F.ceil(F.col("_n") * F.lit(frac)), "valid")
                          .otherwise("train")).drop("_rank", "_n"))
 

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import os
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,19 +97,44 @@ def scan_external_csvs(spark: SparkSession, folder: str, **kw) -> list[tuple[str
     return [(n, read_csv(spark, found[n], **kw)) for n in sorted(found) if n.lower().endswith(".csv")]
 
 
+def _drop_versions(spark: SparkSession, folder: str, keep: int) -> None:
+    """All but the newest folders go; their names sort by time."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted((f.getPath().getName(), f.getPath()) for f in fs.listStatus(path))
+    for _, old in found[:-keep]:
+        fs.delete(old, True)
+
+
 def refresh_warehouse(spark: SparkSession, train: DataFrame, test: DataFrame | None,
                       database: str = "bank", train_table: str = "train",
                       test_table: str = "test", location: str | None = None) -> list[str]:
     """Create the schema (optionally at a shared location) and replace
-    the fact tables."""
+    the fact tables without a gap: all new tables are written to folders of their own first, then each table is
+    pointed to its new folder, which changes the catalog alone. A reader, or a job that is lost
+    before the swap, finds the old tables whole. The version before the present one stays for
+    readers that still have it; older ones go. (Where the columns change, the table's
+    entry is made anew, between two catalog calls.)"""
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
-    written = []
+    root = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    stamp = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    staged = {}
     for name, df in ((train_table, train), (test_table, test)):
-        if df is None:
-            continue
+        if df is not None:
+            staged[name] = f"{root}/{name}.versions/{stamp}"
+            df.write.parquet(staged[name])
+    written = []
+    for name, path in staged.items():
         full = f"{database}.{name}"
-        df.write.mode("overwrite").saveAsTable(full)
+        if spark.catalog.tableExists(full) and spark.table(full).schema == spark.read.parquet(path).schema:
+            spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {full}")
+            spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
+        spark.catalog.refreshTable(full)
+        _drop_versions(spark, f"{root}/{name}.versions", keep=2)
         written.append(full)
     return written
 

@@ -80,3 +80,26 @@ def test_drop_materialized_removes_written_tables(spark):
     assert t.count() == 10
     assert drop_materialized(spark) >= 1
     assert not os.path.exists(path)
+
+
+def test_warehouse_refresh_never_shows_an_empty_table(spark, tmp_path):
+    """A second refresh whose write fails leaves both old tables; the next one replaces them and keeps one old version."""
+    import os
+    import pytest
+    from pyspark.sql import functions as F
+    from tessera.sources import io as IO
+    db = f"swap_{os.path.basename(str(tmp_path)).replace('-', '_')}"
+    old = spark.range(10).withColumn("v", F.lit(1))
+    at = dict(database=db, location=f"file://{tmp_path}/db")
+    IO.refresh_warehouse(spark, old, old, **at)
+    broken = spark.range(10).withColumn("v", F.when(F.col("id") >= 0, F.raise_error(F.lit("lost"))).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        IO.refresh_warehouse(spark, old.withColumn("v", F.lit(2)), broken, **at)
+    assert spark.table(f"{db}.train").agg(F.sum("v")).first()[0] == spark.table(f"{db}.test").agg(F.sum("v")).first()[0] == 10
+    for v in (3, 4):
+        IO.refresh_warehouse(spark, old.withColumn("v", F.lit(v)), old, **at)
+    assert spark.table(f"{db}.train").agg(F.sum("v")).first()[0] == 40
+    assert len([d for d in os.listdir(f"{tmp_path}/db/test.versions")]) == 2
+    IO.refresh_warehouse(spark, old.withColumn("extra", F.lit("x")), None, **at)
+    assert spark.table(f"{db}.train").columns == ["id", "v", "extra"] and spark.table(f"{db}.test").count() == 10
+    spark.sql(f"DROP DATABASE {db} CASCADE")

@@ -133,6 +133,8 @@ def test_bracketed_ranks_are_exact_and_shuffle_little(spark):
     for c in pdf:
         want = [None] * len(ps) if pdf[c].isna().all() else pdf[c].quantile(ps).tolist()
         assert all(g == w or abs(g - w) <= 1e-12 * abs(w) for g, w in zip(got[c], want)), c
+    raw = Q.column_quantiles(spark.createDataFrame([(float("nan"),), (3.0,), (None,), (1.0,)], "x double"), ["x"], [0.5, 1.0])
+    assert raw["x"] == [2.0, 3.0]       # NaN is skipped
     counts, ranks = Q.bracketed(df, ["a", "f"], lambda c, m: {0, 17, m // 3, m - 2, m - 1})
     for c in ("a", "f"):
         v = np.sort(pdf[c].to_numpy())

@@ -171,3 +171,38 @@ def test_numeric_chain_in_one_pass_equals_stepwise(spark, cap_pct):
                 assert all(_close(x, y) for x, y in zip(g, w)), (c, g, w)
             else:
                 assert _close(g, w), (c, g, w)
+
+
+def test_ranks_need_one_exchange_and_no_join_on_the_key(spark):
+    """Ranks of many files against pandas, with a NULL class; the plan after the write has no exchange of rows."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    from tessera.operators import split as S
+    rng = np.random.default_rng(2)
+    rows = [(int(i), None if rng.random() < 0.05 else int(rng.random() < 0.2)) for i in rng.permutation(5000)]
+    df = spark.createDataFrame(rows, "id long, y int")
+    for ranked, order in ((S.rank_by_key(df, "id", "y", 6), F.col("id")), (S.rank_by_hash(df, "id", "y", parts=6), S.order_hash("id"))):
+        pdf = ranked.withColumn("o", order).toPandas().sort_values(["o", "id"])
+        pdf["y"] = pdf["y"].fillna(-1)
+        assert len(pdf) == 5000 and (pdf.groupby("y").cumcount() + 1 == pdf["_rank"]).all()
+        assert (pdf.groupby("y")["id"].transform("count") == pdf["_n"]).all()
+        assert len(ranked.inputFiles()) > 1
+        plan = ranked._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert "Window" not in plan.split("BroadcastHashJoin")[1].split("Project")[0]
+
+
+def test_rare_groups_shuffle_no_continuous_column(spark):
+    from pyspark.sql import functions as F
+    from tessera.operators import features as FE
+    df = spark.range(4000).select("id", F.rand(3).alias("x"), (F.col("id") % 7).alias("k"), F.when(F.col("id") < 3, "odd").otherwise("usual").alias("t"),
+                                  (F.col("id") % 51).alias("fifty_one"), (F.col("id") % 50).alias("fifty"))
+    held = []
+    keep = type(df).persist
+    try:
+        type(df).persist = lambda self, *a: held.append(self) or keep(self, *a)
+        got = FE.fit_rare(df, 0.02, cols=["x", "k", "t", "fifty_one", "fifty"])
+    finally:
+        type(df).persist = keep
+    assert got.keys() == {"t", "fifty"} and got["t"] == ["odd"] and len(got["fifty"]) == 50
+    assert {r["feature"] for r in held[0].select("feature").distinct().collect()} == {"k", "t", "fifty_one", "fifty"}
