@@ -80,15 +80,17 @@ def p09_suspicious_names(spark, d):
     return df.drop(*R.suspicious_columns(df))
 
 
-_TYPES = dict(zip(COLUMNS, ["bigint", "bigint", "string", "string", "string", "string", None, None, None, None, "int"]))
+_TYPE_SQL = ("CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+             "WHEN 'VARCHAR' THEN 'string' ELSE column_type END")
 
 
 @register("a03_column_types", sql_with(
-    "SELECT position, column_name, role, n_values FROM (" + _counts_sql(
-        "dtrain", [(c, f"{i + 1} AS position, '{_role(c)}' AS role, ") for i, c in enumerate(COLUMNS)]) + ")"))
+    ", ty AS (SELECT column_name, " + _TYPE_SQL + " AS dtype FROM (DESCRIBE SELECT * FROM dtrain))\n"
+    "SELECT position, column_name, dtype, role, n_values FROM (" + _counts_sql(
+        "dtrain", [(c, f"{i + 1} AS position, '{_role(c)}' AS role, ") for i, c in enumerate(COLUMNS)]) + ") JOIN ty USING (column_name)"))
 def a03_column_types(spark, d):
     df = bank_train(spark, d, dirty=True)
-    return P.column_types(df, ROLES).join(_values(df), "column_name").select("position", "column_name", "role", "n_values")
+    return P.column_types(df, ROLES).join(_values(df), "column_name").select("position", "column_name", "dtype", "role", "n_values")
 
 
 @register("a02_duplicate_whole_rows", sql_with(

@@ -69,21 +69,26 @@ def s08_warehouse_refresh(spark, d):
     ", l AS (" + G.median_filled_long("train", NUM, ["y"]) + ")\n"
     "SELECT feature, round(auc, 6) AS auc, round(abs(auc - 0.5), 6) AS auc_dev FROM " + G.auc("l", ["feature"])))
 def s09_bi_export(spark, d):
-    """Export train, test and the five score reports to one folder as CSV; a
-    report is read back from the export."""
+    """Export train, test and the five score reports to one folder as CSV; all seven are read back and held against
+    what was exported, the AUC report is returned."""
     from tessera.operators import score as M
     from tessera.roles import Roles
     folder = _scratch(spark, "bi")
     tr = bank_train(spark, d)
     rep = M.univariate_auc(tr, Roles()).select("feature", r6("auc").alias("auc"), r6("auc_dev").alias("auc_dev"))
     from tessera.operators import model as ML
-    from tessera.operators import profile as P
-    num = tr.select("id", "y", *NUM)
-    filled = num.na.fill(0.0, NUM)
+    from tessera.operators.explain import mean_abs_shap
+    # one boosted model (400 rounds) for both of its reports; missing values need no fill
+    model = ML.fit_table(ML.Profile("importance", "gbt", rounds=400, depth=6, rate=0.05, weighted=False), tr.select("id", "y", *NUM), NUM).model
     IO.export_reports({
         "train": tr, "test": bank_test(spark, d), "univariate_auc": rep,
         "mutual_information": M.mutual_information(tr, Roles(discrete=("campaign",))),
         "target_correlation": M.target_correlation(tr, Roles()),
-        "model_importance": ML.model_importance(filled, NUM, rounds=2),
-        "missingness": P.missingness(tr)}, folder)
+        "model_importance": spark.createDataFrame(list(zip(NUM, model.importance())), "feature string, importance double"),
+        "shap_importance": mean_abs_shap(tr, model)}, folder)
+    back = {n: IO.read_csv(spark, os.path.join(folder, n)) for n in ("train", "test", "mutual_information", "target_correlation", "model_importance", "shap_importance")}
+    if {n: df.count() for n, df in back.items() if n not in ("train", "test")} != {n: len(NUM) for n in back if n not in ("train", "test")}:
+        raise ValueError("a report lost rows in the export")
+    if any(back[n].count() != df.count() or back[n].columns != df.columns for n, df in (("train", tr), ("test", bank_test(spark, d)))):
+        raise ValueError("a table lost rows or columns in the export")
     return IO.read_csv(spark, os.path.join(folder, "univariate_auc"), schema=rep.schema)
