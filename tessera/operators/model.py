@@ -357,9 +357,11 @@ def select_by_model(importance: DataFrame, k: int | None = None, quantile: float
 # ---------------------------------------------------------------- M06
 
 def kmeans_assign(df: DataFrame, k: int, cols: list[str], starts: int = 10, seed: int = SEED,
-                  keep: tuple[str, ...] = (), parallel_starts: int = 5) -> DataFrame:
+                  keep: tuple[str, ...] = (), parallel_starts: int = 5, centres: list[list[float]] | None = None) -> DataFrame:
     """Fit k-means on median-filled copies of ``cols`` (best of
     ``starts`` seeds by training cost) and attach ``cluster`` to every row.
+    Given ``centres`` (k rows of ``cols``) nothing is fitted: a row goes to its
+    nearest one, the first on ties.
     ``transform`` keeps the row's columns, so no join is needed; the
     original (unfilled) values of ``cols`` and the ``keep`` columns stay."""
     from tessera.operators.clean import fit_median
@@ -368,6 +370,13 @@ def kmeans_assign(df: DataFrame, k: int, cols: list[str], starts: int = 10, seed
     med = fit_median(base, cols)
     fcols = [f"_f_{c}" for c in cols]
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(med[c]).cast("double")).alias(f) for c, f in zip(cols, fcols)]
+    if centres is not None:
+        if len(centres) != k:
+            raise ValueError(f"{len(centres)} centres for k = {k}")
+        far = [sum(((F.col(f) - F.lit(float(x))) * (F.col(f) - F.lit(float(x))) for f, x in zip(fcols, centre)), F.lit(0.0))
+               for centre in centres]
+        nearest = F.array_min(F.array(*[F.struct(d.alias("d"), F.lit(i).alias("i")) for i, d in enumerate(far)]))
+        return base.select(*keep, *cols, *filled).withColumn("cluster", nearest["i"]).drop(*fcols)
     vec = assemble(base.select(*keep, *cols, *filled), fcols).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit_start(s):
@@ -382,7 +391,8 @@ def kmeans_assign(df: DataFrame, k: int, cols: list[str], starts: int = 10, seed
     return best.transform(vec).drop("features", *fcols)
 
 
-def kmeans_summary(df: DataFrame, k: int, cols: list[str], starts: int = 10, seed: int = SEED) -> DataFrame:
+def kmeans_summary(df: DataFrame, k: int, cols: list[str], starts: int = 10, seed: int = SEED,
+                   centres: list[list[float]] | None = None) -> DataFrame:
     """The mean of each original column per k-means cluster."""
-    return kmeans_assign(df, k, cols, starts, seed).groupBy("cluster").agg(
+    return kmeans_assign(df, k, cols, starts, seed, centres=centres).groupBy("cluster").agg(
         *[F.avg(c).alias(f"mean_{c}") for c in cols])

@@ -416,6 +416,52 @@ def density(df: DataFrame, cols: list[str], by: str | None = None, points: int =
                     (F.col("p.d") * norm / (F.col("_n") * F.col("_bw"))).alias("density")))
 
 
+KDE_CELLS = 512      # cells a bandwidth
+
+
+def density_binned(df: DataFrame, cols: list[str], by: str | None = None, points: int = KDE_POINTS,
+                   cells: int = KDE_CELLS) -> DataFrame:
+    """A13 with linear binning: the curve of ``density``, whose work a row does not depend on ``points``.
+
+    Each value is split over the two cell borders around it by its distance to
+    them, so a cell is its rows and the sum of their positions inside it: one
+    grouped aggregate. Kernels are evaluated at the borders of occupied cells
+    (at most range / bandwidth x ``cells`` a curve, however many rows). Linear
+    binning is off by at most 1 / (8 cells^2) of the kernel's curvature: 5e-7 of
+    a density of one bandwidth. Nothing is collected; columns with fewer than
+    two values or one distinct value have no curve; rows with a null class are
+    a class of their own."""
+    df = finite_table(df, cols)
+    gcols = [by] if by else []
+    # a fixed name: ``by`` may be called like one of the columns below
+    klass = F.col(by) if by else F.lit(0)
+    long = unpivot(df.select(klass.alias("_class"), *cols), cols, ids=["_class"], cast="double")
+    stats = (long.groupBy("_class", "feature")
+             .agg(F.count("value").alias("_n"), F.stddev_samp("value").alias("_s"), F.min("value").alias("_lo"),
+                  F.max("value").alias("_hi")).where("_n > 1 AND _s > 0")
+             .withColumn("_bw", F.col("_s") * F.pow("_n", F.lit(-0.2)))
+             .select(F.col("_class").alias("_c"), F.col("feature").alias("_f"), "_n", "_lo", "_bw",
+                     (F.col("_lo") - KDE_CUT * F.col("_bw")).alias("_a"), (F.col("_hi") + KDE_CUT * F.col("_bw")).alias("_z"))
+             .withColumn("_st", (F.col("_z") - F.col("_a")) / (points - 1)))
+    same = F.col("_class").eqNullSafe(F.col("_c")) & (F.col("feature") == F.col("_f"))
+    at = (F.col("value") - F.col("_lo")) / F.col("_bw") * cells
+    binned = (long.join(stats.select("_c", "_f", "_lo", "_bw"), same).select("_class", "feature", at.alias("_at"))
+              .groupBy("_class", "feature", F.floor("_at").alias("_cell"))
+              .agg(F.count(F.lit(1)).alias("_rows"), F.sum(F.col("_at") - F.floor("_at")).alias("_up")))
+
+    def kernel(border):
+        here = F.col("_lo") + border * F.col("_bw") / cells
+        return F.exp(F.lit(-0.5) * F.pow((F.col("_x") - here) / F.col("_bw"), F.lit(2)))
+    part = (F.col("_rows") - F.col("_up")) * kernel(F.col("_cell")) + F.col("_up") * kernel(F.col("_cell") + 1)
+    norm = F.lit(math.sqrt(2 * math.pi))
+    sums = (binned.join(stats, same).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+            .withColumn("_x", F.col("_a") + F.col("point") * F.col("_st"))
+            .groupBy("_class", "feature", "point", "_x", "_n", "_bw").agg(F.sum(part).alias("_d")))
+    return sums.select(*[F.col("_class").alias(g) for g in gcols], F.col("feature").alias("column_name"),
+                       F.col("point").cast("long").alias("point"), F.col("_x").alias("x"),
+                       (F.col("_d") / (F.col("_n") * F.col("_bw") * norm)).alias("density"))
+
+
 # ---------------------------------------------------------------- A14
 
 PREVIEW_ROWS = 5

@@ -11,11 +11,12 @@ from tessera.operators import clean as C
 from tessera.operators import model as ML
 from tessera.operators import select as SEL
 from tessera.operators import split as S
+from tessera.plans import sqlgen as G
 from tessera.plans.flagship import flagship
 from tessera.plans.registry import register
 from tessera.roles import Roles
 from tessera.session import materialize
-from tessera.sources.bank import bank_materialized, bank_test, bank_train
+from tessera.sources.bank import bank_materialized, bank_test, bank_train, sql_with
 from tessera.sources.io import kept_columns_log
 
 ROLES = Roles()
@@ -116,6 +117,41 @@ def j04_cluster_labels(spark, d):
                             keep=("id",)).select("id", "cluster")
 
 
+CENTRE_COLS = ["age", "balance", "duration", "campaign", "previous"]
+
+
+def _centres(tr):
+    """Three centres that SQL can repeat: the means of the rows by id modulo 3."""
+    means = tr.groupBy((F.col("id") % 3).alias("m")).agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in CENTRE_COLS])
+    return [[r[c] for c in CENTRE_COLS] for r in means.orderBy("m").collect()]
+
+
+def _centres_sql(result: str) -> str:
+    """``result`` selects from ``labelled``: train with each row's nearest centre."""
+    filled = ", ".join(f"coalesce({G.dbl(c)}, (SELECT median({G.dbl(c)}) FROM train)) AS f_{c}" for c in CENTRE_COLS)
+    means = ", ".join(f"avg({G.dbl(c)}) AS m_{c}" for c in CENTRE_COLS)
+    far = " + ".join(f"(f_{c} - m_{c}) * (f_{c} - m_{c})" for c in CENTRE_COLS)
+    return sql_with(f"SELECT {result} FROM (SELECT t.*, c.cluster FROM (SELECT *, {filled} FROM train) t, "
+                    f"(SELECT CAST(id % 3 AS INTEGER) AS cluster, {means} FROM train GROUP BY 1) c "
+                    f"QUALIFY row_number() OVER (PARTITION BY t.id ORDER BY {far}, c.cluster) = 1) labelled")
+
+
+@register("j04_given_centres", _centres_sql("id, cluster"))
+def j04_given_centres(spark, d):
+    """Every training row with the nearest of three given centres."""
+    tr = bank_train(spark, d)
+    return ML.kmeans_assign(tr, 3, CENTRE_COLS, keep=("id",), centres=_centres(tr)).select("id", "cluster")
+
+
+@register("m06_given_centres", _centres_sql("cluster, " + ", ".join(f"round(avg({c}), 6) AS mean_{c}" for c in CENTRE_COLS))
+          + " GROUP BY cluster")
+def m06_given_centres(spark, d):
+    """The mean of each column per cluster of three given centres."""
+    tr = bank_train(spark, d)
+    k = ML.kmeans_summary(tr, 3, CENTRE_COLS, centres=_centres(tr))
+    return k.select("cluster", *[r6(f"mean_{c}").alias(f"mean_{c}") for c in CENTRE_COLS])
+
+
 @register("s11_model_round_trip")
 def s11_model_round_trip(spark, d):
     """Fit the SVM with its calibration, save to the shared checkpoint folder, load back, score test."""

@@ -174,6 +174,30 @@ def a13_density_by_class(spark, d):
     return k.select("y", "column_name", "point", r6("x").alias("x"), r6(F.col("density") * 1e6).alias("density_e6"))
 
 
+def _kde_binned_sql():
+    parts = []
+    for c in KDE_COLS:
+        x = G.dbl(c)
+        stats = (f"(SELECT y, n, bw, lo, lo - 3 * bw AS a, (hi + 3 * bw - (lo - 3 * bw)) / {P.KDE_POINTS - 1} AS st FROM ("
+                 f"SELECT y, count({x}) AS n, stddev_samp({x}) * pow(count({x}), -0.2) AS bw, min({x}) AS lo, max({x}) AS hi "
+                 f"FROM train GROUP BY y))")
+        cells = (f"(SELECT y, floor(p) AS i, count(*) AS k, sum(p - floor(p)) AS up FROM (SELECT t.y, "
+                 f"({x} - s.lo) / s.bw * {P.KDE_CELLS} AS p FROM train t JOIN {stats} s ON s.y = t.y WHERE {c} IS NOT NULL) GROUP BY 1, 2)")
+        border = [f"exp(-0.5 * pow((a + j * st - lo - (i + {e}) * bw / {P.KDE_CELLS}) / bw, 2))" for e in (0, 1)]
+        parts.append(f"SELECT y, '{c}' AS column_name, j AS point, a + j * st AS x, "
+                     f"sum((k - up) * {border[0]} + up * {border[1]}) / (n * bw * sqrt(2 * pi())) AS density "
+                     f"FROM {cells} JOIN {stats} USING (y), range({P.KDE_POINTS}) g(j) GROUP BY y, j, a, st, n, bw")
+    return sql_with("SELECT y, column_name, point, round(x, 6) AS x, round(density * 1e6, 3) AS density_e6 FROM ("
+                    + " UNION ALL ".join(parts) + ")")
+
+
+@register("a13_density_binned", _kde_binned_sql())
+def a13_density_binned(spark, d):
+    """The curves of a13_density_by_class by linear binning."""
+    k = P.density_binned(bank_train(spark, d), KDE_COLS, by="y")
+    return k.select("y", "column_name", "point", r6("x").alias("x"), F.round(F.col("density") * 1e6, 3).alias("density_e6"))
+
+
 @register("a14_shape", sql_with("SELECT count(*) AS n_rows, 11 AS n_cols FROM train"))
 def a14_shape(spark, d):
     return P.shape(bank_train(spark, d))

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 FAST = ["a01_missing_counts", "a02_duplicate_rows", "a05_iqr_outliers", "a16_validation", "t07_encode_ordinal",
         "t10_quantile_bins", "t14_clean_chain", "x02_stratified_kfold", "m01_univariate_auc",
         "m02_mutual_information", "f01_prune_correlated", "e05_fold_metrics", "j01_join_external",
-        "e10_submission", "a13_density_by_class", "a12_histogram", "t09_group_rare", "p07_nan_inf_to_null",
+        "e10_submission", "a13_density_by_class", "a13_density_binned", "j04_given_centres", "m06_given_centres", "a12_histogram", "t09_group_rare", "p07_nan_inf_to_null",
         "p10_iqr_outlier_rows", "o01_sorted_report", "o02_top_rows", "s08_warehouse_refresh", "s09_bi_export"]
 
 
