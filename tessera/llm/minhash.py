@@ -15,7 +15,7 @@ words; the whole sequence if there are fewer words; empty without words).
 * Exact verification: 100 * |A and B| >= 75 * |A or B| on whole sets. A
   bucket is not expanded to pairs: its members are first verified against its
   smallest member only. Where a bucket then still holds several components, all
-  pairs across them are counted inside tasks (a product of membership matrices
+  pairs across them are looked for inside tasks (by their rarest shingles,
   over blocks of bounded size) and only links that join components leave a task.
 
 Defined cases: null or wordless text has an empty set and no links; a null
@@ -40,7 +40,6 @@ ROWS = 4
 BANDS = T // ROWS
 HASH_BYTES = 6           # of a shingle's hash in stored sets: 5e-10 odds of a collision in 400 shingles
 CELL = 300_000           # shingles of one side of a block of a bucket
-COLUMNS = 4096           # shingles counted at once
 
 _rng = np.random.default_rng(7331)
 _SEEDS = _rng.integers(1, 2**63, 2 * T, dtype=np.uint64)
@@ -152,43 +151,64 @@ def _confirmed(batches):
 
 def cross_links(parts: list[int], sets: list[np.ndarray], side: list[int]) -> list[tuple[int, int]]:
     """Links between components that join them, from all pairs of sets of
-    different components (across the two sides, if there are two)."""
+    different components (across the two sides, if there are two).
+
+    Sets list their shingles with the block's rarest first. Two sets that reach the
+    similarity share one of the first n - ceil(0.75 n) + 1 of both, so only
+    pairs that share such a shingle are counted, exactly and one set against
+    its candidates at a time: memory grows with the block's shingles alone."""
     part, sizes, side = np.array(parts), np.array([len(x) for x in sets]), np.array(side)
-    two = side.min() != side.max()
-    if not two:
-        # members of the commonest component need not meet each other
-        value, count = np.unique(part, return_counts=True)
-        left, right = np.flatnonzero(part != value[count.argmax()]), np.arange(len(part))
+    own, part = np.unique(part, return_inverse=True)
+    if side.min() != side.max():
+        left, listed = np.flatnonzero(side == side.min()), side == side.max()
     else:
-        left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+        # members of the commonest component need not meet each other
+        left, listed = np.flatnonzero(part != np.bincount(part).argmax()), np.ones(len(part), bool)
     flat = np.concatenate(sets)
     _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
-    shared = count > 1
-    column, owner = (np.cumsum(shared) - 1)[column[shared[column]]], owner[shared[column]]
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    both = np.zeros((len(left), len(right)), np.float32)
-    for a in range(0, int(shared.sum()), COLUMNS):
-        lo, hi = np.searchsorted(column, [a, a + COLUMNS])
-        has = np.zeros((len(sets), COLUMNS), np.float32)
-        has[owner[lo:hi], column[lo:hi] - a] = 1
-        both += has[left] @ has[right].T
-    union = sizes[left][:, None] + sizes[right][None, :] - both
-    i, j = np.nonzero((100 * both >= PERCENT * union) & (part[left][:, None] != part[right][None, :]))
-    pairs = np.unique(np.stack([part[left[i]], part[right[j]]], axis=1), axis=0) if len(i) else np.zeros((0, 2), np.int64)
-    root: dict[int, int] = {}
-
-    def find(x):
-        while root.get(x, x) != x:
-            x = root[x]
-        return x
-    out = []
-    for a, b in pairs.tolist():
-        x, y = find(a), find(b)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            out.append((a, b))
+    column = column[np.lexsort((column, count[column], owner))]
+    first = np.cumsum(sizes) - sizes
+    fronts = sizes + PERCENT * -sizes // 100 + 1
+    front = (np.arange(len(flat)) - first[owner] < fronts[owner]) & (count[column] > 1)
+    front_end = first + np.bincount(owner[front], minlength=len(sets))
+    lone = np.bincount(owner[(count[column] == 1)], minlength=len(sets))
+    posted = np.flatnonzero(front & listed[owner])
+    posted = posted[np.argsort(column[posted], kind="stable")]
+    begin = np.searchsorted(column[posted], np.arange(len(count) + 1))
+    posted = owner[posted]
+    up = np.arange(len(own))
+
+    def roots(x):
+        r = up[x]
+        while (r != up[r]).any():
+            r = up[r]
+        up[x] = r
+        return r
+    out, met, mark = [], np.zeros(len(sets), bool), np.zeros(len(count), np.int32)
+    for i in left.tolist():
+        met[i] = True
+        # shingles that no other set has come first and lead nowhere
+        near = [posted[begin[c]:begin[c + 1]] for c in column[first[i] + lone[i]:front_end[i] + lone[i]].tolist()]
+        if not near:
+            continue
+        near = np.unique(np.concatenate(near))
+        n, m = sizes[near], sizes[i]
+        near = near[~met[near] & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))]
+        near = near[roots(part[near]) != roots(part[i:i + 1])]
+        if not len(near):
+            continue
+        n = sizes[near]
+        ahead = np.cumsum(n) - n
+        mine = column[first[i]:first[i] + m]
+        mark[mine] = 1
+        both = np.add.reduceat(mark[column[np.repeat(first[near] - ahead, n) + np.arange(n.sum())]], ahead)
+        mark[mine] = 0
+        for j in near[100 * both >= PERCENT * (n + m - both)].tolist():
+            x, y = int(roots(part[i:i + 1])[0]), int(roots(part[j:j + 1])[0])
+            if x != y:
+                up[max(x, y)] = min(x, y)
+                out.append((int(own[part[i]]), int(own[part[j]])))
     return out
 
 

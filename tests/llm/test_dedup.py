@@ -172,3 +172,37 @@ def test_cross_links():
     assert classes(minhash.cross_links(parts, sets, [0] * 40)) == classes(expected)
     for s in sets:
         assert (minhash.unpack(minhash.pack(s)) == s).all()
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_cross_links_of_two_sides_and_any_sizes(seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(2, 40))
+    base = [rng.integers(0, 60, rng.integers(1, 25)) for _ in range(4)]
+    sets = []
+    for _ in range(n):
+        x = base[rng.integers(4)].copy()
+        k = rng.integers(0, len(x) // 3 + 1)
+        x[rng.integers(0, len(x), k)] = rng.integers(0, 1000, k)
+        sets.append(np.unique(x.astype(np.uint64)))
+    parts, side = rng.integers(0, n, n).tolist(), (rng.integers(0, 2, n) * (seed % 2)).tolist()
+    two = len(set(side)) > 1
+    expected = {(parts[i], parts[j]) for i in range(n) for j in range(n)
+                if parts[i] != parts[j] and (not two or side[i] != side[j])
+                and 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
+    got = minhash.cross_links(parts, sets, side)
+    assert set(got) <= expected
+
+    def classes(links):
+        up = {p: p for p in parts}
+        for a, b in links:
+            x, y = sorted((up[a], up[b]))
+            up = {p: x if c == y else c for p, c in up.items()}
+        return up
+    assert classes(got) == classes(expected)
+
+
+def test_cross_links_of_many_short_sets_are_not_all_pairs():
+    """100,000 sets of one common and one own shingle: nothing to compare."""
+    sets = [np.array([7, 10 ** 6 + i], np.uint64) for i in range(100_000)]
+    assert minhash.cross_links(list(range(100_000)), sets, [0] * 100_000) == []
