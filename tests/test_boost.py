@@ -104,3 +104,27 @@ def test_one_class_and_constant_columns(spark):
     assert all(len(t.feature) == 1 for t in m.trees)
     none = B.fit_boosted(df.where("y = 0"), ["a", "b"], B.Boost(rounds=2))[0]
     assert none.score(df, ["id"]).agg(F.max("p")).first()[0] < 1e-6
+
+
+def test_siblings_are_differences_and_nothing_is_shipped_twice(spark, rows, monkeypatch):
+    """Below the root no more than half of the drawn rows are added up, over more rounds than one broadcast holds."""
+    added, real = [], B._histograms
+
+    def counted(x, slot, *rest):
+        added.append(len(slot))
+        return real(x, slot, *rest)
+
+    monkeypatch.setattr(B, "_histograms", counted)
+    settings = B.Boost(rounds=1, depth=3, row_frac=1.0, col_frac=1.0)
+    x = rows[["a", "b", "c"]].to_numpy()
+    edges = [np.unique(c[~np.isnan(c)])[:200] for c in x.T]
+    block = {"m": 0, "n": len(x), "wide": 1, "x": B.binned(x, edges).tobytes(), "y": rows.y.to_numpy(np.int8).tobytes(),
+             "fold": rows.fold.to_numpy(np.int32).tobytes(), "hash": rows.id.to_numpy(np.int64).tobytes()}
+    run = B._grown_in_task(settings, {0: [0, 1, 2]}, {0: 0.0}, {0: {}}, {0: None}, 2.0 ** 30, 1.0, B._missing(edges))
+    import pyarrow as pa
+    list(run([pa.RecordBatch.from_pylist([block])]))
+    assert added[0] == len(x) and all(n <= len(x) // 2 for n in added[1:])
+    monkeypatch.undo()
+    monkeypatch.setattr(B, "LEAST_BLOCK", 500)
+    df, s = spark.createDataFrame(rows), B.Boost(rounds=2 * B.SHIP + 3, rate=0.3, depth=2)
+    assert fitted(df, s)[2].node_rows() == fitted(df, s, one_block=100)[2].node_rows()
