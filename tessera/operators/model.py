@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.classification import (LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel,
                                        RandomForestClassificationModel, RandomForestClassifier)
@@ -113,11 +114,19 @@ class Fourier:
         return np.concatenate([rng.normal(scale=math.sqrt(2 * self.gamma), size=(self.n, self.d)), rng.uniform(0, 2 * math.pi, (self.n, 1))], axis=1)
 
     def apply(self, df: DataFrame, col: str = "features") -> DataFrame:
-        """``col`` replaced by its features, as a column expression."""
-        x = F.concat(vector_to_array(col), F.array(F.lit(1.0)))
-        rows = F.array(*[F.array(*[F.lit(float(v)) for v in w]) for w in self.weights()])
-        wave = F.transform(rows, lambda w: F.lit(math.sqrt(2 / self.n)) * F.cos(F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)))
-        return df.withColumn(col, array_to_vector(wave))
+        """``col`` replaced by its features, a batch of rows at a time."""
+        w = self.weights()
+
+        @F.arrow_udf("array<double>")
+        def wave(rows: pa.Array) -> pa.Array:
+            x = rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), len(w.T) - 1)
+            total = np.zeros((len(x), len(w)))
+            for i in range(x.shape[1]):
+                total += x[:, i:i + 1] * w[:, i]
+            total = math.sqrt(2 / len(w)) * np.cos(total + w[:, -1])
+            return pa.ListArray.from_arrays(pa.array(np.arange(0, total.size + 1, len(w)), pa.int32()), pa.array(total.reshape(-1)))
+
+        return df.withColumn(col, array_to_vector(wave(vector_to_array(col))))
 
 
 def kernel_width(df: DataFrame, col: str = "features") -> tuple[float, int]:

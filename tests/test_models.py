@@ -94,3 +94,22 @@ def test_fourier_features_approach_the_kernel_and_split_two_rings(spark):
         m = ML.fit_table(ML.Profile("SVM", "svm", iters=30, weighted=False, kernel_features=kernel_features), df, ["a", "b"])
         auc[kernel_features] = ML.roc_auc(m.score(x, ["y"]), "y", "p").first()["auc"]
     assert auc[64] > 0.98 and auc[0] < 0.7
+
+
+def test_fourier_features_of_many_rows_at_once(spark):
+    """The features are sqrt(2/n) cos(w x + b), made by the batch: no expression per feature and row."""
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+    from tessera.operators import model as ML
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 3))
+    df = ML.assemble(spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double"), ["a", "b", "c"])
+    k = ML.Fourier(0.3, 16, 3)
+    made = k.apply(df)
+    assert made.columns == df.columns
+    assert "lambdafunction" not in made._jdf.queryExecution().optimizedPlan().toString().lower()
+    w = k.weights()
+    want = np.sqrt(2 / 16) * np.cos(x @ w[:, :3].T + w[:, 3])
+    got = {r["id"]: r["f"] for r in made.select("id", vector_to_array("features").alias("f")).collect()}
+    assert np.allclose([got[i] for i in range(500)], want)
+    assert k.apply(df.where("id < 0")).count() == 0
