@@ -128,3 +128,21 @@ def test_siblings_are_differences_and_nothing_is_shipped_twice(spark, rows, monk
     monkeypatch.setattr(B, "LEAST_BLOCK", 500)
     df, s = spark.createDataFrame(rows), B.Boost(rounds=2 * B.SHIP + 3, rate=0.3, depth=2)
     assert fitted(df, s)[2].node_rows() == fitted(df, s, one_block=100)[2].node_rows()
+
+
+def test_blocks_are_dealt_evenly_with_their_margins(spark, rows, tmp_path, monkeypatch):
+    """Each task has as many blocks as any other; a block's margins go on from the round before and no checkpoint is left."""
+    edges = [np.unique(c[~np.isnan(c)])[:200] for c in rows[["a", "b", "c"]].to_numpy().T]
+    blocks = B._blocks(spark.createDataFrame(rows), ["a", "b", "c"], "id", "y", "fold", edges, 12)
+    dealt = B._dealt(blocks, 3, 4)
+    assert dealt.glom().map(len).collect() == [3, 3, 3, 3]
+    missing, tree = B._missing(edges), (np.array([1, -1, -1]), np.array([2, 0, 0]), np.ones(3, bool), np.array([1, -1, -1]), np.array([2, -1, -1]), np.array([0.0, 1.0, 2.0]))
+    twice = dealt.mapPartitions(B._started({7: 0.5})).mapPartitions(B._advanced({7: tree}, missing)).mapPartitions(B._advanced({7: tree}, missing))
+    for _, x, y, _, _, margins in twice.collect():
+        assert np.array_equal(margins[7], 0.5 + 2 * np.where(x[1] <= 2, 1.0, 2.0))
+    blocks.unpersist()
+    monkeypatch.setattr(B, "LEAST_BLOCK", 500)
+    gone, real = [], B.delete_folder
+    monkeypatch.setattr(B, "delete_folder", lambda s, path: gone.append((path, real(s, path))))
+    fitted(spark.createDataFrame(rows), B.Boost(rounds=2 * B.SHIP + 1, rate=0.3, depth=2), one_block=100)
+    assert len(gone) == 2 and all(path and done for path, done in gone)
