@@ -113,3 +113,19 @@ def test_fourier_features_of_many_rows_at_once(spark):
     got = {r["id"]: r["f"] for r in made.select("id", vector_to_array("features").alias("f")).collect()}
     assert np.allclose([got[i] for i in range(500)], want)
     assert k.apply(df.where("id < 0")).count() == 0
+
+
+def test_kmeans_reads_its_input_once(spark):
+    """The joins behind a table run once, into a written copy that medians, fits and labels read; nothing stays cached."""
+    left = spark.createDataFrame([(i, float(i % 50), float(i % 3) if i % 7 else None) for i in range(300)], "id long, a double, b double")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    out = ML.kmeans_assign(left.repartition(3).mapInArrow(counted, left.schema), 3, ["a", "b"], starts=3, keep=("id",))
+    assert sorted(r["id"] for r in out.collect()) == list(range(300)) and {r["cluster"] for r in out.collect()} == {0, 1, 2}
+    assert seen.value == 300
+    assert not out.storageLevel.useMemory and "InMemoryTableScan" not in out._jdf.queryExecution().toString()
