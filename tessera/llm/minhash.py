@@ -97,6 +97,7 @@ def band_keys(s: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return words.mix(out + np.arange(out.shape[1], dtype=np.uint64)).view(np.int64)
 
 
+@words.tidy
 def _sketched(batches):
     for batch in batches:
         text = words.text_array(batch.column("text"))
@@ -212,6 +213,7 @@ def cross_links(parts: list[int], sets: list[np.ndarray], side: list[int]) -> li
     return out
 
 
+@words.tidy
 def _joined(batches):
     """Rows come sorted by block; one block's sets are held at a time."""
     now, parts, sets, side = None, [], [], []

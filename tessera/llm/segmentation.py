@@ -43,7 +43,8 @@ from tessera.llm import words
 
 K = 2
 RANK_SHIFT = 2.7
-CACHE_NODES = 3_000_000      # per Python worker; emptied when full, so only speed depends on it
+CACHE_NODES = 1_200_000      # per Python worker; emptied when full, so only speed depends on it
+ADD_CHARS = 1 << 17          # of new chunks built at once (or one chunk): what it takes in memory follows it
 _CHUNK = re.compile(r" *[^ \n]+|\n| +")
 _SPACE = "▁"
 
@@ -216,9 +217,15 @@ class Lattices:
             self.clear()
         split = [_CHUNK.findall(" " + t) if t else [] for t in texts]
         flat = list(chain.from_iterable(split))
-        new = set(flat).difference(self.root)
-        if new:
-            self.add(list(new))
+        some, size = [], 0
+        for chunk in set(flat).difference(self.root):
+            if some and size + len(chunk) > ADD_CHARS:
+                self.add(some)
+                some, size = [], 0
+            some.append(chunk)
+            size += len(chunk)
+        if some:
+            self.add(some)
         first = np.concatenate([[0], np.cumsum([len(c) for c in split])]).astype(np.int64)
         return np.fromiter(map(self.root.__getitem__, flat), np.int64, len(flat)), first
 
@@ -397,6 +404,7 @@ def segment(lat: Lattices, texts: list[str], keys: list, k: int = K):
 
 
 def _sampled(model: str, k: int):
+    @words.tidy
     def run(batches):
         lat = lattices(model)
         for batch in batches:

@@ -8,7 +8,9 @@ longer row makes a block of its own), so memory does not follow the batch."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -145,6 +147,34 @@ def grams(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndar
     return mix(out[keep]), begin
 
 
+@lru_cache(maxsize=1)
+def _malloc_trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim       # glibc
+    except (OSError, AttributeError):
+        return None
+
+
+def release() -> None:
+    """Give memory that is free in this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = _malloc_trim()
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run):
+    """``run`` over batches, with free memory given back when it ends: Spark
+    keeps its Python workers, so what they hold on to adds to later stages."""
+    @wraps(run)
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return tidied
+
+
 def small_batches(spark, rows: int = 512) -> None:
     """Arrow batches of at most ``rows`` rows: bounded memory in the workers
     however long the texts are."""

@@ -170,3 +170,14 @@ def test_share_of_a_word():
     # a longer feature that is known to be clean overrules the prefix
     assert toxicity.share([(40, 8), (0, 7)], 0.1) < 0.3
     assert toxicity.share([(5, 0)], 0.1, less=1) < toxicity.share([(5, 0)], 0.1)
+
+
+def test_lattices_are_built_in_portions(monkeypatch):
+    whole, parts = (segmentation.Lattices(queries.vocabulary("piece_bpe_32k.model")) for _ in range(2))
+    texts, sizes, add = [f"word{i} néw{i * 7}日 and the rest\n" * 3 for i in range(60)] + ["x" * 500], [], parts.add
+    expected = segmentation.segment(whole, texts, list(range(len(texts))))
+    monkeypatch.setattr(segmentation, "ADD_CHARS", 200)
+    monkeypatch.setattr(parts, "add", lambda chunks: sizes.append((sum(map(len, chunks)), len(chunks))) or add(chunks))
+    got = segmentation.segment(parts, texts, list(range(len(texts))))
+    assert len(sizes) > 3 and all(size <= 200 or n == 1 for size, n in sizes)
+    assert [[(ids.tolist(), p, g) for ids, p, g, _ in r] for r in got] == [[(ids.tolist(), p, g) for ids, p, g, _ in r] for r in expected]
