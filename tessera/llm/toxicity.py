@@ -38,6 +38,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +54,7 @@ FOLDS = 5
 SMOOTH = 4.0             # weight of the next shorter feature's share, in documents
 LIKELY = 0.5
 CACHE_TOKENS = 150_000   # per Python worker; emptied when full, so only speed depends on it
-FLUSH_FEATURES = 250_000  # counts a task holds before it sends them on
+FLUSH_FEATURES = 250_000  # counts that a task sends on at once
 THRESHOLD = 0.5
 SHORT = 3                # letters or signs of a token that may be a part of a broken word
 
@@ -108,6 +109,7 @@ def trigram_counts(texts: list[str]) -> np.ndarray:
     return np.bincount(s[:-2] * 4096 + s[1:-1] * 64 + s[2:], minlength=64 ** 3) if len(s) > 2 else np.zeros(64 ** 3, np.int64)
 
 
+@words.tidy
 def _counted(batches):
     total = np.zeros(64 ** 3, np.int64)
     for batch in batches:
@@ -132,48 +134,59 @@ def character_model(docs: DataFrame) -> np.ndarray:
     return np.log((three + 5 * p2) / (three.sum(2, keepdims=True) + 5)).astype(np.float32)
 
 
+@lru_cache(maxsize=1 << 14)
+def _run_readings(run: str) -> list[tuple[str, float, tuple[int, ...]]]:
+    """The readings of a run of one character (three stand for any more), each
+    with its log probability and its symbols."""
+    c, n = run[0], len(run)
+    if c.isalpha():
+        out = ([(c, 0.0)] if n == 1 else [(c * 2, 0.0), (c, COLLAPSE_TWO)] if n == 2
+               else [(c, COLLAPSE), (c * 2, COLLAPSE), (c * min(n, 3), LONG_RUN)])
+    elif c in LOOKALIKES:
+        letters = LOOKALIKES[c]
+        p = math.log(0.5 / len(letters))
+        out = [(c * min(n, 3) if c.isdigit() else " ", KEEP)] + [(x, p) for x in letters]
+        out += [(x * 2, p + COLLAPSE_TWO) for x in letters] if n > 1 else []
+    else:
+        out = [("", DROP_MARK), (" ", DROP_MARK)]
+    return [(text, p, tuple(map(symbol, text))) for text, p in out]
+
+
 def readings(token: str) -> list[list[tuple[str, float]]]:
     """The lattice of a token: for each run of a character its readings."""
-    out = []
-    for m in _RUN.finditer(token):
-        c, n = m.group(1), len(m.group(0))
-        if c.isalpha():
-            out.append([(c, 0.0)] if n == 1 else [(c * 2, 0.0), (c, COLLAPSE_TWO)] if n == 2
-                       else [(c, COLLAPSE), (c * 2, COLLAPSE), (c * min(n, 3), LONG_RUN)])
-        elif c in LOOKALIKES:
-            letters = LOOKALIKES[c]
-            p = math.log(0.5 / len(letters))
-            here = [(c * min(n, 3) if c.isdigit() else " ", KEEP)] + [(x, p) for x in letters]
-            out.append(here + [(x * 2, p + COLLAPSE_TWO) for x in letters] if n > 1 else here)
-        else:
-            out.append([("", DROP_MARK), (" ", DROP_MARK)])
-    return out
+    return [[(text, p) for text, p, _ in _run_readings(m.group()[:3])] for m in _RUN.finditer(token)]
+
+
+_END = [(" ", 0.0, (0,))]
 
 
 def restore(token: str, model: np.ndarray) -> str:
     """The likeliest source of a token, by Viterbi over its lattice with the
-    model's last two symbols as state."""
-    states = {(0, 0): (0.0, None)}
+    model's last two symbols (64 * first + second) as state."""
+    flat = model.ravel().data
+    states = {0: 0.0}
     back: list = []
-    for options in [*readings(token), [(" ", 0.0)]]:
+    for options in [*(_run_readings(m.group()[:3]) for m in _RUN.finditer(token)), _END]:
         new: dict = {}
-        for (a, b), (score, _) in states.items():
-            for text, p in options:
-                x, y, s = a, b, score + p
-                for c in text:
-                    z = symbol(c)
-                    if z == 0 and y == 0:
+        come: dict = {}
+        for at, score in states.items():
+            for text, p, symbols in options:
+                to, s = at, score + p
+                for z in symbols:
+                    if z == 0 and to & 63 == 0:
                         continue
-                    s += float(model[x, y, z])
-                    x, y = y, z
-                if (x, y) not in new or s > new[x, y][0]:
-                    new[x, y] = (s, ((a, b), text))
-        back.append({k: v[1] for k, v in new.items()})
+                    three = to << 6 | z
+                    s += flat[three]
+                    to = three & 4095
+                if to not in new or s > new[to]:
+                    new[to] = s
+                    come[to] = at, text
+        back.append(come)
         states = new
-    at = max(states, key=lambda k: (states[k][0], k))
+    at = max(states, key=lambda k: (states[k], k))
     parts = []
-    for step in reversed(back):
-        at, text = step[at]
+    for come in reversed(back):
+        at, text = come[at]
         parts.append(text)
     return "".join(reversed(parts)).strip()
 
@@ -200,13 +213,16 @@ def head(word: str) -> str:
     return word[:min(6, len(word) - 1)] if len(word) > 4 else ""
 
 
+_W = zlib.crc32(b"w")
+
+
 def prefix_features(prefix: str) -> tuple[int, ...]:
     """Hashed features of a head, from four letters on."""
     return tuple(zlib.crc32(b"p" + prefix[:n].encode()) % BUCKETS for n in range(4, len(prefix) + 1))
 
 
 def word_feature(word: str) -> int:
-    return zlib.crc32(b"w" + word.encode()) % BUCKETS
+    return zlib.crc32(word.encode(), _W) % BUCKETS
 
 
 class _Cache(dict):
@@ -244,29 +260,39 @@ def tokens(text: str, parts=None, dropped=None) -> set[str]:
     space at each boundary. ``parts`` and ``dropped`` keep what ``_part`` and
     ``joins`` say; without them no run is cut."""
     ws = text.lower().split()
-    found = {w.rstrip(_TRAIL) for w in set(ws)}
+    distinct = set(ws)
+    found = {w.rstrip(_TRAIL) for w in distinct}
+    part = _part if parts is None else parts.__getitem__
+    # a longer word of letters alone is no part
+    short = {w: p for w in distinct if (len(w) <= SHORT or not w.isalpha()) and (p := part(w)) is not None}
+    if not short:
+        return found
     run, tail = [], None
 
     def end_run():
-        if len(run) > 1:
-            found.add(" ".join(run))
-            letters = [c for c in run if c not in _LONE]
-            if 1 < len(letters) < len(run):               # the signs may be separators
-                found.add(" ".join(letters))
-        run.clear()
-
-    for p in map(_part, ws) if parts is None else map(parts.__getitem__, ws):
+        found.add(" ".join(run))
+        letters = [c for c in run if c not in _LONE]
+        if 1 < len(letters) < len(run):                   # the signs may be separators
+            found.add(" ".join(letters))
+
+    for p in map(short.get, ws):
         if p is None:
-            end_run()
+            if run:
+                if len(run) > 1:
+                    end_run()
+                run.clear()
             continue
         core, end, start = p
         if not core:
             continue
         if run and dropped is not None and tail is not None and start is not None and not dropped[tail + start]:
-            end_run()
+            if len(run) > 1:
+                end_run()
+            run.clear()
         run.append(core)
         tail = end
-    end_run()
+    if len(run) > 1:
+        end_run()
     return found
 
 
@@ -276,7 +302,6 @@ def _reader(model: np.ndarray):
     return lambda text: tokens(text, parts, dropped)
 
 
-
 def _shingled(batches):
     for batch in batches:
         low = []
@@ -296,25 +321,16 @@ def _evidence(shared):
         heads = _Cache(prefix_features)
         known = _Cache(lambda t: [f for w in sources(t, model) for f in (*heads[head(w)], word_feature(w))])
         read = _reader(model)
-        n = {}
+        n = np.zeros((2, BUCKETS), np.int32)
         for batch in batches:
             for text, y in zip(words.text_array(batch.column("text")).to_pylist(), batch.column("toxic").to_pylist()):
-                for f in {f for t in read(text) for f in known[t]}:
-                    c = n.get(f)
-                    if c is None:
-                        n[f] = c = [0, 0]
-                    c[y] += 1
-            if len(n) > FLUSH_FEATURES:
-                yield _counts(n)
-                n = {}
-        if n:
-            yield _counts(n)
-    return run
-
-
-def _counts(n):
-    return pa.record_batch([pa.array(list(n), pa.int32()), pa.array([v[1] for v in n.values()], pa.int64()),
-                            pa.array([v[0] for v in n.values()], pa.int64())], ["feature", "toxic", "clean"])
+                here = set().union(*map(known.__getitem__, read(text)))
+                n[y, np.fromiter(here, np.int32, len(here))] += 1
+        seen = np.flatnonzero(n.any(0)).astype(np.int32)
+        for i in range(0, len(seen), FLUSH_FEATURES):
+            part = seen[i:i + FLUSH_FEATURES]
+            yield pa.record_batch([pa.array(part), pa.array(n[1, part], pa.int64()), pa.array(n[0, part], pa.int64())], ["feature", "toxic", "clean"])
+    return words.tidy(run)
 
 
 def share(chain, base: float, less: int | None = None) -> float:
@@ -322,63 +338,63 @@ def share(chain, base: float, less: int | None = None) -> float:
     features, short to long."""
     p = base
     for t, c in chain:
-        t, c = max(t - (less == 1), 0), max(c - (less == 0), 0)
+        if less is not None:
+            t, c = max(t - (less == 1), 0), max(c - (less == 0), 0)
         p = (t + SMOOTH * p) / (t + c + SMOOTH)
     return p
 
 
-def _inputs(text: str, read, known: _Cache, base: float, less: int | None = None) -> tuple[float, float]:
-    """(strongest evidence, log of 1 + the evidence of likely words) of a text;
-    ``less`` is a training row's own label, whose counts are taken out."""
-    best, total = base, 0.0
-    for t in read(text):
-        chains = known[t]
-        if chains:
-            p = chains if less is None else max(share(c, base, less) for c in chains)
-            best = max(best, p)
-            total += p if p >= LIKELY else 0.0
-    return best, math.log1p(total)
+def _inputs(text: str, read, known: _Cache, base: float) -> tuple[float, float]:
+    """(strongest evidence, log of 1 + the evidence of likely words) of a text."""
+    shares = list(map(known.__getitem__, read(text)))
+    total = 0.0
+    for p in shares:
+        if p >= LIKELY:
+            total += p
+    return max(base, max(shares, default=0.0)), math.log1p(total)
 
 
-def _lookup(model, counts, base: float | None = None):
-    """Of a token: the counts of its words' features, or its words' largest
-    share if ``base`` is given. What a head gives is kept for all its words."""
+def _lookup(model, counts, base: float, less: int | None = None) -> _Cache:
+    """The largest share of a token's words. What a head gives is kept for all
+    its words. ``less`` is a training row's own label, whose counts are taken out."""
     toxic, clean = (memoryview(np.ascontiguousarray(c)) for c in counts)
-
-    def pair(f):
-        return toxic[f], clean[f]
-
-    if base is None:
-        heads = _Cache(lambda h: [pair(f) for f in prefix_features(h)])
-        return _Cache(lambda token: [[*heads[head(w)], pair(word_feature(w))] for w in sources(token, model)])
-    heads = _Cache(lambda h: share([pair(f) for f in prefix_features(h)], base))
-    crc = zlib.crc32
+    heads = _Cache(lambda h: share([(toxic[f], clean[f]) for f in prefix_features(h)], base, less))
+    twice, crc, last = _TWICE.search, zlib.crc32, BUCKETS - 1
 
     def best(token):
+        w = token
+        if not w.isalpha():
+            w = w.strip(_EDGE)
+            if not w.isalpha():
+                return of_sources(token)
+        if twice(w):
+            if _LONG.search(w):
+                return of_sources(token)
+            w = _RUN.sub(r"\1", w)
         # most tokens are one plain word
-        w = token if token.isalpha() else token.strip(_EDGE)
-        if w.isalpha() and (not _TWICE.search(w) or not _LONG.search(w)):
-            if _TWICE.search(w):
-                w = _RUN.sub(r"\1", w)
-            if len(w) < 3:
-                return 0.0
-            f = crc(b"w" + w.encode()) % BUCKETS
-            t = toxic[f]
-            return (t + SMOOTH * heads[w[:min(6, len(w) - 1)] if len(w) > 4 else ""]) / (t + clean[f] + SMOOTH)
-        return max((share([pair(word_feature(w))], heads[head(w)]) for w in sources(token, model)), default=0.0)
+        n = len(w)
+        if n < 3:
+            return 0.0
+        f, p = crc(w.encode(), _W) & last, heads[w[:6 if n > 6 else n - 1] if n > 4 else ""]
+        t, c = toxic[f], clean[f]
+        return (t + SMOOTH * p) / (t + c + SMOOTH) if less is None else share([(t, c)], p, less)
+
+    def of_sources(token):
+        found = [(word_feature(w), heads[head(w)]) for w in sources(token, model)]
+        return max((share([(toxic[f], clean[f])], p, less) for f, p in found), default=0.0)
     return _Cache(best)
 
 
 def _training_inputs(shared):
     def run(batches):
         model, counts, base = shared.value
-        known, read = _lookup(model, counts), _reader(model)
+        known, read = [_lookup(model, counts, base, y) for y in (0, 1)], _reader(model)
         for batch in batches:
             y = batch.column("toxic").to_pylist()
-            x = [_inputs(t, read, known, base, v) for t, v in zip(words.text_array(batch.column("text")).to_pylist(), y)]
+            x = [_inputs(t, read, known[v], base) for t, v in zip(words.text_array(batch.column("text")).to_pylist(), y)]
             yield pa.record_batch([pa.array([a for a, _ in x], pa.float64()), pa.array([b for _, b in x], pa.float64()), pa.array(y, pa.int32())],
                                   ["best", "total", "toxic"])
-    return run
+    return words.tidy(run)
 
 
 def _scored(shared):
@@ -389,7 +405,7 @@ def _scored(shared):
             score = [logistic(weights, _inputs(t, read, known, base)) for t in words.text_array(batch.column("__text")).to_pylist()]
             out = batch.drop_columns(["__text"])
             yield pa.RecordBatch.from_arrays([*out.columns, pa.array(score, pa.float64())], [*out.schema.names, "__score"])
-    return run
+    return words.tidy(run)
 
 
 def logistic(weights, x) -> float:

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,3 +42,21 @@ def test_cut_runs_decode_as_whole_ones(spread):
         text = " ".join(rng.choice(parts) for _ in range(rng.randrange(2, 9)))
         whole = {w for t in toxicity.tokens(text) for w in toxicity.sources(t, model)}
         assert {w for t in read(text) for w in toxicity.sources(t, model)} == whole, text
+
+
+def test_words_of_letters_are_not_read_as_parts(monkeypatch):
+    asked, part = [], toxicity._part
+    monkeypatch.setattr(toxicity, "_part", lambda token: asked.append(token) or part(token))
+    read = toxicity._reader(np.zeros((64, 64, 64), np.float32))
+    assert read("Garden river, of st u pid window garden") == {"garden", "river", "of", "st", "u", "pid", "window", "of st u pid"}
+    assert sorted(asked) == ["of", "pid", "river,", "st", "u"]
+
+
+def test_a_task_sends_each_feature_once(monkeypatch):
+    monkeypatch.setattr(toxicity, "FLUSH_FEATURES", 3)
+    shared = type("Shared", (), {"value": np.zeros((64, 64, 64), np.float32)})
+    batch = pa.record_batch([pa.array(["garden river stone", "garden window", None]), pa.array([1, 0, 1], pa.int32())], ["text", "toxic"])
+    rows = [r for b in toxicity._evidence(shared)(iter([batch, batch])) for r in b.to_pylist()]
+    assert len(rows) == len({r["feature"] for r in rows}) > 3
+    of = {r["feature"]: (r["toxic"], r["clean"]) for r in rows}
+    assert (of[toxicity.word_feature("garden")], of[toxicity.word_feature("stone")], of[toxicity.word_feature("window")]) == ((2, 2), (2, 0), (0, 2))
