@@ -21,6 +21,7 @@ their ids; an empty table writes no shard."""
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -56,7 +57,7 @@ class WaveletMatrix:
             packed = np.packbits(bit)
             words_of = np.add.reduceat(np.bitwise_count(packed).astype(np.uint32), np.arange(0, len(packed), WORD // 8)) if n else np.zeros(0, np.uint32)
             ones = np.concatenate([[0], np.cumsum(words_of)]).astype(np.uint32)
-            ids = np.concatenate([ids[~bit], ids[bit]])
+            ids = np.concatenate([np.compress(~bit, ids), np.compress(bit, ids)])
             planes.append((n - int(ones[-1]), packed, ones))
         return cls(n, planes)
 
@@ -177,18 +178,46 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in plain} | {b: 0x100 + n for n, b in enumerate(rest)}
 
 
+def _usual() -> tuple[re.Pattern, re.Pattern]:
+    """(a character that is not usual, the pieces of a lower-case text of usual
+    ones). Usual are those below U+0180, common punctuation and currency signs:
+    none of them composes with others. The pieces are those of ``_PIECES``."""
+    usual = [chr(c) for r in (range(0x180), range(0x2010, 0x2028), range(0x2030, 0x205F), range(0x20A0, 0x20C0)) for c in r]
+    low = sorted(set("".join(usual).lower()))
+    letters, numbers, spaces = (regex.findall(p, "".join(low)) for p in (r"\p{L}", r"\p{N}", r"\s"))
+    marks = set(low).difference(letters, numbers, spaces)
+    some = ["".join(map(re.escape, x)) for x in (usual, letters, numbers, sorted(marks))]
+    return re.compile(f"[^{some[0]}]"), re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{some[1]}]+|[{some[2]}]|[{some[3]}]+")
+
+
+_UNUSUAL, _USUAL_PIECES = _usual()
+
+
 def _any_of(contents: list[str]):
     """Pattern of any of the strings in lower-case text, None without strings."""
     return regex.compile("|".join(r"\s+".join(map(regex.escape, t.lower().split())) for t in contents)) if contents else None
 
 
+class _Learnt(dict):
+    """What ``learn`` gives for each key, kept."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, key):
+        value = self[key] = self.learn(key)
+        return value
+
+
 class Encoder:
-    """Ids of whole texts with ``add_special_tokens=False``. White space ends a
-    piece in this vocabulary, so words are encoded once each and kept. A word of
-    ASCII and Latin letters is first cut into the vocabulary's pieces, as those
-    repeat more often, and the library's model merges each piece; other words,
-    and words that hold an added token of the vocabulary, go through the whole
-    library encoder (whole texts, if an added token holds white space)."""
+    """Ids of whole texts with ``add_special_tokens=False``. A text of ASCII and
+    Latin letters is cut into the vocabulary's pieces, each merged by the
+    library's model once and kept. White space ends a piece in this vocabulary,
+    so other texts go by words, kept too: those of ASCII and Latin letters by
+    their pieces; others, and words that hold an added token of the vocabulary,
+    through the whole library encoder (whole texts, if an added token holds
+    white space)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -202,49 +231,37 @@ class Encoder:
         self.added = _any_of([t for t in added if not t.lower().isalpha()])
         self.added_words = _any_of([t for t in added if t.lower().isalpha()])
         self.added_spaced = _any_of([t for t in added if t.split() != [t]])
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _learn(self, missing: set[bytes]) -> None:
-        odd, pieces, tokenize = [], self.pieces, self.model.tokenize
-        for w in missing:
-            text = w.decode()
-            if not w.isascii() and max(text) >= "ƀ":         # there are no composing marks below U+0180
-                odd.append((w, text))
-                continue
-            low = text.lower()
-            if self.added_words and self.added_words.search(low):
-                odd.append((w, text))
-                continue
-            if low.isalpha():
-                cut = (low,)
-            elif self.added and self.added.search(low):
-                odd.append((w, text))
-                continue
-            else:
-                stem = low.rstrip(_MARKS)                     # marks at the end are one piece
-                cut = (stem, low[len(stem):]) if stem.isalpha() else _PIECES.findall(low)
-            out = []
-            for p in cut:
-                found = pieces.get(p)
-                if found is None:
-                    spelled = p if p.isascii() and p.isalpha() else p.encode().decode("latin-1").translate(self.letters)
-                    found = pieces[p] = array(self.code, [t.id for t in tokenize(spelled)]).tobytes()
-                out.append(found)
-            self.words[w] = out[0] if len(out) == 1 else b"".join(out)
-        for (w, _), e in zip(odd, self.library.encode_batch_fast([t for _, t in odd], add_special_tokens=False)):
-            self.words[w] = array(self.code, e.ids).tobytes()
+        self.words = _Learnt(self._word)       # of UTF-8
+        self.pieces = _Learnt(self._piece)     # of lower case
+
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def _word(self, w: bytes) -> bytes:
+        text = w.decode()
+        low = text.lower()
+        # there are no composing marks below U+0180
+        if not w.isascii() and max(text) >= "ƀ" or self._holds_added(low):
+            return array(self.code, self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+        return b"".join(map(self.pieces.__getitem__, (low,) if low.isalpha() else _PIECES.findall(low)))
+
+    def _holds_added(self, low: str) -> bool:
+        return any(p and p.search(low) for p in (self.added, self.added_words, self.added_spaced))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.words) > CACHE_ENTRIES:
             self.words.clear()
-        if len(self.pieces) > CACHE_ENTRIES:
-            self.pieces.clear()
-        split = [t.split() for t in texts]         # ASCII white space only
-        missing = set().union(*split).difference(self.words)
-        if missing:
-            self._learn(missing)
-        out = [b"".join(map(self.words.__getitem__, ws)) for ws in split]
+        out = []
+        for t in texts:
+            if len(self.pieces) > CACHE_ENTRIES:
+                self.pieces.clear()
+            text = t.decode()
+            low = text.lower()
+            if _UNUSUAL.search(text) or self._holds_added(low):
+                out.append(b"".join(map(self.words.__getitem__, t.split())))         # ASCII white space only
+            else:
+                out.append(b"".join(map(self.pieces.__getitem__, _USUAL_PIECES.findall(low))))
         if self.added_spaced:
             for i, t in enumerate(texts):
                 if self.added_spaced.search(t.decode().lower()):
@@ -323,7 +340,8 @@ def _read(batches):
             docs, ends, matrix = from_bytes(data)
             ids = matrix.ids()
             starts = np.concatenate([[0], ends[:-1]])
-            crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts, ends)]
+            wide = memoryview(ids.astype("<u4")).cast("B")
+            crc = [zlib.crc32(wide[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
             yield pa.record_batch([pa.array([part] * len(docs), pa.int32()), pa.array([shard] * len(docs), pa.int64()),
                                    pa.array(docs, pa.int64()), pa.array(starts, pa.int64()), pa.array(ends - starts, pa.int64()),
                                    pa.array(crc, pa.int64())], ["part", "shard", "doc_id", "inside", "n_tokens", "ids_crc32"])

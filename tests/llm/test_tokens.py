@@ -1,4 +1,5 @@
 import json
+import random
 
 import numpy as np
 import pytest
@@ -29,3 +30,14 @@ def test_added_tokens_of_any_kind(tmp_path, flags):
     path = tmp_path / "added.json"
     path.write_text(json.dumps(known))
     same(str(path), [*TEXTS, "a marker here", "markers Marker MARKER", "no two words here", "two  words", "x[[]]y [[]]."])
+
+
+def test_usual_texts_go_by_pieces_alone():
+    rng = random.Random(4)
+    usual = [chr(c) for c in [*range(1, 0x180), *range(0x2010, 0x2028), *range(0x2030, 0x205F), *range(0x20A0, 0x20C0)]]
+    texts = ["".join(rng.choices(usual, k=rng.randrange(1, 60))) for _ in range(400)]
+    texts += [f"x{c}y'{c}s {c}{c}1" for c in usual] + ["It's  the\tİstanbul\x1cǅ", "“don’t”—he’ll…", "é     日本"]
+    same(queries.vocabulary("word_bpe_49k.json"), texts)
+    code = wavelet.Encoder(queries.vocabulary("word_bpe_49k.json"))
+    code.encode(["Every word, once; “each” piece… costs 5 €.".encode()])
+    assert not code.words and {"every", "word", ",", "“", "€."} <= set(code.pieces)
