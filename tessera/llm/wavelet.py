@@ -38,7 +38,7 @@ MAGIC = b"TWM1"
 SHARD_TOKENS = 1 << 20
 WORD = 512
 END_ID = 2
-CACHE_ENTRIES = 500_000     # per Python worker; emptied when full, so only speed depends on it
+CACHE_ENTRIES = 500_000     # per Python worker, young and old each; only speed depends on it
 
 
 class WaveletMatrix:
@@ -181,13 +181,14 @@ def _byte_letters() -> dict[int, int]:
 def _usual() -> tuple[re.Pattern, re.Pattern]:
     """(a character that is not usual, the pieces of a lower-case text of usual
     ones). Usual are those below U+0180, common punctuation and currency signs:
-    none of them composes with others. The pieces are those of ``_PIECES``."""
+    none of them composes with others; but U+001C to U+001F, white space for
+    Python alone, are not. The pieces are those of ``_PIECES``."""
     usual = [chr(c) for r in (range(0x180), range(0x2010, 0x2028), range(0x2030, 0x205F), range(0x20A0, 0x20C0)) for c in r]
     low = sorted(set("".join(usual).lower()))
     letters, numbers, spaces = (regex.findall(p, "".join(low)) for p in (r"\p{L}", r"\p{N}", r"\s"))
     marks = set(low).difference(letters, numbers, spaces)
     some = ["".join(map(re.escape, x)) for x in (usual, letters, numbers, sorted(marks))]
-    return re.compile(f"[^{some[0]}]"), re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{some[1]}]+|[{some[2]}]|[{some[3]}]+")
+    return re.compile(f"[^{some[0]}]|[\x1c-\x1f]"), re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{some[1]}]+|[{some[2]}]|[{some[3]}]+")
 
 
 _UNUSUAL, _USUAL_PIECES = _usual()
@@ -199,22 +200,33 @@ def _any_of(contents: list[str]):
 
 
 class _Learnt(dict):
-    """What ``learn`` gives for each key, kept."""
+    """What ``learn`` gives for each key, kept until ``age`` has put it by twice
+    without its being asked for in between."""
 
     def __init__(self, learn):
         super().__init__()
-        self.learn = learn
+        self.learn, self.old = learn, {}
 
     def __missing__(self, key):
-        value = self[key] = self.learn(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.learn(key)
+        self[key] = value
         return value
 
+    def age(self) -> None:
+        """Put by what is kept if it is more than ``CACHE_ENTRIES``."""
+        if len(self) > CACHE_ENTRIES:
+            self.old = dict(self)
+            self.clear()
+
 
 class Encoder:
-    """Ids of whole texts with ``add_special_tokens=False``. A text of ASCII and
-    Latin letters is cut into the vocabulary's pieces, each merged by the
-    library's model once and kept. White space ends a piece in this vocabulary,
-    so other texts go by words, kept too: those of ASCII and Latin letters by
+    """Ids of whole texts with ``add_special_tokens=False``. White space ends a
+    piece in this vocabulary. A text of ASCII and Latin letters is cut there;
+    what stands between is a piece if it is all letters, else it is cut into the
+    vocabulary's pieces. Each piece is merged by the library's model once and
+    kept. Other texts go by words, kept too: those of ASCII and Latin letters by
     their pieces; others, and words that hold an added token of the vocabulary,
     through the whole library encoder (whole texts, if an added token holds
     white space)."""
@@ -232,7 +244,14 @@ class Encoder:
         self.added_words = _any_of([t for t in added if t.lower().isalpha()])
         self.added_spaced = _any_of([t for t in added if t.split() != [t]])
         self.words = _Learnt(self._word)       # of UTF-8
-        self.pieces = _Learnt(self._piece)     # of lower case
+        self.pieces = _Learnt(self._pieces)    # of lower case, and what holds several of them
+
+    def _pieces(self, text: str) -> bytes:
+        if not text.isalpha():
+            found = _USUAL_PIECES.findall(text)
+            if found != [text]:
+                return b"".join([self.pieces[x] for x in found])
+        return self._piece(text)
 
     def _piece(self, piece: str) -> bytes:
         spelled = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.letters)
@@ -250,18 +269,16 @@ class Encoder:
         return any(p and p.search(low) for p in (self.added, self.added_words, self.added_spaced))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.words) > CACHE_ENTRIES:
-            self.words.clear()
+        self.words.age()
         out = []
         for t in texts:
-            if len(self.pieces) > CACHE_ENTRIES:
-                self.pieces.clear()
+            self.pieces.age()
             text = t.decode()
             low = text.lower()
             if _UNUSUAL.search(text) or self._holds_added(low):
                 out.append(b"".join(map(self.words.__getitem__, t.split())))         # ASCII white space only
             else:
-                out.append(b"".join(map(self.pieces.__getitem__, _USUAL_PIECES.findall(low))))
+                out.append(b"".join(map(self.pieces.__getitem__, low.split())))
         if self.added_spaced:
             for i, t in enumerate(texts):
                 if self.added_spaced.search(t.decode().lower()):

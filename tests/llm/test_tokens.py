@@ -41,3 +41,26 @@ def test_usual_texts_go_by_pieces_alone():
     code = wavelet.Encoder(queries.vocabulary("word_bpe_49k.json"))
     code.encode(["Every word, once; “each” piece… costs 5 €.".encode()])
     assert not code.words and {"every", "word", ",", "“", "€."} <= set(code.pieces)
+
+
+def test_words_of_usual_texts_are_looked_up_once():
+    texts = ["Every word, “once”; every word, “once”;\x85every word,\xa0once.", "a\x1cb c\x1fd", "a\u2028b"]
+    same(queries.vocabulary("word_bpe_49k.json"), texts)
+    code = wavelet.Encoder(queries.vocabulary("word_bpe_49k.json"))
+    asked = []
+    code.pieces.learn = lambda x, learn=code.pieces.learn: asked.append(x) or learn(x)
+    code.encode([texts[0].encode()])
+    assert len(asked) == len(set(asked)) and {"word,", "word", ",", "“once”;", "”;", "once."} <= set(asked)
+
+
+def test_words_in_use_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(wavelet, "CACHE_ENTRIES", 20)
+    code = wavelet.Encoder(queries.vocabulary("word_bpe_49k.json"))
+    asked = []
+    code.pieces.learn = lambda x, learn=code.pieces.learn: asked.append(x) or learn(x)
+    texts = [f"common {chr(97 + n // 26)}q{chr(97 + n % 26)}" for n in range(200)]
+    got = code.encode([t.encode() for t in texts])
+    assert asked.count("common") == 1 and len(code.pieces) + len(code.pieces.old) < 50
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
+    assert [np.frombuffer(x, code.kind).tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
