@@ -55,6 +55,24 @@ def test_pair_blocks(dirty, monkeypatch):
     assert sorted(map(tuple, P.correlation_pairs(wide, ["a", "b", "c", "k"]).collect())) == whole
 
 
+def test_pair_moments_are_those_of_complete_rows(spark):
+    rng = np.random.default_rng(3)
+    rows = [(float(i) + 1e8, None if i % 3 == 0 else float(rng.normal()), 0.1, None if i % 2 else i % 5, None) for i in range(300)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d int, e double").repartition(7)
+    got = {(r["feature_a"], r["feature_b"]): r["corr"] for r in P.correlation_pairs(df, list("abcde"), upper_only=True).collect()}
+    x = np.array([[np.nan if v is None else v for v in r] for r in rows], float)
+    assert len(got) == 15
+    for i, a in enumerate("abcde"):
+        for j, b in enumerate("abcde"[i:], i):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            if both.any() and np.ptp(x[both, i]) and np.ptp(x[both, j]):
+                assert abs(got[a, b] - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-9
+            else:
+                assert got[a, b] is None
+    plan = P.correlation_pairs(df, list("abcd"), include_diagonal=False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "covar_pop" not in plan
+
+
 def test_submission_refuses_duplicate_predictions(spark):
     sample = spark.createDataFrame([(1,), (2,), (3,)], "id long")
     preds = spark.createDataFrame([(1, 0.1), (2, 0.2), (2, 0.3), (3, 0.4)], "id long, y double")
