@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm import words
 
-K = 2
+K = 4
 RANK_SHIFT = 2.7
 CACHE_NODES = 1_200_000      # per Python worker; emptied when full, so only speed depends on it
 ADD_CHARS = 1 << 17          # of new chunks built at once (or one chunk): what it takes in memory follows it

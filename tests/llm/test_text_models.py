@@ -181,3 +181,10 @@ def test_lattices_are_built_in_portions(monkeypatch):
     got = segmentation.segment(parts, texts, list(range(len(texts))))
     assert len(sizes) > 3 and all(size <= 200 or n == 1 for size, n in sizes)
     assert [[(ids.tolist(), p, g) for ids, p, g, _ in r] for r in got] == [[(ids.tolist(), p, g) for ids, p, g, _ in r] for r in expected]
+
+
+def test_a_texts_samples_leave_more_than_one_path(spark, lattices):
+    docs = spark.createDataFrame([(1, "the cat sat on the mat"), (2, "a")], "doc_id long, text string")
+    rows = segmentation.sampled(docs).where("doc_id = 1").collect()
+    keys = [r["perturbed"] for r in sorted(rows, key=lambda r: r["sample"])]
+    assert len({bytes(r["ids"]) for r in rows}) == len(rows) >= 4 and keys == sorted(keys, reverse=True)
