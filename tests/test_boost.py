@@ -146,3 +146,39 @@ def test_blocks_are_dealt_evenly_with_their_margins(spark, rows, tmp_path, monke
     monkeypatch.setattr(B, "delete_folder", lambda s, path: gone.append((path, real(s, path))))
     fitted(spark.createDataFrame(rows), B.Boost(rounds=2 * B.SHIP + 1, rate=0.3, depth=2), one_block=100)
     assert len(gone) == 2 and all(path and done for path, done in gone)
+
+
+def test_features_of_few_bins_are_added_up_together(monkeypatch):
+    """Joint bins give each feature's own sums, with caps, missing values, some of the rows, and fewer passes than features."""
+    rng = np.random.default_rng(4)
+    n, missing = 5000, np.array([200, 5, 3, 60, 7, 250])
+    x = np.stack([rng.integers(0, m + 1, n) for m in missing]).astype(np.uint8)
+    g, h = np.rint(rng.normal(size=n) * 2 ** 20), np.rint(rng.uniform(size=n) * 2 ** 20)
+    slot, features, caps, inside = rng.integers(0, 3, n), [0, 1, 2, 3, 5], {1: 2, 3: 40}, np.flatnonzero(rng.random(n) < 0.6)
+    passes, real = [], np.bincount
+    monkeypatch.setattr(B.np, "bincount", lambda *a: passes.append(1) or real(*a))
+    for least in (1 << 20, 8, 0):       # none, some and all groups together
+        monkeypatch.setattr(B, "JOINT_ROWS", least)
+        for rows in (None, inside):
+            at = np.arange(n) if rows is None else rows
+            passes.clear()
+            made = B._histograms(B._coded(x, features, caps, missing), slot[at], 3, g[at], h[at], rows)
+            assert sorted(made) == features and len(passes) < 3 * len(features)
+            for f in features:
+                b = np.where(x[f] == missing[f], x[f], np.minimum(x[f], caps.get(f, 255))).astype(int)[at]
+                want = [real(slot[at] * (missing[f] + 1) + b, v, 3 * (missing[f] + 1)).reshape(3, -1) for v in (g[at], h[at], None)]
+                assert np.array_equal(made[f], np.stack(want))
+
+
+def test_a_table_of_several_blocks_is_grown_in_tasks(spark, rows, monkeypatch):
+    """Up to TASK_ROWS rows and TASK_CELLS cells no job a level is run; beyond, jobs give the same trees."""
+    calls, real = [], B._grown_in_jobs
+    monkeypatch.setattr(B, "_grown_in_jobs", lambda *a: calls.append(1) or real(*a))
+    monkeypatch.setattr(B, "BLOCK_ROWS", 500)
+    monkeypatch.setattr(B, "LEAST_BLOCK", 500)
+    df, s = spark.createDataFrame(rows), B.Boost(rounds=3, rate=0.3, leaves=9, leaf_rows=5)
+    whole = fitted(df, s)
+    assert not calls
+    monkeypatch.setattr(B, "TASK_CELLS", 8000)      # 3 columns: 2,666 of 3,000 rows
+    beyond = fitted(df, s)
+    assert calls and all(whole[m].node_rows() == beyond[m].node_rows() for m in whole)
