@@ -32,6 +32,7 @@ from tessera.roles import Roles
 from tessera.session import materialize
 
 SEED = 42
+FIT_BYTES = 4 << 30     # of rows that fits which run together hold in the cluster
 log = logging.getLogger(__name__)
 
 
@@ -90,6 +91,17 @@ def estimator(p: Profile, n_rows: int | None = None, weight_col: str | None = No
     return e
 
 
+def held_bytes(p: Profile, cols: int) -> int:
+    """About what a Spark ML fit caches for a row: doubles, for a forest bins, counts of its trees and objects around them."""
+    return 160 + 4 * (cols + p.trees) if p.kind == "forest" else 8 * (p.kernel_features if p.kind == "svm" and p.kernel_features else cols)
+
+
+def fits_at_once(p: Profile, rows: int, cols: int, most: int, share: int = 1) -> int:
+    """How many of ``most`` independent fits run together, so that what they cache stays within FIT_BYTES (a ``share``-th of it). Rows that
+    spill are read from disk in each of a fit's iterations, and on a large table one fit keeps all cores busy."""
+    return max(1, min(most, FIT_BYTES // share // max(1, rows * held_bytes(p, cols))))
+
+
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="error").transform(df)
 
@@ -197,9 +209,10 @@ def fit(p: Profile, train: DataFrame, label: str = "y", weight: float | None = N
     if p.kind != "svm":
         return _Fitted(model)
     # Platt scaling: logistic regression of the label on the SVM margin
-    marg = model.transform(train).select(F.col(label), vector_to_array("rawPrediction")[1].alias("m"))
+    marg = model.transform(train).select(F.col(label), vector_to_array("rawPrediction")[1].alias("m")).persist(StorageLevel.MEMORY_AND_DISK)
     lr = LogisticRegression(maxIter=100, regParam=0.0, featuresCol="mv", labelCol=label).fit(
         VectorAssembler(inputCols=["m"], outputCol="mv").transform(marg))
+    marg.unpersist()
     return _Fitted(model, (float(lr.coefficients[0]), float(lr.intercept)), fourier)
 
 
@@ -237,9 +250,10 @@ class CVResult:
 
 def cross_validate(folded: DataFrame, cols: list[str], p: Profile, test: DataFrame | None = None,
                    roles: Roles = Roles(), k: int = 5, fold_col: str = "fold", parallel_fits: int = 5,
-                   steps=None, model_dir: str | None = None) -> CVResult:
+                   steps=None, model_dir: str | None = None, share: int = 1) -> CVResult:
     """For each fold fit on the other folds, score the fold and the
-    test table. The class weight is measured once on all training rows.
+    test table. The class weight is measured once on all training rows. Up to ``parallel_fits`` folds are fitted at once, fewer
+    on a large table (``share``: how many callers share what fits may hold).
     ``steps`` (an :class:`~tessera.operators.infold.InFold`) are fitted in each
     fold first; ``model_dir`` gets each fold's model (S11)."""
     from tessera.operators.clean import apply_cap
@@ -262,7 +276,7 @@ def cross_validate(folded: DataFrame, cols: list[str], p: Profile, test: DataFra
     else:
         # The k fits are independent: submit them from a small thread pool so
         # their jobs share the cluster instead of queueing behind each other.
-        with ThreadPoolExecutor(max_workers=min(k, parallel_fits)) as pool:
+        with ThreadPoolExecutor(max_workers=fits_at_once(p, data.count(), len(cols), min(k, parallel_fits), share)) as pool:
             models = list(pool.map(lambda f: fit(p, rows(data.where(F.col(fold_col) != f), f), label, w), range(1, k + 1)))
     oofs, tests = [], []
     for f, m in zip(range(1, k + 1), models):
@@ -293,7 +307,7 @@ def cross_validate_columns(folded: DataFrame, settings: dict, p: Profile, roles:
                              w if p.weighted else 1.0, {i: list(cols) for i, (_, cols) in enumerate(jobs)})
         fitted = {job: _Fitted(models[i]) for i, job in enumerate(jobs)}
     else:
-        with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
+        with ThreadPoolExecutor(max_workers=fits_at_once(p, data.count(), len(every), parallel_fits)) as pool:
             fitted = dict(zip(jobs, pool.map(lambda j: fit(p, assemble(data.where(F.col(fold_col) != j[0]), list(j[1])), label, w), jobs)))
     scored = {j: m.score(inputs(m, data.where(F.col(fold_col) == j[0]), list(j[1])), [key, fold_col, label]) for j, m in fitted.items()}
     return {s: reduce(DataFrame.unionByName, [scored[f, tuple(cols)] for f, cols in sorted(folds.items())]) for s, folds in settings.items()}
@@ -320,7 +334,7 @@ def compare_baselines(train: DataFrame, cols: list[str], profiles: list[Profile]
             s = m.score(inputs(m, va, cols), [roles.label])
             auc = roc_auc(s, roles.label, "p").first()
             acc = accuracy(s.withColumn("pred", (F.col("p") >= 0.5).cast("int")), roles.label).first()
-            cv = cross_validate(stratified_kfold(tr, k, shuffle=False), cols, p, None, roles, k)
+            cv = cross_validate(stratified_kfold(tr, k, shuffle=False), cols, p, None, roles, k, share=len(profiles))
             ms = mean_std(cv.metrics.where(F.col("fold") > 0), "roc_auc").first()
             cv.release()
             return (p.name, auc["auc"] if auc else None, acc["accuracy"], ms["mean"], ms["std"], None)

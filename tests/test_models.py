@@ -4,6 +4,7 @@
 import os
 import uuid
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
@@ -129,3 +130,37 @@ def test_kmeans_reads_its_input_once(spark):
     assert sorted(r["id"] for r in out.collect()) == list(range(300)) and {r["cluster"] for r in out.collect()} == {0, 1, 2}
     assert seen.value == 300
     assert not out.storageLevel.useMemory and "InMemoryTableScan" not in out._jdf.queryExecution().toString()
+
+
+def test_folds_of_a_large_table_are_not_held_together(spark, monkeypatch):
+    """Fits run together as long as what they cache stays within FIT_BYTES; the scores don't depend on it."""
+    import threading
+    p = ML.Profile("SVM", "svm", iters=5, weighted=False, kernel_features=8)
+    assert ML.fits_at_once(p, 1000, 2, 5) == 5 and ML.fits_at_once(p, ML.FIT_BYTES // 64 // 2, 2, 5) == 2
+    assert ML.fits_at_once(p, ML.FIT_BYTES, 2, 5) == 1 and ML.fits_at_once(p, ML.FIT_BYTES // 64 // 2, 2, 5, share=2) == 1
+    rng = np.random.default_rng(8)
+    a, b = rng.normal(size=600), rng.normal(size=600)
+    df = spark.createDataFrame([(i, float(u), float(v), int(u * v > 0), i % 3 + 1) for i, (u, v) in enumerate(zip(a, b))],
+                               "id long, a double, b double, y int, fold int")
+    running, most, lock, real = [0], [0], threading.Lock(), ML.fit
+
+    def watched(*args, **kw):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        try:
+            return real(*args, **kw)
+        finally:
+            with lock:
+                running[0] -= 1
+
+    monkeypatch.setattr(ML, "fit", watched)
+    found = []
+    for held, at_once in ((ML.FIT_BYTES, 3), (1, 1)):
+        monkeypatch.setattr(ML, "FIT_BYTES", held)
+        most[0] = 0
+        res = ML.cross_validate(df, ["a", "b"], p, k=3)
+        assert most[0] <= at_once and (most[0] == 1) == (at_once == 1)
+        found.append([round(r["roc_auc"], 6) for r in res.metrics.orderBy("fold").collect()])
+        res.release()
+    assert found[0] == found[1]
